@@ -1,0 +1,63 @@
+"""Every registered query against its SQL on the sf0.01 tables."""
+
+from datetime import date, datetime
+from decimal import Decimal
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import __spark_entry__ as registered
+
+DATA = Path("/root/testdata/sf0.01")
+pytestmark = pytest.mark.skipif(not DATA.exists(), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def db():
+    con = duckdb.connect()
+    for path in DATA.glob("*.parquet"):
+        con.sql(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+    return con
+
+
+def plain(value):
+    if isinstance(value, Decimal):
+        return f"{value:.6f}"
+    if isinstance(value, (datetime, date)):
+        return value.isoformat()
+    return value
+
+
+def rows(names, records):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    found = [tuple(plain(r[i]) for i in order) for r in records]
+    return sorted(found, key=lambda r: tuple((v is not None, str(v)) for v in r))
+
+
+def test_every_query_has_sql():
+    assert set(registered.queries()) == set(registered.oracle_sql())
+
+
+@pytest.mark.parametrize("name", list(registered.queries()))
+def test_query_equals_sql(spark, db, name):
+    df = registered.queries()[name](spark, str(DATA))
+    expected = db.sql(registered.oracle_sql()[name])
+    assert sorted(df.columns) == sorted(expected.columns)
+    got = rows(df.columns, df.collect())
+    want = rows(expected.columns, expected.fetchall())
+    assert len(got) == len(want)
+    differing = [(g, w) for g, w in zip(got, want) if g != w]
+    assert not differing, differing[:3]
+    assert got, "no rows"
+
+
+def test_types_agree(spark, db):
+    """Column types on both sides, so that values are compared as the same thing."""
+    to_sql = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "boolean": "BOOLEAN", "date": "DATE"}
+    for name, query in registered.queries().items():
+        df = query(spark, str(DATA))
+        expected = db.sql(registered.oracle_sql()[name])
+        types = dict(zip(expected.columns, map(str, expected.types)))
+        for column, kind in df.dtypes:
+            assert types[column] == to_sql.get(kind, kind.upper()), (name, column)
