@@ -88,11 +88,15 @@ def keep_latest(
     first (by default every other column), which makes the choice repeatable. Spark
     keeps one row per key in each map task before the shuffle, so a key that holds
     a large part of the input reaches the reducer as one row per map task.
+
+    Rows are grouped by the key and its hash, which is the same grouping but sorts
+    on a number first: keys of one client begin alike, and comparing them as text
+    is slow.
     """
     if tie_break is None:
         tie_break = [c for c in df.columns if c not in (key, order)]
     latest_first = [F.col(c).desc_nulls_last() for c in (order, *tie_break)]
-    window = Window.partitionBy(key).orderBy(*latest_first)
+    window = Window.partitionBy(F.xxhash64(key), key).orderBy(*latest_first)
     return df.withColumn("_recency", F.row_number().over(window)).filter("_recency = 1").drop("_recency")
 
 

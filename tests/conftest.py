@@ -6,14 +6,15 @@ from pyspark.sql import SparkSession
 def spark(tmp_path_factory):
     session = (
         SparkSession.builder.appName("feedworks-tests")
-        .master("local[8]")
+        .master("local[8, 3]")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .getOrCreate()
     )
-    session.sparkContext.setLogLevel("ERROR")
+    session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()
 

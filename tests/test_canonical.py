@@ -1,0 +1,115 @@
+"""Conforming, uniting, keying and de-duplicating clean rows."""
+
+from datetime import datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from feedworks.operators.canonical import (
+    CUSTOMERS,
+    TRANSACTIONS,
+    build_gold_customers,
+    build_gold_transactions,
+    conform,
+    keep_latest,
+    select_known,
+    union_clients,
+)
+
+JAN, JUN = datetime(2024, 1, 1), datetime(2024, 6, 1)
+IDS = "client_id string, source_customer_id string"
+TIME = "_silver_refined_ts timestamp"
+
+
+def by(df, name):
+    return {row[name]: row for row in df.collect()}
+
+
+def test_clients_are_united_with_typed_nulls(spark):
+    a = spark.createDataFrame([("a", "1", "Jane", 100, JAN)], f"{IDS}, first_name string, loyalty_points bigint, {TIME}")
+    b = spark.createDataFrame([("b", "1", "US", JAN)], f"{IDS}, country string, {TIME}")
+    gold = build_gold_customers({"a": a, "b": b})
+    rows = by(gold, "client_id")
+    assert gold.columns == ["customer_key", *CUSTOMERS.columns]
+    assert (rows["a"].loyalty_points, rows["a"].country, rows["a"].customer_key) == (100, None, "a_1")
+    assert (rows["b"].loyalty_points, rows["b"].country, rows["b"].age) == (None, "US", None)
+    assert gold.select(*CUSTOMERS.columns).schema.simpleString() == CUSTOMERS.schema.simpleString()
+
+
+def test_latest_row_wins(spark):
+    df = spark.createDataFrame([("a", "1", "Old", JAN), ("a", "1", "New", JUN), ("a", "1", "None", None)],
+                               f"{IDS}, first_name string, {TIME}")
+    assert [r.first_name for r in build_gold_customers({"a": df}).collect()] == ["New"]
+
+
+def test_keys_of_both_entities_agree(spark):
+    df = spark.createDataFrame([("a", "T1", "C1", JAN)],
+                               f"client_id string, source_transaction_id string, source_customer_id string, {TIME}")
+    gold = build_gold_transactions({"a": df})
+    assert gold.columns == ["transaction_key", "customer_key", *TRANSACTIONS.columns]
+    assert (gold.first().transaction_key, gold.first().customer_key) == ("a_T1", "a_C1")
+
+
+def test_null_key_part_is_left_out(spark):
+    df = spark.createDataFrame([("a", None, JAN)], f"{IDS}, {TIME}")
+    assert build_gold_customers({"a": df}).first().customer_key == "a"
+
+
+def test_ties_are_settled_by_the_other_columns(spark):
+    rows = [("a", str(i % 50), f"name{i}", JAN) for i in range(500)]
+    df = spark.createDataFrame(rows, f"{IDS}, first_name string, {TIME}")
+    expected = {str(k): max(f"name{i}" for i in range(500) if i % 50 == k) for k in range(50)}
+    for parts in (1, 7):
+        gold = build_gold_customers({"a": df.repartition(parts)})
+        assert {r.source_customer_id: r.first_name for r in gold.collect()} == expected
+
+
+def test_tie_break_prefers_values_over_nulls(spark):
+    df = spark.createDataFrame([("k", None, 1), ("k", 5, 2)], "key string, ts int, v int")
+    assert keep_latest(df, "key", order="ts", tie_break=["v"]).first().v == 2
+
+
+def test_same_name_other_type_meets_as_declared(spark):
+    a = spark.createDataFrame([("a", "1", 7)], f"{IDS}, postal_code int")
+    b = spark.createDataFrame([("b", "1", "abc")], f"{IDS}, postal_code string")
+    rows = by(union_clients([a, b], CUSTOMERS.schema), "client_id")
+    assert (rows["a"].postal_code, rows["b"].postal_code) == ("7", "abc")
+
+
+def test_conforming_is_strict(spark):
+    df = spark.createDataFrame([("a", "1", "abc")], f"{IDS}, age string")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        conform(df, CUSTOMERS.schema).collect()
+
+
+def test_conforming_casts_and_drops(spark):
+    df = spark.createDataFrame([("a", "1.239", "x")], "client_id string, amount string, other string")
+    out = conform(df, TRANSACTIONS.schema)
+    assert out.columns == TRANSACTIONS.columns
+    assert out.first().amount == Decimal("1.24")
+
+
+def test_known_columns_in_canonical_order(spark):
+    df = spark.createDataFrame([("x", "e", "a", "U")], "other string, email string, client_id string, Country string")
+    assert select_known(df, CUSTOMERS.columns).columns == ["client_id", "email"]
+
+
+def test_no_client(spark):
+    with pytest.raises(ValueError, match="customers"):
+        build_gold_customers({})
+
+
+def test_hot_key_is_reduced_before_the_shuffle(spark):
+    """A key with a third of the rows reaches the reducers as a row per map task."""
+    df = spark.range(30_000, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("key"), F.col("id").alias("ts")
+    )
+    latest = keep_latest(df, "key", order="ts")
+    assert latest.count() == 20_001
+    assert latest.filter("key = 'hot'").first().ts == 29_997
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    limits = [i for i in range(len(plan)) if plan.startswith("WindowGroupLimit", i)]
+    exchange = plan.index("Exchange")
+    assert min(limits) < exchange < max(limits)
+    assert plan.count("Exchange") == 1

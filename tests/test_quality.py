@@ -1,0 +1,111 @@
+"""Reports on rejected rows, and on transactions and their customers."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from feedworks.operators import quality
+
+
+def reasons(spark, *names):
+    return spark.createDataFrame([(n, 1) for n in names], "_quarantine_reason string, x int")
+
+
+def test_reason_counts(spark):
+    rows = quality.reason_counts(reasons(spark, "b", "a", "c", "c")).collect()
+    assert [tuple(r) for r in rows] == [("c", 2), ("a", 1), ("b", 1)]
+
+
+def test_summary_and_top(spark):
+    feeds = {("a", "customers"): reasons(spark, "x", "x", "y"), ("b", "customers"): reasons(spark, "y", "y", "y")}
+    summary = quality.quarantine_summary(feeds)
+    assert {tuple(r) for r in summary.collect()} == {
+        ("a", "customers", "x", 2),
+        ("a", "customers", "y", 1),
+        ("b", "customers", "y", 3),
+    }
+    assert [tuple(r)[2:] for r in quality.top_reasons(summary, 2).collect()] == [("y", 3), ("x", 2)]
+
+
+def test_row_balance(spark):
+    feed = ("a", "customers")
+    balance = quality.row_balance({feed: spark.range(5)}, {feed: spark.range(3)}, {feed: spark.range(2)})
+    assert [tuple(r) for r in balance.collect()] == [("a", "customers", 5, 3, 2)]
+
+
+@pytest.fixture
+def gold(spark):
+    transactions = spark.createDataFrame(
+        [("t1", "a_1", "a", 5), ("t2", "a_2", "a", 6), ("t3", "a_2", "a", 7), ("t4", "b_1", "b", 8)],
+        "transaction_key string, customer_key string, client_id string, amount int",
+    )
+    customers = spark.createDataFrame([("a_1", "a", "Ann")], "customer_key string, client_id string, first_name string")
+    return transactions, customers
+
+
+def test_every_transaction_is_kept(gold):
+    rows = {r.transaction_key: r for r in quality.enrich_transactions(*gold).collect()}
+    assert {k: (r.first_name, r.customer_client_id) for k, r in rows.items()} == {
+        "t1": ("Ann", "a"),
+        "t2": (None, None),
+        "t3": (None, None),
+        "t4": (None, None),
+    }
+
+
+def test_chosen_customer_columns(gold):
+    joined = quality.enrich_transactions(*gold, customer_columns=["first_name"])
+    assert joined.columns == ["customer_key", "transaction_key", "client_id", "amount", "first_name"]
+
+
+def test_orphans(gold):
+    assert {tuple(r) for r in quality.orphan_transactions(*gold).collect()} == {("a", 2), ("b", 1)}
+
+
+def test_orphans_with_one_hot_customer(spark):
+    """Past broadcast size, transactions are counted per customer before the join."""
+    transactions = spark.range(20_000).select(
+        F.lit("a").alias("client_id"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 100).cast("string")).alias("customer_key"),
+    )
+    customers = spark.range(50).select(F.col("id").cast("string").alias("customer_key"))
+    ids = [i for i in range(20_000)]
+    expected = sum(1 for i in ids if i % 3 == 0 or i % 100 >= 50)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        orphans = quality.orphan_transactions(transactions, customers)
+        plan = orphans._jdf.queryExecution().executedPlan().toString()
+        assert plan.index("SortMergeJoin") < plan.index("partial_count")
+        assert [tuple(r) for r in orphans.collect()] == [("a", expected)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_skewed_join_is_split(spark):
+    """One customer with a third of all transactions: the join reads it in several tasks."""
+    transactions = spark.range(200_000, numPartitions=8).select(
+        F.concat(F.lit("t"), "id").alias("transaction_key"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("customer_key"),
+    )
+    customers = spark.range(200_000).select(
+        F.col("id").cast("string").alias("customer_key"), F.lit("n").alias("first_name")
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        joined = quality.enrich_transactions(transactions, customers)
+        count = joined.agg(F.count(F.lit(1)), F.count("first_name"), F.sum(F.length("transaction_key")))
+        lengths = sum(len(f"t{i}") for i in range(200_000))
+        assert tuple(count.collect()[0]) == (200_000, 200_000 - 66_667, lengths)
+        assert "skew=true" in count._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
