@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedworks.functions import values
-from feedworks.functions.transforms import TRANSFORMS
+from feedworks.functions.transforms import TRANSFORM_OUTPUTS, TRANSFORMS
 from feedworks.sources.spec import CORRUPT_COLUMN, SYSTEM_COLUMNS, FeedSpec
 from feedworks.sources.tables import quoted_column
 
@@ -29,15 +29,15 @@ class _Projection:
     def __init__(self, df: DataFrame):
         self._df = df
         exact = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
-        self._fold = (lambda name: name) if exact else str.lower
-        self._columns = {self._fold(name): (name, F.col(quoted_column(name))) for name in df.columns}
+        self.fold = (lambda name: name) if exact else str.lower
+        self._columns = {self.fold(name): (name, F.col(quoted_column(name))) for name in df.columns}
 
     def __getitem__(self, name: str) -> Column:
-        known = self._columns.get(self._fold(name))
+        known = self._columns.get(self.fold(name))
         return F.col(quoted_column(name)) if known is None else known[1]
 
     def __setitem__(self, name: str, value: Column) -> None:
-        self._columns[self._fold(name)] = (name, value)
+        self._columns[self.fold(name)] = (name, value)
 
     def select(self) -> DataFrame:
         return self._df.select(*[value.alias(name) for name, value in self._columns.values()])
@@ -46,20 +46,23 @@ class _Projection:
 def tag_rows(raw_rows: DataFrame, cfg: FeedSpec | Mapping[str, Any]) -> DataFrame:
     """Every raw row, typed, with the reason it is rejected (null if it is not).
 
-    The last three columns are ``_raw`` (the feed's own strings, kept for rejected
-    rows only), ``_quarantine_reason`` and ``_rejected``.
+    The last columns are ``_raw``, ``_quarantine_reason`` and ``_rejected``. ``_raw``
+    has the feed's own text, on rejected rows only, of the columns whose typed form
+    takes their place; a feed without such columns has no ``_raw``.
     """
     spec = FeedSpec.of(cfg)
     out = _Projection(raw_rows)
-    raw = F.struct(*[F.col(quoted_column(c)) for c in raw_rows.columns if c not in SYSTEM_COLUMNS])
+    replaced = [F.col(quoted_column(c)) for c in _replaced_columns(raw_rows, spec, out.fold)]
+    raw = F.struct(*replaced) if replaced else None
 
     out["client_id"] = out["_client_id"]
     for source, target in spec.column_map.items():
         out[target] = values.text_or_null(out[source])
     if spec.special_transform is not None:
-        out[RAW_COLUMN] = raw
+        if raw is not None:
+            out[RAW_COLUMN] = raw
         out = _Projection(TRANSFORMS[spec.special_transform](out.select()))
-        raw = out[RAW_COLUMN]
+        raw = None if raw is None else out[RAW_COLUMN]
     for source, date in spec.date_fields.items():
         parse = values.parse_date if date.type == "date" else values.parse_timestamp
         out[date.target] = parse(out[source], date.format)
@@ -76,12 +79,24 @@ def tag_rows(raw_rows: DataFrame, cfg: FeedSpec | Mapping[str, Any]) -> DataFram
     corrupt = out[CORRUPT_COLUMN]
     required = {name: out[name] for name in spec.required_fields}
     rejected = values.is_rejected(corrupt, required)
-    out[RAW_COLUMN] = F.when(rejected, raw)
+    if raw is not None:
+        out[RAW_COLUMN] = F.when(rejected, raw)
     out[REASON_COLUMN] = values.rejection_reason(corrupt, required)
     out[REJECTED_COLUMN] = rejected
     tagged = out.select()
-    tail = (RAW_COLUMN, REASON_COLUMN, REJECTED_COLUMN)
-    return tagged.select(*[quoted_column(c) for c in tagged.columns if c not in tail], *tail)
+    return tagged.select(*map(quoted_column, (*clean_columns(tagged), *_verdict_columns(tagged))))
+
+
+def _replaced_columns(raw_rows: DataFrame, spec: FeedSpec, fold: Callable[[str], str]) -> list[str]:
+    """Feed columns that a step overwrites; all of them if a transform's outputs are unknown."""
+    columns = [c for c in raw_rows.columns if c not in SYSTEM_COLUMNS]
+    outputs = TRANSFORM_OUTPUTS.get(spec.special_transform, columns if spec.special_transform else ())
+    targets = {fold(t) for t in (*spec.targets(), *outputs)}
+    return [c for c in columns if fold(c) in targets]
+
+
+def _verdict_columns(tagged: DataFrame) -> list[str]:
+    return [c for c in (RAW_COLUMN, REASON_COLUMN, REJECTED_COLUMN) if c in tagged.columns]
 
 
 def clean_columns(tagged: DataFrame) -> list[str]:
@@ -89,7 +104,7 @@ def clean_columns(tagged: DataFrame) -> list[str]:
 
 
 def quarantine_columns(tagged: DataFrame) -> list[str]:
-    return [*clean_columns(tagged), RAW_COLUMN, REASON_COLUMN]
+    return [*clean_columns(tagged), *[c for c in _verdict_columns(tagged) if c != REJECTED_COLUMN]]
 
 
 def refine_entity(raw_rows: DataFrame, cfg: FeedSpec | Mapping[str, Any]) -> tuple[DataFrame, DataFrame]:

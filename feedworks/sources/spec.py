@@ -54,6 +54,17 @@ class FeedSpec:
     default_currency: str | None = None
     required_fields: tuple[str, ...] = ()
 
+    def targets(self) -> list[str]:
+        """Every column the spec itself produces, besides what a transform adds."""
+        return [
+            *self.column_map.values(),
+            *[date.target for date in self.date_fields.values()],
+            *self.int_fields.values(),
+            *self.decimal_fields.values(),
+            *[flag.target for flag in self.boolean_fields.values()],
+            *(["currency"] if self.default_currency is not None else []),
+        ]
+
     @classmethod
     def of(cls, cfg: FeedSpec | Mapping[str, Any]) -> FeedSpec:
         """The spec for one entity section of a client's YAML."""

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from feedworks.functions import values
 from feedworks.functions.transforms import TRANSFORMS, register_transform
 from feedworks.operators.refine import refine_entity, tag_rows
-from feedworks.sources.spec import SYSTEM_COLUMNS
 from tests.helpers import TXN, column, strings, transactions
 
 
@@ -32,6 +31,12 @@ def test_ints(spark):
     assert parsed(spark, values.parse_int, texts) == [7, 3, -4, None, None, None, None, None, 2147483647, None]
 
 
+@settings(max_examples=20, deadline=None, suppress_health_check=list(HealthCheck))
+@given(texts=st.lists(st.text(alphabet="0159+-. \t\n\x00\x0b\x1f\x7f\x85\u00a0\u0663eE_,", max_size=6), min_size=1, max_size=60))
+def test_int_pattern_changes_no_result(spark, texts):
+    assert parsed(spark, values.parse_int, texts) == parsed(spark, lambda c: c.try_cast("int"), texts)
+
+
 def test_money(spark):
     good = {
         "100.00": "100.00",
@@ -212,6 +217,19 @@ def test_every_row_is_clean_or_quarantined(spark, rows):
         assert (row._quarantine_reason is not None) == row._rejected == (row._raw is not None)
 
 
-def test_system_columns_are_not_raw(spark):
-    raw = tag_rows(transactions(spark, {"amount": "x"}), TXN).first()._raw.asDict()
-    assert set(raw).isdisjoint(SYSTEM_COLUMNS)
+def test_raw_text_is_kept_where_it_was_replaced(spark):
+    raw = refine_entity(transactions(spark, {"amount": "x", "currency": " NULL "}), TXN)[1].first()._raw.asDict()
+    assert raw == {"amount": "x", "currency": " NULL ", "is_refund": "true"}
+
+
+def test_no_raw_column_where_nothing_is_replaced(spark):
+    cfg = {"column_map": {"transaction_id": "source_transaction_id"}, "required_fields": ["source_transaction_id"]}
+    clean, quarantine = refine_entity(transactions(spark, {"transaction_id": ""}), cfg)
+    assert quarantine.columns == [*clean.columns, "_quarantine_reason"]
+    assert quarantine.first().transaction_id == ""
+
+
+def test_transform_outputs_count_as_replaced(spark):
+    df = strings(spark, ["full_name", "last_name", "_corrupt_record", "_client_id"], [("A B", "raw", "bad", "x")])
+    row = refine_entity(df, {"special_transform": "split_full_name"})[1].first()
+    assert (row.last_name, row._raw.asDict()) == ("B", {"last_name": "raw"})
