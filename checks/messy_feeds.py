@@ -8,9 +8,10 @@ each with its own header line.
 
 from __future__ import annotations
 
+import functools
 import tempfile
+import threading
 import uuid
-from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,7 +47,7 @@ def in_quotes(value: Column) -> Column:
 
 def choose(subject: Column, cases: dict, otherwise: Column) -> Column:
     """``CASE subject WHEN .. THEN .. ELSE otherwise``."""
-    return reduce(lambda rest, case: F.when(subject == case[0], case[1]).otherwise(rest), cases.items(), otherwise)
+    return functools.reduce(lambda rest, case: F.when(subject == case[0], case[1]).otherwise(rest), cases.items(), otherwise)
 
 
 def money(value: Column) -> Column:
@@ -182,6 +183,18 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/feedworks-{uuid.uuid4().hex}"
 
 
+_opening = threading.Lock()
+
+
+def _one_at_a_time(method):
+    @functools.wraps(method)
+    def locked(self, *args):
+        with self._lock:
+            return method(self, *args)
+
+    return locked
+
+
 class Landing:
     """The feeds of one data folder, written once per session and as late as possible."""
 
@@ -194,14 +207,17 @@ class Landing:
         self._written: set[tuple[str, str]] = set()
         self._schemas: dict[str, str] = {}
         self._done: dict[str, object] = {}
+        self._lock = threading.RLock()
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> Landing:
         key = (spark.sparkContext.applicationId, sf_dir)
-        if key not in cls._open:
-            cls._open[key] = cls(spark, sf_dir)
-        return cls._open[key]
+        with _opening:
+            if key not in cls._open:
+                cls._open[key] = cls(spark, sf_dir)
+            return cls._open[key]
 
+    @_one_at_a_time
     def write(self, client_id: str, entity: str) -> None:
         if (client_id, entity) not in self._written:
             feed = spec(client_id, entity)
@@ -219,6 +235,7 @@ class Landing:
     def quarantine(self, client_id: str, entity: str) -> DataFrame:
         return refine_entity(self.raw(client_id, entity), spec(client_id, entity))[1]
 
+    @_one_at_a_time
     def schema(self, layer: str) -> str:
         """A database of this landing's own, kept in its shared folder."""
         if layer not in self._schemas:
@@ -226,6 +243,7 @@ class Landing:
             self._schemas[layer] = ensure_schema(self.spark, "spark_catalog", name, f"{self.root}/{layer}")
         return self._schemas[layer]
 
+    @_one_at_a_time
     def ingest_report(self) -> list[dict]:
         if "bronze" not in self._done:
             for feed in FEEDS:
@@ -233,12 +251,14 @@ class Landing:
             self._done["bronze"] = stages.run_ingest(self.spark, CONFIGS, self.input_dir, self.schema("bronze"))
         return self._done["bronze"]
 
+    @_one_at_a_time
     def refine_report(self) -> list[dict]:
         if "silver" not in self._done:
             self.ingest_report()
             self._done["silver"] = stages.run_refine(self.spark, CONFIGS, self.schema("bronze"), self.schema("silver"))
         return self._done["silver"]
 
+    @_one_at_a_time
     def curate_report(self) -> dict[str, int]:
         if "gold" not in self._done:
             self.refine_report()

@@ -346,6 +346,16 @@ ORACLES["gold_counts"] = f"""{GOLD}
 SELECT 'customers' AS entity, count(*) AS n FROM gold_customers
 UNION ALL SELECT 'transactions', count(*) FROM gold_transactions"""
 
+ORACLES["stage_row_counts"] = f"""{GOLD}, feeds AS (
+  SELECT client AS client_id, 'transactions' AS entity, m IN (1, 2, 3, 4, 8, 10, 12) AS bad
+  FROM tx WHERE NOT (m = 12 AND part = 2)
+  UNION ALL SELECT client, 'customers', m IN (1, 2) FROM cust)
+SELECT 'bronze' AS stage, client_id, entity, count(*) AS n FROM feeds GROUP BY ALL
+UNION ALL SELECT 'clean', client_id, entity, count(*) FROM feeds WHERE NOT bad GROUP BY ALL
+UNION ALL SELECT 'quarantine', client_id, entity, count(*) FROM feeds WHERE bad GROUP BY ALL
+UNION ALL SELECT 'gold', NULL, 'customers', count(*) FROM gold_customers
+UNION ALL SELECT 'gold', NULL, 'transactions', count(*) FROM gold_transactions"""
+
 # --- reports ----------------------------------------------------------------
 
 ORACLES["quarantine_summary"] = f"""{QUARANTINE}

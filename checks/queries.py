@@ -283,7 +283,7 @@ def map_boolean(spark: SparkSession, sf_dir: str) -> DataFrame:
 def default_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean transactions per client and currency; client_c has a constant one."""
     landing = Landing.of(spark, sf_dir)
-    rows = union([landing.clean(c, "transactions").select("client_id", "currency") for c in CLIENTS])
+    rows = union([landing.table("silver", f"{c}_transactions").select("client_id", "currency") for c in CLIENTS])
     return rows.groupBy("client_id", "currency").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -306,7 +306,7 @@ def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = []
     for client_id, entity in FEEDS:
         first = spec(client_id, entity)["columns"][0]
-        rows = landing.quarantine(client_id, entity)
+        rows = landing.table("silver", f"{client_id}_{entity}_quarantine")
         parts.append(
             rows.select(
                 "client_id",
@@ -366,6 +366,19 @@ def split_conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def stage_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The row counts the stages reported, which they took while writing."""
+    landing = Landing.of(spark, sf_dir)
+    gold = landing.curate_report()
+    rows = [("bronze", r["client_id"], r["entity"], r["row_count"]) for r in landing.ingest_report()]
+    for r in landing.refine_report():
+        rows.append(("clean", r["client_id"], r["entity"], r["clean_count"]))
+        rows.append(("quarantine", r["client_id"], r["entity"], r["quarantine_count"]))
+    rows += [("gold", None, entity, n) for entity, n in gold.items()]
+    return spark.createDataFrame(rows, "stage string, client_id string, entity string, n bigint")
+
+
 # --- curated tables ---------------------------------------------------------
 
 
@@ -397,9 +410,10 @@ def known_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def union_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per client and entity over the union, before duplicates are removed."""
+    landing = Landing.of(spark, sf_dir)
     parts = []
     for entity in canonical.CANONICAL.values():
-        frames = list(clean_frames(spark, sf_dir, entity.name).values())
+        frames = [landing.table("silver", f"{c}_{entity.name}") for c in CLIENTS]
         rows = canonical.union_clients(frames, entity.schema)
         parts.append(rows.select("client_id", F.lit(entity.name).alias("entity")))
     return union(parts).groupBy("client_id", "entity").agg(F.count(F.lit(1)).alias("n"))
@@ -488,27 +502,27 @@ def quarantine_reason_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quarantine_top_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five most frequent lines of the summary."""
     landing = Landing.of(spark, sf_dir)
-    summary = quality.quarantine_summary({feed: landing.quarantine(*feed) for feed in FEEDS})
+    landing.refine_report()
+    silver = stages.silver_tables(spark, CONFIGS, landing.schema("silver"), "_quarantine")
+    summary = quality.quarantine_summary(silver)
     top = quality.top_reasons(summary, 5)
     return top.select("client_id", "entity", F.col("_quarantine_reason").alias("reason"), F.col("count").alias("n"))
 
 
-def gold_frames(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return (
-        canonical.build_gold_transactions(clean_frames(spark, sf_dir, "transactions")),
-        canonical.build_gold_customers(clean_frames(spark, sf_dir, "customers")),
-    )
-
-
 @query
 def transactions_with_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    transactions, customers = gold_frames(spark, sf_dir)
-    joined = quality.enrich_transactions(transactions, customers, ["first_name", "email", "signup_date"])
+    landing = Landing.of(spark, sf_dir)
+    joined = quality.enrich_transactions(
+        landing.table("gold", "transactions"),
+        landing.table("gold", "customers"),
+        ["first_name", "email", "signup_date"],
+    )
     return joined.select("transaction_key", "customer_key", "amount", "first_name", "email", "signup_date")
 
 
 @query
 def orphan_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.orphan_transactions(*gold_frames(spark, sf_dir))
+    landing = Landing.of(spark, sf_dir)
+    return quality.orphan_transactions(landing.table("gold", "transactions"), landing.table("gold", "customers"))
 
 

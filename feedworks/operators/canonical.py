@@ -111,9 +111,9 @@ def build_gold(entity: CanonicalEntity, frames: Mapping[str, DataFrame]) -> Data
     return keep_latest(keyed, row_key, tie_break=ties)
 
 
-def build_gold_customers(frames: Mapping[str, DataFrame]) -> DataFrame:
-    return build_gold(CUSTOMERS, frames)
+def build_gold_customers(silver_dfs: Mapping[str, DataFrame]) -> DataFrame:
+    return build_gold(CUSTOMERS, silver_dfs)
 
 
-def build_gold_transactions(frames: Mapping[str, DataFrame]) -> DataFrame:
-    return build_gold(TRANSACTIONS, frames)
+def build_gold_transactions(silver_dfs: Mapping[str, DataFrame]) -> DataFrame:
+    return build_gold(TRANSACTIONS, silver_dfs)

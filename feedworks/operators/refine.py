@@ -107,9 +107,9 @@ def quarantine_columns(tagged: DataFrame) -> list[str]:
     return [*clean_columns(tagged), *[c for c in _verdict_columns(tagged) if c != REJECTED_COLUMN]]
 
 
-def refine_entity(raw_rows: DataFrame, cfg: FeedSpec | Mapping[str, Any]) -> tuple[DataFrame, DataFrame]:
+def refine_entity(bronze_df: DataFrame, entity_cfg: FeedSpec | Mapping[str, Any]) -> tuple[DataFrame, DataFrame]:
     """(clean rows, quarantined rows): together every raw row, none in both."""
-    tagged = tag_rows(raw_rows, cfg)
+    tagged = tag_rows(bronze_df, entity_cfg)
     clean = tagged.filter(~F.col(REJECTED_COLUMN)).select(*map(quoted_column, clean_columns(tagged)))
     quarantine = tagged.filter(REJECTED_COLUMN).select(*map(quoted_column, quarantine_columns(tagged)))
     return clean, quarantine

@@ -10,6 +10,7 @@ from math import ceil
 
 MIB = 1 << 20
 GIB = 1 << 30
+MAX_SHUFFLE_PARTITIONS = 32_768
 
 
 def session_settings(input_bytes: int, cores: int, partition_bytes: int = 256 * MIB) -> dict[str, str]:
@@ -18,13 +19,15 @@ def session_settings(input_bytes: int, cores: int, partition_bytes: int = 256 *
     Scan tasks grow with the input from 128 MiB to at most 1 GiB, since each writes
     one file per verdict and there should not be millions of them. Shuffle
     partitions start fine enough for ``partition_bytes`` each, and adaptive
-    execution merges them where a shuffle turns out smaller.
+    execution merges them where a shuffle turns out smaller. Their number has a
+    limit, past which a map task would write blocks too small to fetch well; a
+    larger partition is sorted on disk.
     """
     scan_bytes = min(GIB, max(128 * MIB, ceil(input_bytes / 100_000)))
     partitions = max(cores, ceil(input_bytes / partition_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(scan_bytes),
-        "spark.sql.shuffle.partitions": str(min(partitions, 100_000)),
+        "spark.sql.shuffle.partitions": str(min(partitions, MAX_SHUFFLE_PARTITIONS)),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",

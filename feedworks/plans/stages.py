@@ -52,15 +52,15 @@ def _for_each(
 def ingest_client_entity(
     spark: SparkSession,
     client_id: str,
-    entity: str,
-    cfg: FeedSpec | Mapping[str, Any],
+    entity_name: str,
+    entity_cfg: FeedSpec | Mapping[str, Any],
     input_dir: str,
-    table: str,
+    table_name: str,
 ) -> tuple[DataFrame, str, int]:
     """Land one feed; returns (the table's rows, its name, its row count)."""
-    raw = read_raw(spark, client_id, entity, cfg, input_dir)
-    counted = write_counted(raw, table, {"rows": F.count(F.lit(1))})
-    return read_table(spark, table), table, counted["rows"]
+    raw = read_raw(spark, client_id, entity_name, entity_cfg, input_dir)
+    counted = write_counted(raw, table_name, {"rows": F.count(F.lit(1))})
+    return read_table(spark, table_name), table_name, counted["rows"]
 
 
 def run_ingest(
@@ -149,13 +149,19 @@ def run_curate(
 
 
 def main(
-    bronze_schema: str, silver_schema: str, gold_schema: str, spark: SparkSession, source_path: str
+    bronze_schema: str,
+    silver_schema: str,
+    gold_schema: str,
+    spark: SparkSession,
+    source_path: str,
+    configs_dir: str | None = None,
 ) -> dict[str, int]:
     """All stages over ``<source>/configs`` and ``<source>/input_files``; curated row counts.
 
-    Every config is checked before the first job.
+    Configs are read by the driver itself: name their folder where ``source_path``
+    is storage that only Spark reaches. Every config is checked before the first job.
     """
-    configs = load_configs(f"{source_path}/configs")
+    configs = load_configs(f"{source_path}/configs" if configs_dir is None else configs_dir)
     check_configs(configs)
     run_ingest(spark, configs, f"{source_path}/input_files", bronze_schema)
     run_refine(spark, configs, bronze_schema, silver_schema)

@@ -18,7 +18,7 @@ def raw_schema(columns: Sequence[str]) -> StructType:
 
 
 def read_raw(
-    spark: SparkSession, client_id: str, entity: str, cfg: FeedSpec | Mapping[str, Any], input_dir: str
+    spark: SparkSession, client_id: str, entity_name: str, entity_cfg: FeedSpec | Mapping[str, Any], input_dir: str
 ) -> DataFrame:
     """One feed as landed, plus where each row came from.
 
@@ -27,7 +27,7 @@ def read_raw(
     many tasks. ``file`` may be a directory or glob; with a header, every file in
     it starts with one.
     """
-    spec = FeedSpec.of(cfg)
+    spec = FeedSpec.of(entity_cfg)
     scan = (
         spark.read.schema(raw_schema(spec.columns))
         .options(
@@ -48,7 +48,7 @@ def read_raw(
     return scan.withColumns(
         {
             "_client_id": F.lit(client_id),
-            "_entity": F.lit(entity),
+            "_entity": F.lit(entity_name),
             "_source_file": F.lit(spec.file),
             "_ingestion_ts": F.current_timestamp(),
         }

@@ -25,17 +25,17 @@ def ensure_schema(spark: SparkSession, catalog: str, schema: str, location: str
 
 def write_table(
     df: DataFrame,
-    table: str,
+    table_name: str,
     mode: str = "overwrite",
     table_format: str = "parquet",
     partition_by: Sequence[str] = (),
 ) -> None:
     """Save as a table; ``overwrite`` replaces the old rows and the old schema."""
-    df.write.format(table_format).mode(mode).partitionBy(*partition_by).saveAsTable(table)
+    df.write.format(table_format).mode(mode).partitionBy(*partition_by).saveAsTable(table_name)
 
 
-def read_table(spark: SparkSession, table: str) -> DataFrame:
-    return spark.table(table)
+def read_table(spark: SparkSession, table_name: str) -> DataFrame:
+    return spark.table(table_name)
 
 
 def write_counted(

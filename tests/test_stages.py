@@ -187,6 +187,6 @@ def test_settings_follow_the_input():
     small = sizing.session_settings(10 * sizing.GIB, cores=8)
     large = sizing.session_settings(100_000 * sizing.GIB, cores=4000)
     assert small["spark.sql.shuffle.partitions"] == "40"
-    assert int(large["spark.sql.shuffle.partitions"]) == 100_000
+    assert int(large["spark.sql.shuffle.partitions"]) == sizing.MAX_SHUFFLE_PARTITIONS
     assert int(small["spark.sql.files.maxPartitionBytes"]) == 128 * sizing.MIB
     assert int(large["spark.sql.files.maxPartitionBytes"]) == sizing.GIB
