@@ -136,7 +136,7 @@ def check_configs(configs: Mapping[str, Mapping[str, Any]]) -> dict[str, list[st
     found: list[str] = []
     for client_id, cfg in configs.items():
         stated = cfg.get("client_id", client_id)
-        if stated != client_id:
+        if str(stated) != client_id:
             found.append(f"{client_id}: client_id says {stated!r}, but the file name decides the id")
     for shorter in configs:
         for longer in configs:
@@ -151,7 +151,7 @@ def check_configs(configs: Mapping[str, Mapping[str, Any]]) -> dict[str, list[st
 
 def feed_problems(section: Any) -> list[str]:
     """What is wrong with one feed section; empty when nothing is."""
-    if not isinstance(section, Mapping):
+    if not isinstance(section, (FeedSpec, Mapping)):
         return ["is not a mapping"]
     try:
         spec = FeedSpec.of(section)

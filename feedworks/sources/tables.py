@@ -31,6 +31,8 @@ def write_table(
     partition_by: Sequence[str] = (),
 ) -> None:
     """Save as a table; ``overwrite`` replaces the old rows and the old schema."""
+    if mode == "overwrite" and is_view(df.sparkSession, table_name):
+        df.sparkSession.sql(f"DROP VIEW {quoted(table_name)}")
     df.write.format(table_format).mode(mode).partitionBy(*partition_by).saveAsTable(table_name)
 
 
@@ -54,9 +56,20 @@ def write_counted(
 
 
 def create_view(spark: SparkSession, view: str, table: str, columns: Sequence[str], condition: str) -> None:
+    """Some columns and rows of ``table`` under another name, in place of what had it."""
+    if is_table(spark, view):
+        spark.sql(f"DROP TABLE {quoted(view)}")
     names = ", ".join(quoted_column(c) for c in columns)
     spark.sql(f"CREATE OR REPLACE VIEW {quoted(view)} AS SELECT {names} FROM {quoted(table)} WHERE {condition}")
 
 
+def is_table(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW"
+
+
+def is_view(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType == "VIEW"
+
+
 def quoted_column(name: str) -> str:
     return "`{}`".format(name.replace("`", "``"))

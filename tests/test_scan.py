@@ -1,6 +1,8 @@
 """The raw scan of delimited text."""
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
@@ -126,6 +128,16 @@ def test_large_file_is_split(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+@given(lines=st.lists(st.text(alphabet='ab1 ,"\t|\'\\#$', max_size=12), max_size=15))
+def test_every_line_that_is_not_blank_is_one_row(spark, tmp_path_factory, lines):
+    """And if it did not parse, its text is kept whole."""
+    df = scan(spark, tmp_path_factory.mktemp("lines"), HEADER + "\n".join(lines) + "\n")
+    kept = [line for line in lines if line.strip()]
+    assert len(df.collect()) == len(kept)
+    assert set(bad_lines(df)) <= set(kept)
+
+
 def test_missing_file_stops(spark, tmp_path):
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         read_raw(spark, "client_a", "customers", FEED, str(tmp_path)).collect()

@@ -93,5 +93,9 @@ def test_all_problems_are_reported_at_once():
         assert part in str(err.value)
 
 
+def test_spec_objects_are_accepted():
+    assert check_configs({"7": {"client_id": 7, "customers": FeedSpec.of(FEED)}}) == {"7": ["customers"]}
+
+
 def test_other_sections_are_ignored():
     assert check_configs({"x": {"products": {}}}) == {"x": []}

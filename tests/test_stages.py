@@ -140,6 +140,17 @@ def test_silver_names(spark, schemas, source, as_views):
     assert read_table(spark, f"{schemas['silver']}.client_c_transactions_quarantine").count() == 0
 
 
+def test_silver_may_change_between_views_and_tables(spark, schemas, source):
+    configs = loaded(source)
+    stages.run_ingest(spark, configs, f"{source}/input_files", schemas["bronze"])
+    reports = [
+        stages.run_refine(spark, configs, schemas["bronze"], schemas["silver"], as_views=as_views)
+        for as_views in (False, True, True, False, False)
+    ]
+    assert all(report == reports[0] for report in reports)
+    assert read_table(spark, f"{schemas['silver']}.client_a_transactions").count() == 3
+
+
 def test_clean_view_opens_only_its_own_files(spark, schemas, source):
     configs = loaded(source)
     stages.run_ingest(spark, configs, f"{source}/input_files", schemas["bronze"])
