@@ -105,10 +105,12 @@ def build_gold(entity: CanonicalEntity, frames: Mapping[str, DataFrame]) -> Data
     if not frames:
         raise ValueError(f"no client has {entity.name}")
     rows = union_clients(list(frames.values()), entity.schema)
-    keyed = rows.select(*[surrogate_key("client_id", source).alias(key) for key, source in entity.keys.items()], "*")
-    row_key = next(iter(entity.keys))
+    row_key, *other_keys = [surrogate_key("client_id", source).alias(key) for key, source in entity.keys.items()]
+    name = next(iter(entity.keys))
     ties = [c for c in entity.columns if c != RECENCY_COLUMN]
-    return keep_latest(keyed, row_key, tie_break=ties)
+    latest = keep_latest(rows.select(row_key, "*"), name, tie_break=ties)
+    # Keys that point elsewhere follow from kept columns, so they skip the shuffle.
+    return latest.select(name, *other_keys, *entity.columns)
 
 
 def build_gold_customers(silver_dfs: Mapping[str, DataFrame]) -> DataFrame:

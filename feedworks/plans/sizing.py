@@ -10,20 +10,21 @@ from math import ceil
 
 MIB = 1 << 20
 GIB = 1 << 30
-MAX_SHUFFLE_PARTITIONS = 32_768
+MAX_SHUFFLE_PARTITIONS = 20_000
 
 
 def session_settings(input_bytes: int, cores: int, partition_bytes: int = 256 * MIB) -> dict[str, str]:
     """Spark settings for a run over ``input_bytes`` of raw text on ``cores`` cores.
 
-    Scan tasks grow with the input from 128 MiB to at most 1 GiB, since each writes
-    one file per verdict and there should not be millions of them. Shuffle
+    Scan tasks grow with the input from 128 to at most 512 MiB: each writes a file per
+    verdict, of which there should not be millions, and in the curate stage each sorts
+    what it read before the shuffle. Shuffle
     partitions start fine enough for ``partition_bytes`` each, and adaptive
     execution merges them where a shuffle turns out smaller. Their number has a
     limit, past which a map task would write blocks too small to fetch well; a
     larger partition is sorted on disk.
     """
-    scan_bytes = min(GIB, max(128 * MIB, ceil(input_bytes / 100_000)))
+    scan_bytes = min(512 * MIB, max(128 * MIB, ceil(input_bytes / 200_000)))
     partitions = max(cores, ceil(input_bytes / partition_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(scan_bytes),

@@ -200,4 +200,4 @@ def test_settings_follow_the_input():
     assert small["spark.sql.shuffle.partitions"] == "40"
     assert int(large["spark.sql.shuffle.partitions"]) == sizing.MAX_SHUFFLE_PARTITIONS
     assert int(small["spark.sql.files.maxPartitionBytes"]) == 128 * sizing.MIB
-    assert int(large["spark.sql.files.maxPartitionBytes"]) == sizing.GIB
+    assert int(large["spark.sql.files.maxPartitionBytes"]) == 512 * sizing.MIB
