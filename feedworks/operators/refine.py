@@ -39,6 +39,9 @@ class _Projection:
     def __setitem__(self, name: str, value: Column) -> None:
         self._columns[self.fold(name)] = (name, value)
 
+    def pop(self, name: str) -> Column:
+        return self._columns.pop(self.fold(name))[1]
+
     def select(self) -> DataFrame:
         return self._df.select(*[value.alias(name) for name, value in self._columns.values()])
 
@@ -62,7 +65,7 @@ def tag_rows(raw_rows: DataFrame, cfg: FeedSpec | Mapping[str, Any]) -> DataFram
         if raw is not None:
             out[RAW_COLUMN] = raw
         out = _Projection(TRANSFORMS[spec.special_transform](out.select()))
-        raw = None if raw is None else out[RAW_COLUMN]
+        raw = None if raw is None else out.pop(RAW_COLUMN)
     for source, date in spec.date_fields.items():
         parse = values.parse_date if date.type == "date" else values.parse_timestamp
         out[date.target] = parse(out[source], date.format)
@@ -83,8 +86,7 @@ def tag_rows(raw_rows: DataFrame, cfg: FeedSpec | Mapping[str, Any]) -> DataFram
         out[RAW_COLUMN] = F.when(rejected, raw)
     out[REASON_COLUMN] = values.rejection_reason(corrupt, required)
     out[REJECTED_COLUMN] = rejected
-    tagged = out.select()
-    return tagged.select(*map(quoted_column, (*clean_columns(tagged), *_verdict_columns(tagged))))
+    return out.select()
 
 
 def _replaced_columns(raw_rows: DataFrame, spec: FeedSpec, fold: Callable[[str], str]) -> list[str]:
@@ -95,16 +97,12 @@ def _replaced_columns(raw_rows: DataFrame, spec: FeedSpec, fold: Callable[[str],
     return [c for c in columns if fold(c) in targets]
 
 
-def _verdict_columns(tagged: DataFrame) -> list[str]:
-    return [c for c in (RAW_COLUMN, REASON_COLUMN, REJECTED_COLUMN) if c in tagged.columns]
-
-
 def clean_columns(tagged: DataFrame) -> list[str]:
     return [c for c in tagged.columns if c not in (RAW_COLUMN, REASON_COLUMN, REJECTED_COLUMN)]
 
 
 def quarantine_columns(tagged: DataFrame) -> list[str]:
-    return [*clean_columns(tagged), *[c for c in _verdict_columns(tagged) if c != REJECTED_COLUMN]]
+    return [c for c in tagged.columns if c != REJECTED_COLUMN]
 
 
 def refine_entity(bronze_df: DataFrame, entity_cfg: FeedSpec | Mapping[str, Any]) -> tuple[DataFrame, DataFrame]:

@@ -38,7 +38,6 @@ def _for_each(
     spark: SparkSession, items: Iterable[tuple], work: Callable[..., Result], parallelism: int
 ) -> list[Result]:
     """``work(*item)`` for every item, results in order; the first failure is raised."""
-    # In a Connect session there is no JVM thread to hand properties to.
     target = inheritable_thread_target(spark)(work)
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         futures = [pool.submit(target, *item) for item in items]

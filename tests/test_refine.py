@@ -156,6 +156,51 @@ def test_later_steps_read_what_earlier_ones_made(spark):
     assert (row.amount, row.currency, row.note, row.n) == (" 5 ", "5", "5", 5)
 
 
+SOURCES = st.sampled_from(["a", "b", "c", "C"])
+TARGETS = st.sampled_from(["a", "B", "c", "d"])
+CELL = st.sampled_from([" 1 ", "NULL", "$2", "2024-01-01", "Y", "x", "7", None])
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    renames=st.dictionaries(SOURCES, TARGETS, max_size=3),
+    ints=st.dictionaries(SOURCES, TARGETS, max_size=2),
+    flags=st.dictionaries(SOURCES, TARGETS, max_size=2),
+    rows=st.lists(st.tuples(CELL, CELL, CELL), min_size=1, max_size=6),
+)
+def test_one_select_equals_one_column_at_a_time(spark, renames, ints, flags, rows):
+    raw = strings(spark, ["a", "b", "c"], rows)
+    raw = raw.withColumns({"_corrupt_record": F.lit(None).cast("string"), "_client_id": F.lit("x")})
+    stepwise = raw.withColumn("client_id", F.col("_client_id"))
+    cfg = {
+        "column_map": renames,
+        "int_fields": ints,
+        "boolean_fields": {r: {"target": t, "true_values": ["Y"], "false_values": ["x"]} for r, t in flags.items()},
+    }
+    steps = [(r, t, values.text_or_null) for r, t in renames.items()]
+    steps += [(r, t, values.parse_int) for r, t in ints.items()]
+    steps += [(r, t, lambda c: values.parse_flag(c, ["Y"], ["x"])) for r, t in flags.items()]
+    try:
+        for source, target, build in steps:
+            stepwise = stepwise.withColumn(target, build(F.col(source)))
+        expected = stepwise.collect()
+    except AnalysisException:  # a step reads a column that is not there
+        return
+    got = refine_entity(raw, cfg)[0].drop("_silver_refined_ts")
+    assert got.columns == stepwise.columns
+    assert got.collect() == expected
+
+
+def test_steps_may_read_typed_columns(spark):
+    cfg = {
+        "int_fields": {"amount": "n", "n": "m"},
+        "decimal_fields": {"n": "d"},
+        "boolean_fields": {"m": {"target": "f", "true_values": ["5"], "false_values": []}},
+    }
+    row = refine_entity(transactions(spark, {"amount": "5"}), cfg)[0].first()
+    assert (row.n, row.m, row.d, row.f) == (5, 5, Decimal("5.00"), True)
+
+
 def test_replacing_ignores_case_but_takes_the_new_name(spark):
     clean, _ = refine_entity(transactions(spark, {"currency": " NULL "}), {"column_map": {"currency": "Currency"}})
     assert "Currency" in clean.columns and "currency" not in clean.columns
