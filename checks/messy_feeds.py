@@ -1,9 +1,9 @@
 """Messy feeds derived from the ``customer`` and ``orders`` tables.
 
-Each supplier gets a third of the customers (by key) with all their orders, laid
-out and damaged by fixed rules on the row key, so the right outcome of every row
-can be stated without parsing text. Text is written by Spark as many part files,
-each with its own header line.
+Every supplier delivers all customers and all orders in its own layout, so the same
+ids mean different rows for different suppliers. Lines are damaged by fixed rules on
+the row key, so the right outcome of every row can be stated without parsing text.
+Text is written by Spark as many part files, each with its own header line.
 """
 
 from __future__ import annotations
@@ -121,19 +121,18 @@ def _transaction_cells(client_id: str, k: Column, m: Column, amount: Column) ->
 def feed_lines(spark: SparkSession, sf_dir: str, client_id: str, entity: str) -> DataFrame:
     """(k, line): the text lines of a feed with the key of the row each stems from."""
     sep = spec(client_id, entity)["delimiter"]
-    part = CLIENTS.index(client_id)
 
     def line(cells: list[Column]) -> Column:
         return F.concat_ws(sep, *cells)
 
     if entity == "customers":
-        rows = spark.read.parquet(f"{sf_dir}/customer.parquet").filter(F.col("c_custkey") % 3 == part)
+        rows = spark.read.parquet(f"{sf_dir}/customer.parquet")
         k = F.col("c_custkey")
         m = k % CUSTOMER_DEFECTS
         lines = choose(m, {2: text(k)}, line(_customer_cells(client_id, k, m)))
         return rows.select(k.alias("k"), lines.alias("line"))
 
-    rows = spark.read.parquet(f"{sf_dir}/orders.parquet").filter(F.col("o_custkey") % 3 == part)
+    rows = spark.read.parquet(f"{sf_dir}/orders.parquet")
     k = F.col("o_orderkey")
     m = k % TRANSACTION_DEFECTS
     price = F.col("o_totalprice").cast("decimal(12,2)")
@@ -175,10 +174,12 @@ def write_feed(lines: DataFrame, columns: list[str], delimiter: str, path: str)
 def shared_dir(spark: SparkSession) -> str:
     """A fresh folder every executor reaches: inside the cluster's checkpoint folder.
 
-    Only where the session names none (a local run) is it a temporary folder.
+    Only where the session names none, and runs on one machine, is it a temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="feedworks-")
     return f"{base.rstrip('/')}/feedworks-{uuid.uuid4().hex}"
 

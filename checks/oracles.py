@@ -8,19 +8,20 @@ from __future__ import annotations
 
 ORACLES: dict[str, str] = {}
 
-# Orders as delivered: the two copies of a re-delivered line (m = 9) are two rows.
+# Orders as each of the three clients (part 0, 1, 2) delivers them: the two copies of
+# a re-delivered line (m = 9) are two rows.
 TX = """
 WITH base AS (
-  SELECT o_orderkey AS k, o_orderkey % 97 AS m, o_custkey AS ck, o_custkey % 3 AS part,
+  SELECT o_orderkey AS k, o_orderkey % 97 AS m, o_custkey AS ck, unnest([0, 1, 2]) AS part,
          CAST(o_totalprice AS DECIMAL(12,2)) AS price, o_orderstatus AS st, o_orderpriority AS pr,
          strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS iso,
          strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS ts
-  FROM orders WHERE o_custkey % 3 BETWEEN 0 AND 2),
+  FROM orders),
 tx AS (
-  SELECT *, price AS amt, 'client_' || substr('abc', CAST(part AS INTEGER) + 1, 1) AS client FROM base
+  SELECT *, price AS amt, 'client_' || substr('abc', part + 1, 1) AS client FROM base
   UNION ALL
   SELECT *, CAST(price + 1 AS DECIMAL(12,2)) AS amt,
-         'client_' || substr('abc', CAST(part AS INTEGER) + 1, 1) AS client
+         'client_' || substr('abc', part + 1, 1) AS client
   FROM base WHERE m = 9),
 clean AS (
   SELECT *, CAST(CASE m WHEN 5 THEN 1234.50 ELSE amt END AS DECIMAL(12,2)) AS amount
@@ -29,10 +30,10 @@ clean AS (
 
 CUST = """
 WITH cust AS (
-  SELECT c_custkey AS k, c_custkey % 53 AS m, c_custkey % 3 AS part, c_name, c_mktsegment, c_nationkey,
-         'client_' || substr('abc', CAST(c_custkey % 3 AS INTEGER) + 1, 1) AS client,
+  SELECT c_custkey AS k, c_custkey % 53 AS m, part, c_name, c_mktsegment, c_nationkey,
+         'client_' || substr('abc', part + 1, 1) AS client,
          CAST(DATE '2024-01-01' + CAST(c_custkey % 28 AS INTEGER) AS DATE) AS day
-  FROM customer WHERE c_custkey % 3 BETWEEN 0 AND 2)
+  FROM (SELECT *, unnest([0, 1, 2]) AS part FROM customer))
 """
 
 ALL = TX + CUST.replace("WITH cust", ", cust")
