@@ -22,7 +22,8 @@ def session_settings(input_bytes: int, cores: int, partition_bytes: int = 256 *
     partitions start fine enough for ``partition_bytes`` each, and adaptive
     execution merges them where a shuffle turns out smaller. Their number has a
     limit, past which a map task would write blocks too small to fetch well; a
-    larger partition is sorted on disk.
+    larger partition is sorted on disk. An input too small for one such partition per
+    core is spread over all cores instead.
     """
     scan_bytes = min(512 * MIB, max(128 * MIB, ceil(input_bytes / 200_000)))
     partitions = max(cores, ceil(input_bytes / partition_bytes))
@@ -31,7 +32,7 @@ def session_settings(input_bytes: int, cores: int, partition_bytes: int = 256 *
         "spark.sql.shuffle.partitions": str(min(partitions, MAX_SHUFFLE_PARTITIONS)),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": str(partitions <= cores).lower(),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         # A refine task keeps a file open per verdict instead of sorting its rows.

@@ -31,7 +31,7 @@ from feedworks.sources.tables import create_view, read_table, write_counted
 Configs = Mapping[str, Mapping[str, Any]]
 Result = TypeVar("Result")
 
-DEFAULT_PARALLELISM = 4
+DEFAULT_PARALLELISM = 8
 
 
 def _for_each(

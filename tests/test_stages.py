@@ -200,4 +200,6 @@ def test_settings_follow_the_input():
     assert small["spark.sql.shuffle.partitions"] == "40"
     assert int(large["spark.sql.shuffle.partitions"]) == sizing.MAX_SHUFFLE_PARTITIONS
     assert int(small["spark.sql.files.maxPartitionBytes"]) == 128 * sizing.MIB
+    first = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+    assert (sizing.session_settings(sizing.GIB, cores=8)[first], small[first]) == ("true", "false")
     assert int(large["spark.sql.files.maxPartitionBytes"]) == 512 * sizing.MIB
