@@ -61,3 +61,8 @@ def test_types_agree(spark, db):
         types = dict(zip(expected.columns, map(str, expected.types)))
         for column, kind in df.dtypes:
             assert types[column] == to_sql.get(kind, kind.upper()), (name, column)
+
+
+def test_entry_has_rows(spark):
+    df = registered.entry(spark)
+    assert "transaction_key" in df.columns and df.limit(1).count() == 1
