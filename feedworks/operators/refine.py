@@ -93,7 +93,7 @@ def _replaced_columns(raw_rows: DataFrame, spec: FeedSpec, fold: Callable[[str],
     """Feed columns that a step overwrites; all of them if a transform's outputs are unknown."""
     columns = [c for c in raw_rows.columns if c not in SYSTEM_COLUMNS]
     outputs = TRANSFORM_OUTPUTS.get(spec.special_transform, columns if spec.special_transform else ())
-    targets = {fold(t) for t in (*spec.targets(), *outputs)}
+    targets = {fold(t) for t in ("client_id", *spec.targets(), *outputs)}
     return [c for c in columns if fold(c) in targets]
 
 

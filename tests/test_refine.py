@@ -267,6 +267,12 @@ def test_raw_text_is_kept_where_it_was_replaced(spark):
     assert raw == {"amount": "x", "currency": " NULL ", "is_refund": "true"}
 
 
+def test_feed_with_a_client_id_of_its_own(spark):
+    df = strings(spark, ["client_id", "_corrupt_record", "_client_id"], [("theirs", "bad", "ours")])
+    row = refine_entity(df, {})[1].first()
+    assert (row.client_id, row._raw.asDict()) == ("ours", {"client_id": "theirs"})
+
+
 def test_no_raw_column_where_nothing_is_replaced(spark):
     cfg = {"column_map": {"transaction_id": "source_transaction_id"}, "required_fields": ["source_transaction_id"]}
     clean, quarantine = refine_entity(transactions(spark, {"transaction_id": ""}), cfg)
