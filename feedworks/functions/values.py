@@ -45,8 +45,15 @@ def parse_int(text: Column) -> Column:
 
 
 def parse_money(text: Column) -> Column:
-    """Amount with any ``$`` and thousands commas taken out."""
-    return F.translate(F.trim(text), "$,", "").try_cast(MONEY_TYPE)
+    """Amount with any ``$`` and thousands commas taken out.
+
+    ``replace`` hands back text without a match as it is, which most amounts are;
+    ``translate`` and patterns build it anew.
+    """
+    number = F.trim(text)
+    for sign in ("$", ","):
+        number = F.replace(number, F.lit(sign), F.lit(""))
+    return number.try_cast(MONEY_TYPE)
 
 
 def parse_flag(text: Column, true_values: Sequence[str], false_values: Sequence[str]) -> Column:
