@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
+OBSERVATION_WAIT = 60.0  # seconds
+
 
 def quoted(name: str) -> str:
     """``a.b`` as an SQL identifier with every part quoted."""
@@ -47,12 +50,30 @@ def write_counted(
 
     The observed node is the last one before the write, so it runs in the writing
     stage. Spark adds up metrics of that stage once per output partition, which
-    keeps them exact when a lost executor makes tasks run again.
+    keeps them exact when a lost executor makes tasks run again. If they do not
+    arrive, they are taken from the written table, so they may only use columns that
+    a table reads cheaply (its partition columns, or none).
     """
     seen = Observation()
-    observed = df.observe(seen, *[metric.alias(name) for name, metric in metrics.items()])
-    write_table(observed, table, partition_by=partition_by)
-    return {name: seen.get.get(name, 0) for name in metrics}
+    named = [metric.alias(name) for name, metric in metrics.items()]
+    write_table(df.observe(seen, *named), table, partition_by=partition_by)
+    found = _observed(seen)
+    if not found.keys() >= metrics.keys():
+        found = read_table(df.sparkSession, table).agg(*named).first().asDict()
+    return {name: found[name] for name in metrics}
+
+
+def _observed(seen: Observation) -> dict[str, int]:
+    """What was observed, or nothing if it does not arrive in time.
+
+    Observed values travel on Spark's listener bus, which drops events when a very
+    large job floods it; asking for them would then wait for ever.
+    """
+    found: dict[str, int] = {}
+    asking = threading.Thread(target=lambda: found.update(seen.get), daemon=True)
+    asking.start()
+    asking.join(OBSERVATION_WAIT)
+    return dict(found)
 
 
 def create_view(spark: SparkSession, view: str, table: str, columns: Sequence[str], condition: str) -> None:
