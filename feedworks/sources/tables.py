@@ -85,11 +85,15 @@ def create_view(spark: SparkSession, view: str, table: str, columns: Sequence[st
 
 
 def is_table(spark: SparkSession, name: str) -> bool:
-    return spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW"
+    return _kind(spark, name) in ("MANAGED", "EXTERNAL")
 
 
 def is_view(spark: SparkSession, name: str) -> bool:
-    return spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType == "VIEW"
+    return _kind(spark, name) == "VIEW"
+
+
+def _kind(spark: SparkSession, name: str) -> str | None:
+    return spark.catalog.getTable(name).tableType if spark.catalog.tableExists(name) else None
 
 
 def quoted_column(name: str) -> str:
