@@ -66,7 +66,7 @@ def fastest(run: Callable[[], object], times: int) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     cores = int(cpus) if cpus.isdigit() else os.cpu_count() or 1
 
     builder = (
@@ -83,8 +83,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
 
     landing = Landing.of(spark, sf_dir)
-    for feed in FEEDS:
-        landing.write(*feed)
+    landing.write(*FEEDS)
     bronze, silver, gold = (landing.schema(layer) for layer in ("bronze", "silver", "gold"))
 
     seconds = {

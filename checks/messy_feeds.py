@@ -12,6 +12,7 @@ import functools
 import tempfile
 import threading
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -219,15 +220,20 @@ class Landing:
             return cls._open[key]
 
     @_one_at_a_time
-    def write(self, client_id: str, entity: str) -> None:
-        if (client_id, entity) not in self._written:
-            feed = spec(client_id, entity)
-            lines = feed_lines(self.spark, self.sf_dir, client_id, entity)
-            write_feed(lines, feed["columns"], feed["delimiter"], f"{self.input_dir}/{client_id}/{feed['file']}")
-            self._written.add((client_id, entity))
+    def write(self, *feeds: tuple[str, str]) -> None:
+        """Write those of the feeds that are not there yet, side by side."""
+        missing = [feed for feed in feeds if feed not in self._written]
+        with ThreadPoolExecutor(max_workers=len(FEEDS)) as pool:
+            list(pool.map(lambda feed: self._write(*feed), missing))
+        self._written.update(missing)
+
+    def _write(self, client_id: str, entity: str) -> None:
+        feed = spec(client_id, entity)
+        lines = feed_lines(self.spark, self.sf_dir, client_id, entity)
+        write_feed(lines, feed["columns"], feed["delimiter"], f"{self.input_dir}/{client_id}/{feed['file']}")
 
     def raw(self, client_id: str, entity: str) -> DataFrame:
-        self.write(client_id, entity)
+        self.write((client_id, entity))
         return read_raw(self.spark, client_id, entity, spec(client_id, entity), self.input_dir)
 
     def clean(self, client_id: str, entity: str) -> DataFrame:
@@ -247,8 +253,7 @@ class Landing:
     @_one_at_a_time
     def ingest_report(self) -> list[dict]:
         if "bronze" not in self._done:
-            for feed in FEEDS:
-                self.write(*feed)
+            self.write(*FEEDS)
             self._done["bronze"] = stages.run_ingest(self.spark, CONFIGS, self.input_dir, self.schema("bronze"))
         return self._done["bronze"]
 

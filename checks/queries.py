@@ -384,6 +384,7 @@ def stage_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean_frames(spark: SparkSession, sf_dir: str, entity: str) -> dict[str, DataFrame]:
     landing = Landing.of(spark, sf_dir)
+    landing.write(*[(client_id, entity) for client_id in CLIENTS])
     return {client_id: landing.clean(client_id, entity) for client_id in CLIENTS}
 
 
