@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedworks.llm.common import read_table, written
+from feedworks.llm.common import read_table, shipped, written
 from feedworks.llm.queries import PIECES
 from feedworks.llm.sentencepiece_codec import decode, encode
 
@@ -14,7 +14,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decode(encode(docs, PIECES), PIECES)
 
 
-STAGES = [("sentencepiece", tokenize)]
+STAGES = [("sentencepiece", shipped(tokenize))]
 
 ORACLE_SQL = None
 

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import functools
+import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,3 +64,29 @@ def free_name(df: DataFrame, wanted: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Let Python workers import this library even where it is not installed on them."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        library = Path(__file__).resolve().parents[1]
+        archive = shutil.make_archive(
+            f"{tempfile.mkdtemp(prefix='feedworks-code-')}/{library.name}", "zip", library.parent, library.name
+        )
+        context.addPyFile(archive)
+        _shipped.add(context.applicationId)
+
+
+def shipped(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``query`` (which gets the session first), with the code shipped before it runs."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, *args) -> DataFrame:
+        ship_code(spark)
+        return query(spark, *args)
+
+    return run

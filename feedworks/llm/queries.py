@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedworks.llm import sentencepiece_codec
-from feedworks.llm.common import read_table
+from feedworks.llm.common import read_table, shipped
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -23,8 +23,6 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {
-    "op1_sentencepiece": op1_sentencepiece,
-}
+QUERIES = {query.__name__: shipped(query) for query in (op1_sentencepiece,)}
 
 ORACLES: dict[str, str] = {}
