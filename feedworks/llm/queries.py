@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedworks.llm import sentencepiece_codec
+from feedworks.llm import chat_format, mixing, sentencepiece_codec, url_filter
 from feedworks.llm.common import read_table, shipped
+from feedworks.llm.oracles import ORACLES as ORACLES
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -23,6 +24,53 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {query.__name__: shipped(query) for query in (op1_sentencepiece,)}
+#: Verdict and rule of the web filter, a rule being a host and the start of a path.
+URL_RULES = [
+    ("block", "net/"),
+    ("allow", "example.net/en/"),
+    ("block", "example.com/de/"),
+    ("allow", "org/fr/"),
+]
 
-ORACLES: dict[str, str] = {}
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    plan = mixing.mix_plan(docs)
+    return plan.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    told = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("\\### Assistant: </turn> ok").alias("text"),
+    )
+    chats = chat_format.format_chats(turns.unionByName(told))
+    read = chats.select(
+        "conv_id",
+        chat_format.read_turns(F.col("formatted")).alias("turns"),
+        F.array_join(chat_format.read_loss(F.col("formatted"), F.col("loss_spans")), "").alias("loss"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
+QUERIES = {
+    query.__name__: shipped(query)
+    for query in (op1_sentencepiece, op3_url_filter, op6_mixing, op9_chat_format)
+}

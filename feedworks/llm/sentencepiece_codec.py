@@ -1,7 +1,7 @@
 """SentencePiece encoding and decoding for merge-type (BPE) vocabularies.
 
-A text is normalised as its model says (a space in front, spaces as U+2581) and cut into
-parts wherever no piece of the vocabulary holds the two characters side by side. Within
+A text is normalised as its model says (a space in front, U+2581 for a space) and cut into
+parts where no piece of the vocabulary holds the two characters side by side. Within
 a part an agenda holds the adjacent symbol pairs that form a piece, best score first,
 leftmost on ties; the best pair is merged, its new neighbours enter the agenda, and
 entries whose symbols have changed since are passed over. What ends up outside the
@@ -33,24 +33,33 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType
 from sentencepiece import sentencepiece_model_pb2
 
 SPACE = "▁"
-#: Segments and parts whose ids a task keeps; beyond that it starts anew. Bounds memory, not results.
-MEMO = 800_000
+#: Parts whose ids a task keeps, half of them from the last round and half from the one
+#: before; then the older half goes. Bounds memory, not results.
+MEMO = 600_000
 
 codecs.register_error("each_byte", lambda e: ("�", e.start + 1))
 
 
 class Memo(dict):
-    """Results by argument; ``fresh`` lists the arguments added since it was last emptied."""
+    """Results by argument; ``fresh`` lists the arguments worked out since it was last emptied."""
 
     def __init__(self, work):
         super().__init__()
-        self.work, self.fresh = work, []
+        self.work, self.fresh, self.older = work, [], {}
 
     def __missing__(self, key: str) -> bytes:
-        self[key] = found = self.work(key)
-        self.fresh.append(key)
+        found = self.older.get(key)
+        if found is None:
+            found = self.work(key)
+            self.fresh.append(key)
+        self[key] = found
         return found
 
+    def shrink(self, most: int) -> None:
+        if len(self) > most // 2:
+            self.older = dict(self)
+            self.clear()
+
 
 class PieceVocabulary:
     """A merge-type model: pieces with their scores, and the library for comparison."""
@@ -76,17 +85,23 @@ class PieceVocabulary:
             or spans
         ):
             raise ValueError("only plain BPE models with byte fallback and identity normalisation are supported")
-        self.ids = normal
+        # Texts are worked on with plain spaces, of which pieces have none otherwise.
+        self.ids = {p.replace(SPACE, " "): i for p, i in normal.items()}
         # Pieces of one score share a rank: of their pairs the leftmost is merged first.
         order = {score: k for k, score in enumerate(sorted({model.pieces[i].score for i in normal.values()}, reverse=True))}
-        self.ranks = {p: order[model.pieces[i].score] for p, i in normal.items() if len(p) > 1}
+        self.ranks = {p: order[model.pieces[i].score] for p, i in self.ids.items() if len(p) > 1}
         self.pairs = {p[i : i + 2] for p in self.ranks for i in range(len(p) - 1)}
         self.byte_ids = [bytes_[f"<0x{b:02X}>"] for b in range(256)]
         self.library = sentencepiece.SentencePieceProcessor(model_proto=raw)
-        # A character that no longer piece contains is always a segment of its own.
-        joining = {c for p in self.ranks for c in p} - {SPACE}
-        inside = "".join(map(re.escape, sorted(joining)))
-        self.segments = re.compile(f"{SPACE}*[{inside}]+|{SPACE}+|[^{inside}{SPACE}]").findall
+        # Letters and what may follow a letter within a piece are one kind of character, the
+        # others another: no merge crosses from the first kind to the second. A character that
+        # no longer piece contains is always a part of its own.
+        joining = {c for p in self.ranks for c in p} - {" "}
+        wordly = {c for c in joining if c.isalpha()}
+        while more := {p[1] for p in self.pairs if p[0] in wordly and p[1] in joining - wordly}:
+            wordly |= more
+        inner, other = ("".join(map(re.escape, sorted(x))) for x in (wordly, joining - wordly))
+        self.parts_of = re.compile(f" *[{inner}]+| *[{other}]+[{inner}]*| +|[^{inner}{other} ]").findall
         # Byte pieces stand for raw bytes until the whole text is put together.
         self.texts = ["" if p.type != kinds["UNKNOWN"] else " ⁇ " for p in model.pieces]
         for p, i in normal.items():
@@ -95,13 +110,7 @@ class PieceVocabulary:
             self.texts[i] = chr(b) if b < 128 else chr(0xDC00 + b)
         self.leading = {i for p, i in normal.items() if p.startswith(SPACE)}
         self.control = {i for i, p in enumerate(model.pieces) if p.type == kinds["CONTROL"]}
-        self.parts = Memo(self.merge)
-        self.memo = Memo(lambda segment: b"".join(map(self.parts.__getitem__, self.cut(segment))))
-
-    def cut(self, segment: str) -> list[str]:
-        """Parts of a segment: cut wherever no piece holds the two characters side by side."""
-        cuts = [i for i in range(1, len(segment)) if segment[i - 1 : i + 1] not in self.pairs]
-        return [segment[a:b] for a, b in zip([0, *cuts], [*cuts, len(segment)])]
+        self.memo = Memo(self.merge)
 
     def merge(self, part: str) -> bytes:
         """The ids of one part as 32-bit integers, by its agenda."""
@@ -135,38 +144,34 @@ class PieceVocabulary:
                 ids.extend([known] if known is not None else map(self.byte_ids.__getitem__, symbol.encode()))
         return np.array(ids, np.int32).tobytes()
 
-    def normalise(self, text: str) -> str:
-        return SPACE + text.replace(" ", SPACE) if text else ""
-
     def encode_batch(self, texts: list[str], check: str = "none") -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, and where each text's begin."""
         ids, ends = [], [0]
         for text in texts:
-            if len(self.memo) + len(self.parts) > MEMO:
-                if check == "parts":
-                    self.compare()
-                self.memo.clear()
-                self.parts.clear()
-            ids.append(b"".join(map(self.memo.__getitem__, self.segments(self.normalise(text)))))
-            ends.append(ends[-1] + len(ids[-1]) // 4)
+            if text:
+                parts = self.parts_of(" " + text.replace(SPACE, " "))
+                ids.append(b"".join(map(self.memo.__getitem__, parts)))
+            ends.append(ends[-1] + (len(ids[-1]) // 4 if text else 0))
+            if len(self.memo) > MEMO // 2:
+                self.compare(check)
+                self.memo.shrink(MEMO)
         flat = np.frombuffer(b"".join(ids), np.int32)
-        if check == "parts":
-            self.compare()
+        self.compare(check)
         if check == "texts":
             for text, found, start, end in zip(texts, self.library.encode(texts, num_threads=1), ends, ends[1:]):
                 if found != flat[start:end].tolist():
                     raise ValueError(f"the agenda's ids of {text[:100]!r} differ from the library's")
-        self.parts.fresh.clear()
-        self.memo.fresh.clear()
         return flat, np.array(ends, np.int32)
 
-    def compare(self) -> None:
+    def compare(self, check: str) -> None:
         """New parts against the library, which puts a space in front of whatever it encodes."""
+        parts, self.memo.fresh = self.memo.fresh, []
+        if check != "parts":
+            return
         # A line break is in no longer piece, so what follows it is merged on its own.
         lead = self.library.encode("\n", num_threads=1)
-        parts, self.parts.fresh = self.parts.fresh, []
         for part, found in zip(parts, self.library.encode(["\n" + p for p in parts], num_threads=1)):
-            if found != lead + np.frombuffer(self.parts[part], np.int32).tolist():
+            if found != lead + np.frombuffer(self.memo[part], np.int32).tolist():
                 raise ValueError(f"the agenda's ids of {part!r} differ from the library's")
 
     def decode(self, ids: list[int]) -> str:
@@ -216,6 +221,7 @@ def decode(df: DataFrame, model_file: str, ids: str = "token_ids", out: str = "d
     @F.arrow_udf(StringType())
     def text_of(batch: pa.Array) -> pa.Array:
         pieces = vocabulary(model_file)
-        return pa.array([pieces.decode(row) for row in batch.to_pylist()], pa.string())
+        ends, ids_ = batch.offsets.to_numpy(), batch.values.to_numpy(zero_copy_only=False)
+        return pa.array([pieces.decode(ids_[a:b].tolist()) for a, b in zip(ends, ends[1:])], pa.string())
 
     return df.withColumn(out, text_of(F.coalesce(F.col(ids), F.array().cast("array<int>"))))
