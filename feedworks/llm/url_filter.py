@@ -180,10 +180,12 @@ def filter_urls(
     globs = [f"*.{literal(rule)}**" for rule in texts]
     named = df.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
     found = match_globs(named, F.concat(F.lit("."), F.col("host"), F.col("path")), globs, "rule")
-    at = F.col("rule") + 1
+    at = F.col("rule")
     return found.withColumn("verdict", _pick(verdicts, at, default)).withColumn("rule", _pick(texts, at, None))
 
 
 def _pick(values: Sequence[str], at: Column, default: str | None) -> Column:
-    known = F.element_at(F.array(*map(F.lit, values)), at) if values else F.lit(None).cast("string")
-    return F.coalesce(known, F.lit(default).cast("string"))
+    if not values:
+        return F.lit(default).cast("string")
+    known = F.get(F.array(*map(F.lit, values)), at)
+    return F.when(at.isNotNull(), known).otherwise(F.lit(default).cast("string"))
