@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from feedworks.llm.common import read_table, shipped, written
 from feedworks.llm.queries import PIECES
-from feedworks.llm.sentencepiece_codec import decode, encode
+from feedworks.llm.sentencepiece_codec import encode_and_decode
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SentencePiece ids of every text that is left, and the text they stand for."""
-    return decode(encode(docs, PIECES), PIECES)
+    return encode_and_decode(docs, PIECES)
 
 
 STAGES = [("sentencepiece", shipped(tokenize))]

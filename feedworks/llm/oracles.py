@@ -79,3 +79,30 @@ SELECT conv_id, count(*) AS n_turns,
                 + CASE WHEN after IS DISTINCT FROM role THEN 8 ELSE 0 END) AS BIGINT) AS formatted_chars
 FROM placed GROUP BY conv_id
 """
+
+# Texts of one to four words have one shingle, of all their words.
+LINKS = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(ws, i, i + 4), ' ') AS shingle
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM words WHERE len(ws) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+  FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id
+  GROUP BY x.doc_id, y.doc_id),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b
+  WHERE 5 * common >= 4 * (s.n + t.n - common)),
+reached AS (
+  SELECT doc_id AS start, doc_id AS node FROM documents
+  UNION
+  SELECT r.start, l.b FROM reached r JOIN links l ON l.a = r.node)
+"""
+
+ORACLES["op10_ngram_join"] = LINKS + """
+SELECT start AS doc_id, min(node) AS class_id,
+       (SELECT count(*) FROM links WHERE a = start) AS n_links
+FROM reached GROUP BY start
+"""

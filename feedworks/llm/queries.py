@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedworks.llm import chat_format, mixing, sentencepiece_codec, url_filter
+from feedworks.llm import chat_format, mixing, ngram_join, sentencepiece_codec, url_filter
 from feedworks.llm.common import read_table, shipped
 from feedworks.llm.oracles import ORACLES as ORACLES
 
@@ -15,7 +15,7 @@ PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = sentencepiece_codec.decode(sentencepiece_codec.encode(docs, PIECES), PIECES)
+    coded = sentencepiece_codec.encode_and_decode(docs, PIECES)
     return coded.select(
         "doc_id",
         F.size("token_ids").cast("long").alias("n_tokens"),
@@ -70,7 +70,12 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_join.jaccard_links(docs)
+
+
 QUERIES = {
     query.__name__: shipped(query)
-    for query in (op1_sentencepiece, op3_url_filter, op6_mixing, op9_chat_format)
+    for query in (op1_sentencepiece, op3_url_filter, op6_mixing, op9_chat_format, op10_ngram_join)
 }

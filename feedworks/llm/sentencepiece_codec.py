@@ -29,13 +29,17 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 from sentencepiece import sentencepiece_model_pb2
 
+from feedworks.llm.common import free_name
+
 SPACE = "▁"
 #: Parts whose ids a task keeps, half of them from the last round and half from the one
 #: before; then the older half goes. Bounds memory, not results.
-MEMO = 600_000
+MEMO = 400_000
+#: Texts that are worked on at a time within an Arrow batch.
+SLICE = 500
 
 codecs.register_error("each_byte", lambda e: ("�", e.start + 1))
 
@@ -197,6 +201,25 @@ def vocabulary(model_file: str) -> PieceVocabulary:
     return PieceVocabulary(model_file)
 
 
+def _encoded(batch: pa.Array, model_file: str, check: str):
+    """Ids of the batch's texts, some texts at a time: a list array for each slice."""
+    for at in range(0, max(len(batch), 1), SLICE):
+        flat, ends = vocabulary(model_file).encode_batch(batch.slice(at, SLICE).to_pylist(), check)
+        yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+
+
+def _decoded(ids: pa.Array, model_file: str) -> pa.Array:
+    pieces = vocabulary(model_file)
+    ends, flat = ids.offsets.to_numpy(), ids.values.to_numpy(zero_copy_only=False)
+    return pa.array([pieces.decode(flat[a:b].tolist()) for a, b in zip(ends, ends[1:])], pa.string())
+
+
+def _known(check: str) -> str:
+    if check not in ("parts", "texts", "none"):
+        raise ValueError(f"unknown check: {check}")
+    return check
+
+
 def encode(
     df: DataFrame, model_file: str, text: str = "text", out: str = "token_ids", check: str = "parts"
 ) -> DataFrame:
@@ -204,13 +227,11 @@ def encode(
 
     ``model_file`` is a path on every executor; ``check`` is parts, texts or none.
     """
-    if check not in ("parts", "texts", "none"):
-        raise ValueError(f"unknown check: {check}")
+    _known(check)
 
     @F.arrow_udf(ArrayType(IntegerType()))
     def ids_of(batch: pa.Array) -> pa.Array:
-        flat, ends = vocabulary(model_file).encode_batch(batch.to_pylist(), check)
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+        return pa.concat_arrays(list(_encoded(batch, model_file, check)))
 
     return df.withColumn(out, ids_of(F.coalesce(F.col(text), F.lit(""))))
 
@@ -220,8 +241,30 @@ def decode(df: DataFrame, model_file: str, ids: str = "token_ids", out: str = "d
 
     @F.arrow_udf(StringType())
     def text_of(batch: pa.Array) -> pa.Array:
-        pieces = vocabulary(model_file)
-        ends, ids_ = batch.offsets.to_numpy(), batch.values.to_numpy(zero_copy_only=False)
-        return pa.array([pieces.decode(ids_[a:b].tolist()) for a, b in zip(ends, ends[1:])], pa.string())
+        return _decoded(batch, model_file)
 
     return df.withColumn(out, text_of(F.coalesce(F.col(ids), F.array().cast("array<int>"))))
+
+
+def encode_and_decode(
+    df: DataFrame,
+    model_file: str,
+    text: str = "text",
+    ids_out: str = "token_ids",
+    text_out: str = "decoded",
+    check: str = "parts",
+) -> DataFrame:
+    """Both in one pass: the ids of ``text``, and the text that those ids stand for."""
+    _known(check)
+
+    @F.arrow_udf(StructType().add("ids", ArrayType(IntegerType())).add("text", StringType()))
+    def both(batch: pa.Array) -> pa.Array:
+        ids, texts = [], []
+        for found in _encoded(batch, model_file, check):
+            ids.append(found)
+            texts.append(_decoded(found, model_file))
+        return pa.StructArray.from_arrays([pa.concat_arrays(ids), pa.concat_arrays(texts)], ["ids", "text"])
+
+    held = free_name(df, "coded")
+    coded = df.withColumn(held, both(F.coalesce(F.col(text), F.lit(""))))
+    return coded.withColumns({ids_out: F.col(held)["ids"], text_out: F.col(held)["text"]}).drop(held)
