@@ -218,6 +218,7 @@ def compare_blocks(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
     """Links of one pair of blocks: a forest of them, and what each class gains by all.
 
  XX    """
+    one = pdf["i"].iat[0] == pdf["j"].iat[0]
     number = pdf["class_no"].to_numpy()
     copies = pdf["copies"].to_numpy()
     side = pdf["side"].to_numpy()
