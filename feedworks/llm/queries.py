@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedworks.llm import chat_format, mixing, ngram_join, sentencepiece_codec, url_filter
+from feedworks.llm import chat_format, mixing, ngram_join, sentencepiece_codec, toxicity, url_filter
 from feedworks.llm.common import read_table, shipped
 from feedworks.llm.oracles import ORACLES as ORACLES
 
@@ -44,6 +44,27 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+#: The score from which a text counts as toxic.
+TOXIC_FROM = 0.3
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.ToxicityModel:
+    """A model learned from the labels of the documents that are not held out."""
+    labels = read_table(spark, sf_dir, "labels").where(~toxicity.held_out())
+    return toxicity.learn(docs, labels)
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity_model(spark, docs, sf_dir))
+    return scored.select(
+        "doc_id",
+        toxicity.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"),
+    )
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     told = spark.range(2).select(
@@ -77,5 +98,5 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     query.__name__: shipped(query)
-    for query in (op1_sentencepiece, op3_url_filter, op6_mixing, op9_chat_format, op10_ngram_join)
+    for query in (op1_sentencepiece, op3_url_filter, op6_mixing, op7_toxicity, op9_chat_format, op10_ngram_join)
 }
