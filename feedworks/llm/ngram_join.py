@@ -39,13 +39,14 @@ from pyspark.sql import types as T
 
 from feedworks.llm.common import free_name, text_or_empty, written
 from feedworks.llm.components import connected_components
+from feedworks.llm.hashing import mixed, word_hashes
 
 SHINGLE = 5
 TREES, DEPTH = 32, 8
 BLOCK = 512
 #: Shingles that a block may have on average before a cluster gets more blocks.
 BLOCK_SHINGLES = 500_000
-#: Classes in clusters up to which their ids (not texts) are broadcast to the documents.
+#: Classes or ids, without texts, up to which they are broadcast to the documents.
 BROADCAST_MEMBERS = 200_000
 U = np.uint64
 TIES = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("at", pa.int32()), ("first", pa.binary()), ("last", pa.binary())])
@@ -54,18 +55,6 @@ SIGNATURE = T.StructType().add("high", "long").add("low", "long").add("shingles"
 SHINGLES = T.StructType().add("high", "long").add("low", "long").add("hashes", "binary")
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit values that spreads every bit (splitmix finaliser)."""
-    x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> U(27))) * U(0x94D049BB133111EB)
-    return x ^ (x >> U(31))
-
-
-@lru_cache(maxsize=1)
-def byte_values() -> np.ndarray:
-    return mixed(np.arange(1, 257, dtype=U) * U(0x9E3779B97F4A7C15))
-
-
 @lru_cache(maxsize=1)
 def functions(count: int = TREES * DEPTH) -> tuple[np.ndarray, np.ndarray]:
     """Multipliers and offsets of the MinHash functions, the same everywhere."""
@@ -73,36 +62,6 @@ def functions(count: int = TREES * DEPTH) -> tuple[np.ndarray, np.ndarray]:
     return (numbers[:count] >> U(32)).astype(np.uint32) | np.uint32(1), (numbers[count:] >> U(32)).astype(np.uint32)
 
 
-def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64, by doubling."""
-    out = np.ones(max(n, 1), U)
-    have = 1
-    while have < n:
-        step = U(pow(base, have, 1 << 64))
-        more = min(have, n - have)
-        out[have : have + more] = out[:more] * step
-        have += more
-    return out
-
-
-BASE = 0x9E3779B97F4A7C15 | 1
-
-
-def word_hashes(data: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of every word of one text, given as its bytes."""
-    space = (data == 32) | ((data >= 9) & (data <= 13))
-    edges = np.flatnonzero(np.diff(np.concatenate(([True], space, [True]))))
-    starts, ends = edges[::2], edges[1::2]
-    if not len(starts):
-        return np.empty(0, U)
-    # Within a word the sum of byte values times falling powers; one running sum gives all.
-    sums = np.zeros(len(data) + 1, U)
-    np.cumsum(byte_values()[data] * powers(BASE, len(data)), out=sums[1:])
-    back = powers(pow(BASE, -1, 1 << 64), int(starts[-1]) + 1)
-    lengths = (ends - starts).astype(U)
-    return mixed((sums[ends] - sums[starts]) * back[starts] + lengths)
-
-
 def shingle_set(text: bytes) -> np.ndarray:
     """The sorted hashes of a text's distinct shingles."""
     words = word_hashes(np.frombuffer(text, np.uint8))
@@ -382,8 +341,12 @@ def member_sets(rows: DataFrame, members: DataFrame) -> DataFrame:
 def keep_one_of_each_group(
     df: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = 0.8, recall: float = 0.99999
 ) -> DataFrame:
-    """The rows of ``df`` whose id is the smallest of its group; all their columns stay."""
+    """The rows of ``df`` whose id is the smallest of its group; all their columns stay.
+
+    Ids name documents: rows that repeat the id which stays all stay.
+    """
     links = jaccard_links(df, text, doc_id, threshold, recall)
     key = free_name(df, "kept_id")
-    gone = links.where(~F.col(doc_id).eqNullSafe(F.col("class_id"))).select(F.col(doc_id).alias(key)).distinct()
-    return df.join(gone, df[doc_id].eqNullSafe(gone[key]), "left_anti")
+    gone = written(links.where(~F.col(doc_id).eqNullSafe(F.col("class_id"))).select(F.col(doc_id).alias(key)).distinct(), "gone")
+    few = gone.limit(BROADCAST_MEMBERS + 1).count() <= BROADCAST_MEMBERS
+    return df.join(F.broadcast(gone) if few else gone, df[doc_id].eqNullSafe(gone[key]), "left_anti")

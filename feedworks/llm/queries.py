@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedworks.llm import chat_format, mixing, ngram_join, sentencepiece_codec, toxicity, url_filter
+from feedworks.llm import chat_format, mixing, ngram_join, sentencepiece_codec, suffix_tree_lm, toxicity, url_filter
 from feedworks.llm.common import read_table, shipped
 from feedworks.llm.oracles import ORACLES as ORACLES
 
@@ -24,6 +24,10 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree_lm.score(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 #: Verdict and rule of the web filter, a rule being a host and the start of a path.
 URL_RULES = [
     ("block", "net/"),
@@ -98,5 +102,5 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     query.__name__: shipped(query)
-    for query in (op1_sentencepiece, op3_url_filter, op6_mixing, op7_toxicity, op9_chat_format, op10_ngram_join)
+    for query in (op1_sentencepiece, op2_suffix_tree_lm, op3_url_filter, op6_mixing, op7_toxicity, op9_chat_format, op10_ngram_join)
 }
