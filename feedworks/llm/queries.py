@@ -6,7 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedworks.llm import chat_format, mixing, ngram_join, sentencepiece_codec, suffix_tree_lm, toxicity, url_filter
+from feedworks.llm import (
+    chat_format,
+    mixing,
+    ngram_join,
+    pivot_index,
+    projection_tree,
+    sentencepiece_codec,
+    suffix_tree_lm,
+    toxicity,
+    url_filter,
+)
 from feedworks.llm.common import read_table, shipped
 from feedworks.llm.oracles import ORACLES as ORACLES
 
@@ -42,6 +52,16 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    # Null and non-finite components stay what they are, so that their vectors take no part.
+    whole = F.transform(
+        F.col("embedding").cast("array<double>"),
+        lambda x: F.when(F.isnan(x) | (F.abs(x) == float("inf")), x).otherwise(F.floor(x * 256).cast("double")),
+    )
+    return pivot_index.exact_top_k(vectors.withColumn("embedding", whole), 5, F.col("vec_id") % 50 == 0, whole=True)
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     plan = mixing.mix_plan(docs)
@@ -69,6 +89,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_projection_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return projection_tree.approximate_top_k(vectors, 20, F.col("vec_id") % 20 == 0)
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     told = spark.range(2).select(
@@ -102,5 +127,5 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     query.__name__: shipped(query)
-    for query in (op1_sentencepiece, op2_suffix_tree_lm, op3_url_filter, op6_mixing, op7_toxicity, op9_chat_format, op10_ngram_join)
+    for query in (op1_sentencepiece, op2_suffix_tree_lm, op3_url_filter, op5_exact_top_k, op6_mixing, op7_toxicity, op8_projection_tree, op9_chat_format, op10_ngram_join)
 }
