@@ -14,12 +14,14 @@ from feedworks.llm import (
     projection_tree,
     sentencepiece_codec,
     suffix_tree_lm,
+    token_shards,
     toxicity,
     url_filter,
 )
 from feedworks.llm.common import read_table, shipped
 from feedworks.llm.oracles import ORACLES as ORACLES
 
+BYTE_RANKS, BYTE_PATTERN, TEXT_END = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, 50256
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -52,6 +54,16 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    shards, sources = token_shards.write_shards(docs, BYTE_RANKS, BYTE_PATTERN, TEXT_END)
+    # Read back from the files: what training would see.
+    read = shards.read(spark).withColumn("tokens_sha256", F.sha2("tokens", 256)).drop("tokens")
+    return read.join(sources, "sequence").select(
+        "slot", "shard", "offset", "sequence", "n_tokens", "tokens_sha256", "doc_ids"
+    )
+
+
 def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     # Null and non-finite components stay what they are, so that their vectors take no part.
@@ -127,5 +139,5 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     query.__name__: shipped(query)
-    for query in (op1_sentencepiece, op2_suffix_tree_lm, op3_url_filter, op5_exact_top_k, op6_mixing, op7_toxicity, op8_projection_tree, op9_chat_format, op10_ngram_join)
+    for query in (op1_sentencepiece, op2_suffix_tree_lm, op3_url_filter, op4_token_shards, op5_exact_top_k, op6_mixing, op7_toxicity, op8_projection_tree, op9_chat_format, op10_ngram_join)
 }

@@ -1,0 +1,81 @@
+"""Token shards against what plain code makes of the same texts."""
+
+import base64
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+
+from feedworks.llm.token_shards import Permutation, write_shards
+
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+END = 50256
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 16, 17, 1000, 4096, 4097])
+def test_permutation_is_one_to_one_and_invertible(n):
+    order = Permutation(n, key=5)
+    slots = order.slots(np.arange(n))
+    assert sorted(slots.tolist()) == list(range(n))
+    assert order.sequences(slots).tolist() == list(range(n))
+
+
+def test_keys_give_different_orders():
+    assert Permutation(1000, 1).slots(np.arange(1000)).tolist() != Permutation(1000, 2).slots(np.arange(1000)).tolist()
+
+
+def encoder():
+    with open(RANKS, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+TEXTS = ["", None, "one text", "one text", "word " * 300, "é漢字 <|endoftext|>\n\n\tx", "a" * 700, *[f"text number {i}" for i in range(200)]]
+
+
+def test_shards_hold_every_token_once(spark, tmp_path):
+    rows = [(i if i else None, t, "clash") for i, t in enumerate(TEXTS)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, shard string").repartition(3)
+    shards, sources = write_shards(
+        df, RANKS, public_tokenizers.PATTERN, END, path=str(tmp_path / "shards"), length=16, records=10, key=3
+    )
+    read = sorted(shards.read(spark).collect(), key=lambda r: r["slot"])
+    assert [r["slot"] for r in read] == list(range(shards.sequences))
+    order = Permutation(shards.sequences, 3)
+    assert order.slots(np.array([r["sequence"] for r in read])).tolist() == [r["slot"] for r in read]
+    assert all(r["shard"] == r["slot"] // 10 and r["offset"] == r["slot"] % 10 * shards.stride for r in read)
+    stream = [np.frombuffer(r["tokens"], "<u2") for r in sorted(read, key=lambda r: r["sequence"])]
+    found, text = [], []
+    for token in np.concatenate(stream).tolist():
+        if token == END:
+            found.append(tuple(text))
+            text = []
+        else:
+            text.append(token)
+    assert not text
+    plain = encoder()
+    assert sorted(found) == sorted(tuple(plain.encode_ordinary(t or "")) for t in TEXTS)
+    # Each sequence names the documents whose tokens it holds: the ends in it, and one more if cut.
+    ids = {r["sequence"]: r["doc_ids"] for r in sources.collect()}
+    for r in read:
+        tokens = np.frombuffer(r["tokens"], "<u2")
+        ends = int((tokens == END).sum())
+        assert len(ids[r["sequence"]]) == ends + (tokens[-1] != END)
+
+
+def test_reading_resumes_at_a_slot(spark, tmp_path):
+    df = spark.createDataFrame([(i, f"text number {i}") for i in range(300)], "doc_id long, text string")
+    shards, _ = write_shards(df, RANKS, public_tokenizers.PATTERN, END, path=str(tmp_path / "s"), length=8, records=7)
+    whole = {r["slot"]: r["tokens"] for r in shards.read(spark).collect()}
+    part = {r["slot"]: r["tokens"] for r in shards.read(spark, 12, 30).collect()}
+    assert part == {k: v for k, v in whole.items() if 12 <= k < 30} and len(part) == 18
+    files = sorted(p for p in (tmp_path / "s").rglob("*.txt"))
+    # Equal records, and the writer's line break.
+    assert files[0].stat().st_size == 7 * shards.stride + 1
+
+
+def test_empty_table(spark, tmp_path):
+    df = spark.createDataFrame([], "doc_id long, text string")
+    shards, sources = write_shards(df, RANKS, public_tokenizers.PATTERN, END, path=str(tmp_path / "s"))
+    assert shards.sequences == 0 and shards.read(spark).count() == 0 and sources.count() == 0
