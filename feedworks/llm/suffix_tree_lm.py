@@ -120,6 +120,18 @@ def buckets_of(sorted_hashes: np.ndarray, buckets: int) -> np.ndarray:
     return np.append(np.searchsorted(sorted_hashes, edges), len(sorted_hashes))
 
 
+def in_order(entry: np.ndarray, following: np.ndarray) -> np.ndarray:
+    """The order by entry number, then next word."""
+    return np.argsort(entry.astype(U) << U(32) | following)
+
+
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """One row at a time: a row is a whole chunk, of which a batch may hold many."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
 class Corpus:
     """What all tasks know: totals, and the states of contexts that are split over buckets."""
 
@@ -138,10 +150,10 @@ class Chunk:
         self.words = unpack(row["words"], U)
         self.tokens = unpack(row["tokens"], np.uint32)
         self.held = np.array(row["held"], bool)
-        self.doc = np.repeat(np.arange(len(self.lengths)), self.lengths)
+        self.doc = np.repeat(np.arange(len(self.lengths), dtype=np.int32), self.lengths)
         self.train = ~self.held[self.doc]
         ends = np.cumsum(self.lengths)
-        self.place = np.arange(len(self.tokens)) - (ends - self.lengths)[self.doc]
+        self.place = (np.arange(len(self.tokens)) - (ends - self.lengths)[self.doc]).astype(np.int32)
 
     def word_counts(self) -> np.ndarray:
         return np.bincount(self.tokens[self.train], minlength=len(self.words)).astype(np.uint32)
@@ -153,8 +165,7 @@ class Chunk:
         self.hash = self.words[self.tokens]
         self.next = (mixed(self.hash + U(0x2545F4914F6CDD1D)) >> U(32)).astype(np.uint32)
         self.context = np.zeros(len(self.tokens), U)
-        # Of a context's occurrences and whether it is a state, as known at its next word.
-        self.often = np.full(len(self.tokens), corpus.tokens, np.int64)
+        # Whether the context before a word is a state.
         self.state = np.ones(len(self.tokens), bool)
 
     def extend(self, depth: int, corpus: Corpus) -> None:
@@ -168,12 +179,11 @@ class Chunk:
         parts = np.ceil(often / corpus.hot).astype(np.uint32)
         salt = np.where(parts > 1, self.next[at] % np.maximum(parts, 1), 0)
         entry = mixed(self.context[at] + salt.astype(U) * U(0xD1B54A32D192ED03))
-        order = np.lexsort((self.next[at], entry))
-        at, entry, parts = at[order], entry[order], parts[order]
-        first = np.flatnonzero(np.append(True, entry[1:] != entry[:-1])[: len(entry)])
-        self.at = at
-        self.entries = entry[first]
-        self.entry_of = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(entry))))
+        self.entries, rank = np.unique(entry, return_inverse=True)
+        order = in_order(rank, self.next[at])
+        at, rank, parts = at[order], rank[order], parts[order]
+        self.at, self.entry_of = at, rank
+        first = np.searchsorted(rank, np.arange(len(self.entries)))
         self.split = np.where(parts[first] > 1, self.context[at[first]], U(0))
         # Words seen once in the corpus are left to the suffix state: they are only counted.
         train, rare = self.train[at], self.seen[at] < 2
@@ -242,7 +252,7 @@ def add_up(depth: int):
         key_next = np.concatenate([unpack(x, np.uint32) for x in pdf["next"]])
         seen = np.concatenate([unpack(x, np.uint32) for x in pdf["seen"]])
         parent = np.concatenate([unpack(x, np.uint8) for x in pdf["parent"]])
-        order = np.lexsort((key_next, key_entry))
+        order = in_order(key_entry, key_next)
         e, x = key_entry[order], key_next[order]
         new = np.append(True, (e[1:] != e[:-1]) | (x[1:] != x[:-1]))[: len(e)]
         key = np.empty(len(order), np.int64)
@@ -330,21 +340,19 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     corpus = Corpus(max(1, -(-(entries or 0) // BUCKET)))
 
     def send_words(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                chunk = Chunk(row)
-                counts, edges = chunk.word_counts(), buckets_of(chunk.words, corpus.buckets)
-                sent = [
-                    [int(b), chunk.number, pack(chunk.words[edges[b] : edges[b + 1]]), pack(counts[edges[b] : edges[b + 1]])]
-                    for b in np.flatnonzero(np.diff(edges))
-                ]
-                yield message_batch([row + [b""] * 5 for row in sent])
+        for row in rows_of(batches):
+            chunk = Chunk(row)
+            counts, edges = chunk.word_counts(), buckets_of(chunk.words, corpus.buckets)
+            sent = [
+                [int(b), chunk.number, pack(chunk.words[edges[b] : edges[b + 1]]), pack(counts[edges[b] : edges[b + 1]])]
+                for b in np.flatnonzero(np.diff(edges))
+            ]
+            yield message_batch([row + [b""] * 5 for row in sent])
 
     sent = chunks.mapInArrow(send_words, MESSAGES)
     answers = written(sent.groupBy("bucket").applyInPandas(add_words, ANSWERS), "lm-answers")
     totals = [unpack(r["counts"], np.int64) for r in answers.where("chunk = -1").select("counts").collect()]
     corpus = Corpus(max(1, -(-tokens_bound // BUCKET)), *(int(sum(t[k] for t in totals)) for k in (0, 1)))
-    words = Corpus(max(1, -(-(entries or 0) // BUCKET)))
 
     for depth in range(1, DEPTH + 1):
         sent = with_answers(chunks, answers).mapInArrow(sender(corpus, depth), MESSAGES)
@@ -353,23 +361,22 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
         answers = answers.unionByName(found)
 
     def finish(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                chunk = replayed(row, corpus, DEPTH)
-                base = (chunk.seen + 0.1) / (corpus.tokens + 0.1 * (corpus.words + 1))
-                docs = len(chunk.ids)
-                yield pa.record_batch(
-                    [
-                        pa.array(chunk.ids, pa.int64()),
-                        pa.array(chunk.held),
-                        pa.array(chunk.lengths, pa.int64()),
-                        pa.array(np.bincount(chunk.doc[chunk.seen > 0], minlength=docs), pa.int64()),
-                        pa.array([corpus.tokens] * docs, pa.int64()),
-                        pa.array(np.bincount(chunk.doc, np.log10(base), docs)),
-                        pa.array(np.bincount(chunk.doc, np.log10(chunk.p), docs)),
-                    ],
-                    ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-                )
+        for row in rows_of(batches):
+            chunk = replayed(row, corpus, DEPTH)
+            base = (chunk.seen + 0.1) / (corpus.tokens + 0.1 * (corpus.words + 1))
+            docs = len(chunk.ids)
+            yield pa.record_batch(
+                [
+                    pa.array(chunk.ids, pa.int64()),
+                    pa.array(chunk.held),
+                    pa.array(chunk.lengths, pa.int64()),
+                    pa.array(np.bincount(chunk.doc[chunk.seen > 0], minlength=docs), pa.int64()),
+                    pa.array([corpus.tokens] * docs, pa.int64()),
+                    pa.array(np.bincount(chunk.doc, np.log10(base), docs)),
+                    pa.array(np.bincount(chunk.doc, np.log10(chunk.p), docs)),
+                ],
+                ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+            )
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return with_answers(chunks, answers).mapInArrow(finish, schema)
@@ -377,9 +384,8 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
 
 def sender(corpus: Corpus, depth: int):
     def send(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                yield message_batch(list(replayed(row, corpus, depth).messages(corpus)))
+        for row in rows_of(batches):
+            yield message_batch(list(replayed(row, corpus, depth).messages(corpus)))
 
     return send
 
