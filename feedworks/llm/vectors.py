@@ -61,8 +61,9 @@ class Best:
         self.ids = np.full((queries, k), np.iinfo(np.int64).max)
 
     def add(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
-        """Candidates ``ids`` (one row for all, or a row each) with ``scores`` for queries ``rows``."""
-        ids = np.broadcast_to(ids, scores.shape)
+        """Candidates ``ids``, with ``scores`` for each of the queries ``rows``."""
+        # What must not count has the lowest score, and no id.
+        ids = np.where(scores == self.lowest, np.iinfo(np.int64).max, ids)
         if scores.shape[1] > 4 * self.k:
             # Whatever is below the k-th best goes; ties with it stay until ids decide.
             kth = np.partition(scores, scores.shape[1] - self.k, axis=1)[:, scores.shape[1] - self.k]
