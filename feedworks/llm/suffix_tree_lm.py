@@ -46,7 +46,7 @@ DISCOUNT = 0.75
 CHUNK, BUCKET = 1 << 20, 1 << 20
 #: Contexts are split so that at most this many can need it, whatever the corpus.
 SPLIT_CONTEXTS = 200_000
-END = U(0x5851F42D4C957F2D)
+END, SALT = U(0x5851F42D4C957F2D), U(0xD1B54A32D192ED03)
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -160,34 +160,62 @@ class Chunk:
 
     def start(self, corpus: Corpus, counts: np.ndarray) -> None:
         """Take the counts of the chunk's words; all positions are in the root state."""
-        self.seen = counts[self.tokens].astype(np.int64)
-        self.p = (self.seen + 0.1) / (corpus.tokens + 0.1 * (corpus.words + 1))
-        self.hash = self.words[self.tokens]
-        self.next = (mixed(self.hash + U(0x2545F4914F6CDD1D)) >> U(32)).astype(np.uint32)
+        # All that depends on the word alone is worked out once for each different word.
+        self.word_seen = counts.astype(np.int64)
+        self.seen = self.word_seen[self.tokens]
+        self.p = ((self.word_seen + 0.1) / (corpus.tokens + 0.1 * (corpus.words + 1)))[self.tokens]
+        self.next = (mixed(self.words + U(0x2545F4914F6CDD1D)) >> U(32)).astype(np.uint32)[self.tokens]
         self.context = np.zeros(len(self.tokens), U)
         # Whether the context before a word is a state.
         self.state = np.ones(len(self.tokens), bool)
 
-    def extend(self, depth: int, corpus: Corpus) -> None:
-        """Go on to contexts that are one word longer, where their suffix is a state."""
+    def after_one_word(self, corpus: Corpus) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Positions whose context is one word: their entries' numbers, and all entries."""
+        at = np.flatnonzero(self.place >= 1)
+        before = self.tokens[at - 1]
+        often = (self.word_seen >= LEAST)[before]
+        at, before = at[often], before[often]
+        contexts = mixed(self.words + U(1))
+        self.context[at] = contexts[before]
+        parts = np.maximum(-(-self.word_seen // corpus.hot), 1)
+        begin = np.cumsum(parts) - parts
+        of = np.repeat(np.arange(len(parts)), parts)
+        salt = np.arange(len(of)) - begin[of]
+        entries = mixed(contexts[of] + salt.astype(U) * SALT)
+        order = np.argsort(entries)
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        number = begin[before]
+        split = np.flatnonzero(parts[before] > 1)
+        number[split] += self.next[at[split]] % parts[before[split]]
+        number = rank[number]
+        used = np.bincount(number, minlength=len(order)) > 0
+        self.split = np.where(parts[of] > 1, contexts[of], U(0))[order][used]
+        return at, (np.cumsum(used) - 1)[number], entries[order][used]
+
+    def after_more_words(self, depth: int, corpus: Corpus) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same for contexts of more words."""
         at = np.flatnonzero((self.place >= depth) & self.state)
-        # The longer context ends with the word before; its count is that of the key one step back.
-        often = self.seen[at - 1] if depth == 1 else self.key_count[at - 1]
-        at = at[often >= LEAST]
-        often = self.seen[at - 1] if depth == 1 else self.key_count[at - 1]
-        self.context[at] = mixed(self.context[at] * U(0x9FB21C651E98DF25) + self.hash[at - depth] + U(depth))
-        parts = np.ceil(often / corpus.hot).astype(np.uint32)
-        salt = np.where(parts > 1, self.next[at] % np.maximum(parts, 1), 0)
-        entry = mixed(self.context[at] + salt.astype(U) * U(0xD1B54A32D192ED03))
-        self.entries, rank = np.unique(entry, return_inverse=True)
-        order = in_order(rank, self.next[at])
-        at, rank, parts = at[order], rank[order], parts[order]
-        self.at, self.entry_of = at, rank
-        first = np.searchsorted(rank, np.arange(len(self.entries)))
+        # The context ends with the word before: it is the key that was counted there.
+        at = at[self.key_count[at - 1] >= LEAST]
+        often = self.key_count[at - 1]
+        self.context[at] = mixed(self.context[at] * U(0x9FB21C651E98DF25) + self.words[self.tokens[at - depth]] + U(depth))
+        parts = np.maximum(-(-often // corpus.hot), 1)
+        salt = self.next[at] % parts
+        entries, first, number = np.unique(
+            mixed(self.context[at] + salt.astype(U) * SALT), return_index=True, return_inverse=True
+        )
         self.split = np.where(parts[first] > 1, self.context[at[first]], U(0))
+        return at, number, entries
+
+    def extend(self, depth: int, corpus: Corpus) -> None:
+        """Go on to contexts that are one word longer, where their suffix is a state."""
+        at, number, self.entries = self.after_one_word(corpus) if depth == 1 else self.after_more_words(depth, corpus)
+        order = in_order(number, self.next[at])
+        self.at, self.entry_of = at, number = at[order], number[order]
         # Words seen once in the corpus are left to the suffix state: they are only counted.
         train, rare = self.train[at], self.seen[at] < 2
-        self.lone = np.bincount(self.entry_of[rare & train & (self.seen[at] == 1)], minlength=len(first)).astype(np.uint32)
+        self.lone = np.bincount(self.entry_of[rare & train & (self.seen[at] == 1)], minlength=len(self.entries)).astype(np.uint32)
         known = np.flatnonzero(~rare)
         e, x = self.entry_of[known], self.next[at[known]]
         new = np.append(True, (e[1:] != e[:-1]) | (x[1:] != x[:-1]))[: len(known)]
