@@ -6,9 +6,10 @@ import functools
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,6 +58,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def slices(batch: pa.Array | pa.RecordBatch, rows: int = 256) -> Iterator[pa.Array | pa.RecordBatch]:
+    """A batch in parts of a few rows, so that only a part of it is held as Python objects."""
+    for at in range(0, len(batch), rows):
+        yield batch.slice(at, rows)
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """A column name that ``df`` does not have, for columns that only pass through."""
     taken = {c.lower() for c in df.columns}

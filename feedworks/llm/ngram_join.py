@@ -26,6 +26,7 @@ for a group unless all of it is null. An empty table gives an empty table.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 from math import log
 
@@ -35,9 +36,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from feedworks.llm.common import free_name, text_or_empty, written
+from feedworks.llm.common import free_name, slices, text_or_empty, written
 from feedworks.llm.components import connected_components
 from feedworks.llm.hashing import mixed, word_hashes
 
@@ -51,9 +51,6 @@ BROADCAST_MEMBERS = 200_000
 U = np.uint64
 TIES = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("at", pa.int32()), ("first", pa.binary()), ("last", pa.binary())])
 
-SIGNATURE = T.StructType().add("high", "long").add("low", "long").add("shingles", "integer").add("paths", "binary")
-SHINGLES = T.StructType().add("high", "long").add("low", "long").add("hashes", "binary")
-
 
 @lru_cache(maxsize=1)
 def functions(count: int = TREES * DEPTH) -> tuple[np.ndarray, np.ndarray]:
@@ -90,21 +87,27 @@ def set_marks(shingles: np.ndarray) -> tuple[int, int]:
     return tuple(int(np.asarray(x, U).view(np.int64)) for x in sums)
 
 
-@F.arrow_udf(SIGNATURE)
-def signatures(texts: pa.Array) -> pa.Array:
-    high, low, count, paths = [], [], [], []
-    for text in texts.cast(pa.binary()).to_pylist():
-        found = shingle_set(text)
-        if len(found):
-            paths.append(signature(found))
-        else:
-            paths.append(b"")
-        mark = set_marks(found)
-        high.append(mark[0])
-        low.append(mark[1])
-        count.append(len(found))
-    columns = [pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.array(count, pa.int32()), pa.array(paths, pa.binary())]
-    return pa.StructArray.from_arrays(columns, ["high", "low", "shingles", "paths"])
+def signatures(rows: DataFrame) -> DataFrame:
+    """Rows (doc_id, text) as doc_id, the marks of the text's shingle set, its size and its paths."""
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (part for batch in batches for part in slices(batch)):
+            sets = [shingle_set(text) for text in part.column("text").cast(pa.binary()).to_pylist()]
+            marks = [set_marks(found) for found in sets]
+            paths = [signature(found) if len(found) else b"" for found in sets]
+            yield pa.record_batch(
+                [
+                    part.column("doc_id"),
+                    pa.array([m[0] for m in marks], pa.int64()),
+                    pa.array([m[1] for m in marks], pa.int64()),
+                    pa.array([len(found) for found in sets], pa.int32()),
+                    pa.array(paths, pa.binary()),
+                ],
+                ["doc_id", "high", "low", "shingles", "paths"],
+            )
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(sign, f"doc_id {kind}, high long, low long, shingles int, paths binary")
 
 
 def prefix_length(threshold: float, recall: float, trees: int = TREES, depth: int = DEPTH) -> int:
@@ -244,14 +247,6 @@ def compare_blocks(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
     return pd.DataFrame({"a": a, "b": b, "gain": [0] * len(links) + gains[gained].tolist()}, dtype=np.int64)
 
 
-@F.arrow_udf(SHINGLES)
-def shingle_sets(texts: pa.Array) -> pa.Array:
-    sets = [shingle_set(text) for text in texts.cast(pa.binary()).to_pylist()]
-    marks = [set_marks(found) for found in sets]
-    columns = [pa.array([m[k] for m in marks], pa.int64()) for k in (0, 1)]
-    return pa.StructArray.from_arrays([*columns, pa.array([s.tobytes() for s in sets], pa.binary())], ["high", "low", "hashes"])
-
-
 def jaccard_links(
     df: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = 0.8, recall: float = 0.99999
 ) -> DataFrame:
@@ -262,9 +257,7 @@ def jaccard_links(
     ``threshold``, copies of its own text among them.
     """
     rows = df.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("text"))
-    # A row's own number tells rows apart even if ids repeat or are null.
-    signed = rows.select("doc_id", signatures("text").alias("s")).select("doc_id", "s.*")
-    signed = written(signed, "shingle-signatures")
+    signed = written(signatures(rows), "shingle-signatures")
     told = signed.where("shingles > 0")
     classes = told.groupBy("high", "low").agg(
         F.min("doc_id").alias("first_id"),
@@ -329,13 +322,24 @@ def member_sets(rows: DataFrame, members: DataFrame) -> DataFrame:
     """The members with their shingle sets, from the text of each class's first row."""
     few = members.limit(BROADCAST_MEMBERS + 1).count() <= BROADCAST_MEMBERS
     first = members.select("class_no", "copies", "component", "blocks", "high", "low", F.col("first_id").alias("doc_id"))
-    found = (
-        rows.join(F.broadcast(first) if few else first, rows["doc_id"].eqNullSafe(first["doc_id"]))
-        .select("class_no", "copies", "component", "blocks", "high", "low", shingle_sets("text").alias("own"))
-        # An id that repeats may bring along other texts.
-        .where("own.high = high and own.low = low")
-    )
-    return found.select("class_no", "copies", "component", "blocks", "own.hashes").dropDuplicates(["class_no"])
+    found = rows.join(F.broadcast(first) if few else first, rows["doc_id"].eqNullSafe(first["doc_id"]))
+
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (part for batch in batches for part in slices(batch)):
+            sets = [shingle_set(text) for text in part.column("text").cast(pa.binary()).to_pylist()]
+            # An id that repeats may bring along other texts: only the class's own set counts.
+            marks = zip(part.column("high").to_pylist(), part.column("low").to_pylist())
+            own = pa.array([set_marks(s) == m for s, m in zip(sets, marks)], pa.bool_())
+            columns = [part.column(c) for c in ("class_no", "copies", "component", "blocks")]
+            batch = pa.record_batch(
+                [*columns, pa.array([s.tobytes() for s in sets], pa.binary())],
+                ["class_no", "copies", "component", "blocks", "hashes"],
+            )
+            yield batch.filter(own)
+
+    columns = found.select("class_no", "copies", "component", "blocks", "high", "low", "text")
+    sets = columns.mapInArrow(hashes, "class_no long, copies long, component long, blocks int, hashes binary")
+    return sets.dropDuplicates(["class_no"])
 
 
 def keep_one_of_each_group(
