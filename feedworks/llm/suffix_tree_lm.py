@@ -52,6 +52,8 @@ LOWER[65:91] += 32
 
 CHUNKS = "chunk long, ids array<long>, held array<boolean>, lengths binary, words binary, tokens binary, size long"
 MESSAGES = "bucket int, chunk long, entries binary, counts binary, lone binary, split binary, next binary, seen binary, parent binary"
+#: With the last messages a chunk sends, as bucket -1, what is left to do for it.
+LAST_MESSAGES = f"{MESSAGES}, ids array<long>, held array<boolean>, sums binary"
 ANSWERS = "chunk long, depth int, bucket int, counts binary, states binary"
 
 
@@ -220,7 +222,8 @@ class Chunk:
         e, x = self.entry_of[known], self.next[at[known]]
         new = np.append(True, (e[1:] != e[:-1]) | (x[1:] != x[:-1]))[: len(known)]
         key = np.cumsum(new) - 1
-        self.key_at, self.key_of = at[known], key
+        self.key_of = np.full(len(at), -1)
+        self.key_of[known] = key
         start = np.flatnonzero(new)
         self.key_next = x[start]
         self.key_entry = e[start]
@@ -239,30 +242,53 @@ class Chunk:
 
     def learn(self, depth: int, corpus: Corpus, answers: dict[int, tuple[bytes, bytes]]) -> None:
         """Take the buckets' answers: probabilities move on to the states that were found."""
-        edges = buckets_of(self.entries, corpus.buckets)
-        found = [answers[int(b)] for b in np.flatnonzero(np.diff(edges))]
-        none = np.empty(0, np.uint32)
-        count = np.concatenate([none, *(unpack(x, np.uint32) for x, _ in found)]).astype(np.int64)
-        state = np.concatenate([none, *(unpack(x, np.uint32) for _, x in found)]).astype(np.int64).reshape(-1, 3)
-        total, kinds, lone = state.T
-        names, values = corpus.split.get(depth, (np.empty(0, U), np.empty((0, 3), np.int64)))
-        if len(names):
-            hot = np.flatnonzero(self.split)
-            where = np.minimum(np.searchsorted(names, self.split[hot]), len(names) - 1)
-            match = names[where] == self.split[hot]
-            total, kinds, lone = (np.array(x) for x in (total, kinds, lone))
-            for column, into in zip(values.T, (total, kinds, lone)):
-                into[hot] = np.where(match, column[where], 0)
-        n = np.zeros(len(self.tokens), np.int64)
-        n[self.key_at] = count[self.key_of]
-        self.key_count = n
-        total, kinds, lone = total[self.entry_of], kinds[self.entry_of], lone[self.entry_of]
+        n, is_state, p = settle(depth, corpus, answers, self.split, self.entry_of, self.key_of, self.p[self.at])
+        self.p[self.at] = p
         self.state = np.zeros(len(self.tokens), bool)
-        is_state = total > 0
         self.state[self.at[is_state]] = True
-        at, total = self.at[is_state], total[is_state]
-        rest = (DISCOUNT * kinds[is_state] + lone[is_state]) / total
-        self.p[at] = np.maximum(n[at] - DISCOUNT, 0) / total + rest * self.p[at]
+        self.key_count = np.zeros(len(self.tokens), np.int64)
+        self.key_count[self.at] = n
+
+    def carried(self, corpus: Corpus) -> list:
+        """All that the last answers are still needed for: sums by text, and the words they may change."""
+        docs, done = len(self.ids), np.log10(self.p)
+        base = np.log10(self.seen + 0.1) - np.log10(corpus.tokens + 0.1 * (corpus.words + 1))
+        done[self.at] = 0
+        sums = [self.lengths, np.bincount(self.doc[self.seen > 0], minlength=docs)]
+        sums += [np.bincount(self.doc, x, docs) for x in (base, done)]
+        return [
+            -1, self.number, b"", pack(np.bincount(self.entry_of, minlength=len(self.entries)).astype(np.uint32)),
+            b"", pack(self.split), pack(self.key_of.astype(np.int32)), pack(self.doc[self.at].astype(np.uint32)),
+            pack(self.p[self.at]), self.ids, self.held.tolist(), pack(np.stack(sums).astype(float).ravel()),
+        ]
+
+
+def settle(
+    depth: int,
+    corpus: Corpus,
+    answers: dict[int, tuple[bytes, bytes]],
+    split: np.ndarray,
+    entry_of: np.ndarray,
+    key_of: np.ndarray,
+    p: np.ndarray,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of positions in the order of their entries: counts of their keys, whether their
+    contexts are states, and their probabilities, given those in the suffix state."""
+    found = [answers[b] for b in sorted(answers)]
+    none = np.empty(0, np.uint32)
+    count = np.concatenate([none, *(unpack(x, np.uint32) for x, _ in found)]).astype(np.int64)
+    state = np.concatenate([none, *(unpack(x, np.uint32) for _, x in found)]).astype(np.int64).reshape(-1, 3)
+    names, values = corpus.split.get(depth, (np.empty(0, U), np.empty((0, 3), np.int64)))
+    hot = np.flatnonzero(split)
+    if len(names) and len(hot):
+        where = np.minimum(np.searchsorted(names, split[hot]), len(names) - 1)
+        state[hot] = np.where((names[where] == split[hot])[:, None], values[where], 0)
+    n = np.where(key_of >= 0, np.append(count, 0)[key_of], 0)
+    rest = (DISCOUNT * state[:, 1] + state[:, 2]) / np.maximum(state[:, 0], 1)
+    total = state[:, 0][entry_of]
+    is_state = total > 0
+    smoothed = np.maximum(n - DISCOUNT, 0) / np.maximum(total, 1) + rest[entry_of] * p
+    return n, is_state, np.where(is_state, smoothed, p)
 
 
 def add_up(depth: int):
@@ -341,17 +367,23 @@ def add_words(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["chunk", "depth", "bucket", "counts", "states"])
 
 
-def replayed(row: dict, corpus: Corpus, depth: int) -> Chunk:
-    """A chunk with all answers so far, on contexts of ``depth`` words if that is over 0."""
-    chunk = Chunk(row)
+def answers_of(row: dict) -> dict[int, dict[int, tuple[bytes, bytes]]]:
+    """The answers that a chunk got, by depth and bucket."""
     answers: dict[int, dict[int, tuple[bytes, bytes]]] = {}
-    for a in row["answers"]:
+    for a in row["answers"] or []:
         answers.setdefault(a["depth"], {})[a["bucket"]] = (a["counts"], a["states"])
+    return answers
+
+
+def replayed(row: dict, corpus: Corpus, depth: int) -> Chunk:
+    """A chunk with all answers so far, and its contexts of ``depth`` words."""
+    chunk = Chunk(row)
+    answers = answers_of(row)
     counts = np.concatenate([unpack(answers[0][b][0], np.uint32) for b in sorted(answers[0])])
     chunk.start(corpus, counts)
     for k in range(1, depth + 1):
         chunk.extend(k, corpus)
-        if k < depth or depth in answers:
+        if k < depth:
             chunk.learn(k, corpus, answers.get(k, {}))
     return chunk
 
@@ -383,51 +415,68 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     corpus = Corpus(max(1, -(-tokens_bound // BUCKET)), *(int(sum(t[k] for t in totals)) for k in (0, 1)))
 
     for depth in range(1, DEPTH + 1):
-        sent = with_answers(chunks, answers).mapInArrow(sender(corpus, depth), MESSAGES)
-        found = written(sent.groupBy("bucket").applyInPandas(add_up(depth), ANSWERS), "lm-answers")
+        last = depth == DEPTH
+        sent = with_answers(chunks, answers).mapInArrow(sender(corpus, depth, last), LAST_MESSAGES if last else MESSAGES)
+        if last:
+            sent = written(sent, "lm-last")
+        found = sent.where("bucket >= 0").select(*names_of(MESSAGES)).groupBy("bucket").applyInPandas(add_up(depth), ANSWERS)
+        found = written(found, "lm-answers")
         corpus.split[depth] = split_states(found)
         answers = answers.unionByName(found)
 
     def finish(batches):
         for row in rows_of(batches):
-            chunk = replayed(row, corpus, DEPTH)
-            base = (chunk.seen + 0.1) / (corpus.tokens + 0.1 * (corpus.words + 1))
-            docs = len(chunk.ids)
+            entries = unpack(row["counts"], np.uint32)
+            entry_of = np.repeat(np.arange(len(entries)), entries)
+            split, key_of = unpack(row["split"], U), unpack(row["next"], np.int32)
+            doc, p = unpack(row["seen"], np.uint32), unpack(row["parent"], np.float64)
+            _, _, p = settle(DEPTH, corpus, answers_of(row).get(DEPTH, {}), split, entry_of, key_of, p)
+            docs = len(row["ids"])
+            lengths, known, base, done = unpack(row["sums"], np.float64).reshape(4, docs)
             yield pa.record_batch(
                 [
-                    pa.array(chunk.ids, pa.int64()),
-                    pa.array(chunk.held),
-                    pa.array(chunk.lengths, pa.int64()),
-                    pa.array(np.bincount(chunk.doc[chunk.seen > 0], minlength=docs), pa.int64()),
+                    pa.array(row["ids"], pa.int64()),
+                    pa.array(row["held"], pa.bool_()),
+                    pa.array(lengths.astype(np.int64)),
+                    pa.array(known.astype(np.int64)),
                     pa.array([corpus.tokens] * docs, pa.int64()),
-                    pa.array(np.bincount(chunk.doc, np.log10(base), docs)),
-                    pa.array(np.bincount(chunk.doc, np.log10(chunk.p), docs)),
+                    pa.array(base),
+                    pa.array(done + np.bincount(doc, np.log10(p), docs)),
                 ],
                 ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
             )
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return with_answers(chunks, answers).mapInArrow(finish, schema)
+    carried = sent.where("bucket = -1").drop("bucket", "entries", "lone")
+    return with_answers(carried, found, "left").mapInArrow(finish, schema)
 
 
-def sender(corpus: Corpus, depth: int):
+def sender(corpus: Corpus, depth: int, last: bool):
     def send(batches):
         for row in rows_of(batches):
-            yield message_batch(list(replayed(row, corpus, depth).messages(corpus)))
+            chunk = replayed(row, corpus, depth)
+            rows = list(chunk.messages(corpus))
+            if last:
+                rows = [[*row, None, None, None] for row in rows] + [chunk.carried(corpus)]
+            yield message_batch(rows, LAST_MESSAGES if last else MESSAGES)
 
     return send
 
 
-def message_batch(rows: list[list]) -> pa.RecordBatch:
-    kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 7]
-    names = ["bucket", "chunk", "entries", "counts", "lone", "split", "next", "seen", "parent"]
-    return pa.record_batch([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names)
+def names_of(schema: str) -> list[str]:
+    return [column.split()[0] for column in schema.split(", ")]
+
+
+def message_batch(rows: list[list], schema: str = MESSAGES) -> pa.RecordBatch:
+    kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 7, pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary()]
+    names = names_of(schema)
+    return pa.record_batch([pa.array([r[i] for r in rows], kinds[i]) for i in range(len(names))], names)
 
 
-def with_answers(chunks: DataFrame, answers: DataFrame) -> DataFrame:
+def with_answers(chunks: DataFrame, answers: DataFrame, how: str = "inner") -> DataFrame:
     """Chunks, each with the answers it got: as many as there are buckets and depths."""
     answer = F.collect_list(F.struct("depth", "bucket", "counts", "states")).alias("answers")
-    return chunks.join(answers.where("chunk <> -1").groupBy("chunk").agg(answer), "chunk")
+    return chunks.join(answers.where("chunk <> -1").groupBy("chunk").agg(answer), "chunk", how)
 
 
 def split_states(found: DataFrame) -> tuple[np.ndarray, np.ndarray]:
