@@ -59,9 +59,11 @@ ANSWERS = "chunk long, depth int, bucket int, counts binary, states binary"
 
 def pack(values: np.ndarray) -> bytes:
     """Numbers as bytes, the first bytes of all of them first, compressed."""
+    if not len(values):
+        return bytes(8)
     planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T
     raw = np.ascontiguousarray(planes).tobytes()
-    return len(raw).to_bytes(8, "little") + (pa.compress(raw, "zstd", asbytes=True) if raw else b"")
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
 
 
 def unpack(data: bytes, kind: type) -> np.ndarray:
@@ -80,6 +82,7 @@ def held_out(doc_id: str | Column = "doc_id", of: int = 10, remainder: int = 0)
 
 def to_chunks(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, text, held_out) as chunks of tokens."""
+    most = CHUNK
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Numbered within the partition; written at once, so a number never changes.
@@ -93,7 +96,7 @@ def to_chunks(docs: DataFrame) -> DataFrame:
                 held.append(out)
                 tokens.append(np.append(words, END))
                 size += len(words) + 1
-                if size >= CHUNK:
+                if size >= most:
                     yield chunk_row(number, ids, held, tokens)
                     number += 1
                     ids, held, tokens, size = [], [], [], 0

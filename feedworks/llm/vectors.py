@@ -171,10 +171,11 @@ def search(df: DataFrame, k: int, is_query: Column, vec_id: str, vector: str, fi
         rows.mapInArrow(place, "region int, key double, vec_id long, v array<double>, query_row boolean"), "placed"
     )
     order = ["region", "key", "vec_id"]
+    block_rows, query_rows = BLOCK, QUERIES
 
     def pack(batches):
         number = TaskContext.get().partitionId() << 32
-        for table in blocks_of(batches, ["region"], BLOCK):
+        for table in blocks_of(batches, ["region"], block_rows):
             keys = table.column("key").to_numpy()
             ids = table.column("vec_id").to_numpy()
             data = matrix(table.column("v").chunk(0), width)
@@ -193,7 +194,7 @@ def search(df: DataFrame, k: int, is_query: Column, vec_id: str, vector: str, fi
 
     def pack_queries(batches):
         number = TaskContext.get().partitionId() << 32
-        for table in blocks_of(batches, [], QUERIES):
+        for table in blocks_of(batches, [], query_rows):
             ids = table.column("vec_id").to_numpy()
             q = matrix(table.column("v").chunk(0), width)
             scores = products(q, sample)
