@@ -32,12 +32,15 @@ import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
-from feedworks.llm.common import fresh_path, text_or_empty, written
+from feedworks.llm.common import fresh_path, slices, text_or_empty, written
 from feedworks.llm.hashing import mixed
 
 ROUNDS = 4
+#: Sequences that are compressed together.
+GROUP = 64
+GROUPS = "part int, number long, doc_ids array<array<long>>, used array<int>, tokens binary"
+DEALT = "shard long, slots array<long>, sequences array<long>, used array<int>, tokens binary"
 HEADER = np.dtype([("sequence", "<i8"), ("used", "<u4")])
 
 
@@ -160,84 +163,129 @@ def write_shards(
             held, size, docs = [stream[n:]], size - n, rest
             return ids, stream[:n]
 
-        for batch in batches:
+        def group(least):
+            # Whole sequences, and at the end the rest: compressed together.
+            nonlocal number
             rows = []
-            for doc, words in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            while size >= least and len(rows) < GROUP:
+                rows.append(take(min(size, length)))
+            number += len(rows)
+            return group_batch(part, number - len(rows), rows)
+
+        for rows in (rows for batch in batches for rows in slices(batch)):
+            for doc, words in zip(rows.column("doc_id").to_pylist(), rows.column("text").to_pylist()):
                 tokens = encoding(ranks_file, pattern).encode_ordinary(words)
                 docs.append((doc, size))
                 held.append(np.array([*tokens, end_id], "<u2"))
                 size += len(tokens) + 1
-                if size >= 64 * length:
-                    while size >= length:
-                        rows.append((number, *take(length)))
-                        number += 1
-            yield sequence_batch(part, rows)
-        rows = []
+                while size >= GROUP * length:
+                    yield group(length)
         while size:
-            rows.append((number, *take(min(size, length))))
-            number += 1
-        yield sequence_batch(part, rows)
+            yield group(1)
 
     encoded = df.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
-    packed = written(
-        encoded.mapInArrow(sequences, "part int, number long, doc_ids array<long>, used int, tokens binary"), "sequences"
-    )
+    packed = written(encoded.mapInArrow(sequences, GROUPS), "sequences")
     # One count for each input partition.
-    counts = {r["part"]: r["n"] for r in packed.groupBy("part").agg(F.count("*").alias("n")).collect()}
+    counts = {r["part"]: r["n"] for r in packed.groupBy("part").agg(F.sum(F.size("used")).alias("n")).collect()}
     starts, total = {}, 0
     for part in sorted(counts):
         starts[part] = total
         total += counts[part]
     layout = Shards(path, total, length, records, key)
     order = Permutation(max(total, 1), key)
-    if not total:
-        return layout, packed.select(F.col("number").alias("sequence"), "doc_ids")
     # Broadcast: two numbers for each input partition.
     begins = spark.createDataFrame(list(starts.items()), "part int, begin long")
-    numbered = packed.join(F.broadcast(begins), "part").withColumn("sequence", F.col("begin") + F.col("number"))
-
-    @F.arrow_udf(LongType())
-    def slot_of(batch: pa.Array) -> pa.Array:
-        return pa.array(order.slots(batch.to_numpy()))
-
-    placed = numbered.select("sequence", slot_of("sequence").alias("slot"), "used", "tokens")
-    placed = placed.withColumn("shard", F.floor(F.col("slot") / records)).repartitionByRange("shard")
+    numbered = packed.join(F.broadcast(begins), "part").withColumn("first", F.col("begin") + F.col("number"))
+    sources = numbered.select("first", F.posexplode("doc_ids").alias("at", "doc_ids")).select(
+        (F.col("first") + F.col("at")).alias("sequence"), "doc_ids"
+    )
+    if not total:
+        return layout, sources
+
+    def deal(batches):
+        # Sequences that go to one shard travel together, as far as a task has them at hand.
+        waiting: dict[int, list[tuple[int, int, bytes]]] = {}
+        held = 0
+        for rows in (rows for batch in batches for rows in slices(batch, 16)):
+            for first, used, tokens in zip(*(rows.column(c).to_pylist() for c in ("first", "used", "tokens"))):
+                stream = pa.decompress(tokens, 2 * sum(used), "zstd", asbytes=True)
+                numbers = first + np.arange(len(used))
+                at = 0
+                for sequence, slot, n in zip(numbers.tolist(), order.slots(numbers).tolist(), used):
+                    own = waiting.setdefault(slot // records, [])
+                    own.append((slot, sequence, stream[at : at + 2 * n]))
+                    at += 2 * n
+                    held += 1
+                    if len(own) == GROUP:
+                        held -= GROUP
+                        yield dealt_batch({slot // records: waiting.pop(slot // records)})
+            if held >= 64 * GROUP:
+                yield dealt_batch(waiting)
+                waiting, held = {}, 0
+        if waiting:
+            yield dealt_batch(waiting)
+
+    dealt = numbered.select("first", "used", "tokens").mapInArrow(deal, DEALT)
+    stride = layout.stride
 
     def fill(batches):
-        # Rows come in slot order: a shard is whole once the next one begins.
-        shard, content = None, []
-        for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("shard", "sequence", "used", "tokens"))
-            for own, sequence, used, tokens in zip(*columns):
-                if own != shard and content:
-                    yield shard_batch(shard, content)
-                    content = []
-                shard = own
-                head = np.array([(sequence, used)], HEADER).tobytes()
-                content.append(head + pa.decompress(tokens, 2 * used, "zstd", asbytes=True).ljust(2 * length, b"\0"))
-        if content:
+        # Rows come shard by shard: a shard is whole once the next one begins.
+        shard, content = None, bytearray()
+        for rows in (rows for batch in batches for rows in slices(batch, 16)):
+            columns = (rows.column(c).to_pylist() for c in ("shard", "slots", "sequences", "used", "tokens"))
+            for own, slots, numbers, used, tokens in zip(*columns):
+                if own != shard:
+                    if shard is not None:
+                        yield shard_batch(shard, content)
+                    shard, content = own, bytearray(stride * min(records, total - own * records))
+                stream = pa.decompress(tokens, 2 * sum(used), "zstd", asbytes=True)
+                at = 0
+                for slot, number, n in zip(slots, numbers, used):
+                    begin = (slot - own * records) * stride
+                    record = np.array([(number, n)], HEADER).tobytes() + stream[at : at + 2 * n]
+                    content[begin : begin + len(record)] = record
+                    at += 2 * n
+        if shard is not None:
             yield shard_batch(shard, content)
 
-    ordered = placed.sortWithinPartitions("shard", "slot").select("shard", "sequence", "used", "tokens")
+    ordered = dealt.repartitionByRange("shard").sortWithinPartitions("shard")
     shards = ordered.mapInArrow(fill, "shard long, content binary")
     # Binary as string: the text writer puts out the bytes as they are.
     shards.select("shard", F.col("content").cast("string").alias("value")).write.partitionBy("shard").text(path)
-    return layout, numbered.select("sequence", "doc_ids")
+    return layout, sources
+
 
+def together(parts: list[bytes]) -> bytes:
+    return pa.Codec("zstd", 3).compress(b"".join(parts), asbytes=True)
 
-def sequence_batch(part: int, rows: list) -> pa.RecordBatch:
+
+def group_batch(part: int, number: int, rows: list[tuple[list, np.ndarray]]) -> pa.RecordBatch:
     return pa.record_batch(
         [
-            pa.array([part] * len(rows), pa.int32()),
-            pa.array([r[0] for r in rows], pa.int64()),
-            pa.array([r[1] for r in rows], pa.list_(pa.int64())),
-            pa.array([len(r[2]) for r in rows], pa.int32()),
-            pa.array([pa.compress(r[2].tobytes(), "zstd", asbytes=True) for r in rows], pa.binary()),
+            pa.array([part], pa.int32()),
+            pa.array([number], pa.int64()),
+            pa.array([[ids for ids, _ in rows]], pa.list_(pa.list_(pa.int64()))),
+            pa.array([[len(tokens) for _, tokens in rows]], pa.list_(pa.int32())),
+            pa.array([together([tokens.tobytes() for _, tokens in rows])], pa.binary()),
         ],
         ["part", "number", "doc_ids", "used", "tokens"],
     )
 
 
-def shard_batch(shard: int, content: list[bytes]) -> pa.RecordBatch:
-    return pa.record_batch([pa.array([shard], pa.int64()), pa.array([b"".join(content)], pa.binary())], ["shard", "content"])
+def dealt_batch(waiting: dict[int, list[tuple[int, int, bytes]]]) -> pa.RecordBatch:
+    rows = list(waiting.values())
+    return pa.record_batch(
+        [
+            pa.array(list(waiting), pa.int64()),
+            pa.array([[slot for slot, _, _ in row] for row in rows], pa.list_(pa.int64())),
+            pa.array([[number for _, number, _ in row] for row in rows], pa.list_(pa.int64())),
+            pa.array([[len(tokens) // 2 for _, _, tokens in row] for row in rows], pa.list_(pa.int32())),
+            pa.array([together([tokens for _, _, tokens in row]) for row in rows], pa.binary()),
+        ],
+        ["shard", "slots", "sequences", "used", "tokens"],
+    )
+
+
+def shard_batch(shard: int, content: bytearray) -> pa.RecordBatch:
+    return pa.record_batch([pa.array([shard], pa.int64()), pa.array([bytes(content)], pa.binary())], ["shard", "content"])
 
