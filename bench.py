@@ -95,6 +95,7 @@ def main() -> None:
     for name in HEADLINE:
         seconds[name] = fastest(lambda: QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save(), runs)
 
+    landing.close()
     scale = re.search(r"sf([0-9.]+)$", sf_dir)
     report = {
         "metric": "headline_total",

@@ -8,7 +8,9 @@ Text is written by Spark as many part files, each with its own header line.
 
 from __future__ import annotations
 
+import atexit
 import functools
+import shutil
 import tempfile
 import threading
 import uuid
@@ -22,7 +24,7 @@ from feedworks.operators.refine import refine_entity
 from feedworks.plans import stages
 from feedworks.sources.delimited import read_raw
 from feedworks.sources.spec import feeds_of, load_configs
-from feedworks.sources.tables import ensure_schema
+from feedworks.sources.tables import ensure_schema, quoted
 
 CONFIGS_DIR = str(Path(__file__).resolve().parents[1] / "examples" / "configs")
 CONFIGS = load_configs(CONFIGS_DIR)
@@ -72,10 +74,10 @@ def _customer_cells(client_id: str, k: Column, m: Column) -> list[Column]:
     day = choose(m, {7: F.lit("2024-02-30")}, day)
     if client_id == "client_b":
         names = {
-            3: F.lit("Cher"),
-            4: F.lit('"Raj|Johnson"'),
+            3: F.lit("Zita"),
+            4: F.lit('"Kit|Marlow"'),
             5: F.lit(""),
-            6: F.lit("  Mary  Ann Lee "),
+            6: F.lit("  Olga  van Dyk "),
         }
         street = choose(m, {11: F.concat(text(k), F.lit(' "Old" | Street'))}, F.concat(text(k), F.lit(" Main | Street")))
         return [
@@ -105,8 +107,8 @@ def _transaction_cells(client_id: str, k: Column, m: Column, amount: Column) ->
     customer = choose(
         m, {4: F.lit(""), 8: F.lit("NULL"), 14: F.concat(F.lit("  "), customer, F.lit(" "))}, customer
     )
-    amount_cell = choose(m, {1: F.lit("EXTRA"), 5: F.lit('"$1,234.50"'), 8: F.lit("")}, money(amount))
-    when = choose(m, {7: F.lit("NOT_A_DATE")}, text(F.date_format("o_orderdate", ISO)))
+    amount_cell = choose(m, {1: F.lit("SOME"), 5: F.lit('"$1,234.50"'), 8: F.lit("")}, money(amount))
+    when = choose(m, {7: F.lit("SOMEDAY")}, text(F.date_format("o_orderdate", ISO)))
     priority = text(F.col("o_orderpriority"))
     if client_id == "client_a":
         refund = choose(F.col("o_orderstatus"), {"F": F.lit("true"), "O": F.lit("0")}, F.lit(""))
@@ -198,12 +200,17 @@ def _one_at_a_time(method):
 
 
 class Landing:
-    """The feeds of one data folder, written once per session and as late as possible."""
+    """The feeds of one data folder, written once per session and as late as possible.
+
+    ``close`` removes everything again; what a session leaves open is closed when the
+    process ends, as far as the session is still there then.
+    """
 
     _open: dict[tuple[str, str], Landing] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._own_base = spark.conf.get("spark.checkpoint.dir", None) is None
         self.root = shared_dir(spark)
         self.input_dir = f"{self.root}/input_files"
         self._written: set[tuple[str, str]] = set()
@@ -219,6 +226,22 @@ class Landing:
                 cls._open[key] = cls(spark, sf_dir)
             return cls._open[key]
 
+    def close(self) -> None:
+        """Drop the databases and delete the folder. Frames read from them end here."""
+        self._open.pop((self.spark.sparkContext.applicationId, self.sf_dir), None)
+        for layer in list(self._schemas):
+            self.spark.sql(f"DROP SCHEMA IF EXISTS {quoted(self._schemas.pop(layer))} CASCADE")
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        if self._own_base:
+            shutil.rmtree(self.root.rsplit("/", 1)[0], ignore_errors=True)
+
+    @classmethod
+    def close_all(cls) -> None:
+        for landing in list(cls._open.values()):
+            if landing.spark.sparkContext._jsc is not None:
+                landing.close()
+
     @_one_at_a_time
     def write(self, *feeds: tuple[str, str]) -> None:
         """Write those of the feeds that are not there yet, side by side."""
@@ -264,6 +287,25 @@ class Landing:
             self._done["silver"] = stages.run_refine(self.spark, CONFIGS, self.schema("bronze"), self.schema("silver"))
         return self._done["silver"]
 
+    @_one_at_a_time
+    def main_report(self) -> dict[str, int]:
+        """What a whole run over the written feeds reports, into databases of its own."""
+        if "main" not in self._done:
+            self.write(*FEEDS)
+            layers = [self.schema(f"main_{layer}") for layer in ("bronze", "silver", "gold")]
+            self._done["main"] = stages.main(*layers, self.spark, self.root, configs_dir=CONFIGS_DIR)
+        return self._done["main"]
+
+    @_one_at_a_time
+    def refine_as_tables(self) -> str:
+        """The database with the silver tables that ``as_views=False`` writes."""
+        if "tables" not in self._done:
+            self.ingest_report()
+            schema = self.schema("silver_tables")
+            stages.run_refine(self.spark, CONFIGS, self.schema("bronze"), schema, as_views=False)
+            self._done["tables"] = schema
+        return self._done["tables"]
+
     @_one_at_a_time
     def curate_report(self) -> dict[str, int]:
         if "gold" not in self._done:
@@ -274,3 +316,6 @@ class Landing:
     def table(self, layer: str, name: str) -> DataFrame:
         {"bronze": self.ingest_report, "silver": self.refine_report, "gold": self.curate_report}[layer]()
         return self.spark.table(f"{self.schema(layer)}.{name}")
+
+
+atexit.register(Landing.close_all)

@@ -72,16 +72,16 @@ def from_feed(client: str, entity: str, file: str) -> str:
 
 ORACLES["bronze_scan_comma"] = f"""{TX}
 SELECT {RAW_TX_ID} AS transaction_id, {RAW_TX_CUST} AS customer_id,
-  CASE WHEN m = 1 THEN 'EXTRA' WHEN m = 5 THEN '$1,234.50' WHEN m NOT IN (8, 12) THEN CAST(amt AS VARCHAR) END AS amount,
+  CASE WHEN m = 1 THEN 'SOME' WHEN m = 5 THEN '$1,234.50' WHEN m NOT IN (8, 12) THEN CAST(amt AS VARCHAR) END AS amount,
   CASE WHEN m = 6 THEN 'N/A' WHEN m <> 12 THEN 'USD' END AS currency,
   CASE WHEN m <> 12 THEN pr END AS channel,
-  CASE WHEN m = 7 THEN 'NOT_A_DATE' WHEN m <> 12 THEN iso END AS created_ts,
+  CASE WHEN m = 7 THEN 'SOMEDAY' WHEN m <> 12 THEN iso END AS created_ts,
   CASE WHEN m <> 12 THEN 'N/A' END AS discount_code,
   CASE WHEN m = 12 THEN NULL WHEN m = 11 AND st = 'P' THEN '"' ELSE {REFUND} END AS is_refund,
   {from_feed('client_a', 'transactions', 'transactions_2024_01.txt')}
 FROM tx WHERE part = 0 AND m NOT IN (2, 3, 10)"""
 
-B_NAME = """CASE m WHEN 3 THEN 'Cher' WHEN 4 THEN 'Raj|Johnson' WHEN 5 THEN NULL WHEN 6 THEN '  Mary  Ann Lee '
+B_NAME = """CASE m WHEN 3 THEN 'Zita' WHEN 4 THEN 'Kit|Marlow' WHEN 5 THEN NULL WHEN 6 THEN '  Olga  van Dyk '
     ELSE 'First' || k || ' Last' || k END"""
 B_ADDRESS = """CASE m WHEN 11 THEN k || ' "Old" | Street' ELSE k || ' Main | Street' END"""
 DAY_TEXT = "CASE m WHEN 7 THEN '2024-02-30' ELSE strftime(day, '%Y-%m-%d') END"
@@ -118,6 +118,50 @@ SELECT client AS client_id, CASE WHEN m <> 12 THEN c0 END AS id, m IN (2, 3, 10)
          WHEN 10 THEN c0 || sep || '"' || others END AS corrupt_text
 FROM lines WHERE NOT (m = 12 AND part = 2)"""
 
+# A line that does not parse keeps the fields that were read of it, and all of its text.
+CORRUPT_TX = f"""CASE m
+  WHEN 2 THEN CAST(k AS VARCHAR)
+  WHEN 3 THEN k || sep || others || sep || 'extra'
+  WHEN 10 THEN k || sep || '"' || others END"""
+LINES = f"""{TX},
+lines AS (
+  SELECT *, CASE part WHEN 0 THEN ',' WHEN 1 THEN '|' ELSE chr(9) END AS sep,
+    CASE part
+      WHEN 0 THEN ck || ',' || price || ',USD,"' || pr || '",' || iso || ',N/A,' || coalesce({REFUND}, '')
+      WHEN 1 THEN ck || '|' || price || '|EUR|' || iso || '|' || (k % 7) || '|' || pr
+      ELSE ck || chr(9) || price || chr(9) || CAST((k % 1000) / 100.0 AS DECIMAL(12,2)) || chr(9) || price
+           || chr(9) || pr END AS others
+  FROM tx)"""
+
+
+def tx_cell(normal: str, open_quote: str = "NULL") -> str:
+    """A cell of a transaction line: absent where only the key is there, or a quote was left open."""
+    return f"CASE WHEN m IN (2, 12) THEN NULL WHEN m = 10 THEN {open_quote} ELSE {normal} END"
+
+
+RAW_AMOUNT_CELL = "CASE m WHEN 1 THEN 'SOME' WHEN 5 THEN '$1,234.50' WHEN 8 THEN NULL ELSE CAST(amt AS VARCHAR) END"
+RAW_TS_CELL = "CASE m WHEN 7 THEN 'SOMEDAY' ELSE iso END"
+
+ORACLES["bronze_scan_pipe_transactions"] = f"""{LINES}
+SELECT {RAW_TX_ID} AS txn_id, {tx_cell(RAW_TX_CUST, "others")} AS cust_id, {tx_cell(RAW_AMOUNT_CELL)} AS total,
+  {tx_cell("CASE m WHEN 6 THEN 'N/A' ELSE 'EUR' END")} AS currency, {tx_cell(RAW_TS_CELL)} AS txn_ts,
+  {tx_cell("CAST(k % 7 AS VARCHAR)")} AS items, {tx_cell("pr")} AS notes, {CORRUPT_TX} AS _corrupt_record,
+  {from_feed('client_b', 'transactions', 'txn_history.txt')}
+FROM lines WHERE part = 1"""
+
+TAX_TEXT = "CAST(CAST((k % 1000) / 100.0 AS DECIMAL(12,2)) AS VARCHAR)"
+
+ORACLES["bronze_scan_tab_transactions"] = f"""{LINES}
+SELECT {RAW_TX_ID} AS id, {tx_cell(RAW_TX_CUST, "others")} AS user_id, {tx_cell("CAST(price AS VARCHAR)")} AS price_usd,
+  {tx_cell(TAX_TEXT)} AS tax, {tx_cell(RAW_AMOUNT_CELL)} AS final_amount, {tx_cell("pr")} AS payment_type,
+  {CORRUPT_TX} AS _corrupt_record, {from_feed('client_c', 'transactions', 'transactions.txt')}
+FROM lines WHERE part = 2 AND m <> 12"""
+
+ORACLES["bronze_scan_headerless"] = """
+SELECT CAST(o_orderkey AS VARCHAR) AS number, CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) AS price,
+  o_orderstatus AS status, 'headless' AS _client_id, 'orders' AS _entity, 'lines.txt' AS _source_file
+FROM orders"""
+
 ORACLES["bronze_row_counts"] = f"""{ALL}
 SELECT client AS client_id, 'transactions' AS entity, count(*) AS row_count
 FROM tx WHERE NOT (m = 12 AND part = 2) GROUP BY client
@@ -138,9 +182,9 @@ FROM orders"""
 
 ORACLES["split_name"] = """
 SELECT CAST(c_custkey AS VARCHAR) AS id,
-  CASE c_custkey % 10 WHEN 1 THEN 'Cher' WHEN 2 THEN NULL WHEN 3 THEN NULL WHEN 4 THEN NULL WHEN 5 THEN 'Mary'
-    WHEN 6 THEN 'Tab' WHEN 7 THEN 'NULL' WHEN 8 THEN 'Raj|Johnson' ELSE 'First' || c_custkey END AS first_name,
-  CASE c_custkey % 10 WHEN 5 THEN 'Ann Lee' || c_custkey WHEN 6 THEN 'bed ' || c_custkey
+  CASE c_custkey % 10 WHEN 1 THEN 'Zita' WHEN 2 THEN NULL WHEN 3 THEN NULL WHEN 4 THEN NULL WHEN 5 THEN 'Olga'
+    WHEN 6 THEN 'Una' WHEN 7 THEN 'NULL' WHEN 8 THEN 'Kit|Marlow' ELSE 'First' || c_custkey END AS first_name,
+  CASE c_custkey % 10 WHEN 5 THEN 'van Dyk' || c_custkey WHEN 6 THEN 'fold ' || c_custkey
     WHEN 0 THEN 'Last' || c_custkey WHEN 9 THEN 'Last' || c_custkey END AS last_name
 FROM customer"""
 
@@ -188,12 +232,6 @@ SELECT CAST(o_orderkey AS VARCHAR) AS id, 'USD' AS currency FROM orders"""
 
 ORACLES["quarantine_rows"] = f"{QUARANTINE} SELECT client_id, entity, id, reason FROM quarantined"
 
-ORACLES["quarantine_raw_values"] = f"""{TX}
-SELECT CASE WHEN m <> 12 THEN CAST(k AS VARCHAR) END AS source_transaction_id,
-  CASE WHEN m = 4 THEN amt END AS amount,
-  CASE m WHEN 1 THEN 'EXTRA' WHEN 4 THEN CAST(amt AS VARCHAR) END AS raw_amount
-FROM tx WHERE part = 0 AND m IN (1, 4, 8, 12)"""
-
 KEY = "CAST(k AS VARCHAR)"
 CUSTOMER_ID = "CAST(ck AS VARCHAR)"
 ANY_TS = "CASE WHEN m <> 7 THEN ts END"
@@ -202,13 +240,121 @@ A_FLAG = "CASE st WHEN 'F' THEN TRUE WHEN 'O' THEN FALSE END"
 RAW_AMOUNT = "CASE m WHEN 5 THEN '$1,234.50' ELSE CAST(amt AS VARCHAR) END"
 TAX = "CAST((k % 1000) / 100.0 AS DECIMAL(12,2))"
 EMAIL = "CASE WHEN m <> 8 THEN 'u' || k || '@x.test' END"
-B_FIRST = """CASE m WHEN 3 THEN 'Cher' WHEN 4 THEN 'Raj|Johnson' WHEN 5 THEN NULL WHEN 6 THEN 'Mary'
+B_FIRST = """CASE m WHEN 3 THEN 'Zita' WHEN 4 THEN 'Kit|Marlow' WHEN 5 THEN NULL WHEN 6 THEN 'Olga'
     ELSE 'First' || k END"""
-B_LAST = "CASE WHEN m = 6 THEN 'Ann Lee' WHEN m NOT IN (3, 4, 5) THEN 'Last' || k END"
+B_LAST = "CASE WHEN m = 6 THEN 'van Dyk' WHEN m NOT IN (3, 4, 5) THEN 'Last' || k END"
 LOYALTY = "CASE WHEN m <> 10 THEN c_nationkey END"
 AGE = "CAST(CASE WHEN k % 10 <> 0 THEN 20 + k % 50 END AS INTEGER)"
 EVEN_FLAG = "CASE WHEN m <> 9 THEN k % 2 = 0 END"
 
+REJECTED_IDS = f"CASE WHEN m <> 12 THEN {KEY} END"
+REJECTED_CK = f"CASE WHEN m IN (1, 3) THEN {CUSTOMER_ID} WHEN m = 10 THEN others END"
+REJECTED_AMOUNT = "CASE WHEN m IN (3, 4) THEN amt END"
+# As delivered: the rejected shapes of a cell only.
+REJECTED_CUST_CELL = f"CASE WHEN m IN (1, 3) THEN {CUSTOMER_ID} WHEN m = 8 THEN 'NULL' WHEN m = 10 THEN others END"
+# A quoted cell inside the open quote ends it early: what follows moves up.
+A_OPEN = """'"' || ck || ',' || price || ',USD,"' || pr || '"'"""
+
+ORACLES["quarantine_raw_values"] = f"""{TX}
+SELECT client AS client_id,
+  CASE WHEN m <> 12 THEN {KEY} END AS source_transaction_id, {REJECTED_AMOUNT} AS amount,
+  CASE WHEN part > 0 THEN NULL ELSE {tx_cell(RAW_AMOUNT_CELL, "iso")} END AS raw_amount
+FROM tx WHERE m IN (1, 2, 3, 4, 8, 10, 12) AND NOT (m = 12 AND part = 2)"""
+
+ORACLES["quarantine_client_a_transactions"] = f"""{LINES}
+SELECT {REJECTED_IDS} AS transaction_id, {REJECTED_CUST_CELL.replace("THEN others", f"THEN {A_OPEN}")} AS customer_id,
+  {REJECTED_AMOUNT} AS amount, {tx_cell("'USD'")} AS currency, {tx_cell("pr", REFUND)} AS channel,
+  {tx_cell("iso")} AS created_ts, CAST(NULL AS VARCHAR) AS discount_code, {tx_cell(A_FLAG)} AS is_refund,
+  {CORRUPT_TX} AS _corrupt_record, {from_feed('client_a', 'transactions', 'transactions_2024_01.txt')},
+  'client_a' AS client_id, {REJECTED_IDS} AS source_transaction_id,
+  {REJECTED_CK.replace("THEN others", f"THEN {A_OPEN}")} AS source_customer_id, {tx_cell("ts")} AS transaction_ts,
+  {REJECTED_TX} AS _quarantine_reason, {tx_cell(RAW_AMOUNT_CELL, "iso")} AS raw_amount,
+  {tx_cell("'USD'", "'N/A'")} AS raw_currency, {tx_cell("pr", REFUND)} AS raw_channel,
+  {tx_cell("'N/A'")} AS raw_discount_code, {tx_cell(REFUND)} AS raw_is_refund
+FROM lines WHERE part = 0 AND m IN (1, 2, 3, 4, 8, 10, 12)"""
+
+ORACLES["quarantine_client_b_transactions"] = f"""{LINES}
+SELECT {REJECTED_IDS} AS txn_id, {REJECTED_CUST_CELL} AS cust_id, {tx_cell(RAW_AMOUNT_CELL)} AS total,
+  {tx_cell("'EUR'")} AS currency, {tx_cell("iso")} AS txn_ts, {tx_cell("CAST(k % 7 AS VARCHAR)")} AS items,
+  {tx_cell("pr")} AS notes, {CORRUPT_TX} AS _corrupt_record, {from_feed('client_b', 'transactions', 'txn_history.txt')},
+  'client_b' AS client_id, {REJECTED_IDS} AS source_transaction_id, {REJECTED_CK} AS source_customer_id,
+  {tx_cell("ts")} AS transaction_ts, CAST({tx_cell("k % 7")} AS INTEGER) AS quantity, {REJECTED_AMOUNT} AS amount,
+  {REJECTED_TX} AS _quarantine_reason, {tx_cell("'EUR'")} AS raw_currency, {tx_cell("pr")} AS raw_notes
+FROM lines WHERE part = 1 AND m IN (1, 2, 3, 4, 8, 10, 12)"""
+
+ORACLES["quarantine_client_c_transactions"] = f"""{LINES}
+SELECT {KEY} AS id, {REJECTED_CUST_CELL} AS user_id, {tx_cell("price")} AS price_usd, {tx_cell(TAX)} AS tax,
+  {tx_cell(RAW_AMOUNT_CELL)} AS final_amount, {tx_cell("pr")} AS payment_type, {CORRUPT_TX} AS _corrupt_record,
+  {from_feed('client_c', 'transactions', 'transactions.txt')}, 'client_c' AS client_id,
+  {KEY} AS source_transaction_id, {REJECTED_CK} AS source_customer_id, {REJECTED_AMOUNT} AS amount, 'USD' AS currency,
+  {REJECTED_TX} AS _quarantine_reason, {tx_cell("CAST(price AS VARCHAR)")} AS raw_price_usd,
+  {tx_cell(TAX_TEXT)} AS raw_tax, {tx_cell("pr")} AS raw_payment_type
+FROM lines WHERE part = 2 AND m IN (1, 2, 3, 4, 8, 10)"""
+
+
+def rejected_customer(names: str, cells: dict[str, str], part: int, feed: str, file: str, id_cell: str) -> str:
+    """Rejected customers: one without an id, with all else, or one of which only the id is there."""
+    own = ", ".join(f"CASE WHEN m = 1 THEN {value} END AS {name}" for name, value in cells.items())
+    return f"""{names}
+SELECT CASE WHEN m = 2 THEN {KEY} END AS {id_cell}, CASE WHEN m = 2 THEN {KEY} END AS source_customer_id,
+  CASE WHEN m = 2 THEN {KEY} END AS _corrupt_record, {own},
+  {from_feed(feed, 'customers', file)}, '{feed}' AS client_id, {REJECTED_CUST} AS _quarantine_reason
+FROM cust WHERE part = {part} AND m IN (1, 2)"""
+
+
+A_NAMES = {"first_name": "'Customer'", "last_name": "substr(c_name, 10)", "email": "'u' || k || '@x.test'", "status": "c_mktsegment"}
+ORACLES["quarantine_client_a_customers"] = rejected_customer(
+    CUST,
+    {
+        **A_NAMES,
+        **{f"raw_{name}": value for name, value in A_NAMES.items()},
+        "phone": "CAST(NULL AS VARCHAR)",
+        "raw_phone": "CAST(NULL AS VARCHAR)",
+        "signup_ts": "strftime(day, '%Y-%m-%d') || 'T00:00:00'",
+        "signup_date": "day",
+        "loyalty_points": "c_nationkey",
+        "raw_loyalty_points": "CAST(c_nationkey AS VARCHAR)",
+    },
+    0, "client_a", "customers_2024_01.txt", "customer_id",
+)
+ORACLES["quarantine_client_b_customers"] = rejected_customer(
+    CUST,
+    {
+        "full_name": "'First' || k || ' Last' || k",
+        "contact_email": "'u' || k || '@x.test'",
+        "email": "'u' || k || '@x.test'",
+        "country": "'C' || c_nationkey",
+        "raw_country": "'C' || c_nationkey",
+        "address": "k || ' Main | Street'",
+        "raw_address": "k || ' Main | Street'",
+        "zip": "CAST(k % 1000 AS VARCHAR)",
+        "postal_code": "CAST(k % 1000 AS VARCHAR)",
+        "created_date": "strftime(day, '%Y-%m-%d')",
+        "signup_date": "day",
+        "vip_flag": "CASE WHEN k % 2 = 0 THEN 'Y' ELSE 'N' END",
+        "is_vip": "k % 2 = 0",
+        "first_name": "'First' || k",
+        "last_name": "'Last' || k",
+    },
+    1, "client_b", "customer_dump.txt", "cust_id",
+)
+ORACLES["quarantine_client_c_customers"] = rejected_customer(
+    CUST,
+    {
+        "fname": "'F' || k",
+        "first_name": "'F' || k",
+        "lname": "'L' || k",
+        "last_name": "'L' || k",
+        "signup_date": "day",
+        "raw_signup_date": "strftime(day, '%Y-%m-%d')",
+        "age": AGE,
+        "raw_age": C_AGE,
+        "marketing_opt_in": "k % 2 = 0",
+        "raw_marketing_opt_in": "CASE WHEN k % 2 = 0 THEN '1' ELSE '0' END",
+    },
+    2, "client_c", "customers.txt", "id",
+)
+
 ORACLES["silver_client_a_customers"] = f"""{CUST}
 SELECT {KEY} AS customer_id, 'Customer' AS first_name, substr(c_name, 10) AS last_name, {EMAIL} AS email,
   CAST(NULL AS VARCHAR) AS phone,
@@ -220,7 +366,7 @@ FROM cust WHERE part = 0 AND m NOT IN (1, 2)"""
 
 ORACLES["silver_client_a_transactions"] = f"""{TX}
 SELECT {RAW_TX_ID} AS transaction_id, {RAW_TX_CUST} AS customer_id, amount,
-  {TX_CURRENCY} AS currency, pr AS channel, CASE m WHEN 7 THEN 'NOT_A_DATE' ELSE iso END AS created_ts,
+  {TX_CURRENCY} AS currency, pr AS channel, CASE m WHEN 7 THEN 'SOMEDAY' ELSE iso END AS created_ts,
   CAST(NULL AS VARCHAR) AS discount_code, {A_FLAG} AS is_refund,
   {from_feed('client_a', 'transactions', 'transactions_2024_01.txt')},
   'client_a' AS client_id, {KEY} AS source_transaction_id, {CUSTOMER_ID} AS source_customer_id,
@@ -238,7 +384,7 @@ FROM cust WHERE part = 1 AND m NOT IN (1, 2)"""
 
 ORACLES["silver_client_b_transactions"] = f"""{TX}
 SELECT {RAW_TX_ID} AS txn_id, {RAW_TX_CUST} AS cust_id, {RAW_AMOUNT} AS total, {TX_CURRENCY} AS currency,
-  CASE m WHEN 7 THEN 'NOT_A_DATE' ELSE iso END AS txn_ts, CAST(k % 7 AS VARCHAR) AS items, pr AS notes,
+  CASE m WHEN 7 THEN 'SOMEDAY' ELSE iso END AS txn_ts, CAST(k % 7 AS VARCHAR) AS items, pr AS notes,
   {from_feed('client_b', 'transactions', 'txn_history.txt')},
   'client_b' AS client_id, {KEY} AS source_transaction_id, {CUSTOMER_ID} AS source_customer_id,
   {ANY_TS} AS transaction_ts, CAST(k % 7 AS INTEGER) AS quantity, amount
@@ -274,6 +420,17 @@ UNION ALL
 SELECT client, 'customers', count(*), count(*) FILTER (WHERE m NOT IN (1, 2)), count(*) FILTER (WHERE m IN (1, 2))
 FROM cust GROUP BY client"""
 
+ORACLES["silver_as_tables"] = f"""{ALL}
+SELECT client AS client_id, 'transactions' AS entity, m NOT IN (1, 2, 3, 4, 8, 10, 12) AS is_clean, count(*) AS n
+FROM tx WHERE NOT (m = 12 AND part = 2) GROUP BY ALL
+UNION ALL
+SELECT client, 'customers', m NOT IN (1, 2), count(*) FROM cust GROUP BY ALL"""
+
+ORACLES["refine_times"] = f"""{ALL}
+SELECT DISTINCT client AS client_id, unnest(['customers', 'transactions']) AS entity,
+  TRUE AS one_time, TRUE AS all_set, TRUE AS after_landing
+FROM cust"""
+
 # --- curated tables ---------------------------------------------------------
 
 ORACLES["conform_schema"] = """
@@ -285,11 +442,6 @@ SELECT 'client_x' AS client_id, CAST(p_partkey AS VARCHAR) AS source_transaction
   CAST(NULL AS VARCHAR) AS notes, CAST(NULL AS VARCHAR) AS _source_file
 FROM part"""
 
-ORACLES["known_columns"] = f"""{TX}
-SELECT 'client_c' AS client_id, {KEY} AS source_transaction_id, {CUSTOMER_ID} AS source_customer_id,
-  amount, 'USD' AS currency, pr AS payment_type, {TAX} AS tax, 'transactions.txt' AS _source_file
-FROM clean WHERE part = 2"""
-
 ORACLES["union_clients"] = f"""{ALL}
 SELECT client AS client_id, 'transactions' AS entity, count(*) AS n FROM clean GROUP BY client
 UNION ALL SELECT client, 'customers', count(*) FROM cust WHERE m NOT IN (1, 2) GROUP BY client"""
@@ -347,6 +499,26 @@ ORACLES["gold_counts"] = f"""{GOLD}
 SELECT 'customers' AS entity, count(*) AS n FROM gold_customers
 UNION ALL SELECT 'transactions', count(*) FROM gold_transactions"""
 
+ORACLES["whole_run"] = f"""SELECT entity, n, n AS reported FROM ({ORACLES["gold_counts"]})"""
+
+
+def filled(rows: str, entity: str, columns: list[str], where: str = "") -> str:
+    """How many rows of each client have a value, column by column."""
+    return "\nUNION ALL ".join(
+        f"SELECT client_id, '{entity}' AS entity, '{c}' AS \"column\", count({c}) AS n FROM {rows} {where} GROUP BY client_id"
+        for c in columns
+    )
+
+
+CUSTOMER_COLUMNS = """client_id source_customer_id first_name last_name email phone country address postal_code
+    signup_date status age loyalty_points is_vip marketing_opt_in _source_file""".split()
+TRANSACTION_COLUMNS = """client_id source_transaction_id source_customer_id transaction_ts amount currency channel
+    payment_type quantity discount_code is_refund tax notes _source_file""".split()
+# Before duplicates are removed: both copies of a re-delivered line.
+ORACLES["known_columns"] = f"""{GOLD.replace("WHERE NOT (m = 9 AND amt = price)", "")}
+{filled("gold_customers", "customers", CUSTOMER_COLUMNS)}
+UNION ALL {filled("gold_transactions", "transactions", TRANSACTION_COLUMNS)}"""
+
 ORACLES["stage_row_counts"] = f"""{GOLD}, feeds AS (
   SELECT client AS client_id, 'transactions' AS entity, m IN (1, 2, 3, 4, 8, 10, 12) AS bad
   FROM tx WHERE NOT (m = 12 AND part = 2)
@@ -362,7 +534,7 @@ UNION ALL SELECT 'gold', NULL, 'transactions', count(*) FROM gold_transactions""
 ORACLES["quarantine_summary"] = f"""{QUARANTINE}
 SELECT client_id, entity, reason, count(*) AS n FROM quarantined GROUP BY 1, 2, 3"""
 ORACLES["quarantine_reason_counts"] = f"""{QUARANTINE}
-SELECT reason, count(*) AS n FROM quarantined WHERE client_id = 'client_b' AND entity = 'transactions' GROUP BY 1"""
+SELECT client_id, entity, reason, count(*) AS n FROM quarantined GROUP BY ALL"""
 ORACLES["quarantine_top_reasons"] = f"""{QUARANTINE}
 SELECT client_id, entity, reason, count(*) AS n FROM quarantined GROUP BY 1, 2, 3
 ORDER BY n DESC, client_id, entity, reason LIMIT 5"""

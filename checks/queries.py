@@ -7,17 +7,19 @@ renders a timestamp; load and refine times, which differ per run, are left out.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.messy_feeds import CLIENTS, CONFIGS, FEEDS, Landing, choose, money, spec, text
 from feedworks.functions import values
+from feedworks.functions.frames import union_all
 from feedworks.functions.transforms import TRANSFORMS
 from feedworks.operators import canonical, quality
 from feedworks.operators.refine import refine_entity, tag_rows
 from feedworks.plans import stages
+from feedworks.sources.delimited import read_raw
+from feedworks.sources.entities import CANONICAL, TRANSACTIONS
 from feedworks.sources.spec import CORRUPT_COLUMN
 from feedworks.sources.tables import read_table, write_table
 
@@ -38,7 +40,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def union(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+    return union_all(frames)
 
 
 def repeatable(df: DataFrame) -> DataFrame:
@@ -61,6 +63,29 @@ def bronze_scan_comma(spark: SparkSession, sf_dir: str) -> DataFrame:
     return well_formed(Landing.of(spark, sf_dir).raw("client_a", "transactions"))
 
 
+@query
+def bronze_scan_pipe_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows, also those that did not parse: what was read of them, and their text."""
+    return repeatable(Landing.of(spark, sf_dir).raw("client_b", "transactions"))
+
+
+@query
+def bronze_scan_tab_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeatable(Landing.of(spark, sf_dir).raw("client_c", "transactions"))
+
+
+@query
+def bronze_scan_headerless(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that start with data: every line is a row."""
+    landing = Landing.of(spark, sf_dir)
+    place = f"{landing.input_dir}/headless/lines.txt"
+    orders = table(spark, sf_dir, "orders")
+    line = F.concat_ws(";", "o_orderkey", F.col("o_totalprice").cast("decimal(12,2)"), "o_orderstatus")
+    orders.select(line).write.mode("overwrite").text(place)
+    feed = {"file": "lines.txt", "delimiter": ";", "header": False, "columns": ["number", "price", "status"]}
+    return well_formed(read_raw(spark, "headless", "orders", feed, landing.input_dir))
+
+
 @query
 def bronze_scan_pipe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return well_formed(Landing.of(spark, sf_dir).raw("client_b", "customers"))
@@ -100,13 +125,22 @@ def bronze_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A table saved twice under one name, the second time with another schema."""
+    """A table saved twice under one name, the second time with another schema.
+
+    A third time fails half way and must leave the second.
+    """
     name = f"{Landing.of(spark, sf_dir).schema('scratch')}.orders_copy"
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", F.col("o_totalprice").cast("decimal(12,2)").alias("amount")
     )
     write_table(orders.select("o_orderkey"), name)
     write_table(orders, name)
+    fails = F.when(F.col("o_orderkey") % 2 == 0, F.raise_error(F.lit("half way"))).otherwise(F.col("o_orderkey"))
+    try:
+        write_table(orders.select(fails.cast("bigint").alias("o_orderkey")), name)
+    except Exception as err:
+        if "half way" not in str(err):
+            raise
     return read_table(spark, name).agg(
         F.count(F.lit(1)).alias("row_count"),
         F.sum("o_orderkey").alias("key_sum"),
@@ -147,14 +181,14 @@ def split_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     plain = F.concat(F.lit("First"), k, F.lit(" Last"), k)
     shapes = {
-        1: F.lit("Cher"),
+        1: F.lit("Zita"),
         2: F.lit(""),
         3: F.lit("   "),
         4: F.lit(None).cast("string"),
-        5: F.concat(F.lit("  Mary  Ann Lee"), k, F.lit(" ")),
-        6: F.concat(F.lit("Tab\tbed "), k),
+        5: F.concat(F.lit("  Olga  van Dyk"), k, F.lit(" ")),
+        6: F.concat(F.lit("Una\tfold "), k),
         7: F.lit("NULL"),
-        8: F.lit("Raj|Johnson"),
+        8: F.lit("Kit|Marlow"),
     }
     customers = table(spark, sf_dir, "customer")
     names = customers.select(k.cast("string").alias("id"), choose(k % 10, shapes, plain).alias("full_name"))
@@ -175,7 +209,7 @@ def parse_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
         {
             1: event_time(iso),
             2: F.lit("2024-02-30"),
-            3: F.lit("NOT_A_DATE"),
+            3: F.lit("SOMEDAY"),
             4: F.concat(F.lit(" "), event_time("yyyy-MM-dd")),
             5: F.lit(""),
         },
@@ -257,7 +291,7 @@ def cast_decimal_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
             8: F.concat(number, F.lit(" USD")),
             9: F.concat(F.lit("€"), number),
             10: F.lit("$"),
-            11: F.lit("EXTRA"),
+            11: F.lit("SOME"),
             12: F.concat(F.lit("12345678901"), F.lit(".00")),
         },
         number,
@@ -318,13 +352,36 @@ def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union(parts)
 
 
+def raw_text(df: DataFrame) -> DataFrame:
+    """``_raw`` as one column per text that it holds."""
+    if "_raw" not in df.columns:
+        return df
+    kept = df.schema["_raw"].dataType.names
+    return df.select("*", *[F.col(f"_raw.`{c}`").alias(f"raw_{c}") for c in kept]).drop("_raw")
+
+
 @query
 def quarantine_raw_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rejected client_a transactions: the typed amount and the text it came from."""
-    rows = Landing.of(spark, sf_dir).quarantine("client_a", "transactions")
-    return rows.filter("_quarantine_reason <> 'unparseable_row'").select(
-        "source_transaction_id", "amount", F.col("_raw.amount").alias("raw_amount")
-    )
+    """Rejected transactions: the typed amount and, where it took its place, the text it came from."""
+    landing = Landing.of(spark, sf_dir)
+    parts = []
+    for client_id in CLIENTS:
+        rows = raw_text(landing.quarantine(client_id, "transactions"))
+        raw = F.col("raw_amount") if "raw_amount" in rows.columns else F.lit(None).cast("string")
+        parts.append(rows.select("client_id", "source_transaction_id", "amount", raw.alias("raw_amount")))
+    return union(parts)
+
+
+def _quarantine(client_id: str, entity: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return raw_text(repeatable(Landing.of(spark, sf_dir).quarantine(client_id, entity)))
+
+    run.__name__ = f"quarantine_{client_id}_{entity}"
+    return run
+
+
+for _feed in FEEDS:
+    query(_quarantine(*_feed))
 
 
 def _silver(client_id: str, entity: str) -> Query:
@@ -366,6 +423,47 @@ def split_conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def silver_as_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean and quarantined rows per feed where refine writes two tables instead of views."""
+    schema = Landing.of(spark, sf_dir).refine_as_tables()
+    parts = []
+    for suffix in ("", "_quarantine"):
+        for (client_id, entity), rows in stages.silver_tables(spark, CONFIGS, schema, suffix).items():
+            named = F.lit(client_id).alias("client_id"), F.lit(entity).alias("entity")
+            parts.append(rows.select(*named, F.lit(suffix == "").alias("is_clean")))
+    return union(parts).groupBy("client_id", "entity", "is_clean").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def refine_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per feed: one refine time for all rows, and none before its row was landed."""
+    landing = Landing.of(spark, sf_dir)
+    parts = []
+    for client_id, entity in FEEDS:
+        for name in (f"{client_id}_{entity}", f"{client_id}_{entity}_quarantine"):
+            rows = landing.table("silver", name)
+            named = F.lit(client_id).alias("client_id"), F.lit(entity).alias("entity")
+            parts.append(rows.select(*named, "_silver_refined_ts", "_ingestion_ts"))
+    return union(parts).groupBy("client_id", "entity").agg(
+        (F.count_distinct("_silver_refined_ts") == 1).alias("one_time"),
+        F.every(F.col("_silver_refined_ts").isNotNull()).alias("all_set"),
+        F.every(F.col("_silver_refined_ts") >= F.col("_ingestion_ts")).alias("after_landing"),
+    )
+
+
+@query
+def whole_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The curated row counts that a whole run reports, and those of its tables."""
+    landing = Landing.of(spark, sf_dir)
+    counts = landing.main_report()
+    gold = landing.schema("main_gold")
+    tables = [stages.gold_table(spark, gold, e).select(F.lit(e).alias("entity")) for e in counts]
+    found = union(tables).groupBy("entity").agg(F.count(F.lit(1)).alias("n"))
+    told = F.create_map(*[F.lit(x) for item in counts.items() for x in item])
+    return found.withColumn("reported", told[F.col("entity")].cast("bigint"))
+
+
 @query
 def stage_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The row counts the stages reported, which they took while writing."""
@@ -398,14 +496,22 @@ def conform_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_retailprice").alias("amount"),
         F.col("p_name").alias("not_canonical"),
     )
-    return repeatable(canonical.conform(parts, canonical.TRANSACTIONS.schema))
+    return repeatable(canonical.conform(parts, TRANSACTIONS.schema))
 
 
 @query
 def known_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Columns of a clean feed that the canonical table has, in canonical order."""
-    clean = Landing.of(spark, sf_dir).clean("client_c", "transactions")
-    return repeatable(canonical.select_known(clean, canonical.TRANSACTIONS.columns))
+    """Values of each canonical column per feed, once its clean rows are conformed."""
+    landing = Landing.of(spark, sf_dir)
+    parts = []
+    for client_id, entity in FEEDS:
+        known = CANONICAL[entity]
+        rows = canonical.conform(landing.clean(client_id, entity), known.schema)
+        names = [c for c in known.columns if c not in RUN_TIMES]
+        counts = rows.agg(*[F.count(c).alias(c) for c in names])
+        cells = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("n")) for c in names])).alias("c")
+        parts.append(counts.select(F.lit(client_id).alias("client_id"), F.lit(entity).alias("entity"), cells))
+    return union(parts).select("client_id", "entity", F.col("c.name").alias("column"), F.col("c.n").alias("n"))
 
 
 @query
@@ -413,7 +519,7 @@ def union_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per client and entity over the union, before duplicates are removed."""
     landing = Landing.of(spark, sf_dir)
     parts = []
-    for entity in canonical.CANONICAL.values():
+    for entity in CANONICAL.values():
         frames = [landing.table("silver", f"{c}_{entity.name}") for c in CLIENTS]
         rows = canonical.union_clients(frames, entity.schema)
         parts.append(rows.select("client_id", F.lit(entity.name).alias("entity")))
@@ -462,22 +568,28 @@ def gold_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeatable(canonical.build_gold_transactions(clean_frames(spark, sf_dir, "transactions")))
 
 
+def curated(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    landing = Landing.of(spark, sf_dir)
+    landing.curate_report()
+    return stages.gold_table(spark, landing.schema("gold"), entity)
+
+
 @query
 def gold_customers_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The curated customers as the stages wrote them."""
-    return repeatable(Landing.of(spark, sf_dir).table("gold", "customers"))
+    return repeatable(curated(spark, sf_dir, "customers"))
 
 
 @query
 def gold_transactions_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The curated transactions as the stages wrote them."""
-    return repeatable(Landing.of(spark, sf_dir).table("gold", "transactions"))
+    return repeatable(curated(spark, sf_dir, "transactions"))
 
 
 @query
 def gold_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = Landing.of(spark, sf_dir)
-    rows = [landing.table("gold", e).select(F.lit(e).alias("entity")) for e in canonical.CANONICAL]
+    rows = [landing.table("gold", e).select(F.lit(e).alias("entity")) for e in CANONICAL]
     return union(rows).groupBy("entity").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -494,9 +606,14 @@ def quarantine_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def quarantine_reason_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The per-feed form of the summary, for client_b's transactions."""
-    rows = quality.reason_counts(Landing.of(spark, sf_dir).quarantine("client_b", "transactions"))
-    return rows.select(F.col("_quarantine_reason").alias("reason"), F.col("count").alias("n"))
+    """The per-feed form of the summary, for every feed."""
+    landing = Landing.of(spark, sf_dir)
+    parts = []
+    for client_id, entity in FEEDS:
+        rows = quality.reason_counts(landing.quarantine(client_id, entity))
+        named = F.lit(client_id).alias("client_id"), F.lit(entity).alias("entity")
+        parts.append(rows.select(*named, F.col("_quarantine_reason").alias("reason"), F.col("count").alias("n")))
+    return union(parts)
 
 
 @query

@@ -21,10 +21,12 @@ from feedworks.plans.stages import (
     run_refine,
 )
 from feedworks.sources.delimited import read_raw
+from feedworks.sources.entities import CanonicalEntity, register_entity
 from feedworks.sources.spec import check_configs, list_client_ids, load_client_config, load_configs
 from feedworks.sources.tables import ensure_schema, read_table, write_table
 
 __all__ = [
+    "CanonicalEntity",
     "build_gold_customers",
     "build_gold_transactions",
     "check_configs",
@@ -44,6 +46,7 @@ __all__ = [
     "read_table",
     "reason_counts",
     "refine_entity",
+    "register_entity",
     "register_transform",
     "row_balance",
     "run_curate",

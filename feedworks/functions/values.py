@@ -7,6 +7,7 @@ whole-stage codegen.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
@@ -28,11 +29,23 @@ def text_or_null(text: Column) -> Column:
 
 
 def parse_date(text: Column, pattern: str) -> Column:
-    return F.try_to_date(text, pattern)
+    return _if_possible(text, pattern, F.try_to_date(text, pattern))
 
 
 def parse_timestamp(text: Column, pattern: str) -> Column:
-    return F.try_to_timestamp(text, F.lit(pattern))
+    return _if_possible(text, pattern, F.try_to_timestamp(text, F.lit(pattern)))
+
+
+def _if_possible(text: Column, pattern: str, parsed: Column) -> Column:
+    """``parsed`` where text can be a time written like ``pattern``: failing ones are dear, as with ints.
+
+    A number in the pattern needs a digit, any other letter more than spaces; parts in
+    brackets may be left out and so need nothing.
+    """
+    required = re.sub(r"\[.*\]|'[^']*'", "", pattern, flags=re.DOTALL)
+    if re.search(r"[ydDHhKkmsS]", required):
+        return F.when(text.rlike("[0-9]"), parsed)
+    return F.when(text.rlike(r"\S"), parsed) if re.search("[A-Za-z]", required) else parsed
 
 
 def parse_int(text: Column) -> Column:
@@ -48,12 +61,12 @@ def parse_money(text: Column) -> Column:
     """Amount with any ``$`` and thousands commas taken out.
 
     ``replace`` hands back text without a match as it is, which most amounts are;
-    ``translate`` and patterns build it anew.
+    ``translate`` and patterns build it anew. Text without a digit is not tried.
     """
     number = F.trim(text)
     for sign in ("$", ","):
         number = F.replace(number, F.lit(sign), F.lit(""))
-    return number.try_cast(MONEY_TYPE)
+    return F.when(number.rlike(r"\p{Nd}"), number.try_cast(MONEY_TYPE))
 
 
 def parse_flag(text: Column, true_values: Sequence[str], false_values: Sequence[str]) -> Column:

@@ -3,66 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from feedworks.functions.frames import union_all
 from feedworks.functions.values import surrogate_key
+from feedworks.sources.entities import CUSTOMERS, TRANSACTIONS, CanonicalEntity
 
 RECENCY_COLUMN = "_silver_refined_ts"
 
 
-@dataclass(frozen=True)
-class CanonicalEntity:
-    """Columns of a curated table, and its keys as {key column: id column}.
-
-    The first key identifies a row; the others point at other entities' rows.
-    """
-
-    name: str
-    ddl: str
-    keys: Mapping[str, str]
-
-    @property
-    def schema(self) -> StructType:
-        return StructType.fromDDL(self.ddl)
-
-    @property
-    def columns(self) -> list[str]:
-        return self.schema.names
-
-
-# The canonical columns, their order and types.
-CUSTOMERS = CanonicalEntity(
-    "customers",
-    """client_id string, source_customer_id string, first_name string, last_name string,
-    email string, phone string, country string, address string, postal_code string,
-    signup_date date, status string, age int, loyalty_points int, is_vip boolean,
-    marketing_opt_in boolean, _source_file string, _silver_refined_ts timestamp""",
-    {"customer_key": "source_customer_id"},
-)
-TRANSACTIONS = CanonicalEntity(
-    "transactions",
-    """client_id string, source_transaction_id string, source_customer_id string,
-    transaction_ts timestamp, amount decimal(12,2), currency string, channel string,
-    payment_type string, quantity int, discount_code string, is_refund boolean,
-    tax decimal(12,2), notes string, _source_file string, _silver_refined_ts timestamp""",
-    {"transaction_key": "source_transaction_id", "customer_key": "source_customer_id"},
-)
-CANONICAL = {entity.name: entity for entity in (CUSTOMERS, TRANSACTIONS)}
-
-
-def select_known(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Those of ``columns`` that the frame has, in the order given."""
-    return df.select(*[c for c in columns if c in df.columns])
-
-
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Exactly the columns of ``schema``: absent ones as typed nulls, the rest cast.
 
+    This is the one place that decides which columns of a feed the curated table knows.
     The cast is strict. Rows here were typed before, so a value that does not fit
     is a mistake in a spec and must not turn into a null unnoticed.
     """
@@ -76,7 +32,7 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
 
 def union_clients(frames: Sequence[DataFrame], schema: StructType) -> DataFrame:
     """All rows of all frames. Each is conformed first, so types meet as declared."""
-    return reduce(DataFrame.unionByName, [conform(df, schema) for df in frames])
+    return union_all([conform(df, schema) for df in frames])
 
 
 def keep_latest(

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedworks.functions.frames import union_all
 from feedworks.operators.refine import REASON_COLUMN
 
 Feed = tuple[str, str]
@@ -24,7 +24,7 @@ def quarantine_summary(quarantines: Mapping[Feed, DataFrame]) -> DataFrame:
         df.select(F.lit(client_id).alias("client_id"), F.lit(entity).alias("entity"), REASON_COLUMN)
         for (client_id, entity), df in quarantines.items()
     ]
-    return reduce(DataFrame.unionByName, parts).groupBy("client_id", "entity", REASON_COLUMN).count()
+    return union_all(parts).groupBy("client_id", "entity", REASON_COLUMN).count()
 
 
 def top_reasons(summary: DataFrame, n: int = 20) -> DataFrame:
@@ -44,7 +44,7 @@ def row_balance(
         for (client_id, entity), df in frames.items()
     ]
     counts = {stage: F.count_if(F.col("stage") == stage).alias(stage) for stage in stages}
-    return reduce(DataFrame.unionByName, parts).groupBy("client_id", "entity").agg(*counts.values())
+    return union_all(parts).groupBy("client_id", "entity").agg(*counts.values())
 
 
 def enrich_transactions(
@@ -67,8 +67,9 @@ def orphan_transactions(transactions: DataFrame, customers: DataFrame) -> DataFr
     """Transactions per client that join to no customer.
 
     Transactions are counted per customer first, so only one row per customer is
-    joined, whatever share of all transactions one customer has.
+    joined, whatever share of all transactions one customer has. Counts and join have
+    the same key, so transactions are shuffled once.
     """
     per_customer = transactions.groupBy("client_id", "customer_key").agg(F.count(F.lit(1)).alias("n"))
-    unmatched = per_customer.join(customers.select("customer_key"), "customer_key", "left_anti")
+    unmatched = per_customer.join(customers.select("client_id", "customer_key"), ["client_id", "customer_key"], "left_anti")
     return unmatched.groupBy("client_id").agg(F.sum("n").alias("n"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from feedworks.functions import values
 from feedworks.functions.transforms import TRANSFORM_OUTPUTS, TRANSFORMS
-from feedworks.sources.spec import CORRUPT_COLUMN, SYSTEM_COLUMNS, FeedSpec
+from feedworks.sources.spec import CORRUPT_COLUMN, PATH_COLUMN, SYSTEM_COLUMNS, FeedSpec
 from feedworks.sources.tables import quoted_column
 
 REASON_COLUMN = "_quarantine_reason"
@@ -91,7 +91,7 @@ def tag_rows(raw_rows: DataFrame, cfg: FeedSpec | Mapping[str, Any]) -> DataFram
 
 def _replaced_columns(raw_rows: DataFrame, spec: FeedSpec, fold: Callable[[str], str]) -> list[str]:
     """Feed columns that a step overwrites; all of them if a transform's outputs are unknown."""
-    columns = [c for c in raw_rows.columns if c not in SYSTEM_COLUMNS]
+    columns = [c for c in raw_rows.columns if c not in (*SYSTEM_COLUMNS, PATH_COLUMN)]
     outputs = TRANSFORM_OUTPUTS.get(spec.special_transform, columns if spec.special_transform else ())
     targets = {fold(t) for t in ("client_id", *spec.targets(), *outputs)}
     return [c for c in columns if fold(c) in targets]
@@ -106,7 +106,11 @@ def quarantine_columns(tagged: DataFrame) -> list[str]:
 
 
 def refine_entity(bronze_df: DataFrame, entity_cfg: FeedSpec | Mapping[str, Any]) -> tuple[DataFrame, DataFrame]:
-    """(clean rows, quarantined rows): together every raw row, none in both."""
+    """(clean rows, quarantined rows): together every raw row, none in both.
+
+    Each of the two frames types the required fields twice, to filter and to show them; the
+    refine stage writes ``tag_rows`` once instead.
+    """
     tagged = tag_rows(bronze_df, entity_cfg)
     clean = tagged.filter(~F.col(REJECTED_COLUMN)).select(*map(quoted_column, clean_columns(tagged)))
     quarantine = tagged.filter(REJECTED_COLUMN).select(*map(quoted_column, quarantine_columns(tagged)))

@@ -10,31 +10,30 @@ from math import ceil
 
 MIB = 1 << 20
 GIB = 1 << 30
-MAX_SHUFFLE_PARTITIONS = 20_000
 
 
-def session_settings(input_bytes: int, cores: int, partition_bytes: int = 256 * MIB) -> dict[str, str]:
+def session_settings(
+    input_bytes: int,
+    cores: int,
+    partition_bytes: int = 256 * MIB,
+    scan_bytes: int = 256 * MIB,
+    parallelism_first: bool = False,
+) -> dict[str, str]:
     """Spark settings for a run over ``input_bytes`` of raw text on ``cores`` cores.
 
-    Scan tasks grow with the input from 128 to at most 512 MiB: each writes a file per
-    verdict, of which there should not be millions, and in the curate stage each sorts
-    what it read before the shuffle. Shuffle
-    partitions start fine enough for ``partition_bytes`` each, and adaptive
-    execution merges them where a shuffle turns out smaller. Their number has a
-    limit, past which a map task would write blocks too small to fetch well; a
-    larger partition is sorted on disk. An input too small for one such partition per
-    core is spread over all cores instead.
+    Shuffle partitions are as many as it takes for ``partition_bytes`` each, and at least
+    one per core; adaptive execution merges those that turn out smaller, but cannot split
+    the partitions of a window. So they follow the input at every size: who wants
+    fewer asks for larger ones. ``scan_bytes`` is what one scan task reads; each writes a
+    file per verdict in refine. ``parallelism_first`` keeps small partitions apart to use
+    all cores, which suits inputs of few partitions per core.
     """
-    scan_bytes = min(512 * MIB, max(128 * MIB, ceil(input_bytes / 200_000)))
-    partitions = max(cores, ceil(input_bytes / partition_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(scan_bytes),
-        "spark.sql.shuffle.partitions": str(min(partitions, MAX_SHUFFLE_PARTITIONS)),
+        "spark.sql.shuffle.partitions": str(max(cores, ceil(input_bytes / partition_bytes))),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.parallelismFirst": str(partitions <= cores).lower(),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": str(parallelism_first).lower(),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        # A refine task keeps a file open per verdict instead of sorting its rows.
-        "spark.sql.maxConcurrentOutputFileWriters": "4",
     }

@@ -1,14 +1,16 @@
 """The three stages over all feeds: land raw text, refine, curate.
 
 A stage reads the tables of the one before and replaces its own, so any of them
-can be run again. Feeds do not depend on each other and are submitted a few at a
-time; Spark shares the cluster among their jobs.
+can be run again; until a new table is complete, the old one stays. Feeds do not depend
+on each other and are submitted a few at a time; Spark shares the cluster among their
+jobs. Every stage checks the configs before its first job.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
+from contextlib import contextmanager
 from typing import Any, TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from feedworks.operators import quality
-from feedworks.operators.canonical import CANONICAL, build_gold
+from feedworks.operators.canonical import build_gold
 from feedworks.operators.refine import (
     REJECTED_COLUMN,
     clean_columns,
@@ -25,8 +27,9 @@ from feedworks.operators.refine import (
     tag_rows,
 )
 from feedworks.sources.delimited import read_raw
+from feedworks.sources.entities import CANONICAL
 from feedworks.sources.spec import FeedSpec, check_configs, feeds_of, load_configs
-from feedworks.sources.tables import create_view, read_table, write_counted
+from feedworks.sources.tables import read_table, write_counted
 
 Configs = Mapping[str, Mapping[str, Any]]
 Result = TypeVar("Result")
@@ -37,15 +40,29 @@ DEFAULT_PARALLELISM = 8
 def _for_each(
     spark: SparkSession, items: Iterable[tuple], work: Callable[..., Result], parallelism: int
 ) -> list[Result]:
-    """``work(*item)`` for every item, results in order; the first failure is raised."""
+    """``work(*item)`` for every item, results in order; the first to fail stops the rest."""
     target = inheritable_thread_target(spark)(work)
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         futures = [pool.submit(target, *item) for item in items]
-        try:
-            return [future.result() for future in futures]
-        except BaseException:
+        done, _ = wait(futures, return_when=FIRST_EXCEPTION)
+        failed = next((f for f in futures if f in done and f.exception() is not None), None)
+        if failed is not None:
             pool.shutdown(wait=False, cancel_futures=True)
-            raise
+            raise failed.exception()
+        return [future.result() for future in futures]
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for the time of a stage, unless the session has set it itself."""
+    if spark.conf.get(key) != "0":
+        yield
+        return
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key)
 
 
 def ingest_client_entity(
@@ -55,9 +72,10 @@ def ingest_client_entity(
     entity_cfg: FeedSpec | Mapping[str, Any],
     input_dir: str,
     table_name: str,
+    source_path: bool = False,
 ) -> tuple[DataFrame, str, int]:
     """Land one feed; returns (the table's rows, its name, its row count)."""
-    raw = read_raw(spark, client_id, entity_name, entity_cfg, input_dir)
+    raw = read_raw(spark, client_id, entity_name, entity_cfg, input_dir, source_path)
     counted = write_counted(raw, table_name, {"rows": F.count(F.lit(1))})
     return read_table(spark, table_name), table_name, counted["rows"]
 
@@ -68,12 +86,14 @@ def run_ingest(
     input_dir: str,
     bronze_schema: str,
     parallelism: int = DEFAULT_PARALLELISM,
+    source_path: bool = False,
 ) -> list[dict[str, Any]]:
     """Land every feed in ``<bronze>.<client>_<entity>``; one report row per feed."""
+    check_configs(client_configs)
 
     def land(client_id: str, entity: str, cfg: Mapping[str, Any]) -> dict[str, Any]:
         name = f"{bronze_schema}.{client_id}_{entity}"
-        _, table, rows = ingest_client_entity(spark, client_id, entity, cfg, input_dir, name)
+        _, table, rows = ingest_client_entity(spark, client_id, entity, cfg, input_dir, name, source_path)
         return {"client_id": client_id, "entity": entity, "table": table, "row_count": rows}
 
     return _for_each(spark, feeds_of(client_configs), land, parallelism)
@@ -93,7 +113,11 @@ def run_refine(
     verdict: raw rows are read and typed once, and a reader of either name opens
     only the files of its own partition. ``as_views=False`` writes two tables
     instead, reading the raw rows twice, for catalogs that have no views.
+
+    While the stage runs, a task may hold a file open per verdict; without that Spark would
+    sort all rows by their verdict before it writes them.
     """
+    check_configs(client_configs)
 
     def refine(client_id: str, entity: str, cfg: Mapping[str, Any]) -> dict[str, Any]:
         raw = read_table(spark, f"{bronze_schema}.{client_id}_{entity}")
@@ -107,23 +131,29 @@ def run_refine(
             "quarantine_count": quarantined,
         }
 
-    return _for_each(spark, feeds_of(client_configs), refine, parallelism)
+    with _setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "4"):
+        return _for_each(spark, feeds_of(client_configs), refine, parallelism)
 
 
 def _write_once(spark: SparkSession, raw: DataFrame, cfg: Mapping[str, Any], name: str) -> tuple[int, int]:
     tagged = tag_rows(raw, cfg)
-    table = f"{name}_refined"
     verdicts = {"clean": F.count_if(~F.col(REJECTED_COLUMN)), "rejected": F.count_if(REJECTED_COLUMN)}
-    counted = write_counted(tagged, table, verdicts, partition_by=[REJECTED_COLUMN])
-    create_view(spark, name, table, clean_columns(tagged), f"NOT {REJECTED_COLUMN}")
-    create_view(spark, f"{name}_quarantine", table, quarantine_columns(tagged), REJECTED_COLUMN)
+    views = {
+        name: (clean_columns(tagged), f"NOT {REJECTED_COLUMN}"),
+        f"{name}_quarantine": (quarantine_columns(tagged), REJECTED_COLUMN),
+    }
+    counted = write_counted(tagged, f"{name}_refined", verdicts, [REJECTED_COLUMN], views)
     return counted["clean"], counted["rejected"]
 
 
 def _write_twice(spark: SparkSession, raw: DataFrame, cfg: Mapping[str, Any], name: str) -> tuple[int, int]:
     clean, quarantine = refine_entity(raw, cfg)
     rows = {"rows": F.count(F.lit(1))}
-    return write_counted(clean, name, rows)["rows"], write_counted(quarantine, f"{name}_quarantine", rows)["rows"]
+    counted = [
+        write_counted(part, table, rows, as_view=False)["rows"]
+        for part, table in ((clean, name), (quarantine, f"{name}_quarantine"))
+    ]
+    return counted[0], counted[1]
 
 
 def run_curate(
@@ -132,8 +162,13 @@ def run_curate(
     silver_schema: str,
     gold_schema: str,
     parallelism: int = DEFAULT_PARALLELISM,
+    partition_by: Sequence[str] = (),
 ) -> dict[str, int]:
-    """Curate each entity some client has into ``<gold>.<entity>``; {entity: row count}."""
+    """Curate each entity some client has into ``<gold>.<entity>``; {entity: row count}.
+
+    ``partition_by``, say ``["client_id"]``, lets a reader of one client open only its files.
+    """
+    check_configs(client_configs)
     clients: dict[str, list[str]] = {}
     for client_id, entity, _ in feeds_of(client_configs):
         clients.setdefault(entity, []).append(client_id)
@@ -141,7 +176,8 @@ def run_curate(
     def curate(entity: str) -> int:
         frames = {c: read_table(spark, f"{silver_schema}.{c}_{entity}") for c in clients[entity]}
         gold = build_gold(CANONICAL[entity], frames)
-        return write_counted(gold, f"{gold_schema}.{entity}", {"rows": F.count(F.lit(1))})["rows"]
+        counted = write_counted(gold, f"{gold_schema}.{entity}", {"rows": F.count(F.lit(1))}, partition_by)
+        return counted["rows"]
 
     entities = [entity for entity in CANONICAL if entity in clients]
     return dict(zip(entities, _for_each(spark, [(e,) for e in entities], curate, parallelism)))
@@ -154,17 +190,18 @@ def main(
     spark: SparkSession,
     source_path: str,
     configs_dir: str | None = None,
+    gold_partition_by: Sequence[str] = (),
+    keep_source_path: bool = False,
 ) -> dict[str, int]:
     """All stages over ``<source>/configs`` and ``<source>/input_files``; curated row counts.
 
     Configs are read by the driver itself: name their folder where ``source_path``
-    is storage that only Spark reaches. Every config is checked before the first job.
+    is storage that only Spark reaches.
     """
     configs = load_configs(f"{source_path}/configs" if configs_dir is None else configs_dir)
-    check_configs(configs)
-    run_ingest(spark, configs, f"{source_path}/input_files", bronze_schema)
+    run_ingest(spark, configs, f"{source_path}/input_files", bronze_schema, source_path=keep_source_path)
     run_refine(spark, configs, bronze_schema, silver_schema)
-    return run_curate(spark, configs, silver_schema, gold_schema)
+    return run_curate(spark, configs, silver_schema, gold_schema, partition_by=gold_partition_by)
 
 
 def gold_table(spark: SparkSession, gold_schema: str, entity: str) -> DataFrame:

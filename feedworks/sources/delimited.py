@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from feedworks.sources.spec import CORRUPT_COLUMN, FeedSpec
+from feedworks.sources.spec import CORRUPT_COLUMN, PATH_COLUMN, FeedSpec
 
 
 def raw_schema(columns: Sequence[str]) -> StructType:
@@ -18,14 +18,20 @@ def raw_schema(columns: Sequence[str]) -> StructType:
 
 
 def read_raw(
-    spark: SparkSession, client_id: str, entity_name: str, entity_cfg: FeedSpec | Mapping[str, Any], input_dir: str
+    spark: SparkSession,
+    client_id: str,
+    entity_name: str,
+    entity_cfg: FeedSpec | Mapping[str, Any],
+    input_dir: str,
+    source_path: bool = False,
 ) -> DataFrame:
     """One feed as landed, plus where each row came from.
 
     A line with the wrong number of fields never fails the read: its whole text is
     kept in the corrupt column. One record is one line, so a large file is read by
     many tasks. ``file`` may be a directory or glob; with a header, every file in
-    it starts with one.
+    it starts with one. ``source_path`` adds the file that each row really came from,
+    which a directory or glob does not tell.
     """
     spec = FeedSpec.of(entity_cfg)
     scan = (
@@ -45,11 +51,12 @@ def read_raw(
         )
         .csv(f"{input_dir}/{client_id}/{spec.file}")
     )
-    return scan.withColumns(
-        {
-            "_client_id": F.lit(client_id),
-            "_entity": F.lit(entity_name),
-            "_source_file": F.lit(spec.file),
-            "_ingestion_ts": F.current_timestamp(),
-        }
-    )
+    lineage = {
+        "_client_id": F.lit(client_id),
+        "_entity": F.lit(entity_name),
+        "_source_file": F.lit(spec.file),
+        "_ingestion_ts": F.current_timestamp(),
+    }
+    if source_path:
+        lineage[PATH_COLUMN] = F.col("_metadata.file_path")
+    return scan.withColumns(lineage)

@@ -6,19 +6,30 @@ the driver, before any Spark job.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 from pathlib import Path
 from typing import Any
 
 import yaml
 
 from feedworks.functions.transforms import TRANSFORM_OUTPUTS, TRANSFORMS
+from feedworks.sources.entities import CANONICAL
 
-ENTITIES = ("customers", "transactions")
 CORRUPT_COLUMN = "_corrupt_record"
 LINEAGE_COLUMNS = ("_client_id", "_entity", "_source_file", "_ingestion_ts")
+#: Only there if a scan is asked for it: the file that a row really came from.
+PATH_COLUMN = "_source_path"
 SYSTEM_COLUMNS = (CORRUPT_COLUMN, *LINEAGE_COLUMNS)
+#: Names that the library gives to columns of its own.
+RESERVED = (*SYSTEM_COLUMNS, PATH_COLUMN, "_raw", "_rejected", "_quarantine_reason", "_silver_refined_ts")
+DATE_TYPES = ("date", "timestamp")
+#: The letters that Spark can parse times with, and how often each may stand in a row.
+PATTERN_LETTERS = {
+    "G": 4, "y": 6, "M": 4, "L": 4, "d": 2, "D": 3, "a": 1, "h": 2, "H": 2, "k": 2, "K": 2,
+    "m": 2, "s": 2, "S": 9, "V": 2, "z": 4, "O": 4, "X": 5, "x": 5, "Z": 5,
+}
 
 
 @dataclass(frozen=True)
@@ -123,7 +134,7 @@ def load_configs(configs_dir: str) -> dict[str, dict[str, Any]]:
 def feeds_of(configs: Mapping[str, Mapping[str, Any]]) -> list[tuple[str, str, Mapping[str, Any]]]:
     """(client id, entity, section) for every feed, clients in given order."""
     return [
-        (client_id, entity, cfg[entity]) for client_id, cfg in configs.items() for entity in ENTITIES if entity in cfg
+        (client_id, entity, cfg[entity]) for client_id, cfg in configs.items() for entity in CANONICAL if entity in cfg
     ]
 
 
@@ -138,19 +149,20 @@ def check_configs(configs: Mapping[str, Mapping[str, Any]]) -> dict[str, list[st
         stated = cfg.get("client_id", client_id)
         if str(stated) != client_id:
             found.append(f"{client_id}: client_id says {stated!r}, but the file name decides the id")
-    for shorter in configs:
-        for longer in configs:
-            if longer.startswith(f"{shorter}_"):
-                found.append(f"{shorter}, {longer}: keys of these two clients could read the same")
+    for client_id in configs:
+        parts = client_id.split("_")
+        for n in range(1, len(parts)):
+            if (shorter := "_".join(parts[:n])) in configs:
+                found.append(f"{shorter}, {client_id}: keys of these two clients could read the same")
     for client_id, entity, section in feeds_of(configs):
-        found += [f"{client_id}.{entity}: {problem}" for problem in feed_problems(section)]
+        found += [f"{client_id}.{entity}: {problem}" for problem in feed_problems(section, entity)]
     if found:
         raise ValueError("invalid feed configs:\n  " + "\n  ".join(found))
-    return {client_id: [e for e in ENTITIES if e in cfg] for client_id, cfg in configs.items()}
+    return {client_id: [e for e in CANONICAL if e in cfg] for client_id, cfg in configs.items()}
 
 
-def feed_problems(section: Any) -> list[str]:
-    """What is wrong with one feed section; empty when nothing is."""
+def feed_problems(section: Any, entity: str | None = None) -> list[str]:
+    """What is wrong with one feed section, of ``entity`` if that is given; empty when nothing is."""
     if not isinstance(section, (FeedSpec, Mapping)):
         return ["is not a mapping"]
     try:
@@ -158,11 +170,69 @@ def feed_problems(section: Any) -> list[str]:
     except (KeyError, TypeError, ValueError, AttributeError) as err:
         return [f"is malformed ({type(err).__name__}: {err})"]
     problems = [f"{name} is missing" for name in ("file", "delimiter", "columns") if not getattr(spec, name)]
+    if isinstance(section, Mapping):
+        known = {f.name for f in fields(FeedSpec)}
+        problems += [f"unknown key {key!r}" for key in section if key not in known]
     problems += [f"column {name!r} is listed twice" for name in _repeated(spec.columns)]
+    problems += [f"column {name!r} has a reserved name" for name in spec.columns if name.lower() in RESERVED]
+    problems += [f"target {name!r} is a reserved name" for name in spec.targets() if name.lower() in RESERVED]
+    for raw, date in spec.date_fields.items():
+        if date.type not in DATE_TYPES:
+            problems.append(f"date_fields.{raw}: type {date.type!r} is none of {', '.join(DATE_TYPES)}")
+        if (fault := pattern_fault(date.format)) is not None:
+            problems.append(f"date_fields.{raw}: format {date.format!r} {fault}")
     for raw, flag in spec.boolean_fields.items():
         if not all(isinstance(v, str) for v in (*flag.true_values, *flag.false_values)):
             problems.append(f"boolean_fields.{raw}: values must be quoted text")
-    return problems + _unresolved_names(spec)
+    if entity in CANONICAL and (row_id := CANONICAL[entity].row_id) not in spec.required_fields:
+        problems.append(f"required_fields lacks {row_id!r}: rows without it would be taken for one")
+    return problems + _lost_values(spec) + _unresolved_names(spec)
+
+
+def pattern_fault(pattern: Any) -> str | None:
+    """Why Spark could not read times with this pattern, as far as its letters tell."""
+    if not isinstance(pattern, str) or not pattern:
+        return "is no pattern"
+    plain = re.sub(r"'[^']*'", "", pattern)
+    if "'" in plain:
+        return "has a quote that does not end"
+    if any(c in plain for c in "{}#"):
+        return "has a reserved character"
+    depth = 0
+    for c in plain:
+        depth += (c == "[") - (c == "]")
+        if depth < 0:
+            break
+    if depth:
+        return "has a bracket without the other"
+    for run in re.finditer(r"([A-Za-z])\1*", plain):
+        letter, n = run.group(1), len(run.group())
+        if letter not in PATTERN_LETTERS:
+            return f"has the letter {letter!r}, which cannot be parsed"
+        if n > PATTERN_LETTERS[letter] or (letter == "V" and n != 2) or (letter == "O" and n not in (1, 4)):
+            return f"repeats the letter {letter!r} {n} times"
+    return None
+
+
+def _lost_values(spec: FeedSpec) -> list[str]:
+    """Targets that a later step gives a second value, so that the first is gone.
+
+    A step may go on with what it reads itself, and a constant currency replaces one.
+    """
+    steps = [
+        *spec.column_map.items(),
+        *((raw, date.target) for raw, date in spec.date_fields.items()),
+        *spec.int_fields.items(),
+        *spec.decimal_fields.items(),
+        *((raw, flag.target) for raw, flag in spec.boolean_fields.items()),
+    ]
+    made: set[str] = set()
+    problems = []
+    for raw, target in steps:
+        if target.lower() in made and raw.lower() != target.lower():
+            problems.append(f"target {target!r} is made twice: {raw!r} replaces what was there")
+        made.add(target.lower())
+    return problems
 
 
 def _repeated(names: Iterable[str]) -> list[str]:

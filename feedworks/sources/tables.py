@@ -1,13 +1,27 @@
-"""Namespaces and name-addressed tables."""
+"""Namespaces and name-addressed tables.
+
+Replacing a table never takes the old one away before the new one is complete. The rows are
+written under a name of their own (``<name>__v<...>``); then the public name, a view, is
+pointed at it, and versions that nothing shows any more are dropped. A write that
+fails leaves the old rows readable, and a version that it left half done is dropped.
+Formats that replace tables in one step are left to do so.
+"""
 
 from __future__ import annotations
 
+import re
 import threading
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
-OBSERVATION_WAIT = 60.0  # seconds
+#: Formats whose tables Spark replaces by dropping the old files first.
+PLAIN_FORMATS = ("parquet", "orc", "json", "csv", "avro", "text")
+VERSION = "__v"
+
+#: Which columns and rows a view shows: (columns, condition), None for all.
+Views = Mapping[str, tuple[Sequence[str], str] | None]
 
 
 def quoted(name: str) -> str:
@@ -32,11 +46,76 @@ def write_table(
     mode: str = "overwrite",
     table_format: str = "parquet",
     partition_by: Sequence[str] = (),
+    as_view: bool = True,
 ) -> None:
-    """Save as a table; ``overwrite`` replaces the old rows and the old schema."""
-    if mode == "overwrite" and is_view(df.sparkSession, table_name):
-        df.sparkSession.sql(f"DROP VIEW {quoted(table_name)}")
-    df.write.format(table_format).mode(mode).partitionBy(*partition_by).saveAsTable(table_name)
+    """Save under a name; ``overwrite`` replaces the old rows and the old schema.
+
+    ``as_view=False`` makes the public name a table, for catalogs without views: the old
+    table is dropped and the complete new one renamed. That needs a catalog that still
+    knows the old table, and leaves the name missing for the moment between the two.
+    """
+    spark = df.sparkSession
+    if table_format.lower() not in PLAIN_FORMATS or mode.lower() != "overwrite":
+        target = _shown_version(spark, table_name) or table_name
+        df.write.format(table_format).mode(mode).partitionBy(*partition_by).saveAsTable(target)
+        return
+    version = write_version(df, table_name, table_format, partition_by)
+    if as_view:
+        publish(spark, table_name, version)
+    else:
+        _drop(spark, table_name)
+        # The session's own catalog takes no catalog name here.
+        spark.sql(f"ALTER TABLE {quoted(version)} RENAME TO {quoted(table_name.removeprefix('spark_catalog.'))}")
+        drop_versions(spark, table_name, keep=None)
+
+
+def write_version(
+    df: DataFrame, table_name: str, table_format: str = "parquet", partition_by: Sequence[str] = ()
+) -> str:
+    """Write the rows under a new name beside ``table_name`` and return that name."""
+    version = f"{table_name}{VERSION}{uuid.uuid4().hex}"
+    try:
+        df.write.format(table_format).partitionBy(*partition_by).saveAsTable(version)
+    except BaseException:
+        _drop(df.sparkSession, version)
+        raise
+    return version
+
+
+def publish(spark: SparkSession, table_name: str, version: str, views: Views | None = None) -> None:
+    """Show a complete version under public names, then drop the versions of ``table_name`` before it.
+
+    Without ``views`` it is shown as a whole, as ``table_name``.
+    """
+    for name, part in ({table_name: None} if views is None else views).items():
+        create_view(spark, name, version, *(part or (None, "true")))
+    drop_versions(spark, table_name, keep=version)
+
+
+def drop_versions(spark: SparkSession, table_name: str, keep: str | None) -> None:
+    for version in _versions(spark, table_name):
+        if keep is None or version.lower() != keep.lower():
+            _drop(spark, version)
+
+
+def _versions(spark: SparkSession, table_name: str) -> list[str]:
+    schema, _, short = table_name.rpartition(".")
+    place = f" IN {quoted(schema)}" if schema else ""
+    like = f"{short}{VERSION}*".replace("'", "\\'")
+    # SHOW TABLES runs no job, other than the catalog's own listing.
+    listed = [row["tableName"] for row in spark.sql(f"SHOW TABLES{place} LIKE '{like}'").collect()]
+    mine = re.compile(re.escape(f"{short}{VERSION}".lower()) + "[0-9a-f]{32}")
+    return [f"{schema}.{name}" if schema else name for name in listed if mine.fullmatch(name.lower())]
+
+
+def _shown_version(spark: SparkSession, name: str) -> str | None:
+    """The version that a public view shows, if it is one."""
+    found = _versions(spark, name) if is_view(spark, name) else []
+    return found[0] if found else None
+
+
+def _drop(spark: SparkSession, name: str) -> None:
+    spark.sql(f"DROP {'VIEW' if is_view(spark, name) else 'TABLE'} IF EXISTS {quoted(name)}")
 
 
 def read_table(spark: SparkSession, table_name: str) -> DataFrame:
@@ -44,43 +123,59 @@ def read_table(spark: SparkSession, table_name: str) -> DataFrame:
 
 
 def write_counted(
-    df: DataFrame, table: str, metrics: Mapping[str, Column], partition_by: Sequence[str] = ()
+    df: DataFrame,
+    table: str,
+    metrics: Mapping[str, Column],
+    partition_by: Sequence[str] = (),
+    views: Views | None = None,
+    as_view: bool = True,
+    wait: float = 60.0,
 ) -> dict[str, int]:
     """Save as a table and take ``metrics`` (aggregates) in the same pass.
 
     The observed node is the last one before the write, so it runs in the writing
     stage. Spark adds up metrics of that stage once per output partition, which
     keeps them exact when a lost executor makes tasks run again. If they do not
-    arrive, they are taken from the written table, so they may only use columns that
-    a table reads cheaply (its partition columns, or none).
+    arrive within ``wait`` seconds, they are taken from the written table, so they may only
+    use columns that a table reads cheaply (its partition columns, or none).
     """
-    seen = Observation()
+    spark, seen = df.sparkSession, Observation()
     named = [metric.alias(name) for name, metric in metrics.items()]
-    write_table(df.observe(seen, *named), table, partition_by=partition_by)
-    found = _observed(seen)
+    observed = df.observe(seen, *named)
+    if as_view:
+        shown = write_version(observed, table, partition_by=partition_by)
+    else:
+        write_table(observed, table, partition_by=partition_by, as_view=False)
+        shown = table
+    found = _observed(seen, wait)
     if not found.keys() >= metrics.keys():
-        found = read_table(df.sparkSession, table).agg(*named).first().asDict()
+        found = read_table(spark, shown).agg(*named).first().asDict()
+    if as_view:
+        publish(spark, table, shown, views)
     return {name: found[name] for name in metrics}
 
 
-def _observed(seen: Observation) -> dict[str, int]:
+def _observed(seen: Observation, wait: float) -> dict[str, int]:
     """What was observed, or nothing if it does not arrive in time.
 
     Observed values travel on Spark's listener bus, which drops events when a very
-    large job floods it; asking for them would then wait for ever.
+    large job floods it; asking for them would then wait for ever. The thread that still
+    asks is a daemon and ends with the process.
     """
     found: dict[str, int] = {}
     asking = threading.Thread(target=lambda: found.update(seen.get), daemon=True)
     asking.start()
-    asking.join(OBSERVATION_WAIT)
+    asking.join(wait)
     return dict(found)
 
 
-def create_view(spark: SparkSession, view: str, table: str, columns: Sequence[str], condition: str) -> None:
+def create_view(
+    spark: SparkSession, view: str, table: str, columns: Sequence[str] | None = None, condition: str = "true"
+) -> None:
     """Some columns and rows of ``table`` under another name, in place of what had it."""
     if is_table(spark, view):
         spark.sql(f"DROP TABLE {quoted(view)}")
-    names = ", ".join(quoted_column(c) for c in columns)
+    names = "*" if columns is None else ", ".join(quoted_column(c) for c in columns)
     spark.sql(f"CREATE OR REPLACE VIEW {quoted(view)} AS SELECT {names} FROM {quoted(table)} WHERE {condition}")
 
 

@@ -1,6 +1,8 @@
 import pytest
 from pyspark.sql import SparkSession
 
+from checks.messy_feeds import Landing
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -16,5 +18,6 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("OFF")
     yield session
+    Landing.close_all()
     session.stop()
 

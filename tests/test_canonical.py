@@ -1,21 +1,21 @@
 """Conforming, uniting, keying and de-duplicating clean rows."""
 
+import time
 from datetime import datetime
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
+from feedworks.functions.frames import union_all
 from feedworks.operators.canonical import (
-    CUSTOMERS,
-    TRANSACTIONS,
     build_gold_customers,
     build_gold_transactions,
     conform,
     keep_latest,
-    select_known,
     union_clients,
 )
+from feedworks.sources.entities import CUSTOMERS, TRANSACTIONS
 
 JAN, JUN = datetime(2024, 1, 1), datetime(2024, 6, 1)
 IDS = "client_id string, source_customer_id string"
@@ -27,7 +27,7 @@ def by(df, name):
 
 
 def test_clients_are_united_with_typed_nulls(spark):
-    a = spark.createDataFrame([("a", "1", "Jane", 100, JAN)], f"{IDS}, first_name string, loyalty_points bigint, {TIME}")
+    a = spark.createDataFrame([("a", "1", "Ines", 100, JAN)], f"{IDS}, first_name string, loyalty_points bigint, {TIME}")
     b = spark.createDataFrame([("b", "1", "US", JAN)], f"{IDS}, country string, {TIME}")
     gold = build_gold_customers({"a": a, "b": b})
     rows = by(gold, "client_id")
@@ -90,9 +90,32 @@ def test_conforming_casts_and_drops(spark):
     assert out.first().amount == Decimal("1.24")
 
 
-def test_known_columns_in_canonical_order(spark):
-    df = spark.createDataFrame([("x", "e", "a", "U")], "other string, email string, client_id string, Country string")
-    assert select_known(df, CUSTOMERS.columns).columns == ["client_id", "email"]
+def test_only_known_columns_in_canonical_order(spark):
+    df = spark.createDataFrame([("x", "e", "a")], "other string, email string, client_id string")
+    out = conform(df, CUSTOMERS.schema)
+    assert out.columns == CUSTOMERS.columns
+    assert {k: v for k, v in out.first().asDict().items() if v is not None} == {"client_id": "a", "email": "e"}
+
+
+def plan_seconds(spark, n):
+    frames = [spark.range(1).select(F.lit(i).alias("a"), F.lit("x").alias("b")) for i in range(n)]
+    start = time.perf_counter()
+    union_all(frames)._jdf.queryExecution().analyzed()
+    return time.perf_counter() - start
+
+
+def test_planning_many_clients_grows_in_proportion(spark):
+    plan_seconds(spark, 50)
+    few, many = (min(plan_seconds(spark, n) for _ in range(2)) for n in (100, 400))
+    assert many < 8 * few
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 8])
+def test_all_frames_are_united(spark, n):
+    frames = [spark.range(i, i + 1).select(F.col("id"), F.lit(i).alias("x")) for i in range(n)]
+    assert sorted(tuple(r) for r in union_all(frames).collect()) == [(i, i) for i in range(n)]
+    with pytest.raises(ValueError):
+        union_all([])
 
 
 def test_no_client(spark):

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from feedworks.functions import values
 from feedworks.functions.transforms import TRANSFORMS, register_transform
 from feedworks.operators.refine import refine_entity, tag_rows
-from tests.helpers import TXN, column, strings, transactions
+from tests.helpers import PARCELS, column, parcels, strings
 
 
 def parsed(spark, builder, texts):
@@ -50,7 +50,7 @@ def test_money(spark):
         "$ 8": "8.00",
         "9999999999.99": "9999999999.99",
     }
-    bad = ["(5)", "5 USD", "€5", "$", "EXTRA", "", "10000000000", None]
+    bad = ["(5)", "5 USD", "€5", "$", "SOME", "", "10000000000", None]
     assert parsed(spark, values.parse_money, [*good, *bad]) == [*map(Decimal, good.values()), *[None] * len(bad)]
 
 
@@ -78,11 +78,11 @@ def test_flags(spark):
 @pytest.mark.parametrize(
     ("name", "first", "last"),
     [
-        ("Jane Doe", "Jane", "Doe"),
-        ("  Mary  Ann Lee ", "Mary", "Ann Lee"),
-        ("Cher", "Cher", None),
-        ("Raj|Johnson", "Raj|Johnson", None),
-        ("Tab\tbed", "Tab", "bed"),
+        ("Ines Falk", "Ines", "Falk"),
+        ("  Olga  van Dyk ", "Olga", "van Dyk"),
+        ("Zita", "Zita", None),
+        ("Kit|Marlow", "Kit|Marlow", None),
+        ("Una\tfold", "Una", "fold"),
         ("", None, None),
         ("   ", None, None),
         (None, None, None),
@@ -95,65 +95,84 @@ def test_split_full_name(spark, name, first, last):
 
 
 def test_good_row_has_types(spark):
-    clean, quarantine = refine_entity(transactions(spark, {}), TXN)
+    clean, quarantine = refine_entity(parcels(spark, {}), PARCELS)
     row = clean.first()
     assert quarantine.count() == 0
-    assert (row.amount, row.is_refund, str(row.transaction_ts)) == (Decimal("100.00"), True, "2024-01-01 00:00:00")
+    assert (row.fee, row.returned, row.grams, str(row.sent_ts)) == (Decimal("18.40"), False, 450, "2023-03-05 14:30:00")
     types = dict(clean.dtypes)
-    assert types["amount"] == "decimal(12,2)" and types["is_refund"] == "boolean" and types["transaction_ts"] == "timestamp"
+    assert [types[c] for c in ("fee", "returned", "grams", "sent_ts")] == ["decimal(12,2)", "boolean", "int", "timestamp"]
 
 
 def test_column_order_with_replacement_in_place(spark):
-    clean, quarantine = refine_entity(transactions(spark, {}), TXN)
+    clean, quarantine = refine_entity(parcels(spark, {}), PARCELS)
     expected = [
-        "transaction_id", "customer_id", "amount", "currency", "created_ts", "is_refund", "_corrupt_record",
-        "_client_id", "client_id", "source_transaction_id", "source_customer_id", "transaction_ts", "_silver_refined_ts",
+        "parcel", "sender", "fee", "unit", "grams", "sent_on", "returned", "_corrupt_record",
+        "_client_id", "client_id", "source_parcel_id", "source_sender_id", "sent_ts", "_silver_refined_ts",
     ]
     assert clean.columns == expected
     assert quarantine.columns == [*expected, "_raw", "_quarantine_reason"]
 
 
 def test_bad_amount_is_quarantined_with_its_text(spark):
-    clean, quarantine = refine_entity(transactions(spark, {"amount": "EXTRA"}), TXN)
+    clean, quarantine = refine_entity(parcels(spark, {"fee": "SOME"}), PARCELS)
     row = quarantine.first()
     assert clean.count() == 0
-    assert (row.amount, row._raw.amount, row._quarantine_reason) == (None, "EXTRA", "missing_required_field:amount")
+    assert (row.fee, row._raw.fee, row._quarantine_reason) == (None, "SOME", "missing_required_field:fee")
+
+
+DATE_TEXTS = st.text(alphabet="0123-/.T: aMrzJun\u0663\u00a0\n\x00Z", max_size=12)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(texts=st.lists(DATE_TEXTS, min_size=1, max_size=60))
+def test_guards_change_no_result(spark, texts):
+    texts = [*texts, "2021-12-03", "3 Jun 2021", "Mar", "2021-12-03T01:02:03", "", "  "]
+    for pattern in ("yyyy-MM-dd", "yyyy-MM-dd'T'HH:mm:ss", "d MMM yyyy", "MMM", "[HH:mm]"):
+        day = parsed(spark, lambda c: values.parse_date(c, pattern), texts)
+        assert day == parsed(spark, lambda c: F.try_to_date(c, pattern), texts)
+        time = parsed(spark, lambda c: values.parse_timestamp(c, pattern), texts)
+        assert time == parsed(spark, lambda c: F.try_to_timestamp(c, F.lit(pattern)), texts)
+    for c in "$,":
+        texts = [t.replace("/", c) for t in texts]
+    bare = parsed(spark, lambda c: F.replace(F.replace(F.trim(c), F.lit("$"), F.lit("")), F.lit(","), F.lit("")).try_cast("decimal(12,2)"), texts)
+    assert parsed(spark, values.parse_money, texts) == bare
 
 
 def test_bad_date_and_null_token_stay_clean(spark):
-    clean, quarantine = refine_entity(transactions(spark, {"created_ts": "NOT_A_DATE", "currency": "None"}), TXN)
+    clean, quarantine = refine_entity(parcels(spark, {"sent_on": "SOMEDAY", "unit": "None"}), PARCELS)
     row = clean.first()
-    assert (row.transaction_ts, row.currency, quarantine.count()) == (None, None, 0)
+    assert (row.sent_ts, row.unit, quarantine.count()) == (None, None, 0)
 
 
 def test_reasons(spark):
-    raw = transactions(
+    raw = parcels(
         spark,
-        {"_corrupt_record": "garbage", "amount": "EXTRA"},
-        {"customer_id": None},
-        {"customer_id": "NULL", "amount": "", "transaction_id": " "},
+        {"_corrupt_record": "garbage", "fee": "SOME"},
+        {"sender": None},
+        {"sender": "NULL", "fee": "", "parcel": " "},
     )
-    assert column(refine_entity(raw, TXN)[1], "_quarantine_reason") == [
+    assert column(refine_entity(raw, PARCELS)[1], "_quarantine_reason") == [
         "unparseable_row",
-        "missing_required_field:source_customer_id",
-        "missing_required_field:source_transaction_id,source_customer_id,amount",
+        "missing_required_field:source_sender_id",
+        "missing_required_field:source_parcel_id,source_sender_id,fee",
     ]
 
 
 def test_nothing_required(spark):
-    clean, quarantine = refine_entity(transactions(spark, {"amount": "x"}, {"_corrupt_record": "g"}), {"column_map": {}})
+    clean, quarantine = refine_entity(parcels(spark, {"fee": "x"}, {"_corrupt_record": "g"}), {"column_map": {}})
     assert (clean.count(), column(quarantine, "_quarantine_reason")) == (1, ["unparseable_row"])
 
 
 def test_default_currency_overrides(spark):
-    clean, _ = refine_entity(transactions(spark, {"currency": "EUR"}), {**TXN, "default_currency": "USD"})
-    assert column(clean, "currency") == ["USD"]
+    cfg = {"column_map": {"unit": "currency"}, "default_currency": "CHF"}
+    clean, _ = refine_entity(parcels(spark, {"unit": "NOK"}), cfg)
+    assert column(clean, "currency") == ["CHF"]
 
 
 def test_later_steps_read_what_earlier_ones_made(spark):
-    cfg = {"column_map": {"amount": "currency", "currency": "note"}, "int_fields": {"note": "n"}}
-    row = refine_entity(transactions(spark, {"amount": " 5 ", "currency": "x"}), cfg)[0].first()
-    assert (row.amount, row.currency, row.note, row.n) == (" 5 ", "5", "5", 5)
+    cfg = {"column_map": {"fee": "unit", "unit": "note"}, "int_fields": {"note": "n"}}
+    row = refine_entity(parcels(spark, {"fee": " 5 ", "unit": "x"}), cfg)[0].first()
+    assert (row.fee, row.unit, row.note, row.n) == (" 5 ", "5", "5", 5)
 
 
 SOURCES = st.sampled_from(["a", "b", "c", "C"])
@@ -193,18 +212,18 @@ def test_one_select_equals_one_column_at_a_time(spark, renames, ints, flags, row
 
 def test_steps_may_read_typed_columns(spark):
     cfg = {
-        "int_fields": {"amount": "n", "n": "m"},
+        "int_fields": {"fee": "n", "n": "m"},
         "decimal_fields": {"n": "d"},
         "boolean_fields": {"m": {"target": "f", "true_values": ["5"], "false_values": []}},
     }
-    row = refine_entity(transactions(spark, {"amount": "5"}), cfg)[0].first()
+    row = refine_entity(parcels(spark, {"fee": "5"}), cfg)[0].first()
     assert (row.n, row.m, row.d, row.f) == (5, 5, Decimal("5.00"), True)
 
 
 def test_replacing_ignores_case_but_takes_the_new_name(spark):
-    clean, _ = refine_entity(transactions(spark, {"currency": " NULL "}), {"column_map": {"currency": "Currency"}})
-    assert "Currency" in clean.columns and "currency" not in clean.columns
-    assert column(clean, "Currency") == [None]
+    clean, _ = refine_entity(parcels(spark, {"unit": " NULL "}), {"column_map": {"unit": "Unit"}})
+    assert "Unit" in clean.columns and "unit" not in clean.columns
+    assert column(clean, "Unit") == [None]
 
 
 def test_unusual_column_names(spark):
@@ -215,56 +234,56 @@ def test_unusual_column_names(spark):
 
 
 def test_custom_transform_runs_between_renames_and_types(spark):
-    register_transform("cents", lambda df: df.withColumn("amount", F.concat("amount", F.lit("99"))), ("amount",))
+    register_transform("cents", lambda df: df.withColumn("fee", F.concat("fee", F.lit("99"))), ("fee",))
     try:
         clean, bad = refine_entity(
-            transactions(spark, {"amount": "5."}, {"amount": "x"}), {**TXN, "special_transform": "cents"}
+            parcels(spark, {"fee": "5."}, {"fee": "x"}), {**PARCELS, "special_transform": "cents"}
         )
-        assert column(clean, "amount") == [Decimal("5.99")]
-        assert bad.first()._raw.amount == "x"
+        assert column(clean, "fee") == [Decimal("5.99")]
+        assert bad.first()._raw.fee == "x"
     finally:
         del TRANSFORMS["cents"]
 
 
 def test_unknown_transform(spark):
     with pytest.raises(KeyError):
-        refine_entity(transactions(spark, {}), {**TXN, "special_transform": "nope"})
+        refine_entity(parcels(spark, {}), {**PARCELS, "special_transform": "nope"})
 
 
 def test_unknown_required_field_fails_analysis(spark):
     with pytest.raises(AnalysisException, match="UNRESOLVED_COLUMN"):
-        refine_entity(transactions(spark, {}), {"required_fields": ["absent"]})
+        refine_entity(parcels(spark, {}), {"required_fields": ["absent"]})
 
 
 def test_refining_is_lazy_and_needs_no_python_workers(spark):
-    plan = tag_rows(transactions(spark, {}), TXN)._jdf.queryExecution().executedPlan().toString()
+    plan = tag_rows(parcels(spark, {}), PARCELS)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
 
 
 TEXTS = st.one_of(
     st.none(),
-    st.sampled_from(["", "NULL", "1", "$2,000.5", "EXTRA", "true", "2024-01-01T00:00:00", " 7 "]),
+    st.sampled_from(["", "NULL", "1", "$2,000.5", "SOME", "true", "2024-01-01T00:00:00", " 7 "]),
     st.text(alphabet="aA0159.,$- \t'\"\\N/", max_size=8),
 )
 
 
 @settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
-@given(rows=st.lists(st.tuples(*[TEXTS] * 7), min_size=1, max_size=12))
+@given(rows=st.lists(st.tuples(*[TEXTS] * 8), min_size=1, max_size=12))
 def test_every_row_is_clean_or_quarantined(spark, rows):
     """No text raises, no row is lost or doubled, and clean rows have all they need."""
-    columns = ["transaction_id", "customer_id", "amount", "currency", "created_ts", "is_refund", "_corrupt_record"]
-    raw = strings(spark, columns, rows).withColumn("_client_id", F.lit("client_a"))
-    tagged = tag_rows(raw, TXN).collect()
+    columns = ["parcel", "sender", "fee", "unit", "grams", "sent_on", "returned", "_corrupt_record"]
+    raw = strings(spark, columns, rows).withColumn("_client_id", F.lit("depot_9"))
+    tagged = tag_rows(raw, PARCELS).collect()
     assert len(tagged) == len(rows)
     for row, given_cells in zip(tagged, rows):
-        complete = None not in (row.source_transaction_id, row.source_customer_id, row.amount)
-        assert row._rejected == (given_cells[6] is not None or not complete)
+        complete = None not in (row.source_parcel_id, row.source_sender_id, row.fee)
+        assert row._rejected == (given_cells[7] is not None or not complete)
         assert (row._quarantine_reason is not None) == row._rejected == (row._raw is not None)
 
 
 def test_raw_text_is_kept_where_it_was_replaced(spark):
-    raw = refine_entity(transactions(spark, {"amount": "x", "currency": " NULL "}), TXN)[1].first()._raw.asDict()
-    assert raw == {"amount": "x", "currency": " NULL ", "is_refund": "true"}
+    raw = refine_entity(parcels(spark, {"fee": "x", "unit": " NULL "}), PARCELS)[1].first()._raw.asDict()
+    assert raw == {"fee": "x", "unit": " NULL ", "grams": "450", "returned": "nein"}
 
 
 def test_feed_with_a_client_id_of_its_own(spark):
@@ -274,10 +293,10 @@ def test_feed_with_a_client_id_of_its_own(spark):
 
 
 def test_no_raw_column_where_nothing_is_replaced(spark):
-    cfg = {"column_map": {"transaction_id": "source_transaction_id"}, "required_fields": ["source_transaction_id"]}
-    clean, quarantine = refine_entity(transactions(spark, {"transaction_id": ""}), cfg)
+    cfg = {"column_map": {"parcel": "source_parcel_id"}, "required_fields": ["source_parcel_id"]}
+    clean, quarantine = refine_entity(parcels(spark, {"parcel": ""}), cfg)
     assert quarantine.columns == [*clean.columns, "_quarantine_reason"]
-    assert quarantine.first().transaction_id == ""
+    assert quarantine.first().parcel == ""
 
 
 def test_transform_outputs_count_as_replaced(spark):

@@ -3,6 +3,7 @@
 import itertools
 import shutil
 import threading
+import time
 
 import pytest
 import yaml
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from checks.messy_feeds import CONFIGS
 from feedworks.plans import sizing, stages
 from feedworks.sources import tables
+from feedworks.sources.entities import CANONICAL, CanonicalEntity, register_entity
 from feedworks.sources.tables import ensure_schema, read_table, write_counted, write_table
 from tests.helpers import column, land
 
@@ -23,7 +25,7 @@ BROKEN
 """
 A_TRANSACTIONS = """transaction_id,customer_id,amount,currency,channel,created_ts,discount_code,is_refund
 T1,1,"$1,234.50",USD,web,2024-02-01T08:00:00,N/A,true
-T2,2,EXTRA,USD,web,2024-02-01T08:00:00,,false
+T2,2,SOME,USD,web,2024-02-01T08:00:00,,false
 T3,9,5,USD,web,2024-02-01T08:00:00,,0
 T3,9,6,USD,web,2024-02-01T08:00:00,,0
 """
@@ -93,7 +95,8 @@ def test_counts_are_exact_when_tasks_run_again(spark, schemas):
 
 def test_counts_do_not_depend_on_the_listener_bus(spark, schemas, source, monkeypatch):
     """Lost observations are made up for from the written tables."""
-    monkeypatch.setattr(tables, "OBSERVATION_WAIT", 0.05)
+    good = tables.write_counted
+    monkeypatch.setattr(stages, "write_counted", lambda *args, **kw: good(*args, **kw, wait=0.05))
     monkeypatch.setattr(tables.Observation, "get", property(lambda self: threading.Event().wait()))
     configs = loaded(source)
     ingest = stages.run_ingest(spark, configs, f"{source}/input_files", schemas["bronze"])
@@ -149,7 +152,7 @@ def test_silver_names(spark, schemas, source, as_views):
     assert quarantine.columns == [*clean.columns, "_raw", "_quarantine_reason"]
     assert clean.columns[-1] == "_silver_refined_ts"
     assert sorted(column(clean, "transaction_id")) == ["T1", "T3", "T3"]
-    assert [r._raw.amount for r in quarantine.collect()] == ["EXTRA"]
+    assert [r._raw.amount for r in quarantine.collect()] == ["SOME"]
     # A feed without rejected rows has an empty quarantine, not a missing one.
     assert read_table(spark, f"{schemas['silver']}.client_c_transactions_quarantine").count() == 0
 
@@ -212,8 +215,159 @@ def test_settings_follow_the_input():
     small = sizing.session_settings(10 * sizing.GIB, cores=8)
     large = sizing.session_settings(100_000 * sizing.GIB, cores=4000)
     assert small["spark.sql.shuffle.partitions"] == "40"
-    assert int(large["spark.sql.shuffle.partitions"]) == sizing.MAX_SHUFFLE_PARTITIONS
-    assert int(small["spark.sql.files.maxPartitionBytes"]) == 128 * sizing.MIB
-    first = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
-    assert (sizing.session_settings(sizing.GIB, cores=8)[first], small[first]) == ("true", "false")
-    assert int(large["spark.sql.files.maxPartitionBytes"]) == 512 * sizing.MIB
+    assert large["spark.sql.shuffle.partitions"] == str(100_000 * 4)
+    assert sizing.session_settings(sizing.MIB, cores=8)["spark.sql.shuffle.partitions"] == "8"
+    same = "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+    assert [small[k] for k in same] == [large[k] for k in same] == [str(256 * sizing.MIB), "false"]
+    own = sizing.session_settings(sizing.GIB, 8, partition_bytes=sizing.MIB, scan_bytes=7, parallelism_first=True)
+    assert [own[k] for k in ("spark.sql.shuffle.partitions", *same)] == ["1024", "7", "true"]
+
+
+def failing(df):
+    return df.withColumn("boom", F.when(F.lit(True), F.raise_error(F.lit("lost"))).cast("int"))
+
+
+def versions(spark, schema):
+    return [t.name for t in spark.catalog.listTables(schema) if "__v" in t.name]
+
+
+@pytest.mark.parametrize("as_view", [True, False])
+def test_a_failed_write_leaves_the_old_table(spark, schemas, as_view):
+    name = f"{schemas['bronze']}.kept"
+    write_table(spark.range(5), name, as_view=as_view)
+    with pytest.raises(Exception, match="lost"):
+        write_table(failing(spark.range(9)), name, as_view=as_view)
+    assert (read_table(spark, name).columns, read_table(spark, name).count()) == (["id"], 5)
+    write_table(spark.range(2), name, as_view=as_view)
+    assert read_table(spark, name).count() == 2
+    assert len(versions(spark, schemas["bronze"])) == (1 if as_view else 0)
+
+
+def test_rows_can_be_appended_to_what_a_name_shows(spark, schemas):
+    name = f"{schemas['bronze']}.grows"
+    write_table(spark.range(5), name)
+    write_table(spark.range(2), name, mode="append")
+    assert read_table(spark, name).count() == 7
+
+
+def test_a_failed_stage_leaves_all_layers_readable(spark, schemas, source, monkeypatch):
+    counts = stages.main(schemas["bronze"], schemas["silver"], schemas["gold"], spark, source)
+    configs = loaded(source)
+
+    def state():
+        report = [tuple(r) for r in stages.quarantine_report(spark, configs, schemas["silver"]).collect()]
+        gold = {e: stages.gold_table(spark, schemas["gold"], e).count() for e in counts}
+        bronze = read_table(spark, f"{schemas['bronze']}.client_a_transactions").count()
+        return report, gold, bronze, versions(spark, schemas["silver"]) + versions(spark, schemas["gold"])
+
+    before = state()
+    for name, run in (
+        ("read_raw", lambda: stages.run_ingest(spark, configs, f"{source}/input_files", schemas["bronze"])),
+        ("tag_rows", lambda: stages.run_refine(spark, configs, schemas["bronze"], schemas["silver"])),
+        ("build_gold", lambda: stages.run_curate(spark, configs, schemas["silver"], schemas["gold"])),
+    ):
+        with monkeypatch.context() as patch:
+            good = getattr(stages, name)
+            patch.setattr(stages, name, lambda *args, good=good: failing(good(*args)))
+            with pytest.raises(Exception, match="lost"):
+                run()
+        assert state() == before
+    assert stages.main(schemas["bronze"], schemas["silver"], schemas["gold"], spark, source) == counts
+    assert len(versions(spark, schemas["silver"])) == 3 and len(versions(spark, schemas["gold"])) == 2
+
+
+def test_a_new_session_can_run_over_an_old_warehouse(spark, schemas, source, tmp_path):
+    """What an in-memory catalog forgets stays in its folder, and is in nobody's way."""
+    first = stages.main(schemas["bronze"], schemas["silver"], schemas["gold"], spark, source)
+    for layer in ("gold", "silver", "bronze"):
+        place = str(tmp_path / "db" / layer)
+        shutil.copytree(place, f"{place}-again")
+        schemas[layer] = ensure_schema(spark, "spark_catalog", f"again{next(names)}_{layer}", f"{place}-again")
+    assert stages.main(schemas["bronze"], schemas["silver"], schemas["gold"], spark, source) == first
+
+
+def test_every_stage_checks_the_configs(spark, schemas):
+    configs = {"x": {"customers": {"file": "f", "delimiter": ",", "columns": ["id"], "require_fields": ["id"]}}}
+    for run in (
+        lambda: stages.run_ingest(spark, configs, "/nowhere", schemas["bronze"]),
+        lambda: stages.run_refine(spark, configs, schemas["bronze"], schemas["silver"]),
+        lambda: stages.run_curate(spark, configs, schemas["silver"], schemas["gold"]),
+    ):
+        with pytest.raises(ValueError, match="unknown key 'require_fields'"):
+            run()
+
+
+def test_refine_does_not_sort_in_a_default_session(spark, schemas, source, monkeypatch):
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    assert spark.conf.get(key) == "0"
+    configs = loaded(source)
+    stages.run_ingest(spark, configs, f"{source}/input_files", schemas["bronze"])
+    seen = []
+    good = stages.write_counted
+    monkeypatch.setattr(stages, "write_counted", lambda *args: (seen.append(spark.conf.get(key)), good(*args))[1])
+    stages.run_refine(spark, configs, schemas["bronze"], schemas["silver"])
+    assert set(seen) == {"4"} and spark.conf.get(key) == "0"
+    tagged = stages.tag_rows(read_table(spark, f"{schemas['bronze']}.client_a_transactions"), configs["client_a"]["transactions"])
+
+    def sorts():
+        name = f"{schemas['silver']}.planned{next(names)}"
+        spark.sql(f"CREATE TABLE {name} USING parquet PARTITIONED BY (_rejected) AS SELECT * FROM {{t}}", t=tagged.limit(0))
+        tagged.createOrReplaceTempView("tagged")
+        return "Sort [_rejected" in spark.sql(f"EXPLAIN INSERT INTO {name} SELECT * FROM tagged").first()[0]
+
+    assert sorts()
+    spark.conf.set(key, "4")
+    try:
+        assert not sorts()
+    finally:
+        spark.conf.unset(key)
+
+
+def test_curated_tables_by_client(spark, schemas, source):
+    stages.main(schemas["bronze"], schemas["silver"], schemas["gold"], spark, source, gold_partition_by=["client_id"])
+    gold = stages.gold_table(spark, schemas["gold"], "transactions")
+    one = gold.filter("client_id = 'client_c'")
+    assert one.count() == 1
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(client_id" in plan
+
+
+def test_source_path_passes_through(spark, schemas, source):
+    stages.main(schemas["bronze"], schemas["silver"], schemas["gold"], spark, source, keep_source_path=True)
+    rows = read_table(spark, f"{schemas['silver']}.client_a_transactions").collect()
+    assert {r._source_path.rsplit("/", 1)[1] for r in rows} == {"transactions_2024_01.txt"}
+
+
+def test_a_third_entity(spark, schemas, source, tmp_path):
+    register_entity(
+        CanonicalEntity("returns", "client_id string, source_return_id string, reason string, _silver_refined_ts timestamp",
+                        {"return_key": "source_return_id"})
+    )
+    try:
+        feed = {"file": "r.txt", "delimiter": ";", "columns": ["no", "why"], "required_fields": ["source_return_id"],
+                "column_map": {"no": "source_return_id", "why": "reason"}}
+        (tmp_path / "source" / "configs" / "client_r.yaml").write_text(yaml.safe_dump({"returns": feed}))
+        land(tmp_path / "source" / "input_files", "client_r", "r.txt", "no;why\n1;late\n;lost\n")
+        counts = stages.main(schemas["bronze"], schemas["silver"], schemas["gold"], spark, source)
+        assert counts == {"customers": 2, "transactions": 3, "returns": 1}
+        assert stages.gold_table(spark, schemas["gold"], "returns").first().return_key == "client_r_1"
+    finally:
+        del CANONICAL["returns"]
+
+
+def test_the_first_failure_stops_the_rest(spark):
+    started, release = [], threading.Event()
+
+    def work(i):
+        started.append(i)
+        if i == 3:
+            raise RuntimeError("third")
+        release.wait(20)
+        return i
+
+    begin = time.perf_counter()
+    timer = threading.Timer(3, release.set)
+    timer.start()
+    with pytest.raises(RuntimeError, match="third"):
+        stages._for_each(spark, [(i,) for i in range(40)], work, 4)
+    assert time.perf_counter() - begin < 15 and len(started) < 20
