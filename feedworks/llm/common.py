@@ -62,6 +62,8 @@ def slices(batch: pa.Array | pa.RecordBatch, rows: int = 256) -> Iterator[pa.Arr
     """A batch in parts of a few rows, so that only a part of it is held as Python objects."""
     for at in range(0, len(batch), rows):
         yield batch.slice(at, rows)
+    # Python workers live on from task to task: what Arrow has freed goes back at once.
+    pa.default_memory_pool().release_unused()
 
 
 def free_name(df: DataFrame, wanted: str) -> str:

@@ -21,19 +21,23 @@ def byte_values() -> np.ndarray:
     return mixed(np.arange(1, 257, dtype=U) * U(0x9E3779B97F4A7C15))
 
 
+_powers: dict[int, np.ndarray] = {}
+
+
 def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64, by doubling."""
-    out = np.ones(max(n, 1), U)
-    have = 1
-    while have < n:
-        step = U(pow(base, have, 1 << 64))
-        more = min(have, n - have)
-        out[have : have + more] = out[:more] * step
-        have += more
-    return out
+    """base**0 .. base**(n-1) modulo 2**64; as many as the longest text so far needed are kept."""
+    out = _powers.get(base)
+    if out is None or len(out) < n:
+        have, out = 1, np.ones(max(1 << 12, 1 << (n - 1).bit_length()), U)
+        while have < len(out):
+            out[have : 2 * have] = out[:have] * U(pow(base, have, 1 << 64))
+            have *= 2
+        _powers[base] = out
+    return out[:n]
 
 
 BASE = 0x9E3779B97F4A7C15 | 1
+BACK = pow(BASE, -1, 1 << 64)
 
 
 def word_hashes(data: np.ndarray) -> np.ndarray:
@@ -46,6 +50,6 @@ def word_hashes(data: np.ndarray) -> np.ndarray:
     # Within a word the sum of byte values times falling powers; one running sum gives all.
     sums = np.zeros(len(data) + 1, U)
     np.cumsum(byte_values()[data] * powers(BASE, len(data)), out=sums[1:])
-    back = powers(pow(BASE, -1, 1 << 64), int(starts[-1]) + 1)
+    back = powers(BACK, int(starts[-1]) + 1)
     lengths = (ends - starts).astype(U)
     return mixed((sums[ends] - sums[starts]) * back[starts] + lengths)

@@ -37,7 +37,7 @@ from feedworks.llm.common import free_name
 SPACE = "▁"
 #: Parts whose ids a task keeps, half of them from the last round and half from the one
 #: before; then the older half goes. Bounds memory, not results.
-MEMO = 400_000
+MEMO = 300_000
 #: Texts that are worked on at a time within an Arrow batch.
 SLICE = 500
 
