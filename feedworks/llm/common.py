@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import shutil
+import sys
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -13,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform.startswith("linux") else None
+
 #: A word: a run of anything but space and the control characters from tab to return.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -48,22 +52,39 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: lineage ends here.
 
     A lost executor costs later steps a new read of these files, never the work before.
+    ``batch_rows`` is how many rows Python workers get at a time, for rows that are large: the
+    session's own setting is back when the table is written.
     """
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, key = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    path, before = fresh_path(spark, name), spark.conf.get(key)
+    if batch_rows is not None:
+        spark.conf.set(key, batch_rows)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(key, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def slices(batch: pa.Array | pa.RecordBatch, rows: int = 256) -> Iterator[pa.Array | pa.RecordBatch]:
     """A batch in parts of a few rows, so that only a part of it is held as Python objects."""
     for at in range(0, len(batch), rows):
         yield batch.slice(at, rows)
-    # Python workers live on from task to task: what Arrow has freed goes back at once.
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on from task to task.
+
+    Arrow is asked to, and so is the C library where it can (glibc).
+    """
     pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
 
 
 def free_name(df: DataFrame, wanted: str) -> str:

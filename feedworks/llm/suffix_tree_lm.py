@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedworks.llm.common import text_or_empty, written
+from feedworks.llm.common import give_back, text_or_empty, written
 from feedworks.llm.hashing import U, mixed, word_hashes
 
 DEPTH = 3
@@ -46,6 +46,8 @@ DISCOUNT = 0.75
 CHUNK, BUCKET = 1 << 20, 1 << 20
 #: Contexts are split so that at most this many can need it, whatever the corpus.
 SPLIT_CONTEXTS = 200_000
+#: Chunks and messages that a Python worker is given at a time.
+ROWS = 4
 END, SALT = U(0x5851F42D4C957F2D), U(0xD1B54A32D192ED03)
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -135,6 +137,7 @@ def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     for batch in batches:
         for i in range(batch.num_rows):
             yield batch.slice(i, 1).to_pylist()[0]
+            give_back()
 
 
 class Corpus:
@@ -413,7 +416,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
             yield message_batch([row + [b""] * 5 for row in sent])
 
     sent = chunks.mapInArrow(send_words, MESSAGES)
-    answers = written(sent.groupBy("bucket").applyInPandas(add_words, ANSWERS), "lm-answers")
+    answers = written(sent.groupBy("bucket").applyInPandas(add_words, ANSWERS), "lm-answers", ROWS)
     totals = [unpack(r["counts"], np.int64) for r in answers.where("chunk = -1").select("counts").collect()]
     corpus = Corpus(max(1, -(-tokens_bound // BUCKET)), *(int(sum(t[k] for t in totals)) for k in (0, 1)))
 
@@ -421,9 +424,9 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
         last = depth == DEPTH
         sent = with_answers(chunks, answers).mapInArrow(sender(corpus, depth, last), LAST_MESSAGES if last else MESSAGES)
         if last:
-            sent = written(sent, "lm-last")
+            sent = written(sent, "lm-last", ROWS)
         found = sent.where("bucket >= 0").select(*names_of(MESSAGES)).groupBy("bucket").applyInPandas(add_up(depth), ANSWERS)
-        found = written(found, "lm-answers")
+        found = written(found, "lm-answers", ROWS)
         corpus.split[depth] = split_states(found)
         answers = answers.unionByName(found)
 
@@ -451,7 +454,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     carried = sent.where("bucket = -1").drop("bucket", "entries", "lone")
-    return with_answers(carried, found, "left").mapInArrow(finish, schema)
+    return written(with_answers(carried, found, "left").mapInArrow(finish, schema), "lm-scores", ROWS)
 
 
 def sender(corpus: Corpus, depth: int, last: bool):
