@@ -47,7 +47,7 @@ CHUNK, BUCKET = 1 << 20, 1 << 20
 #: Contexts are split so that at most this many can need it, whatever the corpus.
 SPLIT_CONTEXTS = 200_000
 #: Chunks and messages that a Python worker is given at a time.
-ROWS = 4
+ROWS = 1
 END, SALT = U(0x5851F42D4C957F2D), U(0xD1B54A32D192ED03)
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
