@@ -309,7 +309,9 @@ def jaccard_links(
         )
     )
     linked = told.select("doc_id", "high", "low").join(known, ["high", "low"]).select("doc_id", "class_id", "n_links")
-    alone = signed.where("shingles = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+    alone = signed.where("shingles = 0").select(
+        "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links")
+    )
     return linked.unionByName(alone).withColumnRenamed("doc_id", doc_id)
 
 

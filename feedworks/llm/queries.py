@@ -139,5 +139,16 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     query.__name__: shipped(query)
-    for query in (op1_sentencepiece, op2_suffix_tree_lm, op3_url_filter, op4_token_shards, op5_exact_top_k, op6_mixing, op7_toxicity, op8_projection_tree, op9_chat_format, op10_ngram_join)
+    for query in (
+        op1_sentencepiece,
+        op2_suffix_tree_lm,
+        op3_url_filter,
+        op4_token_shards,
+        op5_exact_top_k,
+        op6_mixing,
+        op7_toxicity,
+        op8_projection_tree,
+        op9_chat_format,
+        op10_ngram_join,
+    )
 }

@@ -53,7 +53,10 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 CHUNKS = "chunk long, ids array<long>, held array<boolean>, lengths binary, words binary, tokens binary, size long"
-MESSAGES = "bucket int, chunk long, entries binary, counts binary, lone binary, split binary, next binary, seen binary, parent binary"
+MESSAGES = (
+    "bucket int, chunk long, entries binary, counts binary, lone binary, split binary, "
+    "next binary, seen binary, parent binary"
+)
 #: With the last messages a chunk sends, as bucket -1, what is left to do for it.
 LAST_MESSAGES = f"{MESSAGES}, ids array<long>, held array<boolean>, sums binary"
 ANSWERS = "chunk long, depth int, bucket int, counts binary, states binary"

@@ -39,7 +39,8 @@ def folder(spark, tmp_path_factory):
         if i % 4 < 3:
             text[draw.randrange(len(text))] = "changed"
         docs.append((i, " ".join(text), "en", "a", 1))
-    docs += [(480, None, None, None, None), (481, "", "en", "b", 0), (482, "i d i o t  that 1s " + "at ou ly " * 30, "en", "b", 9)]
+    docs += [(480, None, None, None, None), (481, "", "en", "b", 0)]
+    docs.append((482, "i d i o t  that 1s " + "at ou ly " * 30, "en", "b", 9))
     spark.createDataFrame(docs, SCHEMA).write.parquet(f"{place}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{place}/labels.parquet")
     return place
