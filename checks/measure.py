@@ -59,7 +59,8 @@ def measure_stages(spark: SparkSession) -> None:
         lines = feed_lines(spark, sf_dir, client_id, entity)
         lines = lines.crossJoin(F.broadcast(spark.range(copies).select(F.lit(0).alias("copy"))))
         write_feed(lines, feed["columns"], feed["delimiter"], f"{landing.input_dir}/{client_id}/{feed['file']}")
-    layers = {f"{way}_{layer}": landing.schema(f"{way}_{layer}") for way in ("plain", "ours") for layer in ("bronze", "silver", "gold")}
+    names = [f"{way}_{layer}" for way in ("plain", "ours") for layer in ("bronze", "silver", "gold")]
+    layers = {name: landing.schema(name) for name in names}
 
     def save(df: DataFrame, name: str) -> int:
         spark.sql(f"DROP TABLE IF EXISTS {name}")

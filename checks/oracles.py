@@ -302,7 +302,12 @@ SELECT CASE WHEN m = 2 THEN {KEY} END AS {id_cell}, CASE WHEN m = 2 THEN {KEY} E
 FROM cust WHERE part = {part} AND m IN (1, 2)"""
 
 
-A_NAMES = {"first_name": "'Customer'", "last_name": "substr(c_name, 10)", "email": "'u' || k || '@x.test'", "status": "c_mktsegment"}
+A_NAMES = {
+    "first_name": "'Customer'",
+    "last_name": "substr(c_name, 10)",
+    "email": "'u' || k || '@x.test'",
+    "status": "c_mktsegment",
+}
 ORACLES["quarantine_client_a_customers"] = rejected_customer(
     CUST,
     {

@@ -67,7 +67,8 @@ def test_orphans_with_one_hot_customer(spark):
         F.concat(F.lit("a"), F.col("id") % 1).alias("client_id"),
         F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 100).cast("string")).alias("customer_key"),
     )
-    customers = spark.range(50).select(F.concat(F.lit("a"), F.col("id") % 1).alias("client_id"), F.col("id").cast("string").alias("customer_key"))
+    client = F.concat(F.lit("a"), F.col("id") % 1).alias("client_id")
+    customers = spark.range(50).select(client, F.col("id").cast("string").alias("customer_key"))
     ids = [i for i in range(20_000)]
     expected = sum(1 for i in ids if i % 3 == 0 or i % 100 >= 50)
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
