@@ -94,7 +94,8 @@ class GlobAutomaton:
         state = np.broadcast_to(self.start, (len(begins), self.words)).copy()
         for k in range(int(lengths.max(initial=0))):
             inside = k < lengths
-            code = np.where(inside, data[np.where(inside, begins + k, 0)], 256)
+            code = np.full(len(begins), 256)
+            code[inside] = data[begins[inside] + k]
             shifted = state << ONE
             if self.words > 1:
                 shifted[:, 1:] |= state[:, :-1] >> np.uint64(63)

@@ -4,7 +4,7 @@ import re
 
 import pyarrow as pa
 import pytest
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 
 from feedworks.llm.url_filter import GlobAutomaton, filter_urls, match_globs
@@ -29,7 +29,9 @@ def as_pattern(glob: str) -> re.Pattern:
     return re.compile(out.encode("utf-8"))
 
 
-@settings(max_examples=200, deadline=None)
+@settings(max_examples=500, deadline=None)
+@example([""], ["", "a"])
+@example(["a*b", "a?"], ["ab", "a", "axxb", "ax", "\x00", ""])
 @given(st.lists(globs, min_size=1, max_size=30), st.lists(urls, max_size=20))
 def test_matches_as_regular_expressions_do(rules, texts):
     found = GlobAutomaton(rules).match(pa.array(texts, pa.string()))
