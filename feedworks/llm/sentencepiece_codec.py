@@ -22,6 +22,7 @@ from __future__ import annotations
 import codecs
 import heapq
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -32,14 +33,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 from sentencepiece import sentencepiece_model_pb2
 
-from feedworks.llm.common import free_name
+from feedworks.llm.common import free_name, slices
 
 SPACE = "▁"
 #: Parts whose ids a task keeps, half of them from the last round and half from the one
 #: before; then the older half goes. Bounds memory, not results.
 MEMO = 300_000
-#: Texts that are worked on at a time within an Arrow batch.
-SLICE = 500
 
 codecs.register_error("each_byte", lambda e: ("�", e.start + 1))
 
@@ -203,8 +202,8 @@ def vocabulary(model_file: str) -> PieceVocabulary:
 
 def _encoded(batch: pa.Array, model_file: str, check: str):
     """Ids of the batch's texts, some texts at a time: a list array for each slice."""
-    for at in range(0, max(len(batch), 1), SLICE):
-        flat, ends = vocabulary(model_file).encode_batch(batch.slice(at, SLICE).to_pylist(), check)
+    for part in slices(batch):
+        flat, ends = vocabulary(model_file).encode_batch(part.to_pylist(), check)
         yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
 
 
@@ -231,7 +230,8 @@ def encode(
 
     @F.arrow_udf(ArrayType(IntegerType()))
     def ids_of(batch: pa.Array) -> pa.Array:
-        return pa.concat_arrays(list(_encoded(batch, model_file, check)))
+        none = pa.array([], pa.list_(pa.int32()))
+        return pa.concat_arrays([none, *_encoded(batch, model_file, check)])
 
     return df.withColumn(out, ids_of(F.coalesce(F.col(text), F.lit(""))))
 
@@ -254,17 +254,21 @@ def encode_and_decode(
     text_out: str = "decoded",
     check: str = "parts",
 ) -> DataFrame:
-    """Both in one pass: the ids of ``text``, and the text that those ids stand for."""
-    _known(check)
+    """Both in one pass: the ids of ``text``, and the text that those ids stand for.
 
-    @F.arrow_udf(StructType().add("ids", ArrayType(IntegerType())).add("text", StringType()))
-    def both(batch: pa.Array) -> pa.Array:
-        ids, texts = [], []
-        for found in _encoded(batch, model_file, check):
-            ids.append(found)
-            texts.append(_decoded(found, model_file))
-        return pa.StructArray.from_arrays([pa.concat_arrays(ids), pa.concat_arrays(texts)], ["ids", "text"])
-
-    held = free_name(df, "coded")
-    coded = df.withColumn(held, both(F.coalesce(F.col(text), F.lit(""))))
-    return coded.withColumns({ids_out: F.col(held)["ids"], text_out: F.col(held)["text"]}).drop(held)
+    Rows go through in small parts, so neither side holds more than a part's ids at a time.
+    """
+    _known(check)
+    ids_at, text_at = free_name(df, "coded_ids"), free_name(df, "coded_text")
+    schema = StructType(list(df.schema.fields)).add(ids_at, ArrayType(IntegerType())).add(text_at, StringType())
+    source = next(c for c in df.columns if c.lower() == text.lower())
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (part for batch in batches for part in slices(batch)):
+            texts = [t or "" for t in part.column(source).to_pylist()]
+            flat, ends = vocabulary(model_file).encode_batch(texts, check)
+            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+            yield pa.record_batch([*part.columns, ids, _decoded(ids, model_file)], schema.names)
+
+    coded = df.mapInArrow(both, schema)
+    return coded.withColumns({ids_out: F.col(ids_at), text_out: F.col(text_at)}).drop(ids_at, text_at)
