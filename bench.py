@@ -77,7 +77,8 @@ def main() -> None:
         .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "8g"))
         .config("spark.sql.session.timeZone", "UTC")
     )
-    for key, value in session_settings(folder_bytes(sf_dir), cores).items():
+    # The tables are small: all cores are worth more than large partitions.
+    for key, value in session_settings(folder_bytes(sf_dir), cores, parallelism_first=True).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
