@@ -66,7 +66,8 @@ def parse_money(text: Column) -> Column:
     number = F.trim(text)
     for sign in ("$", ","):
         number = F.replace(number, F.lit(sign), F.lit(""))
-    return F.when(number.rlike(r"\p{Nd}"), number.try_cast(MONEY_TYPE))
+    # Asked of the text itself: the number would be built twice, to be tested and to be read.
+    return F.when(text.rlike(r"\p{Nd}"), number.try_cast(MONEY_TYPE))
 
 
 def parse_flag(text: Column, true_values: Sequence[str], false_values: Sequence[str]) -> Column:
