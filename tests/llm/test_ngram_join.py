@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 
 from feedworks.llm import ngram_join
-from feedworks.llm.components import connected_components
+from feedworks.llm.components import _state, connected_components
 from feedworks.llm.ngram_join import jaccard_links, keep_one_of_each_group, prefix_length, shingle_set
 
 WORDS = [f"w{i}" for i in range(500)]
@@ -130,3 +130,10 @@ def test_components_of_chains_stars_and_loops(spark):
     got = {r["node"]: r["component"] for r in connected_components(df).collect()}
     assert got == {x: root(x) for x in parent}
     assert connected_components(df.limit(0)).count() == 0
+
+
+def test_the_digest_of_very_many_edges_does_not_overflow(spark):
+    edges = spark.range(1 << 25).selectExpr("id + 1 as v", "0L as u")
+    state = _state(edges)
+    assert state == _state(edges.repartition(3)) and state[0] == 1 << 25
+    assert _state(edges.where("v <> 77"))[1:] != state[1:]
