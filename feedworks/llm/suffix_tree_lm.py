@@ -9,7 +9,8 @@ by the longest retained suffix of the words before each word. Probabilities of a
 words add up to one in every state.
 
 Tokens are the words of the lower-cased (A-Z) text and one end per text. Words and contexts
-are known by 64-bit hashes, next words within a context by 32 bits.
+are known by 64-bit hashes, next words within a context by 32 bits. Counts within a chunk have 32
+bits, those of the corpus 64.
 
 How it runs: texts become chunks of about ``CHUNK`` tokens, one written row each, with a
 vocabulary of their own. For words, then for contexts of one word, two words and so on,
@@ -284,9 +285,9 @@ def settle(
     """Of positions in the order of their entries: counts of their keys, whether their
     contexts are states, and their probabilities, given those in the suffix state."""
     found = [answers[b] for b in sorted(answers)]
-    none = np.empty(0, np.uint32)
-    count = np.concatenate([none, *(unpack(x, np.uint32) for x, _ in found)]).astype(np.int64)
-    state = np.concatenate([none, *(unpack(x, np.uint32) for _, x in found)]).astype(np.int64).reshape(-1, 3)
+    none = np.empty(0, U)
+    count = np.concatenate([none, *(unpack(x, U) for x, _ in found)]).astype(np.int64)
+    state = np.concatenate([none, *(unpack(x, U) for _, x in found)]).astype(np.int64).reshape(-1, 3)
     names, values = corpus.split.get(depth, (np.empty(0, U), np.empty((0, 3), np.int64)))
     hot = np.flatnonzero(split)
     if len(names) and len(hot):
@@ -341,8 +342,8 @@ def add_up(depth: int):
         at_entry = at_key = 0
         for chunk, own, counts in zip(pdf["chunk"], entries, per):
             keys = int(counts.sum())
-            mine = states[entry[at_entry : at_entry + len(own)]].astype(np.uint32)
-            rows.append((chunk, depth, bucket, pack(n[key[at_key : at_key + keys]].astype(np.uint32)), pack(mine.ravel())))
+            mine = states[entry[at_entry : at_entry + len(own)]].astype(U)
+            rows.append((chunk, depth, bucket, pack(n[key[at_key : at_key + keys]].astype(U)), pack(mine.ravel())))
             at_entry, at_key = at_entry + len(own), at_key + keys
         parts = split > 0
         if parts.any():
@@ -370,7 +371,7 @@ def add_words(pdf: pd.DataFrame) -> pd.DataFrame:
     total = np.bincount(word, np.concatenate([unpack(x, np.uint32) for x in pdf["counts"]])).astype(np.int64)
     rows, at = [], 0
     for chunk, own in zip(pdf["chunk"], words):
-        rows.append((chunk, 0, bucket, pack(total[word[at : at + len(own)]].astype(np.uint32)), b""))
+        rows.append((chunk, 0, bucket, pack(total[word[at : at + len(own)]].astype(U)), b""))
         at += len(own)
     rows.append((-1, 0, bucket, pack(np.array([total.sum(), (total > 0).sum()], np.int64)), b""))
     return pd.DataFrame(rows, columns=["chunk", "depth", "bucket", "counts", "states"])
@@ -388,7 +389,7 @@ def replayed(row: dict, corpus: Corpus, depth: int) -> Chunk:
     """A chunk with all answers so far, and its contexts of ``depth`` words."""
     chunk = Chunk(row)
     answers = answers_of(row)
-    counts = np.concatenate([unpack(answers[0][b][0], np.uint32) for b in sorted(answers[0])])
+    counts = np.concatenate([unpack(answers[0][b][0], U) for b in sorted(answers[0])])
     chunk.start(corpus, counts)
     for k in range(1, depth + 1):
         chunk.extend(k, corpus)

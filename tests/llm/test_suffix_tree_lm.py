@@ -146,3 +146,27 @@ def test_empty_table_and_no_training_rows(spark):
     assert [(r["n_tokens"], r["n_known"], r["train_tokens"], r["held_out"]) for r in got] == [(1, 0, 0, True), (3, 0, 0, True)]
     assert got[0]["score"] == got[0]["base_score"] == pytest.approx(0)
     assert lm.score(df.limit(0)).count() == 0
+
+
+def test_counts_of_the_corpus_have_64_bits():
+    import numpy as np
+    import pandas as pd
+
+    many, u32 = 3_000_000_000, np.uint32
+    corpus = lm.Corpus(1, 100_000_000_000, 2)
+    row = lm.chunk_row(1, [1], [False], [np.array([5, 7], lm.U)])
+    row = row.to_pylist()[0]
+    sent = {"bucket": 0, "chunk": [1, 2], "entries": lm.pack(np.array([5, 7], lm.U))}
+    words = lm.add_words(pd.DataFrame(sent | {"counts": lm.pack(np.array([many, 9], u32))}))
+    row["answers"] = words[words.chunk == 1][["depth", "bucket", "counts", "states"]].to_dict("records")
+    assert lm.replayed(row, corpus, 0).word_seen.tolist() == [2 * many, 18]
+    # One context with one next word, which two chunks have seen as often as they can say.
+    sent = {"bucket": 0, "chunk": [1, 2], "entries": lm.pack(np.array([5], lm.U)), "counts": lm.pack(np.array([1], u32))}
+    sent |= {"lone": lm.pack(np.array([0], u32)), "split": lm.pack(np.zeros(1, lm.U)), "next": lm.pack(np.array([3], u32))}
+    sent |= {"seen": lm.pack(np.array([many], u32)), "parent": lm.pack(np.array([80], np.uint8))}
+    found = lm.add_up(1)(pd.DataFrame(sent))
+    answer = found[found.chunk == 2].iloc[0]
+    zero = np.zeros(1, int)
+    n, is_state, p = lm.settle(1, corpus, {0: (answer.counts, answer.states)}, np.zeros(1, lm.U), zero, zero, np.array([0.001]))
+    assert n.tolist() == [2 * many] and is_state.all()
+    assert p[0] == pytest.approx(1, abs=1e-8)
