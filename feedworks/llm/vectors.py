@@ -117,7 +117,12 @@ class Index:
         raise NotImplementedError
 
     def distance(self, q: np.ndarray, least: np.ndarray) -> np.ndarray:
-        """The distance, among lifted vectors, that an inner product of ``least`` means."""
+        """The distance, among lifted vectors, that an inner product of ``least`` means.
+
+        The lowest score stands for none yet, whose distance has no limit.
+        """
+        if np.issubdtype(least.dtype, np.integer):
+            least = np.where(least == np.iinfo(least.dtype).min, -np.inf, least.astype(float))
         square = (q * q).sum(axis=1) + self.longest**2 - 2 * least
         return np.sqrt(np.maximum(square, 0)) * (1 + 1e-9) + 1e-9 * (1 + self.longest)
 

@@ -138,3 +138,14 @@ def test_zero_vectors(spark):
     df = spark.createDataFrame([(0, [0.0, 0.0], "", 1), (1, [-1.0, 0.0], "", 1), (2, [1.0, 0.0], "", 1)], SCHEMA)
     assert lists(exact_top_k(df, 5, F.col("vec_id") == 1)) == {1: [(0, 0.0), (2, -1.0)]}
     assert lists(approximate_top_k(df, 5, F.col("vec_id") < 2)) == {1: [(2, -1.0)]}
+
+
+def test_whole_numbers_with_fewer_candidates_than_k(spark):
+    rows = [(0, [256.0, 0.0], "", 1), (1, [-256.0, 0.0], "", 1)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = lists(exact_top_k(df, 5, F.lit(True), whole=True))
+    assert got == {0: [(1, -65536)], 1: [(0, -65536)]}
+    nan = float("nan")
+    rows += [(2, [0.0, 0.0], "", 1), (3, [300.0], "short", 1), (4, None, "", 1), (5, [nan, 1.0], "", 1), (None, [9.0], "", 1)]
+    got = lists(exact_top_k(spark.createDataFrame(rows, SCHEMA), 5, F.col("vec_id") < 2, whole=True))
+    assert got == {0: [(3, 76800), (2, 0), (1, -65536)], 1: [(2, 0), (0, -65536), (3, -76800)]}
