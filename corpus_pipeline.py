@@ -24,8 +24,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of texts that links connect, the document with the smallest id."""
-    return ngram_join.keep_one_of_each_group(docs)
+    """Of each group of texts that links connect, one row with the smallest id."""
+    return ngram_join.keep_one_row_of_each_group(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

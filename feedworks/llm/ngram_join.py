@@ -34,10 +34,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedworks.llm.common import free_name, slices, text_or_empty, written
+from feedworks.llm.common import WORD, free_name, slices, text_or_empty, written
 from feedworks.llm.components import connected_components
 from feedworks.llm.hashing import mixed, word_hashes
 
@@ -256,6 +256,17 @@ def jaccard_links(
     (itself included); ``n_links`` counts the other rows with a similarity at or above
     ``threshold``, copies of its own text among them.
     """
+    signed, known = linked_classes(df, text, doc_id, threshold, recall)
+    links = told_rows(signed, known).select("doc_id", "class_id", "n_links")
+    return links.withColumnRenamed("doc_id", doc_id)
+
+
+def linked_classes(df: DataFrame, text: str, doc_id: str, threshold: float, recall: float) -> tuple[DataFrame, DataFrame]:
+    """The signed rows, and for each class of equal sets (high, low) what is known of it.
+
+    That is its ``first_id``, ``class_id`` and ``n_links``, and whether it is ``chosen`` to stand
+    for its group: the class of the smallest id (nulls last), then the smallest class number.
+    """
     rows = df.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("text"))
     signed = written(signatures(rows), "shingle-signatures")
     told = signed.where("shingles > 0")
@@ -295,8 +306,12 @@ def jaccard_links(
     gains = found.where("b = -1").groupBy(F.col("a").alias("class_no")).agg(F.sum("gain").alias("gain"))
     groups = connected_components(found.where("b <> -1").select("a", "b"))
     grouped = groups.withColumnRenamed("node", "class_no").join(classes.select("class_no", "first_id"), "class_no")
-    firsts = grouped.groupBy("component").agg(F.min("first_id").alias("group_id"))
-    grouped = grouped.join(firsts, "component").select("class_no", "group_id")
+    rank = F.struct(F.col("first_id").isNull().alias("unnamed"), "first_id", "class_no")
+    firsts = grouped.select("component", rank.alias("rank")).groupBy("component").agg(F.min("rank").alias("first"))
+    chosen = F.col("class_no") == F.col("first.class_no")
+    grouped = grouped.join(firsts, "component").select(
+        "class_no", F.col("first.first_id").alias("group_id"), chosen.alias("chosen")
+    )
     known = (
         classes.select("high", "low", "class_no", "first_id", "copies")
         .join(grouped, "class_no", "left")
@@ -304,15 +319,23 @@ def jaccard_links(
         .select(
             "high",
             "low",
+            "first_id",
             F.coalesce("group_id", "first_id").alias("class_id"),
             (F.coalesce("gain", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+            F.coalesce("chosen", F.lit(True)).alias("chosen"),
         )
     )
-    linked = told.select("doc_id", "high", "low").join(known, ["high", "low"]).select("doc_id", "class_id", "n_links")
+    return signed, known
+
+
+def told_rows(signed: DataFrame, known: DataFrame) -> DataFrame:
+    """The signed rows' doc_id, class_id, n_links, and whether they may stand for their group (``stays``)."""
+    stays = F.col("chosen") & F.col("doc_id").eqNullSafe(F.col("first_id"))
+    linked = signed.where("shingles > 0").select("doc_id", "high", "low").join(known, ["high", "low"])
     alone = signed.where("shingles = 0").select(
-        "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links")
+        "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(True).alias("stays")
     )
-    return linked.unionByName(alone).withColumnRenamed("doc_id", doc_id)
+    return linked.select("doc_id", "class_id", "n_links", stays.alias("stays")).unionByName(alone)
 
 
 def class_number():
@@ -349,10 +372,63 @@ def keep_one_of_each_group(
 ) -> DataFrame:
     """The rows of ``df`` whose id is the smallest of its group; all their columns stay.
 
-    Ids name documents: rows that repeat the id which stays all stay.
+    Ids name documents: rows that repeat the id which stays all stay, and all rows of an id go, null
+    ones too, if one of them does. Where ids may be null or repeat with different texts,
+    ``keep_one_row_of_each_group`` loses no text.
     """
     links = jaccard_links(df, text, doc_id, threshold, recall)
     key = free_name(df, "kept_id")
     gone = written(links.where(~F.col(doc_id).eqNullSafe(F.col("class_id"))).select(F.col(doc_id).alias(key)).distinct(), "gone")
     few = gone.limit(BROADCAST_MEMBERS + 1).count() <= BROADCAST_MEMBERS
     return df.join(F.broadcast(gone) if few else gone, df[doc_id].eqNullSafe(gone[key]), "left_anti")
+
+
+def keep_one_row_of_each_group(
+    df: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = 0.8, recall: float = 0.99999
+) -> DataFrame:
+    """One row of ``df`` of each group, and all rows without any word; all their columns stay.
+
+    Rows are told apart by their texts, whatever ids they repeat. The row with the smallest id stays,
+    nulls last; among rows that share it, those of the class with the smallest number, and
+    of these the one that comes first by its text and then its other columns.
+    """
+    signed, known = linked_classes(df, text, doc_id, threshold, recall)
+    key = free_name(df, "told_id")
+    counts = told_rows(signed, known).groupBy(F.col("doc_id").alias(key)).agg(
+        F.count_if(~F.col("stays")).alias("gone"), F.count_if("stays").alias("left")
+    )
+    counts = written(counts.where("gone > 0 or left > 1"), "told-ids")
+
+    def small(ids: DataFrame) -> DataFrame:
+        return F.broadcast(ids) if ids.limit(BROADCAST_MEMBERS + 1).count() <= BROADCAST_MEMBERS else ids
+
+    # No row of these ids stays. Of the others with several rows, the texts are asked again.
+    gone = small(counts.where("left = 0").select(key))
+    left = df.join(gone, df[doc_id].eqNullSafe(gone[key]), "left_anti")
+    mixed = counts.where("left > 0").select(key)
+    if mixed.isEmpty():
+        return left
+    mixed = small(mixed)
+    asked = left[doc_id].eqNullSafe(mixed[key]) & text_or_empty(left[text]).rlike(WORD)
+    certain = left.join(mixed, asked, "left_anti")
+    mark = free_name(df, "set_mark")
+    told = left.join(mixed, asked, "left_semi").withColumn(mark, marks_of(text_or_empty(text)))
+    standing = known.where("chosen").select(F.struct("high", "low").alias("marks"), "first_id")
+    stays = (told[mark] == standing["marks"]) & told[doc_id].eqNullSafe(standing["first_id"])
+    told = told.join(standing, stays, "left_semi")
+    others = [f.name for f in df.schema.fields if not any(x in f.dataType.simpleString() for x in ("map<", "variant"))]
+    best = Window.partitionBy(mark).orderBy(text, *(c for c in others if c not in (text, doc_id)))
+    at = free_name(df, "at_in_group")
+    one = told.withColumn(at, F.row_number().over(best)).where(F.col(at) == 1).drop(at, mark)
+    return certain.unionByName(one)
+
+
+def marks_of(text: Column) -> Column:
+    """The marks (high, low) of a text's shingle set, as in ``signatures``."""
+
+    @F.arrow_udf("struct<high:bigint,low:bigint>")
+    def marks(batch: pa.Array) -> pa.Array:
+        found = [set_marks(shingle_set(t)) for part in slices(batch) for t in part.cast(pa.binary()).to_pylist()]
+        return pa.StructArray.from_arrays([pa.array([m[k] for m in found], pa.int64()) for k in (0, 1)], ["high", "low"])
+
+    return marks(text)

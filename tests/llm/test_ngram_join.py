@@ -7,7 +7,7 @@ import pytest
 
 from feedworks.llm import ngram_join
 from feedworks.llm.components import _state, connected_components
-from feedworks.llm.ngram_join import jaccard_links, keep_one_of_each_group, prefix_length, shingle_set
+from feedworks.llm.ngram_join import jaccard_links, keep_one_of_each_group, keep_one_row_of_each_group, prefix_length, shingle_set
 
 WORDS = [f"w{i}" for i in range(500)]
 
@@ -137,3 +137,38 @@ def test_the_digest_of_very_many_edges_does_not_overflow(spark):
     state = _state(edges)
     assert state == _state(edges.repartition(3)) and state[0] == 1 << 25
     assert _state(edges.where("v <> 77"))[1:] != state[1:]
+
+
+@pytest.mark.parametrize("broadcast", [0, 200_000])
+def test_one_row_of_each_group_stays_whatever_the_ids(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(ngram_join, "BROADCAST_MEMBERS", broadcast)
+    near = " ".join(WORDS[:90])
+    kept = [
+        (5, "a b c d e f"), (None, "alone here"), (None, "only  null twice"), (7, "a b"), (8, "something else"),
+        (3, "x y"), (3, "z z z"), (None, ""), (None, None), (8, " "),
+    ]
+    gone = [(None, "a b c d e f"), (None, "only null twice"), (8, "a b"), (12, "something  else"), (3, "x y")]
+    rows = [(d, t, {"k": 1}) for d, t in kept + gone + [(20, near), (20, near + " other"), (None, near)]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, first_id map<string,int>")
+    left = keep_one_row_of_each_group(df)
+    assert left.columns == df.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str)
+    assert len(got) == len(kept) + 1
+    assert [x for x in got if x[0] != 20] == sorted(kept, key=str)
+    assert keep_one_row_of_each_group(df.limit(0)).count() == 0
+    # Ids drawn from a few, or null: by row numbers, one of each group with its smallest id stays.
+    draw = random.Random(6)
+    texts = [t for _, t in corpus(6)]
+    ids = [draw.choice([None, *range(40)]) for _ in texts]
+    df = spark.createDataFrame(list(zip(ids, texts, range(len(ids)))), "doc_id long, text string, row int")
+    groups = {i: g for i, (g, _) in plain_join(list(enumerate(texts))).items()}
+    want = {g: min((ids[i] is None, ids[i] or 0) for i in groups if groups[i] == g) for g in set(groups.values())}
+    left = [r["row"] for r in keep_one_row_of_each_group(df).collect()]
+    assert sorted(groups[i] for i in left) == sorted(want)
+    assert all((ids[i] is None, ids[i] or 0) == want[groups[i]] for i in left)
+
+
+def test_distinct_ids_keep_the_same_rows_both_ways(spark):
+    df = spark.createDataFrame(corpus(7), "doc_id long, text string")
+    by_row, by_id = keep_one_row_of_each_group(df), keep_one_of_each_group(df)
+    assert sorted(r["doc_id"] for r in by_row.collect()) == sorted(r["doc_id"] for r in by_id.collect())
