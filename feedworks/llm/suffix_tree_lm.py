@@ -3,7 +3,9 @@
 A state is a context of one to ``DEPTH`` words. It is retained if it was seen often enough and
 its next-word distribution diverges from that of its suffix (the context without its first
 word): the log-likelihood gain of its own counts, each occurrence left out of them in turn,
-must exceed ``GAIN``. Distributions are smoothed by absolute discounting, the discounted mass
+must exceed ``GAIN``. A longer context is tried only where its suffix is a state and its own first
+words were tried, whose counts tell how often it occurs: (a, b, c) is passed over where (b) is no state,
+even if (b, c) is one. Distributions are smoothed by absolute discounting, the discounted mass
 going to the suffix state; at the root words have (c + 0.1) / (N + 0.1 (V + 1)). A text is scored
 by the longest retained suffix of the words before each word. Probabilities of all next
 words add up to one in every state.
