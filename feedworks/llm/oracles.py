@@ -121,3 +121,124 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
 WHERE rank <= 5
 """
+
+ORACLES["op11_suffix_shards"] = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(list_slice(ws, i, i + 12), ' ') AS w
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM words WHERE len(ws) >= 13)),
+firsts AS (SELECT w, min(doc_id) AS first FROM windows GROUP BY w),
+gone AS (
+  SELECT doc_id, list(DISTINCT spot) AS places
+  FROM (SELECT doc_id, unnest(range(i, i + 13)) AS spot FROM windows JOIN firsts USING (w) WHERE first < doc_id)
+  GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
+       sha256(array_to_string(
+         CASE WHEN places IS NULL THEN ws
+              ELSE [ws[i] FOR i IN range(1, len(ws) + 1) IF NOT list_contains(places, i)] END,
+         ' ')) AS kept_sha256
+FROM words LEFT JOIN gone USING (doc_id)
+"""
+
+# crc32 by its table of 256 remainders, which the first step works out bit by bit.
+_BIT = "CASE WHEN ({0}) & 1 = 1 THEN xor(({0}) >> 1, 3988292384::BIGINT) ELSE ({0}) >> 1 END"
+ORACLES["op12_spelling_groups"] = (
+    r"""
+WITH RECURSIVE bits AS (
+  SELECT i, i AS c, 0 AS step FROM (SELECT unnest(range(256))::BIGINT AS i)
+  UNION ALL
+  SELECT i, """
+    + _BIT.format("c")
+    + r""", step + 1 FROM bits WHERE step < 8),
+remainders AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE step = 8),
+runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), 'null') AS doc,
+         unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run
+  FROM documents),
+counted AS (SELECT doc, run, count(*) AS n FROM runs WHERE length(run) >= 7 GROUP BY ALL),
+hashed AS (
+  SELECT run, n,
+         xor(list_reduce(
+           [CAST('0x' || b AS BIGINT) FOR b IN regexp_extract_all(hex(encode(doc || ':' || run)), '..')],
+           lambda crc, b: xor(t[1 + (xor(crc, b) & 255)], crc >> 8), 4294967295::BIGINT), 4294967295) AS h
+  FROM counted, remainders),
+typed AS (
+  SELECT n, CASE WHEN h % 31 = 0
+                 THEN substr(run, 1, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) AS INTEGER) + 2)
+                 ELSE run END AS word
+  FROM hashed),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM typed WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+holes AS (
+  SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+patterns AS (
+  SELECT word, n, i, substr(word, 1, i - 1) AS head, substr(word, i + 1) AS tail FROM holes),
+near AS (
+  SELECT DISTINCT a.word, a.n, b.word AS near, b.n AS near_n
+  FROM patterns a JOIN patterns b ON a.i = b.i AND a.head = b.head AND a.tail = b.tail AND a.word <> b.word
+  UNION
+  SELECT DISTINCT a.word, a.n, b.word, b.n FROM patterns a JOIN words b ON b.word = a.head || a.tail
+  UNION
+  SELECT DISTINCT b.word, b.n, a.word, a.n FROM patterns a JOIN words b ON b.word = a.head || a.tail),
+best AS (
+  SELECT word, n, near, near_n, count(*) OVER (PARTITION BY word) AS n_near,
+         row_number() OVER (PARTITION BY word ORDER BY near_n DESC, encode(near)) AS place
+  FROM near),
+forms AS (
+  SELECT word, n_near, CASE WHEN near_n >= 10 * n THEN near END AS form, CASE WHEN near_n >= 10 * n THEN near_n END AS form_n
+  FROM best WHERE place = 1),
+chains AS (
+  SELECT word, word AS last, 0 AS step FROM words
+  UNION ALL
+  SELECT c.word, f.form, step + 1 FROM chains c JOIN forms f ON f.word = c.last WHERE f.form IS NOT NULL)
+SELECT w.word, f.form, (SELECT arg_max(last, step) FROM chains c WHERE c.word = w.word) AS root,
+       w.n, coalesce(f.n_near, 0) AS n_near, f.form_n
+FROM words w LEFT JOIN forms f ON f.word = w.word
+"""
+)
+
+
+def _rounds(rounds: int) -> str:
+    """K-means step by step: whole numbers below 2**53 are exact in the products of doubles."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+near{r} AS MATERIALIZED (
+  SELECT row, cluster, distance FROM (
+    SELECT x.row, c.cluster,
+           CAST(list_inner_product(x.v, x.v) + list_inner_product(c.v, c.v) - 2 * list_inner_product(x.v, c.v) AS BIGINT) AS distance,
+           row_number() OVER (PARTITION BY x.row ORDER BY
+             list_inner_product(x.v, x.v) + list_inner_product(c.v, c.v) - 2 * list_inner_product(x.v, c.v), c.cluster) AS place
+    FROM vectors x CROSS JOIN centroids{r} c) WHERE place = 1)""")
+        if r < rounds:
+            steps.append(f"""
+sums{r} AS (
+  SELECT cluster, i, CAST(sum(CAST(v[i] AS BIGINT)) AS BIGINT) AS s, count(*) AS n
+  FROM near{r} JOIN vectors USING (row), range(1, 65) AS places(i) GROUP BY cluster, i),
+centroids{r + 1} AS MATERIALIZED (
+  SELECT c.cluster, coalesce(m.v, c.v) AS v FROM centroids{r} c LEFT JOIN (
+    SELECT cluster, list(CAST((s - ((s % n) + n) % n) // n AS DOUBLE) ORDER BY i) AS v FROM sums{r} GROUP BY cluster) m
+  USING (cluster))""")
+    return ",".join(steps)
+
+
+ORACLES["op13_drift_clusters"] = (
+    """
+WITH vectors AS MATERIALIZED (
+  SELECT vec_id, row_number() OVER () AS row, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = 64),
+centroids0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS cluster, v
+  FROM (SELECT v, sha256('3:' || coalesce(CAST(vec_id AS VARCHAR), 'null')) AS h FROM vectors ORDER BY h, v LIMIT 8)),"""
+    + _rounds(10)
+    + """
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance,
+       CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string([CAST(CAST(x AS BIGINT) AS VARCHAR) FOR x IN c.v], ',')) AS centroid_sha256
+FROM near10 JOIN vectors USING (row) JOIN centroids10 c USING (cluster)
+"""
+)

@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 
 from feedworks.llm import (
     chat_format,
+    drift_clusters,
     mixing,
     ngram_join,
     pivot_index,
     projection_tree,
     sentencepiece_codec,
+    spelling_groups,
+    suffix_shards,
     suffix_tree_lm,
     token_shards,
     toxicity,
@@ -137,6 +140,25 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_links(docs)
 
 
+def op11_suffix_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = suffix_shards.remove_earlier_passages(docs, window=13)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op12_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    counts = spelling_groups.count_runs(docs, "doc_id", "text", least=7, drop=31).where("n >= 2")
+    return spelling_groups.group_spellings(counts, ratio=10, least=7)
+
+
+def op13_drift_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    members = drift_clusters.cluster_vectors(vectors, k=8, rounds=10, width=64, scale=1024)
+    centroid = F.array_join(F.col("centroid").cast("array<string>"), ",")
+    return members.withColumn("centroid_sha256", F.sha2(centroid, 256)).drop("centroid")
+
+
 QUERIES = {
     query.__name__: shipped(query)
     for query in (
@@ -150,5 +172,8 @@ QUERIES = {
         op8_projection_tree,
         op9_chat_format,
         op10_ngram_join,
+        op11_suffix_shards,
+        op12_spelling_groups,
+        op13_drift_clusters,
     )
 }
