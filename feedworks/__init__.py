@@ -23,10 +23,11 @@ from feedworks.plans.stages import (
 from feedworks.sources.delimited import read_raw
 from feedworks.sources.entities import CanonicalEntity, register_entity
 from feedworks.sources.spec import check_configs, list_client_ids, load_client_config, load_configs
-from feedworks.sources.tables import ensure_schema, read_table, write_table
+from feedworks.sources.tables import Retention, ensure_schema, read_table, write_table
 
 __all__ = [
     "CanonicalEntity",
+    "Retention",
     "build_gold_customers",
     "build_gold_transactions",
     "check_configs",

@@ -1,7 +1,8 @@
 """The three stages over all feeds: land raw text, refine, curate.
 
 A stage reads the tables of the one before and replaces its own, so any of them
-can be run again; until a new table is complete, the old one stays. Feeds do not depend
+can be run again; until a new table is complete, the old one stays, and for the time
+that ``retention`` gives to readers and other runs also after that. Feeds do not depend
 on each other and are submitted a few at a time; Spark shares the cluster among their
 jobs. Every stage checks the configs before its first job.
 """
@@ -29,7 +30,7 @@ from feedworks.operators.refine import (
 from feedworks.sources.delimited import read_raw
 from feedworks.sources.entities import CANONICAL
 from feedworks.sources.spec import FeedSpec, check_configs, feeds_of, load_configs
-from feedworks.sources.tables import read_table, write_counted
+from feedworks.sources.tables import Retention, read_table, write_counted
 
 Configs = Mapping[str, Mapping[str, Any]]
 Result = TypeVar("Result")
@@ -73,10 +74,11 @@ def ingest_client_entity(
     input_dir: str,
     table_name: str,
     source_path: bool = False,
+    retention: Retention = Retention(),
 ) -> tuple[DataFrame, str, int]:
     """Land one feed; returns (the table's rows, its name, its row count)."""
     raw = read_raw(spark, client_id, entity_name, entity_cfg, input_dir, source_path)
-    counted = write_counted(raw, table_name, {"rows": F.count(F.lit(1))})
+    counted = write_counted(raw, table_name, {"rows": F.count(F.lit(1))}, (), None, True, retention)
     return read_table(spark, table_name), table_name, counted["rows"]
 
 
@@ -87,13 +89,14 @@ def run_ingest(
     bronze_schema: str,
     parallelism: int = DEFAULT_PARALLELISM,
     source_path: bool = False,
+    retention: Retention = Retention(),
 ) -> list[dict[str, Any]]:
     """Land every feed in ``<bronze>.<client>_<entity>``; one report row per feed."""
     check_configs(client_configs)
 
     def land(client_id: str, entity: str, cfg: Mapping[str, Any]) -> dict[str, Any]:
         name = f"{bronze_schema}.{client_id}_{entity}"
-        _, table, rows = ingest_client_entity(spark, client_id, entity, cfg, input_dir, name, source_path)
+        _, table, rows = ingest_client_entity(spark, client_id, entity, cfg, input_dir, name, source_path, retention)
         return {"client_id": client_id, "entity": entity, "table": table, "row_count": rows}
 
     return _for_each(spark, feeds_of(client_configs), land, parallelism)
@@ -106,12 +109,13 @@ def run_refine(
     silver_schema: str,
     parallelism: int = DEFAULT_PARALLELISM,
     as_views: bool = True,
+    retention: Retention = Retention(),
 ) -> list[dict[str, Any]]:
     """Refine every feed into ``<silver>.<client>_<entity>`` and ``..._quarantine``.
 
-    Both names are views on one table, ``..._refined``, that is partitioned by the
-    verdict: raw rows are read and typed once, and a reader of either name opens
-    only the files of its own partition. ``as_views=False`` writes two tables
+    Both names are views on a third, ``..._refined``, which shows one table that is partitioned by the
+    verdict: raw rows are read and typed once, a reader of either name opens
+    only the files of its own partition, and both change in one step. ``as_views=False`` writes two tables
     instead, reading the raw rows twice, for catalogs that have no views.
 
     While the stage runs, a task may hold a file open per verdict; without that Spark would
@@ -123,7 +127,7 @@ def run_refine(
         raw = read_table(spark, f"{bronze_schema}.{client_id}_{entity}")
         name = f"{silver_schema}.{client_id}_{entity}"
         write = _write_once if as_views else _write_twice
-        clean, quarantined = write(spark, raw, cfg, name)
+        clean, quarantined = write(spark, raw, cfg, name, retention)
         return {
             "client_id": client_id,
             "entity": entity,
@@ -135,22 +139,26 @@ def run_refine(
         return _for_each(spark, feeds_of(client_configs), refine, parallelism)
 
 
-def _write_once(spark: SparkSession, raw: DataFrame, cfg: Mapping[str, Any], name: str) -> tuple[int, int]:
+def _write_once(
+    spark: SparkSession, raw: DataFrame, cfg: Mapping[str, Any], name: str, retention: Retention
+) -> tuple[int, int]:
     tagged = tag_rows(raw, cfg)
     verdicts = {"clean": F.count_if(~F.col(REJECTED_COLUMN)), "rejected": F.count_if(REJECTED_COLUMN)}
     views = {
         name: (clean_columns(tagged), f"NOT {REJECTED_COLUMN}"),
         f"{name}_quarantine": (quarantine_columns(tagged), REJECTED_COLUMN),
     }
-    counted = write_counted(tagged, f"{name}_refined", verdicts, [REJECTED_COLUMN], views)
+    counted = write_counted(tagged, f"{name}_refined", verdicts, [REJECTED_COLUMN], views, True, retention)
     return counted["clean"], counted["rejected"]
 
 
-def _write_twice(spark: SparkSession, raw: DataFrame, cfg: Mapping[str, Any], name: str) -> tuple[int, int]:
+def _write_twice(
+    spark: SparkSession, raw: DataFrame, cfg: Mapping[str, Any], name: str, retention: Retention
+) -> tuple[int, int]:
     clean, quarantine = refine_entity(raw, cfg)
     rows = {"rows": F.count(F.lit(1))}
     counted = [
-        write_counted(part, table, rows, as_view=False)["rows"]
+        write_counted(part, table, rows, as_view=False, retention=retention)["rows"]
         for part, table in ((clean, name), (quarantine, f"{name}_quarantine"))
     ]
     return counted[0], counted[1]
@@ -163,6 +171,7 @@ def run_curate(
     gold_schema: str,
     parallelism: int = DEFAULT_PARALLELISM,
     partition_by: Sequence[str] = (),
+    retention: Retention = Retention(),
 ) -> dict[str, int]:
     """Curate each entity some client has into ``<gold>.<entity>``; {entity: row count}.
 
@@ -176,7 +185,8 @@ def run_curate(
     def curate(entity: str) -> int:
         frames = {c: read_table(spark, f"{silver_schema}.{c}_{entity}") for c in clients[entity]}
         gold = build_gold(CANONICAL[entity], frames)
-        counted = write_counted(gold, f"{gold_schema}.{entity}", {"rows": F.count(F.lit(1))}, partition_by)
+        name, rows = f"{gold_schema}.{entity}", {"rows": F.count(F.lit(1))}
+        counted = write_counted(gold, name, rows, partition_by, None, True, retention)
         return counted["rows"]
 
     entities = [entity for entity in CANONICAL if entity in clients]
@@ -192,6 +202,7 @@ def main(
     configs_dir: str | None = None,
     gold_partition_by: Sequence[str] = (),
     keep_source_path: bool = False,
+    retention: Retention = Retention(),
 ) -> dict[str, int]:
     """All stages over ``<source>/configs`` and ``<source>/input_files``; curated row counts.
 
@@ -199,9 +210,10 @@ def main(
     is storage that only Spark reaches.
     """
     configs = load_configs(f"{source_path}/configs" if configs_dir is None else configs_dir)
-    run_ingest(spark, configs, f"{source_path}/input_files", bronze_schema, source_path=keep_source_path)
-    run_refine(spark, configs, bronze_schema, silver_schema)
-    return run_curate(spark, configs, silver_schema, gold_schema, partition_by=gold_partition_by)
+    inputs = f"{source_path}/input_files"
+    run_ingest(spark, configs, inputs, bronze_schema, source_path=keep_source_path, retention=retention)
+    run_refine(spark, configs, bronze_schema, silver_schema, retention=retention)
+    return run_curate(spark, configs, silver_schema, gold_schema, partition_by=gold_partition_by, retention=retention)
 
 
 def gold_table(spark: SparkSession, gold_schema: str, entity: str) -> DataFrame:

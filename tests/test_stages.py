@@ -94,16 +94,27 @@ def test_counts_are_exact_when_tasks_run_again(spark, schemas):
 
 
 def test_counts_do_not_depend_on_the_listener_bus(spark, schemas, source, monkeypatch):
-    """Lost observations are made up for from the written tables."""
-    good = tables.write_counted
+    """Lost observations are made up for from the written tables, without a thread that still waits."""
+    good, threads = tables.write_counted, threading.active_count()
     monkeypatch.setattr(stages, "write_counted", lambda *args, **kw: good(*args, **kw, wait=0.05))
-    monkeypatch.setattr(tables.Observation, "get", property(lambda self: threading.Event().wait()))
+    monkeypatch.setattr(tables, "_arrived", lambda seen: False)
     configs = loaded(source)
     ingest = stages.run_ingest(spark, configs, f"{source}/input_files", schemas["bronze"])
     refine = stages.run_refine(spark, configs, schemas["bronze"], schemas["silver"])
     assert [r["row_count"] for r in ingest] == [4, 4, 1]
     assert [(r["clean_count"], r["quarantine_count"]) for r in refine] == [(2, 2), (3, 1), (1, 0)]
     assert stages.run_curate(spark, configs, schemas["silver"], schemas["gold"]) == {"customers": 2, "transactions": 3}
+    assert threading.active_count() <= threads + 1
+
+
+def test_counts_from_footers_read_no_column(spark, schemas):
+    rows = spark.range(1000).withColumn("odd", F.col("id") % 2 == 1)
+    write_table(rows, f"{schemas['bronze']}.counted", partition_by=["odd"])
+    table = read_table(spark, f"{schemas['bronze']}.counted")
+    counts = {"odd": F.count_if("odd"), "all": F.count(F.lit(1))}
+    assert tables.footer_metrics(table, counts) == {"odd": 500, "all": 1000}
+    plan = table.agg(*counts.values())._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan
 
 
 def test_whole_run(spark, schemas, source):
@@ -238,7 +249,7 @@ def test_a_failed_write_leaves_the_old_table(spark, schemas, as_view):
     with pytest.raises(Exception, match="lost"):
         write_table(failing(spark.range(9)), name, as_view=as_view)
     assert (read_table(spark, name).columns, read_table(spark, name).count()) == (["id"], 5)
-    write_table(spark.range(2), name, as_view=as_view)
+    write_table(spark.range(2), name, as_view=as_view, retention=tables.AT_ONCE)
     assert read_table(spark, name).count() == 2
     assert len(versions(spark, schemas["bronze"])) == (1 if as_view else 0)
 
@@ -272,10 +283,124 @@ def test_a_failed_stage_leaves_all_layers_readable(spark, schemas, source, monke
             with pytest.raises(Exception, match="lost"):
                 run()
         assert state() == before
-    assert stages.main(schemas["bronze"], schemas["silver"], schemas["gold"], spark, source) == counts
+    again = stages.main(
+        schemas["bronze"], schemas["silver"], schemas["gold"], spark, source, retention=tables.AT_ONCE
+    )
+    assert again == counts
     assert len(versions(spark, schemas["silver"])) == 3 and len(versions(spark, schemas["gold"])) == 2
 
 
+def test_two_writers_and_an_open_reader(spark, schemas):
+    """Each finds whole tables, whoever publishes first; the last one that publishes is shown."""
+    name = f"{schemas['bronze']}.shared"
+    write_table(spark.range(5), name)
+    open_reader = read_table(spark, name)
+    late = tables.write_version(spark.range(100), name)
+    early = tables.write_version(spark.range(20), name)
+    tables.publish(spark, name, early)
+    reader_between = read_table(spark, name)
+    assert (open_reader.count(), reader_between.count()) == (5, 20)
+    tables.publish(spark, name, late)
+    assert read_table(spark, name).count() == 100
+    assert (open_reader.count(), reader_between.count()) == (5, 20)
+    assert len(versions(spark, schemas["bronze"])) == 3
+    # The next run, with nobody left to wait for, keeps its own version only.
+    write_table(spark.range(3), name, retention=tables.AT_ONCE)
+    assert len(versions(spark, schemas["bronze"])) == 1 and read_table(spark, name).count() == 3
+
+
+def test_two_runs_of_a_stage_at_once(spark, schemas, source):
+    configs = loaded(source)
+    stages.run_ingest(spark, configs, f"{source}/input_files", schemas["bronze"])
+    runs = stages._for_each(
+        spark, [()] * 4, lambda: stages.run_refine(spark, configs, schemas["bronze"], schemas["silver"]), 4
+    )
+    assert runs[0] == runs[1] == runs[2] == runs[3]
+    for row in runs[0]:
+        silver = f"{schemas['silver']}.{row['client_id']}_{row['entity']}"
+        assert read_table(spark, silver).count() == row["clean_count"]
+        assert read_table(spark, f"{silver}_quarantine").count() == row["quarantine_count"]
+
+
+def test_versions_go_when_their_time_is_over(spark, schemas, monkeypatch):
+    name, hour = f"{schemas['bronze']}.aging", 3600
+    left = tables.write_version(spark.range(1), name)  # its run never publishes it
+    keep, clock = tables.Retention(superseded=hour, abandoned=24 * hour), tables._now()
+    for rows, passed, remaining in ((2, 0, 2), (3, hour / 2, 3), (4, 2 * hour, 3), (5, 2 * hour, 3), (6, 30 * hour, 2)):
+        clock += int(passed * 1000)
+        monkeypatch.setattr(tables, "_now", lambda: clock)
+        write_table(spark.range(rows), name, retention=keep)
+        assert read_table(spark, name).count() == rows
+        assert len(versions(spark, schemas["bronze"])) == remaining
+    assert not spark.catalog.tableExists(left)
+
+
+def test_what_is_shown_never_goes(spark, schemas):
+    name = f"{schemas['bronze']}.shown"
+    write_table(spark.range(5), name)
+    # As if another run had noted it as old in the moment before it was shown.
+    tables._mark(spark, tables.shown_version(spark, name), tables.SUPERSEDED)
+    tables._sweep(spark, name, tables.AT_ONCE)
+    assert read_table(spark, name).count() == 5
+
+
+def views_of(columns):
+    return {"part.low": (columns, "id < 10"), "part.high": (columns, "id >= 10")}
+
+
+@pytest.mark.parametrize("columns", [["id"], ["id", "b"], ["id", "a"]])
+@pytest.mark.parametrize("fails_at", range(6))
+def test_names_of_a_group_change_together(spark, schemas, monkeypatch, columns, fails_at):
+    """Wherever publishing stops, all names show one version."""
+    base = f"{schemas['bronze']}.whole"
+    views = {f"{schemas['bronze']}.{n.split('.')[1]}": part for n, part in views_of(["id", "a"]).items()}
+    old = spark.range(20).withColumn("a", F.lit(1)).withColumn("b", F.lit(2))
+    tables.publish(spark, base, tables.write_version(old, base), views)
+    version = tables.write_version(spark.range(5, 15).withColumn("b", F.lit(2)).withColumn("a", F.lit(1)), base)
+    again = {name: (columns, condition) for name, (_, condition) in views.items()}
+    steps, good = iter(range(100)), tables._show
+
+    def show(*args):
+        if next(steps) == fails_at:
+            raise RuntimeError("stopped")
+        good(*args)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "_show", show)
+        try:
+            tables.publish(spark, base, version, again)
+            stopped = False
+        except RuntimeError:
+            stopped = True
+    counts = tuple(read_table(spark, name).count() for name in views)
+    assert counts in ((10, 10), (5, 5)) if stopped else counts == (5, 5)
+    assert spark.table(base).count() == sum(counts)
+    tables.publish(spark, base, version, again)
+    assert all(read_table(spark, name).columns == columns for name in views)
+    assert tuple(read_table(spark, name).count() for name in views) == (5, 5)
+
+
+def test_an_unchanged_group_is_switched_by_one_statement(spark, schemas, monkeypatch):
+    base = f"{schemas['bronze']}.whole"
+    views = {f"{schemas['bronze']}.low": (["id"], "id < 10")}
+    tables.publish(spark, base, tables.write_version(spark.range(20), base), views)
+    seen, good = [], tables._show
+    monkeypatch.setattr(tables, "_show", lambda *args: (seen.append(args[1]), good(*args)))
+    tables.publish(spark, base, tables.write_version(spark.range(3), base), views)
+    assert seen == [base] and read_table(spark, next(iter(views))).count() == 3
+
+
+def test_a_table_in_the_way_of_a_view_is_kept_until_the_view_is_there(spark, schemas, monkeypatch):
+    name = f"{schemas['bronze']}.was_table"
+    write_table(spark.range(5), name, as_view=False)
+    version = tables.write_version(spark.range(9), name)
+    with pytest.raises(Exception, match="nowhere"):
+        tables._show(spark, name, "SELECT 1 FROM nowhere")
+    assert read_table(spark, name).count() == 5
+    tables.publish(spark, name, version)
+    assert read_table(spark, name).count() == 9 and len(versions(spark, schemas["bronze"])) == 2
+
+
 def test_a_new_session_can_run_over_an_old_warehouse(spark, schemas, source, tmp_path):
     """What an in-memory catalog forgets stays in its folder, and is in nobody's way."""
     first = stages.main(schemas["bronze"], schemas["silver"], schemas["gold"], spark, source)
