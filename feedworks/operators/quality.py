@@ -52,14 +52,24 @@ def enrich_transactions(
 ) -> DataFrame:
     """Every transaction with its customer's columns, null where none joins.
 
-    A customer column whose name a transaction has too gets the prefix
-    ``customer_``. The join strategy is left to Spark: it broadcasts customers only
+    A customer column whose name a transaction has too (in any case) gets the prefix
+    ``customer_``, again for as long as a transaction or another customer column has that name as well. The join
+    strategy is left to Spark: it broadcasts customers only
     if their measured size allows it and splits skewed customers otherwise.
     """
     if customer_columns is None:
         customer_columns = [c for c in customers.columns if c != "customer_key"]
-    taken = set(transactions.columns)
-    named = [F.col(c).alias(f"customer_{c.lstrip('_')}" if c in taken else c) for c in customer_columns]
+    taken = {c.lower() for c in transactions.columns}
+    renamed = [c for c in customer_columns if c.lower() in taken]
+    taken |= {c.lower() for c in customer_columns}
+    names = {}
+    for column in renamed:
+        name = f"customer_{column.lstrip('_')}"
+        while name.lower() in taken:
+            name = f"customer_{name}"
+        names[column] = name
+        taken.add(name.lower())
+    named = [F.col(c).alias(names.get(c, c)) for c in customer_columns]
     return transactions.join(customers.select("customer_key", *named), "customer_key", "left")
 
 

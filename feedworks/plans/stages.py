@@ -27,10 +27,17 @@ from feedworks.operators.refine import (
     refine_entity,
     tag_rows,
 )
-from feedworks.sources.delimited import read_raw
+from feedworks.sources.delimited import feed_path, is_unsplittable, read_lines, read_raw
 from feedworks.sources.entities import CANONICAL
 from feedworks.sources.spec import FeedSpec, check_configs, feeds_of, load_configs
-from feedworks.sources.tables import Retention, read_table, write_counted
+from feedworks.sources.tables import (
+    Retention,
+    drop_version,
+    read_table,
+    table_location,
+    write_counted,
+    write_version,
+)
 
 Configs = Mapping[str, Mapping[str, Any]]
 Result = TypeVar("Result")
@@ -75,11 +82,31 @@ def ingest_client_entity(
     table_name: str,
     source_path: bool = False,
     retention: Retention = Retention(),
+    recut: bool = False,
 ) -> tuple[DataFrame, str, int]:
-    """Land one feed; returns (the table's rows, its name, its row count)."""
-    raw = read_raw(spark, client_id, entity_name, entity_cfg, input_dir, source_path)
-    counted = write_counted(raw, table_name, {"rows": F.count(F.lit(1))}, (), None, True, retention)
-    return read_table(spark, table_name), table_name, counted["rows"]
+    """Land one feed; returns (the table's rows, its name, its row count).
+
+    ``recut`` writes the lines of compressed files that cannot be split (gzip and others) once more, in
+    even parts, before they are parsed. One task per file unpacks; parsing and everything
+    after it use every core. That pays where a feed is a few large files. Feeds whose header is to be
+    validated, or whose rows are to carry their real path, are read as they are.
+    """
+
+    def land(lines_at: str | None = None) -> int:
+        raw = read_raw(spark, client_id, entity_name, entity_cfg, input_dir, source_path, lines_at)
+        return write_counted(raw, table_name, {"rows": F.count(F.lit(1))}, (), None, True, retention)["rows"]
+
+    spec = FeedSpec.of(entity_cfg)
+    path = feed_path(input_dir, client_id, spec)
+    if not recut or source_path or spec.validate_header or not any(map(is_unsplittable, spark.read.text(path).inputFiles())):
+        rows = land()
+        return read_table(spark, table_name), table_name, rows
+    lines = write_version(read_lines(spark, path, spec.header), f"{table_name}_lines", "text")
+    try:
+        rows = land(table_location(spark, lines))
+    finally:
+        drop_version(spark, lines)
+    return read_table(spark, table_name), table_name, rows
 
 
 def run_ingest(
@@ -90,13 +117,14 @@ def run_ingest(
     parallelism: int = DEFAULT_PARALLELISM,
     source_path: bool = False,
     retention: Retention = Retention(),
+    recut: bool = False,
 ) -> list[dict[str, Any]]:
     """Land every feed in ``<bronze>.<client>_<entity>``; one report row per feed."""
     check_configs(client_configs)
 
     def land(client_id: str, entity: str, cfg: Mapping[str, Any]) -> dict[str, Any]:
         name = f"{bronze_schema}.{client_id}_{entity}"
-        _, table, rows = ingest_client_entity(spark, client_id, entity, cfg, input_dir, name, source_path, retention)
+        _, table, rows = ingest_client_entity(spark, client_id, entity, cfg, input_dir, name, source_path, retention, recut)
         return {"client_id": client_id, "entity": entity, "table": table, "row_count": rows}
 
     return _for_each(spark, feeds_of(client_configs), land, parallelism)
@@ -203,6 +231,7 @@ def main(
     gold_partition_by: Sequence[str] = (),
     keep_source_path: bool = False,
     retention: Retention = Retention(),
+    recut: bool = False,
 ) -> dict[str, int]:
     """All stages over ``<source>/configs`` and ``<source>/input_files``; curated row counts.
 
@@ -211,7 +240,7 @@ def main(
     """
     configs = load_configs(f"{source_path}/configs" if configs_dir is None else configs_dir)
     inputs = f"{source_path}/input_files"
-    run_ingest(spark, configs, inputs, bronze_schema, source_path=keep_source_path, retention=retention)
+    run_ingest(spark, configs, inputs, bronze_schema, source_path=keep_source_path, retention=retention, recut=recut)
     run_refine(spark, configs, bronze_schema, silver_schema, retention=retention)
     return run_curate(spark, configs, silver_schema, gold_schema, partition_by=gold_partition_by, retention=retention)
 

@@ -109,6 +109,17 @@ def write_version(
     return version
 
 
+def drop_version(spark: SparkSession, version: str) -> None:
+    """Drop a version that was written for steps in between and never published."""
+    _drop(spark, version)
+
+
+def table_location(spark: SparkSession, name: str) -> str:
+    """The folder that holds a table's files."""
+    told = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(name)}").collect()
+    return next(row["data_type"] for row in told if row["col_name"] == "Location")
+
+
 def _now() -> int:
     return int(time.time() * 1000)
 

@@ -112,3 +112,19 @@ def test_skewed_join_is_split(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_prefixed_names_are_free(spark):
+    """The prefixed name may itself be taken, by a transaction's or another customer's column, in any case."""
+    transactions = spark.createDataFrame(
+        [("a_1", "a", "x", "y")], "customer_key string, client_id string, CUSTOMER_CLIENT_ID string, note string"
+    )
+    customers = spark.createDataFrame(
+        [("a_1", "b", "n1", "n2")], "customer_key string, client_id string, note string, customer_note string"
+    )
+    joined = quality.enrich_transactions(transactions, customers)
+    assert joined.columns == [
+        "customer_key", "client_id", "CUSTOMER_CLIENT_ID", "note",
+        "customer_customer_client_id", "customer_customer_note", "customer_note",
+    ]
+    assert joined.select(*joined.columns).first() == ("a_1", "a", "x", "y", "b", "n1", "n2")

@@ -1,5 +1,6 @@
 """Tables, stage drivers and whole runs on small files."""
 
+import gzip
 import itertools
 import shutil
 import threading
@@ -496,3 +497,78 @@ def test_the_first_failure_stops_the_rest(spark):
     with pytest.raises(RuntimeError, match="third"):
         stages._for_each(spark, [(i,) for i in range(40)], work, 4)
     assert time.perf_counter() - begin < 15 and len(started) < 20
+
+
+FOLDED = {
+    "file": "folded.csv.gz", "delimiter": ";", "columns": ["source_customer_id", "name"],
+    "required_fields": ["source_customer_id"],
+}
+
+
+def zipped(tmp_path, *parts, **changes):
+    """A feed of gzip files, and its configs."""
+    for i, body in enumerate(parts):
+        folder = tmp_path / "in" / "folder_1"
+        folder.mkdir(parents=True, exist_ok=True)
+        with gzip.open(folder / (f"part{i}.gz" if len(parts) > 1 else FOLDED["file"]), "wt", newline="") as file:
+            file.write(body)
+    return {"folder_1": {"customers": {**FOLDED, **({"file": "*.gz"} if len(parts) > 1 else {}), **changes}}}, str(tmp_path / "in")
+
+
+def landed(spark, name):
+    return sorted(map(str, read_table(spark, name).drop("_ingestion_ts").collect()))
+
+
+ODD_LINES = (
+    "id;name\n1;plain\n\n   \n2;\"quo;ted\"\n3;\"dou\"\"bled\"\n4\n5;a;b\n6;\x01 control \r\n;\n7; spaced \n8;\"open\nid;name\n9;ü€"
+)
+
+
+@pytest.mark.parametrize("header", [True, False])
+@pytest.mark.parametrize("parts", [1, 3])
+def test_recut_lines_are_parsed_as_they_were(spark, schemas, tmp_path, parts, header):
+    configs, inputs = zipped(tmp_path, *[ODD_LINES] * parts, header=header)
+    name = f"{schemas['bronze']}.folder_1_customers"
+    plain = stages.run_ingest(spark, configs, inputs, schemas["bronze"])
+    expected = landed(spark, name)
+    assert stages.run_ingest(spark, configs, inputs, schemas["bronze"], recut=True) == plain
+    assert landed(spark, name) == expected and len(expected) == parts * (11 if header else 12)
+    assert not [t for t in spark.catalog.listTables(schemas["bronze"]) if "_lines" in t.name]
+
+
+def test_recut_feeds_use_all_cores(spark, schemas, tmp_path):
+    """One gzip file of many blocks: parsed, and refined, by as many tasks as there are parts."""
+    body = "id;name\n" + "".join(f"{i};{hash(str(i))}{hash(str(-i))}\n" for i in range(60_000))
+    configs, inputs = zipped(tmp_path, body)
+    name = f"{schemas['bronze']}.folder_1_customers"
+    files, tasks = {}, {}
+    # Parts in proportion to this little file.
+    sizes = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k", "spark.sql.files.maxPartitionBytes": "256k",
+             "spark.sql.files.openCostInBytes": "1"}
+    for key, value in sizes.items():
+        spark.conf.set(key, value)
+    try:
+        for recut in (False, True):
+            assert stages.run_ingest(spark, configs, inputs, schemas["bronze"], recut=recut)[0]["row_count"] == 60_000
+            files[recut] = len(read_table(spark, name).inputFiles())
+            tasks[recut] = stages.refine_entity(read_table(spark, name), configs["folder_1"]["customers"])[0].rdd.getNumPartitions()
+    finally:
+        for key in sizes:
+            spark.conf.unset(key)
+    assert files[False] == 1 and min(files[True], tasks[True]) >= 8
+
+
+def test_a_failed_recut_leaves_no_lines(spark, schemas, tmp_path, monkeypatch):
+    configs, inputs = zipped(tmp_path, ODD_LINES)
+    good = stages.read_raw
+    monkeypatch.setattr(stages, "read_raw", lambda *args: failing(good(*args)))
+    with pytest.raises(Exception, match="lost"):
+        stages.run_ingest(spark, configs, inputs, schemas["bronze"], recut=True)
+    assert spark.catalog.listTables(schemas["bronze"]) == []
+
+
+def test_feeds_that_are_not_recut(spark, schemas, tmp_path):
+    configs, inputs = zipped(tmp_path, "source_customer_id;name\n1;x\n", validate_header=True)
+    assert stages.run_ingest(spark, configs, inputs, schemas["bronze"], recut=True)[0]["row_count"] == 1
+    stages.run_ingest(spark, configs, inputs, schemas["bronze"], source_path=True, recut=True)
+    assert read_table(spark, f"{schemas['bronze']}.folder_1_customers").first()["_source_path"].endswith("folded.csv.gz")
