@@ -172,6 +172,23 @@ SELECT count(*) AS row_count, CAST(sum(o_orderkey) AS BIGINT) AS key_sum,
   CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DECIMAL(38,2)) AS amount_sum
 FROM orders"""
 
+ORACLES["versions_and_readers"] = """
+SELECT reader, count(*) AS row_count, CAST(sum(o_orderkey) AS BIGINT) AS key_sum
+FROM orders JOIN (VALUES ('before both', NULL), ('after the quick one', 'O'), ('after the slow one', 'F')) AS r(reader, status)
+  ON status IS NULL OR o_orderstatus = status
+GROUP BY reader"""
+
+ORACLES["names_change_together"] = """
+SELECT l_returnflag AS flag, count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS key_sum, sum(l_quantity) AS quantity, true AS shown
+FROM lineitem WHERE l_returnflag IN ('R', 'A') GROUP BY 1"""
+
+ORACLES["bronze_recut_gzip"] = """
+SELECT CAST(o_orderkey AS VARCHAR) AS number, CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) AS price,
+  o_orderstatus AS status,
+  CASE WHEN o_orderkey % 10 = 3
+       THEN o_orderkey || ';' || CAST(o_totalprice AS DECIMAL(12,2)) || ';' || o_orderstatus || ';extra' END AS corrupt_text
+FROM orders"""
+
 # --- scalar steps -----------------------------------------------------------
 
 ORACLES["rename_null_tokens"] = """
@@ -549,3 +566,13 @@ FROM gold_transactions t LEFT JOIN gold_customers c ON t.customer_key = c.custom
 ORACLES["orphan_transactions"] = f"""{GOLD}
 SELECT client_id, count(*) AS n FROM gold_transactions t
 WHERE NOT EXISTS (SELECT 1 FROM gold_customers c WHERE c.customer_key = t.customer_key) GROUP BY client_id"""
+ORACLES["footer_counts"] = f"""{GOLD}, feeds AS (
+  SELECT client AS client_id, 'transactions' AS entity, m IN (1, 2, 3, 4, 8, 10, 12) AS bad
+  FROM tx WHERE NOT (m = 12 AND part = 2)
+  UNION ALL SELECT client, 'customers', m IN (1, 2) FROM cust)
+SELECT client_id, entity, count(*) FILTER (NOT bad) AS clean_n, count(*) FILTER (bad) AS quarantine_n
+FROM feeds GROUP BY ALL"""
+ORACLES["customers_with_free_names"] = """
+SELECT o_custkey AS customer_key, o_orderkey AS number, o_orderstatus AS segment, o_orderpriority AS "CUSTOMER_SEGMENT",
+  c_name AS name, c_mktsegment AS customer_customer_segment
+FROM orders LEFT JOIN customer ON o_custkey = c_custkey"""

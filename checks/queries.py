@@ -21,7 +21,15 @@ from feedworks.plans import stages
 from feedworks.sources.delimited import read_raw
 from feedworks.sources.entities import CANONICAL, TRANSACTIONS
 from feedworks.sources.spec import CORRUPT_COLUMN
-from feedworks.sources.tables import read_table, write_table
+from feedworks.sources.tables import (
+    AT_ONCE,
+    footer_metrics,
+    publish,
+    read_table,
+    shown_version,
+    write_table,
+    write_version,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -148,6 +156,75 @@ def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def versions_and_readers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs that write one table at the same time, and readers that keep what they opened.
+
+    The run that began first is done last. Then a third run drops what nobody reads any more.
+    """
+    name = f"{Landing.of(spark, sf_dir).schema('scratch')}.shared_orders"
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    write_table(orders, name, retention=AT_ONCE)
+    opened = {"before both": read_table(spark, name)}
+    slow, quick = (write_version(orders.where(F.col("o_orderstatus") == s), name) for s in ("F", "O"))
+    publish(spark, name, quick)
+    opened["after the quick one"] = read_table(spark, name)
+    publish(spark, name, slow)
+    opened["after the slow one"] = read_table(spark, name)
+    totals = (F.count(F.lit(1)).alias("row_count"), F.sum("o_orderkey").alias("key_sum"))
+    return union([df.agg(*totals).select(F.lit(reader).alias("reader"), "*") for reader, df in opened.items()])
+
+
+@query
+def names_change_together(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two names of one table, after a run that could define only one of them anew: both show what they did before."""
+    name = f"{Landing.of(spark, sf_dir).schema('scratch')}.lines"
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_returnflag")
+    views = {f"{name}_{flag}": (["l_orderkey", "l_quantity"], f"l_returnflag = '{flag}'") for flag in ("R", "A")}
+    publish(spark, name, write_version(lines, name), views)
+    later = lines.where("l_orderkey % 2 = 0")
+    broken = {f"{name}_R": views[f"{name}_R"], f"{name}_A": (["l_orderkey", "l_quantity"], "no_such_column = 1")}
+    version = write_version(later, name)
+    try:
+        publish(spark, name, version, broken)
+    except Exception as err:
+        if "no_such_column" not in str(err):
+            raise
+    shown = F.lit(shown_version(spark, name) is not None)
+    parts = [read_table(spark, view).select(F.lit(view[-1]).alias("flag"), "l_orderkey", "l_quantity") for view in views]
+    sums = (F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").alias("key_sum"), F.sum("l_quantity").alias("quantity"))
+    return union(parts).groupBy("flag").agg(*sums).withColumn("shown", shown)
+
+
+@query
+def footer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean and quarantined rows per feed as the footers of the refined tables tell them, without a column read."""
+    landing = Landing.of(spark, sf_dir)
+    landing.refine_report()
+    verdicts = {"clean_n": F.count_if(F.col("_rejected") == F.lit(False)), "quarantine_n": F.count_if("_rejected")}
+    rows = []
+    for client_id, entity in FEEDS:
+        whole = read_table(spark, f"{landing.schema('silver')}.{client_id}_{entity}_refined")
+        told = footer_metrics(whole, verdicts)
+        rows.append((client_id, entity, told["clean_n"], told["quarantine_n"]))
+    return spark.createDataFrame(rows, "client_id string, entity string, clean_n long, quarantine_n long")
+
+
+@query
+def bronze_recut_gzip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of gzip files, dealt out anew before they are parsed."""
+    landing = Landing.of(spark, sf_dir)
+    orders = table(spark, sf_dir, "orders")
+    line = F.concat_ws(";", "o_orderkey", F.col("o_totalprice").cast("decimal(12,2)"), "o_orderstatus")
+    odd = F.when(F.col("o_orderkey") % 10 == 3, F.concat(line, F.lit(";extra"))).otherwise(line)
+    place = f"{landing.input_dir}/zipped/lines"
+    orders.select(odd).write.mode("overwrite").option("compression", "gzip").text(place)
+    feed = {"file": "lines", "delimiter": ";", "header": False, "columns": ["number", "price", "status"]}
+    name = f"{landing.schema('scratch')}.zipped_orders"
+    rows, _, _ = stages.ingest_client_entity(spark, "zipped", "orders", feed, landing.input_dir, name, recut=True)
+    return repeatable(rows).select("number", "price", "status", F.col(CORRUPT_COLUMN).alias("corrupt_text"))
+
+
 # --- scalar steps -----------------------------------------------------------
 
 
@@ -638,6 +715,21 @@ def transactions_with_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("transaction_key", "customer_key", "amount", "first_name", "email", "signup_date")
 
 
+@query
+def customers_with_free_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their customers where prefixed names are taken as well."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("customer_key"),
+        F.col("o_orderkey").alias("number"),
+        F.col("o_orderstatus").alias("segment"),
+        F.col("o_orderpriority").alias("CUSTOMER_SEGMENT"),
+    )
+    people = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("customer_key"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment")
+    )
+    return quality.enrich_transactions(orders, people)
+
+
 @query
 def orphan_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = Landing.of(spark, sf_dir)
