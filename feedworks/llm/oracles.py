@@ -109,16 +109,16 @@ FROM reached GROUP BY start
 
 ORACLES["op5_exact_top_k"] = """
 WITH vectors AS (
-  SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS v
+  SELECT vec_id, row_number() OVER () AS row, [CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND len(embedding) > 0
     AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = len(embedding)),
 scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
-  FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id
+  SELECT q.vec_id AS query_id, q.row, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON q.row <> c.row
   WHERE q.vec_id % 50 = 0)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
-FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+FROM (SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS rank FROM scored)
 WHERE rank <= 5
 """
 

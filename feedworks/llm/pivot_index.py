@@ -9,8 +9,8 @@ are exact. Nearness is the largest inner product, turned into a distance by givi
 one length with a component more. The pivots are chosen far apart from a bounded sample.
 
 Null vectors, and those without or with non-finite components, take no part; neither
-do null ids. Vectors shorter than others count as ending in zeros. Of rows that repeat an id the
-smallest vector counts. Ties go to the smaller id. Fewer candidates than ``k`` are all
+do null ids. Vectors shorter than others count as ending in zeros. Rows that repeat an id are
+candidates and queries of their own; a query leaves out its own row only. Ties go to the smaller id. Fewer candidates than ``k`` are all
 returned; an empty table gives an empty table. Other columns are not used. Products of whole
 numbers are exact as long as they fit a long.
 """

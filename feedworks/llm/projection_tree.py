@@ -14,8 +14,8 @@ are verified on the original vectors, and each that is found shortens the reach.
 
 Nearness is the largest inner product, turned into a distance by giving all vectors one
 length with a component more. Null, zero and non-finite vectors take no part, neither
-do null ids; shorter vectors count as ending in zeros; of rows that repeat an id the smallest
-vector counts; ties go to the smaller id. Fewer candidates than ``k`` are all returned, an
+do null ids; shorter vectors count as ending in zeros; rows that repeat an id are candidates and
+queries of their own, and a query leaves out its own row only; ties go to the smaller id. Fewer candidates than ``k`` are all returned, an
 empty table gives an empty table. Other columns are not used.
 """
 

@@ -6,26 +6,29 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedworks.llm.common import written
 
 
-def finite_vectors(df: DataFrame, vec_id: str, vector: str) -> DataFrame:
-    """Rows (vec_id, v) whose vector has components, all of them finite; one row per id.
+def finite_vectors(df: DataFrame, vec_id: str, vector: str, is_query: Column) -> DataFrame:
+    """Rows (vec_id, v, query_row) whose vector has components, all of them finite.
 
-    Of rows that repeat an id the one with the smallest vector counts. Null ids take no part.
+    Null ids take no part; rows that repeat an id do, each by itself.
     """
     v = F.col("v")
-    kept = df.select(F.col(vec_id).alias("vec_id"), F.col(vector).cast("array<double>").alias("v")).where(
+    named = df.select(
+        F.col(vec_id).alias("vec_id"),
+        F.col(vector).cast("array<double>").alias("v"),
+        F.coalesce(is_query, F.lit(False)).alias("query_row"),
+    )
+    return named.where(
         F.col("vec_id").isNotNull()
         & v.isNotNull()
         & (F.size(v) > 0)
         & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     )
-    return kept.groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
 def matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -51,49 +54,12 @@ def lifted(x: np.ndarray, longest: float) -> np.ndarray:
     return np.concatenate((x, rest[:, None]), axis=1)
 
 
-class Best:
-    """The best few candidates of each of some queries, ties to the smaller id."""
-
-    def __init__(self, queries: int, k: int, kind: type):
-        lowest = np.iinfo(kind).min if np.issubdtype(kind, np.integer) else -np.inf
-        self.k, self.lowest = k, lowest
-        self.scores = np.full((queries, k), lowest, kind)
-        self.ids = np.full((queries, k), np.iinfo(np.int64).max)
-
-    def add(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
-        """Candidates ``ids``, with ``scores`` for each of the queries ``rows``."""
-        # What must not count has the lowest score, and no id.
-        ids = np.where(scores == self.lowest, np.iinfo(np.int64).max, ids)
-        if scores.shape[1] > 4 * self.k:
-            # Whatever is below the k-th best goes; ties with it stay until ids decide.
-            kth = np.partition(scores, scores.shape[1] - self.k, axis=1)[:, scores.shape[1] - self.k]
-            kth = np.maximum(kth, self.scores[rows, -1])
-            width = max(1, int((scores >= kth[:, None]).sum(axis=1).max()))
-            picked = np.argsort(-scores if self.lowest == -np.inf else ~scores, axis=1, kind="stable")[:, :width]
-            scores, ids = np.take_along_axis(scores, picked, 1), np.take_along_axis(ids, picked, 1)
-        scores = np.concatenate((self.scores[rows], scores), axis=1)
-        ids = np.concatenate((self.ids[rows], ids), axis=1)
-        order = np.lexsort((ids, -scores if self.lowest == -np.inf else ~scores), axis=1)[:, : self.k]
-        self.scores[rows] = np.take_along_axis(scores, order, 1)
-        self.ids[rows] = np.take_along_axis(ids, order, 1)
-
-    def found(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Query numbers, ids and scores of all that was found."""
-        rows, at = np.nonzero(self.ids != np.iinfo(np.int64).max)
-        return rows, self.ids[rows, at], self.scores[rows, at]
-
-
-def rank_found(found: DataFrame, k: int) -> DataFrame:
-    """The best ``k`` rows (query_id, vec_id, score) of each query, with their rank from 1."""
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-
-
 #: Rows of an index block, and queries that are worked on together.
 BLOCK, QUERIES = 4096, 1024
-#: Rows an index is fitted on, the ones with the smallest hashes of their ids; all are indexed.
+#: Classes an index is fitted on, the ones with the smallest hashes; all are indexed.
 SAMPLE = 4096
-
+#: Query blocks that one task compares with a block; blocks that the first round takes, and how many times as many the next.
+MEET, FIRST, GROWTH = 32, 8, 8
 
 class Index:
     """Regions of the space, and an order within each; made for ``Search`` by its subclasses."""
@@ -131,32 +97,122 @@ def flat(x: np.ndarray) -> bytes:
     return np.ascontiguousarray(x).tobytes()
 
 
+NO_ID = np.iinfo(np.int64).max
+
+
+def best_rows(scores: np.ndarray, good: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """Of one query, the best ``k`` rows of the classes that are ``good``, ties to smaller ids.
+
+    They are told by class, place among its ids, id and score.
+    """
+    at = np.flatnonzero(good)
+    if len(at) > k:  # every class has a row, the one with its first id being the best
+        at = at[np.lexsort((ids[at, 0], -scores[at]))[:k]]
+    each = ids[at]
+    owner, place = np.nonzero(each != NO_ID)
+    row_ids, row_scores = each[owner, place], scores[at[owner]]
+    order = np.lexsort((row_ids, -row_scores))[:k]
+    return at[owner[order]], place[order], row_ids[order], row_scores[order]
+
+
+def rows_found(queries: int, parts: list[tuple[np.ndarray, ...]], kind: type) -> pa.Table:
+    """Rows (block of queries, class that asks, class found, place, vec_id, score) from their parts."""
+    none = tuple(np.empty(0, t) for t in (np.int64, np.int64, np.int64, np.int64, kind))
+    columns = [pa.array(np.concatenate(c)) for c in zip(none, *parts)]
+    block = pa.array(np.full(len(columns[0]), queries, np.int64))
+    return pa.table([block, *columns], ["queries", "class", "of", "place", "vec_id", "score"])
+
+
+class Cuts:
+    """Where to cut what is sorted by region and key into even parts, by the regions and keys of a sample."""
+
+    def __init__(self, region: np.ndarray, key: np.ndarray):
+        order = np.lexsort((key, region))
+        self.region, self.key = np.asarray(region)[order], np.asarray(key)[order]
+
+    def in_regions(self, parts: int):
+        """The part of each (region, key), about ``parts`` in all and none in two regions."""
+        bounds = {}
+        for r in np.unique(self.region):
+            own = self.key[self.region == r]
+            n = min(len(own), max(1, round(parts * len(own) / len(self.key))))
+            bounds[int(r)] = np.unique(own[(np.arange(1, n) * len(own)) // n])
+
+        def part(region: np.ndarray, key: np.ndarray) -> np.ndarray:
+            out = np.asarray(region, np.int64) << 16
+            for r in np.unique(region):
+                mine = region == r
+                out[mine] += np.searchsorted(bounds.get(int(r), np.empty(0)), key[mine], side="right")
+            return out
+
+        return part
+
+    def in_order(self, parts: int):
+        """The part of each (region, key), at most ``parts`` in all."""
+        n = min(len(self.key), max(1, parts))
+        at = (np.arange(1, n) * len(self.key)) // n
+        cut_region, cut_key = self.region[at], self.key[at]
+
+        def part(region: np.ndarray, key: np.ndarray) -> np.ndarray:
+            out = np.searchsorted(cut_region, region, side="left").astype(np.int64)
+            for r in np.unique(region):
+                mine = region == r
+                out[mine] += np.searchsorted(cut_key[cut_region == r], key[mine], side="right")
+            return out
+
+        return part
+
+
+def _in_blocks(rows: DataFrame, segment: str, block: str, most: int) -> DataFrame:
+    """``rows`` with the number of their block: their segment, in parts of about ``most`` rows.
+
+    A segment is one of a bounded number, so that their counts are few rows.
+    """
+    parts = rows.groupBy(segment).agg(F.ceil(F.count("*") / most).alias("parts"))
+    number = F.shiftleft(F.col(segment), 24) + F.pmod(F.xxhash64("class"), F.col("parts"))
+    return rows.join(F.broadcast(parts), segment).withColumn(block, number).drop("parts")
+
+
+def id_matrix(lists: pa.Array, width: int) -> np.ndarray:
+    """Lists of at most ``width`` ids as a matrix, with ``NO_ID`` behind them."""
+    ids = np.full((len(lists), width), NO_ID)
+    ids[np.arange(width) < np.diff(lists.offsets.to_numpy())[:, None]] = lists.flatten().to_numpy()
+    return ids
+
+
 def search(df: DataFrame, k: int, is_query: Column, vec_id: str, vector: str, fit, kind: type) -> DataFrame:
     """Each query's ``k`` best rows (query_id, rank, vec_id, score) by an index.
 
+    Equal vectors are one class: it is searched for once, and found with its smallest ``k + 1``
+    ids, which is all that any query can take from it; a query then leaves its own row out.
+
     ``fit`` makes an ``Index`` of a sample of lifted vectors and the greatest length. All
-    rows are put in the order of the index and cut into blocks; so are the queries. A query is
-    first compared with the sample and with the blocks around it, which bounds its
-    ``k``-th score from below; that bound then says which other blocks can matter,
-    and is raised as they are gone through, nearest first. Queries and blocks
-    meet in pairs of whole blocks, and a task keeps ``k`` rows per query.
+    classes are put in the order of the index and cut into blocks, where the sample says; so are the classes that ask. A query is
+    first compared with the sample, which bounds its last score
+    from below; that bound then says which blocks can matter. They are gone through in rounds,
+    nearest first and ever more at a time, and what a round finds raises the bound for the next.
+    Blocks of queries are sent to the blocks of the index, a few to a task, and
+    only rows that are no worse than the bound come back, ``k + 1`` at most from a block: how
+    many depends neither on the number of partitions nor on how often a vector is repeated.
     """
-    named = df.withColumn("query_row", is_query).select(vec_id, vector, "query_row")
-    rows = written(
-        finite_vectors(named, vec_id, vector).join(
-            named.select(F.col(vec_id).alias("vec_id"), "query_row").distinct(), "vec_id"
-        ),
-        "vectors",
-    )
+    spark, top = df.sparkSession, k + 1
+    score_type = "long" if kind is np.int64 else "double"
+    rows = written(finite_vectors(df, vec_id, vector, is_query), "vectors")
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     width, longest = rows.agg(F.max(F.size("v")), F.sqrt(F.max(square))).first()
-    found_schema = f"query_id long, vec_id long, score {'long' if kind is np.int64 else 'double'}"
     if width is None:
-        return df.sparkSession.createDataFrame([], f"query_id long, rank int, vec_id long, {found_schema.split(', ')[2]}")
-    picked = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("vec_id", "v").toArrow()
-    picked = picked.combine_chunks()
-    sample_ids = picked.column("vec_id").to_numpy()
-    sample = matrix(picked.column("v").chunk(0), width)
+        return spark.createDataFrame([], f"query_id long, rank int, vec_id long, score {score_type}")
+    first_ids = Window.partitionBy("v").orderBy("vec_id")
+    few = rows.select("v", "vec_id").withColumn("place", F.row_number().over(first_ids)).where(F.col("place") <= top)
+    classes = few.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
+    asking = rows.where("query_row").select("v").distinct().withColumn("asks", F.lit(True))
+    classes = written(
+        classes.join(asking, "v", "left").select(F.monotonically_increasing_id().alias("class"), "v", "ids", "asks"),
+        "vector-classes",
+    )
+    picked = classes.orderBy(F.xxhash64("v"), "class").limit(SAMPLE).select("class", "v", "ids").toArrow().combine_chunks()
+    sample, sample_ids = matrix(picked.column("v").chunk(0), width), id_matrix(picked.column("ids").chunk(0), top)
+    sample_names = picked.column("class").to_numpy()
     index: Index = fit(lifted(sample, longest), longest)
 
     def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -166,101 +222,110 @@ def search(df: DataFrame, k: int, is_query: Column, vec_id: str, vector: str, fi
 
     lowest = np.iinfo(np.int64).min if kind is np.int64 else -np.inf
 
+    cuts, total = Cuts(*index.place(lifted(sample, longest))), classes.count()
+    asks = classes.where("asks").count()
+    block_cuts, query_cuts = cuts.in_regions(-(-total // BLOCK)), cuts.in_order(-(-asks // QUERIES))
+
     def place(batches):
         for batch in batches:
             region, key = index.place(lifted(matrix(batch.column("v"), width), longest))
-            columns = [pa.array(region, pa.int32()), pa.array(key, pa.float64()), *batch.columns]
-            yield pa.record_batch(columns, ["region", "key", *batch.schema.names])
+            columns = [
+                pa.array(region, pa.int32()),
+                pa.array(key, pa.float64()),
+                pa.array(block_cuts(region, key)),
+                pa.array(query_cuts(region, key)),
+                *batch.columns,
+            ]
+            yield pa.record_batch(columns, ["region", "key", "segment", "asking", *batch.schema.names])
+
+    placed_schema = "region int, key double, segment long, asking long, class long, v array<double>, ids array<long>, asks boolean"
+    placed = written(classes.mapInArrow(place, placed_schema), "placed")
+
+    def pack(key, table):
+        keys = table.column("key").to_numpy()
+        ids = id_matrix(table.column("ids").combine_chunks(), top)
+        data = matrix(table.column("v").combine_chunks(), width)
+        columns = [
+            pa.array([key[0].as_py()]),
+            pa.array([table.column("region")[0].as_py()], pa.int32()),
+            pa.array([keys.min()]),
+            pa.array([keys.max()]),
+            *(pa.array([flat(a)], pa.binary()) for a in (table.column("class").to_numpy(), ids, data)),
+        ]
+        return pa.table(columns, ["block", "region", "lo", "hi", "classes", "ids", "data"])
 
-    placed = written(
-        rows.mapInArrow(place, "region int, key double, vec_id long, v array<double>, query_row boolean"), "placed"
-    )
-    order = ["region", "key", "vec_id"]
-    block_rows, query_rows = BLOCK, QUERIES
-
-    def pack(batches):
-        number = TaskContext.get().partitionId() << 32
-        for table in blocks_of(batches, ["region"], block_rows):
-            keys = table.column("key").to_numpy()
-            ids = table.column("vec_id").to_numpy()
-            data = matrix(table.column("v").chunk(0), width)
-            yield pa.record_batch(
-                [
-                    pa.array([number]),
-                    pa.array([table.column("region")[0].as_py()], pa.int32()),
-                    pa.array([keys[0]]),
-                    pa.array([keys[-1]]),
-                    pa.array([flat(ids)], pa.binary()),
-                    pa.array([flat(data)], pa.binary()),
-                ],
-                ["block", "region", "lo", "hi", "ids", "data"],
-            )
-            number += 1
-
-    def pack_queries(batches):
-        number = TaskContext.get().partitionId() << 32
-        for table in blocks_of(batches, [], query_rows):
-            ids = table.column("vec_id").to_numpy()
-            q = matrix(table.column("v").chunk(0), width)
-            scores = products(q, sample)
-            scores[ids[:, None] == sample_ids[None, :]] = lowest
-            least = np.sort(scores, axis=1)[:, -k] if scores.shape[1] >= k else np.full(len(ids), lowest, kind)
-            home = table.column("region").to_numpy()
-            keys = table.column("key").to_numpy()
-            near = [(int(r), float(keys[home == r].min()), float(keys[home == r].max())) for r in np.unique(home)]
-            yield pa.record_batch(
-                [
-                    pa.array([number]),
-                    pa.array([flat(ids)], pa.binary()),
-                    pa.array([flat(q)], pa.binary()),
-                    pa.array([flat(least)], pa.binary()),
-                    pa.array([[{"region": r, "from_key": a, "to_key": b, "near": a, "far": b} for r, a, b in near]], WANTED),
-                ],
-                ["queries", "query_ids", "query_data", "least", "wanted"],
-            )
-            number += 1
+    def pack_queries(key, table):
+        q = matrix(table.column("v").combine_chunks(), width)
+        bounds = (np.full(len(q), lowest, kind), np.full(len(q), NO_ID))
+        columns = [pa.array([flat(a)], pa.binary()) for a in (table.column("class").to_numpy(), q, *bounds)]
+        return pa.table([pa.array([key[0].as_py()]), *columns, pa.array([[]], WANTED)], ASKED)
 
     blocks = written(
-        placed.drop("query_row").repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
-            pack, "block long, region int, lo double, hi double, ids binary, data binary"
+        _in_blocks(placed, "segment", "block", BLOCK).groupBy("block").applyInArrow(
+            pack, "block long, region int, lo double, hi double, classes binary, ids binary, data binary"
         ),
         "index-blocks",
     )
     want = "array<struct<region:int,from_key:double,to_key:double,near:double,far:double>>"
-    queries = written(
-        placed.where("query_row").drop("query_row").repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
-            pack_queries, f"queries long, query_ids binary, query_data binary, least binary, wanted {want}"
+    asked_schema = f"queries long, asking binary, query_data binary, least binary, least_id binary, wanted {want}"
+    asked = written(
+        _in_blocks(placed.where("asks"), "asking", "queries", QUERIES).groupBy("queries").applyInArrow(
+            pack_queries, asked_schema
         ),
         "query-blocks",
     )
+    found_schema = f"queries long, class long, of long, place long, vec_id long, score {score_type}"
 
-    def compare(batches):
-        best: dict[int, tuple[np.ndarray, Best]] = {}
+    def compare_sample(batches):
+        every = np.ones(len(sample), bool)
         for batch in batches:
             for row in batch.to_pylist():
-                q_ids = np.frombuffer(row["query_ids"], np.int64)
-                q = np.frombuffer(row["query_data"]).reshape(len(q_ids), width)
-                x_ids = np.frombuffer(row["ids"], np.int64)
-                x = np.frombuffer(row["data"]).reshape(len(x_ids), width)
-                if row["queries"] not in best:
-                    best[row["queries"]] = (q_ids, Best(len(q_ids), k, kind))
-                own = best[row["queries"]][1]
-                least = np.maximum(np.frombuffer(row["least"], kind), own.scores[:, -1])
-                reach = index.reach(q, least)
-                needed = index.needed(q, reach, lifted(x, longest), row["region"])
-                at = np.flatnonzero(needed.any(axis=1))
-                if len(at):
-                    scores = products(q[at], x)
-                    scores[~np.broadcast_to(needed[at], scores.shape) | (q_ids[at][:, None] == x_ids[None, :])] = lowest
-                    own.add(at, scores, x_ids)
-        for q_ids, own in best.values():
-            at, ids, scores = own.found()
-            yield pa.record_batch([pa.array(q_ids[at]), pa.array(ids), pa.array(scores)], ["query_id", "vec_id", "score"])
+                asking = np.frombuffer(row["asking"], np.int64)
+                scores = products(np.frombuffer(row["query_data"]).reshape(len(asking), width), sample)
+                out = []
+                for who, own in zip(asking, scores):
+                    of, *found = best_rows(own, every, sample_ids, top)
+                    out.append((np.full(len(of), who), sample_names[of], *found))
+                yield from rows_found(row["queries"], out, kind).to_batches()
+
+    def compare(key, left, right):
+        block = left.to_pylist()[0]
+        names = np.frombuffer(block["classes"], np.int64)
+        x = np.frombuffer(block["data"]).reshape(len(names), width)
+        ids = np.frombuffer(block["ids"], np.int64).reshape(len(names), top)
+        raised = lifted(x, longest)
+        parts = []
+        for batch in right.to_batches(max_chunksize=1):
+            row, out = batch.to_pylist()[0], []
+            asking = np.frombuffer(row["asking"], np.int64)
+            q = np.frombuffer(row["query_data"]).reshape(len(asking), width)
+            least, least_id = np.frombuffer(row["least"], kind), np.frombuffer(row["least_id"], np.int64)
+            needed = index.needed(q, index.reach(q, least), raised, block["region"])
+            at = np.flatnonzero(needed.any(axis=1))
+            if not len(at):
+                continue
+            scores = products(q[at], x)
+            # The same product can differ in its last bits from one block to another.
+            bound = least[at] if kind is np.int64 else least[at] - 1e-9 * (1 + abs(np.maximum(least[at], -1e300)))
+            good = needed[at] & (scores >= bound[:, None])
+            for i in np.flatnonzero(good.any(axis=1)).tolist():
+                of, place, row_ids, row_scores = best_rows(scores[i], good[i], ids, top)
+                if kind is np.int64:
+                    kept = (row_scores > bound[i]) | (row_ids <= least_id[at[i]])
+                    of, place, row_ids, row_scores = of[kept], place[kept], row_ids[kept], row_scores[kept]
+                out.append((np.full(len(of), asking[at[i]]), names[of], place, row_ids, row_scores))
+            parts.append(rows_found(row["queries"], out, kind))
+        return pa.concat_tables([rows_found(0, [], kind), *parts])
 
     def met(pairs: DataFrame, asking: DataFrame) -> DataFrame:
-        heavy = pairs.join(asking.drop("wanted"), "queries").join(blocks.drop("lo", "hi"), "block")
-        nearest = heavy.repartition("block", "queries").sortWithinPartitions("queries", "gap").drop("gap")
-        return written(nearest.mapInArrow(compare, found_schema), "search-found")
+        # A block goes to as many tasks as its queries need, MEET blocks of queries to each.
+        parts = pairs.groupBy("block").agg(F.ceil(F.count("*") / MEET).alias("parts"))
+        heavy = pairs.join(parts, "block").select("queries", "block", F.pmod(F.hash("queries"), "parts").alias("part"))
+        heavy = heavy.join(asking.drop("wanted"), "queries")
+        copies = blocks.select("block", "region", "classes", "ids", "data").join(parts, "block")
+        copies = copies.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
+        both = copies.groupBy("block", "part").cogroup(heavy.groupBy("block", "part"))
+        return both.applyInArrow(compare, found_schema)
 
     def pairs_of(asking: DataFrame) -> DataFrame:
         w = asking.select("queries", F.explode("wanted").alias("w")).select("queries", "w.*")
@@ -268,74 +333,64 @@ def search(df: DataFrame, k: int, is_query: Column, vec_id: str, vector: str, fi
         gap = F.greatest(F.lit(0.0), F.col("near") - F.col("hi"), F.col("lo") - F.col("far"))
         return w.join(b, "region").where("hi >= from_key and lo <= to_key").select("queries", "block", gap.alias("gap"))
 
-    first = written(pairs_of(queries), "first-pairs")
-    around = met(first, queries)
-    kth = rank_found(around, k).where(F.col("rank") == k).select("query_id", "score")
-
     def widen(key, left, right):
         # One block of queries with the bounds that were found for them.
         row = left.to_pylist()[0]
-        ids = np.frombuffer(row["query_ids"], np.int64)
-        q = np.frombuffer(row["query_data"]).reshape(len(ids), width)
-        least = np.frombuffer(row["least"], kind).copy()
-        names, values = right.column("query_id").to_numpy(), right.column("score").to_numpy()
-        place = {n: i for i, n in enumerate(ids.tolist())}
-        at = np.array([place[n] for n in names.tolist()], int)
-        least[at] = np.maximum(least[at], values)
+        asking = np.frombuffer(row["asking"], np.int64)
+        q = np.frombuffer(row["query_data"]).reshape(len(asking), width)
+        least, least_id = np.frombuffer(row["least"], kind).copy(), np.frombuffer(row["least_id"], np.int64).copy()
+        place = {n: i for i, n in enumerate(asking.tolist())}
+        for n, score, last in zip(*(right.column(c).to_pylist() for c in ("class", "score", "vec_id"))):
+            i = place[n]
+            if score > least[i] or (score == least[i] and last < least_id[i]):
+                least[i], least_id[i] = score, last
         wanted = [
             dict(zip(("region", "from_key", "to_key", "near", "far"), w)) for w in index.wanted(q, index.reach(q, least))
         ]
-        return pa.table(
-            [left.column(0), left.column(1), left.column(2), pa.array([flat(least)], pa.binary()), pa.array([wanted], WANTED)],
-            ["queries", "query_ids", "query_data", "least", "wanted"],
+        columns = [pa.array([flat(a)], pa.binary()) for a in (least, least_id)]
+        return pa.table([*(left.column(i) for i in range(3)), *columns, pa.array([wanted], WANTED)], ASKED)
+
+    best = written(asked.select("queries", "asking", "query_data").mapInArrow(compare_sample, found_schema), "search-found")
+    met_before, size = None, FIRST
+    while True:
+        # With ``k + 1`` rows found, the last of them is the bound.
+        last = _ranked(best, top).where(F.col("rank") == top).select("queries", "class", "score", "vec_id")
+        asked = written(
+            asked.groupBy("queries").cogroup(last.groupBy("queries")).applyInArrow(widen, asked_schema), "query-bounds"
         )
-
-    members = placed_queries(queries)
-    bounds = members.join(kth, "query_id")
-    asked = written(
-        queries.groupBy("queries").cogroup(bounds.groupBy("queries")).applyInArrow(
-            widen, f"queries long, query_ids binary, query_data binary, least binary, wanted {want}"
-        ),
-        "query-bounds",
-    )
-    second = pairs_of(asked).join(first.select("queries", "block"), ["queries", "block"], "left_anti")
-    found = around.unionByName(met(second, asked))
-    return rank_found(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+        left = pairs_of(asked)
+        if met_before is not None:
+            left = left.join(met_before, ["queries", "block"], "left_anti")
+        left = left.groupBy("queries", "block").agg(F.min("gap").alias("gap"))
+        nearest = Window.partitionBy("queries").orderBy("gap", "block")
+        left = left.withColumn("place", F.row_number().over(nearest)).where(F.col("place") <= size)
+        pairs = written(left.select("queries", "block"), "search-pairs")
+        if pairs.isEmpty():
+            break
+        # A row of the sample is found again in its block.
+        found = best.unionByName(met(pairs, asked)).groupBy("queries", "class", "of", "place", "vec_id")
+        best = written(_ranked(found.agg(F.max("score").alias("score")), top).drop("rank"), "search-found")
+        met_before, size = pairs if met_before is None else met_before.union(pairs), size * GROWTH
+
+    # Every query row leaves itself out: one row of its own class with its own id.
+    own = (F.col("of") == F.col("class")).alias("own")
+    told = F.sort_array(F.collect_list(F.struct("rank", "vec_id", "score", own))).alias("told")
+    lists = written(_ranked(best, top).groupBy("class").agg(told), "search-lists")
+    asks = rows.where("query_row").select(F.col("vec_id").alias("query_id"), "v")
+    asks = asks.join(classes.where("asks").select("v", "class"), "v").select("query_id", "class").join(lists, "class")
+    self_at = F.array_position(F.transform("told", lambda t: t["own"] & (t["vec_id"] == F.col("query_id"))), True)
+    others = F.filter("told", lambda t, i: i + 1 != F.col("self_at"))
+    kept = asks.withColumn("self_at", self_at).select("query_id", F.posexplode(F.slice(others, 1, k)).alias("at", "t"))
+    return kept.select("query_id", (F.col("at") + 1).alias("rank"), F.col("t.vec_id").alias("vec_id"), F.col("t.score").alias("score"))
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    """The best ``k`` rows of each class that asks, with their rank from 1."""
+    best = Window.partitionBy("class").orderBy(F.desc("score"), "vec_id", "of", "place")
+    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
+ASKED = ["queries", "asking", "query_data", "least", "least_id", "wanted"]
 WANTED = pa.list_(
     pa.struct([("region", pa.int32()), *((n, pa.float64()) for n in ("from_key", "to_key", "near", "far"))])
 )
-
-
-def placed_queries(queries: DataFrame) -> DataFrame:
-    """Which block of queries (queries) each query (query_id) is in."""
-
-    def name(batches):
-        for batch in batches:
-            for number, raw in zip(batch.column("queries").to_pylist(), batch.column("query_ids").to_pylist()):
-                ids = np.frombuffer(raw, np.int64)
-                yield pa.record_batch([pa.array([number] * len(ids), pa.int64()), pa.array(ids)], ["queries", "query_id"])
-
-    return queries.select("queries", "query_ids").mapInArrow(name, "queries long, query_id long")
-
-
-def blocks_of(batches: Iterator[pa.RecordBatch], keys: list[str], most: int) -> Iterator[pa.Table]:
-    """Sorted batches as tables of at most ``most`` rows, all with the same ``keys``."""
-    held = None
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        held = table if held is None else pa.concat_tables([held, table])
-        while len(held):
-            columns = [held.column(k).to_numpy() for k in keys]
-            same = np.ones(len(held), bool)
-            for c in columns:
-                same &= c == c[0]
-            run = len(held) if same.all() else int(np.argmin(same))
-            if run == len(held) and run < most:
-                break  # more of the same may follow
-            size = min(run, most)
-            yield held.slice(0, size).combine_chunks()
-            held = held.slice(size)
-    if held is not None and len(held):
-        yield held.combine_chunks()
