@@ -88,7 +88,7 @@ def set_marks(shingles: np.ndarray) -> tuple[int, int]:
 
 
 def signatures(rows: DataFrame) -> DataFrame:
-    """Rows (doc_id, text) as doc_id, the marks of the text's shingle set, its size and its paths."""
+    """Rows (doc_id, text, text_mark) as doc_id, text_mark, the marks of the text's shingle set, its size and its paths."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (part for batch in batches for part in slices(batch)):
@@ -98,16 +98,17 @@ def signatures(rows: DataFrame) -> DataFrame:
             yield pa.record_batch(
                 [
                     part.column("doc_id"),
+                    part.column("text_mark"),
                     pa.array([m[0] for m in marks], pa.int64()),
                     pa.array([m[1] for m in marks], pa.int64()),
                     pa.array([len(found) for found in sets], pa.int32()),
                     pa.array(paths, pa.binary()),
                 ],
-                ["doc_id", "high", "low", "shingles", "paths"],
+                ["doc_id", "text_mark", "high", "low", "shingles", "paths"],
             )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(sign, f"doc_id {kind}, high long, low long, shingles int, paths binary")
+    return rows.mapInArrow(sign, f"doc_id {kind}, text_mark long, high long, low long, shingles int, paths binary")
 
 
 def prefix_length(threshold: float, recall: float, trees: int = TREES, depth: int = DEPTH) -> int:
@@ -177,9 +178,7 @@ def forest_ties(classes: DataFrame, shortest: int) -> DataFrame:
 
 
 def compare_blocks(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """Links of one pair of blocks: a forest of them, and what each class gains by all.
-
- XX    """
+    """Links of one pair of blocks: a forest of them, and what each class gains by all."""
     one = pdf["i"].iat[0] == pdf["j"].iat[0]
     number = pdf["class_no"].to_numpy()
     copies = pdf["copies"].to_numpy()
@@ -265,19 +264,28 @@ def linked_classes(df: DataFrame, text: str, doc_id: str, threshold: float, reca
     """The signed rows, and for each class of equal sets (high, low) what is known of it.
 
     That is its ``first_id``, ``class_id`` and ``n_links``, and whether it is ``chosen`` to stand
-    for its group: the class of the smallest id (nulls last), then the smallest class number.
+    for its group: the class of the smallest id (nulls last), then of the smallest marks (high, low).
     """
     rows = df.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("text"))
+    rows = rows.withColumn("text_mark", F.xxhash64("text"))
     signed = written(signatures(rows), "shingle-signatures")
     told = signed.where("shingles > 0")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_mark")).alias("first")
     classes = told.groupBy("high", "low").agg(
-        F.min("doc_id").alias("first_id"),
-        F.count("*").alias("copies"),
-        F.first("shingles").alias("shingles"),
-        F.first("paths").alias("paths"),
+        first, F.count("*").alias("copies"), F.first("shingles").alias("shingles"), F.first("paths").alias("paths")
+    )
+    # Numbers are distinct, and what is written once keeps its own; no result depends on which it is.
+    classes = classes.select(
+        "high",
+        "low",
+        F.col("first.doc_id").alias("first_id"),
+        F.col("first.text_mark").alias("first_text"),
+        "copies",
+        "shingles",
+        "paths",
+        F.monotonically_increasing_id().alias("class_no"),
     )
-    # A class's number follows from what defines it, so that a retry gives the same.
-    classes = written(classes.withColumn("class_no", class_number()), "shingle-classes")
+    classes = written(classes, "shingle-classes")
     clusters = connected_components(forest_ties(classes, prefix_length(threshold, recall)))
 
     members = clusters.withColumnRenamed("node", "class_no").join(classes.drop("paths"), "class_no")
@@ -305,8 +313,8 @@ def linked_classes(df: DataFrame, text: str, doc_id: str, threshold: float, reca
     )
     gains = found.where("b = -1").groupBy(F.col("a").alias("class_no")).agg(F.sum("gain").alias("gain"))
     groups = connected_components(found.where("b <> -1").select("a", "b"))
-    grouped = groups.withColumnRenamed("node", "class_no").join(classes.select("class_no", "first_id"), "class_no")
-    rank = F.struct(F.col("first_id").isNull().alias("unnamed"), "first_id", "class_no")
+    grouped = groups.withColumnRenamed("node", "class_no").join(classes.select("class_no", "first_id", "high", "low"), "class_no")
+    rank = F.struct(F.col("first_id").isNull().alias("unnamed"), "first_id", "high", "low", "class_no")
     firsts = grouped.select("component", rank.alias("rank")).groupBy("component").agg(F.min("rank").alias("first"))
     chosen = F.col("class_no") == F.col("first.class_no")
     grouped = grouped.join(firsts, "component").select(
@@ -338,21 +346,21 @@ def told_rows(signed: DataFrame, known: DataFrame) -> DataFrame:
     return linked.select("doc_id", "class_id", "n_links", stays.alias("stays")).unionByName(alone)
 
 
-def class_number():
-    # Positive, and never -1, which marks counts among the links.
-    return F.xxhash64("high", "low").bitwiseAND(F.lit((1 << 62) - 1))
-
-
 def member_sets(rows: DataFrame, members: DataFrame) -> DataFrame:
-    """The members with their shingle sets, from the text of each class's first row."""
+    """The members with their shingle sets, from the text of each class's first row.
+
+    A class is asked for by that row's id and text, so a row brings along one class at most, however many
+    rows share its id or have none.
+    """
     few = members.limit(BROADCAST_MEMBERS + 1).count() <= BROADCAST_MEMBERS
-    first = members.select("class_no", "copies", "component", "blocks", "high", "low", F.col("first_id").alias("doc_id"))
-    found = rows.join(F.broadcast(first) if few else first, rows["doc_id"].eqNullSafe(first["doc_id"]))
+    first = members.select("class_no", "copies", "component", "blocks", "high", "low", "first_id", "first_text")
+    same = rows["doc_id"].eqNullSafe(first["first_id"]) & (rows["text_mark"] == first["first_text"])
+    found = rows.join(F.broadcast(first) if few else first, same)
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (part for batch in batches for part in slices(batch)):
             sets = [shingle_set(text) for text in part.column("text").cast(pa.binary()).to_pylist()]
-            # An id that repeats may bring along other texts: only the class's own set counts.
+            # Two texts of one id can have the same mark by chance: only the class's own set counts.
             marks = zip(part.column("high").to_pylist(), part.column("low").to_pylist())
             own = pa.array([set_marks(s) == m for s, m in zip(sets, marks)], pa.bool_())
             columns = [part.column(c) for c in ("class_no", "copies", "component", "blocks")]
@@ -389,7 +397,7 @@ def keep_one_row_of_each_group(
     """One row of ``df`` of each group, and all rows without any word; all their columns stay.
 
     Rows are told apart by their texts, whatever ids they repeat. The row with the smallest id stays,
-    nulls last; among rows that share it, those of the class with the smallest number, and
+    nulls last; among rows that share it, those of the class with the smallest marks, and
     of these the one that comes first by its text and then its other columns.
     """
     signed, known = linked_classes(df, text, doc_id, threshold, recall)

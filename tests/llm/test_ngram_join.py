@@ -172,3 +172,25 @@ def test_distinct_ids_keep_the_same_rows_both_ways(spark):
     df = spark.createDataFrame(corpus(7), "doc_id long, text string")
     by_row, by_id = keep_one_row_of_each_group(df), keep_one_of_each_group(df)
     assert sorted(r["doc_id"] for r in by_row.collect()) == sorted(r["doc_id"] for r in by_id.collect())
+
+
+@pytest.mark.parametrize("name", [lambda i: i, lambda i: None, lambda i: 5, lambda i: i % 7])
+def test_rows_bring_along_their_own_class_only(spark, monkeypatch, name):
+    """However ids repeat, as many texts reach the exact check as there are classes in clusters."""
+    rows = [(name(i), text) for i, (_, text) in enumerate(corpus(4, documents=40, copies=8))]
+    rows += [rows[0]] * 30
+    asked, good = [], ngram_join.member_sets
+
+    def member_sets(texts, members):
+        sets = good(texts, members)
+        same = texts["doc_id"].eqNullSafe(members["first_id"]) & (texts["text_mark"] == members["first_text"])
+        asked.append((texts.join(members, same).count(), members.count(), sets.count()))
+        return sets
+
+    monkeypatch.setattr(ngram_join, "member_sets", member_sets)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    links = [r["n_links"] for r in jaccard_links(df).collect()]
+    (joined, members, sets), = asked
+    assert members == sets and joined <= len(rows)
+    plain = plain_join(list(enumerate(t for _, t in rows)))
+    assert sorted(links) == sorted(n for _, n in plain.values())
