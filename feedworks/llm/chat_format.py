@@ -12,13 +12,13 @@ can be read back exactly, whatever they say. The loss mask covers the assistant'
 
 Null texts and roles count as empty, a null conversation id is one conversation, null turns
 come first, and repeated rows are repeated turns. A conversation is one row of the result
-and so must fit into one (2 GB); conversations do not share a task's memory beyond that.
+and so must fit into one (2 GB), and takes time in proportion to its turns; conversations do not share a task's memory beyond that.
 An empty table gives an empty table. Other columns of the input are not used.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HEAD, HEAD_END, PART, END = "### ", ":\n", "<part/>", "</turn>\n"
@@ -89,28 +89,27 @@ def pieces(blocks: Column, learn: str) -> Column:
     return F.flatten(F.transform(blocks, block))
 
 
-def spans(parts: Column) -> Column:
-    """Start (from 0) and length, in code points, of the pieces to be learnt."""
-    none = F.array().cast("array<struct<start:bigint,length:bigint>>")
-
-    def add(state: Column, p: Column) -> Column:
-        length = F.length(p["text"]).cast("long")
-        span = F.struct(state["at"].alias("start"), length.alias("length"))
-        found = F.when(p["loss"], F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
-        return F.struct((state["at"] + length).alias("at"), found.alias("spans"))
-
-    start = F.struct(F.lit(0).cast("long").alias("at"), none.alias("spans"))
-    return F.aggregate(parts, start, add, lambda state: state["spans"])
-
-
 def format_chats(df: DataFrame, learn: str = "assistant", **columns) -> DataFrame:
-    """One row per conversation: ``conv_id``, the ``formatted`` text and its ``loss_spans``."""
+    """One row per conversation: ``conv_id``, the ``formatted`` text and its ``loss_spans``.
+
+    A span is start (from 0) and length, in code points, of a piece to be learnt. The pieces are
+    numbered rows for as long as their lengths are added up, which takes time in proportion to their
+    number; rows of a conversation are together already and are not shuffled again.
+    """
     blocks = collect_turns(df, **columns).select("conv_id", merged_blocks(F.col("turns")).alias("blocks"))
-    parts = blocks.select("conv_id", pieces(F.col("blocks"), learn).alias("pieces"))
-    return parts.select(
+    parts = blocks.select("conv_id", F.posexplode(pieces(F.col("blocks"), learn)).alias("at", "piece"))
+    length = F.length("piece.text").cast("long")
+    before = Window.partitionBy("conv_id").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum(length).over(before), F.lit(0).cast("long"))
+    placed = parts.select("conv_id", F.struct("at", "piece.text", "piece.loss", start.alias("start"), length.alias("length")).alias("piece"))
+    pieced = placed.groupBy("conv_id").agg(F.sort_array(F.collect_list("piece")).alias("pieces"))
+    learnt = F.transform(
+        F.filter("pieces", lambda p: p["loss"]), lambda p: F.struct(p["start"].alias("start"), p["length"].alias("length"))
+    )
+    return pieced.select(
         "conv_id",
         F.array_join(F.transform("pieces", lambda p: p["text"]), "").alias("formatted"),
-        spans(F.col("pieces")).alias("loss_spans"),
+        learnt.alias("loss_spans"),
     )
 
 

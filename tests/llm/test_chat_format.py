@@ -1,5 +1,7 @@
 """Formatted chats read back as what they were made of."""
 
+import time
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -52,3 +54,22 @@ def test_long_conversation_other_columns_and_empty(spark):
     assert [t["text"] for t in r["turns"]] == [row[3] for row in rows]
     assert "".join(r["loss"]) == "".join(row[3] for row in rows if row[2] == "assistant")
     assert read(df.limit(0)) == []
+
+
+def test_time_follows_the_number_of_turns(spark):
+    """Four times the turns take about four times as long, not sixteen."""
+
+    def seconds(turns):
+        rows = spark.range(turns).select(
+            F.lit(1).alias("conv_id"),
+            F.col("id").alias("turn"),
+            F.when(F.col("id") % 3 == 0, "user").otherwise("assistant").alias("role"),
+            F.concat(F.lit("text <"), "id").alias("text"),
+        )
+        begin = time.perf_counter()
+        spans, chars = format_chats(rows).select(F.size("loss_spans"), F.length("formatted")).first()
+        assert spans == turns - -(-turns // 3) and chars > 12 * turns
+        return time.perf_counter() - begin
+
+    seconds(1000)
+    assert seconds(40_000) < 4 + 8 * seconds(10_000)
