@@ -47,7 +47,9 @@ targets AS (
 mixed AS (
   SELECT d.*, t.source_size, t.target,
          CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
-         CAST('0x' || substr(md5('0:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT)
+         CAST('0x' || substr(md5('0:' || md5(concat_ws(chr(1), coalesce(CAST(doc_id AS VARCHAR), chr(2)),
+                coalesce(text, chr(2)), coalesce(d.source, chr(2)))) || ':' || CAST(
+                row_number() OVER (PARTITION BY doc_id, text, d.source) - 1 AS VARCHAR)), 1, 13) AS BIGINT)
            / 4503599627370496.0::DOUBLE AS draw
   FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source),
 planned AS (

@@ -1,6 +1,5 @@
 """The pipeline against plain code, stage by stage and as a whole."""
 
-import hashlib
 import random
 from collections import Counter
 
@@ -10,7 +9,7 @@ import sentencepiece
 
 import corpus_pipeline
 from feedworks.llm.queries import TOXIC_FROM, toxicity_model
-from tests.llm.test_mixing import shared
+from tests.llm.test_mixing import drawn, shared
 from tests.llm.test_ngram_join import plain_join
 from tests.llm.test_suffix_tree_lm import WORD
 
@@ -65,8 +64,7 @@ def test_equals_plain_code(spark, folder):
     for d in single:
         total = sources[rows[d]["source"]]
         rate = target[rows[d]["source"]] / total if total else 0
-        draw = int(hashlib.md5(f"0:{d}".encode()).hexdigest()[:13], 16) / 2**52
-        copies = int(rate) + (draw < rate - int(rate))
+        copies = int(rate) + (drawn(tuple(rows[d])) < rate - int(rate))
         if copies:
             want[d] = copies
     got = corpus_pipeline.run(spark, folder).collect()
