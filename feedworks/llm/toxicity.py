@@ -1,18 +1,22 @@
 """Toxicity of texts that may hide what they say.
 
 Texts pass a noisy channel that writes letters as look-alikes (``1d10t``), sets them apart
-(``i d i o t``) or repeats them (``idiiiot``). Where a text shows signs of it, the piece
+(``i d i o t``, ``i - d - i``) or repeats them (``idiiiot``, ``iiddiioott``), also several of these at once
+(``i d ! o t``, ``ii dd ii``). Where a text shows signs of it, the piece
 becomes a lattice of what each character may stand for, and a Viterbi search under a
 character trigram model finds the likeliest reading. Elsewhere a lattice has one
-path only, the text itself, and no search is needed. The restored text is scored by
+path only, the text itself, and no search is needed; that holds within a piece as well, so that
+a long run without spaces costs no more than its length. The restored text is scored by
 a logistic model over whole words, and over word beginnings with how many different words
 of the text have them.
 
-Everything is learned from labelled rows: at most ``sample`` of them, the ones with the
-smallest hashes of their ids, whole texts. From these come the trigrams, the document counts
+The trigrams are counted over all documents. They are made of 64 symbols: the letters a to z, space, one
+for what is no letter, and 36 that the other letters share by their code points, which bounds the
+model at 64**3 counts whatever is in the texts. The classifier is learned from labelled rows: at most ``sample`` of them, the ones with the
+smallest hashes of their ids, whole texts. From these come the document counts
 of the features by label, the features kept (the most telling, at most ``features``)
-and the weights. What travels to the tasks is bounded by these parameters, whatever the input.
-Scoring covers every row and the whole of its text, and sees nothing but the text.
+and the weights. What travels to the tasks is bounded by these numbers, whatever the input.
+Scoring covers every row and the whole of its text, of any length, and sees nothing but the text.
 
 Null and empty texts are scored by the intercept. Labels that are null, or whose document is
 not there, teach nothing; a document labelled twice counts twice. Without any
@@ -46,16 +50,17 @@ KEEP, DISGUISE, APART, REPEAT = math.log(0.9), math.log(0.05), math.log(0.2), ma
 
 _hidden = "".join(re.escape(c) for c in LOOKALIKES)
 _apart = re.escape(SEPARATORS)
-#: Letters set apart by one separator each; a look-alike beside a letter; a letter three times running.
-SUSPECT = re.compile(
-    rf"(?<![^\W_])[^\W_](?:[{_apart}][^\W_]){{2,}}(?![^\W_])"
-    rf"|[^\s]*[^\W\d_][{_hidden}][^\s]*|[^\s]*[{_hidden}][^\W\d_][^\s]*"
-    rf"|[^\s]*([^\W\d_])\1\1[^\s]*"
-)
-#: Cheaper than the search above: whether it can find anything at all.
-MAYBE = re.compile(
-    rf"[^\W\d_][{_hidden}]|[{_hidden}][^\W\d_]|([^\W\d_])\1\1|(?<![^\W_])[^\W_][{_apart}][^\W_][{_apart}][^\W_](?![^\W_])"
-)
+_letter = r"[^\W\d_]"
+_unit = "[^\\W_]|[" + "".join(re.escape(c) for c in LOOKALIKES if not c.isalnum() and c not in SEPARATORS) + "]"
+#: Three characters or more, each up to four times, set apart by up to three separators each.
+APART_UNITS = rf"({_unit})\1{{0,3}}(?:[{_apart}]{{1,3}}({_unit})\2{{0,3}}){{2,}}"
+SET_APART = re.compile(rf"(?<![^\W_]){APART_UNITS}(?![^\W_])")
+ALL_APART = re.compile(APART_UNITS)
+#: A look-alike beside a letter; a character three times running, or three characters twice each.
+LIKE = re.compile(rf"[{_hidden}](?:(?<={_letter}.)|(?={_letter}))", re.S)
+AGAIN = re.compile(r"(.)\1(?:\1|(.)\2(.)\3)", re.S)
+TWICE = re.compile(rf"(?:({_letter})\1){{3}}")
+SPACE = re.compile(r"\s")
 WORDS = re.compile(r"[^\W\d_]+").findall
 #: Lengths of word beginnings that are features; whole words are as well.
 BEGINNINGS = (4, 5, 6)
@@ -68,6 +73,18 @@ TELLING = 20.0
 MEMO, COUNTED = 4_000_000, 150_000
 
 
+#: The symbols of the character model. Letters beyond a to z share 36 of them.
+OTHERS = 36
+SYMBOLS = " #abcdefghijklmnopqrstuvwxyz" + "".join(chr(0xE000 + i) for i in range(OTHERS))
+
+
+def symbol(c: str) -> str:
+    """What the character model sees of a character of a word."""
+    if "a" <= c <= "z":
+        return c
+    return chr(0xE000 + ord(c) % OTHERS) if c.isalpha() else "#"
+
+
 class CharacterModel:
     """Smoothed character trigrams; words are framed by spaces."""
 
@@ -94,12 +111,19 @@ class CharacterModel:
         # State: the last two characters read. Kept for each: log probability and reading.
         paths: dict[str, tuple[float, tuple | None]] = {"  ": (0.0, None)}
         for options in lattice(piece):
+            if len(paths) == 1 and len(options) == 1:
+                # One way to go on: what it costs changes no choice.
+                ((state, (_, so_far)),) = paths.items()
+                for c in options[0][0]:
+                    state, so_far = state[1] + (" " if c in SEPARATORS else symbol(c)), (c, so_far)
+                paths = {state: (0.0, so_far)}
+                continue
             reached: dict[str, tuple[float, tuple | None]] = {}
             for state, (p, so_far) in paths.items():
                 for text, cost in options:
                     here, q, last = state, p + cost, so_far
                     for c in text:
-                        known = c if c.isalpha() else " " if c in SEPARATORS else "#"
+                        known = " " if c in SEPARATORS else symbol(c)
                         q += self.log_p(here + known)
                         here = here[1] + known
                         last = (c, last)
@@ -117,25 +141,31 @@ class CharacterModel:
 
 def lattice(piece: str) -> list[list[tuple[str, float]]]:
     """For each run of one character: what it may have been, with the channel's log probability."""
-    # Separators can go only where all letters are set apart by them.
-    spaced = len(piece) > 4 and len(piece) % 2 == 1 and all(c in SEPARATORS for c in piece[1::2])
+    # Separators can go only where all characters are set apart by them.
+    spaced = ALL_APART.fullmatch(piece) is not None
+    twice = spaced or TWICE.search(piece) is not None
     steps: list[list[tuple[str, float]]] = []
     at = 0
     while at < len(piece):
         c = piece[at]
         end = at
+        if spaced and c in SEPARATORS:
+            while piece[end] in SEPARATORS:
+                end += 1
+            steps.append([("", APART), (piece[at:end], KEEP)])
+            at = end
+            continue
         while end < len(piece) and piece[end] == c:
             end += 1
         n = end - at
         at = end
-        if spaced and n == 1 and c in SEPARATORS and len(steps) % 2 == 1:
-            steps.append([("", APART), (c, KEEP)])
-            continue
         reads = [(c, KEEP)] + [(x, DISGUISE) for x in LOOKALIKES.get(c, "")]
         if n == 1:
             steps.append(reads)
         elif c.isalpha() and n > 2:
             steps.append([(c, REPEAT), (c * 2, REPEAT)])
+        elif twice:
+            steps.append([(c * n, KEEP * n)] + [(x, p + REPEAT) for x, p in reads])
         else:
             steps.extend([reads] * n)
     return steps
@@ -176,11 +206,25 @@ class Reader:
         return cls._open[1]
 
     def restored(self, text: str) -> str:
-        text = text.lower()
-        return SUSPECT.sub(self.reading, text) if MAYBE.search(text) else text
-
-    def reading(self, match: re.Match) -> str:
-        piece = match.group()
+        text = SET_APART.sub(lambda match: self.reading(match.group()), text.lower())
+        signs = [m.start() for m in LIKE.finditer(text)] + [m.start() for m in AGAIN.finditer(text) if m.group().isalpha()]
+        if not signs:
+            return text
+        # The whole run around each sign; every character is looked at once.
+        parts, done = [], 0
+        for at in sorted(signs):
+            if at < done:
+                continue
+            start = at
+            while start > done and not text[start - 1].isspace():
+                start -= 1
+            end = SPACE.search(text, at)
+            end = len(text) if end is None else end.start()
+            parts += [text[done:start], self.reading(text[start:end])]
+            done = end
+        return "".join(parts) + text[done:]
+
+    def reading(self, piece: str) -> str:
         found = self.memo.get(piece)
         if found is None:
             self.held += len(piece)
@@ -212,7 +256,7 @@ def counted(heads) -> set[str]:
 
 
 def all_features(words: set[str]) -> set[str]:
-    found = {w + "$" for w in words if len(w) <= 24}
+    found = {w + "$" for w in words}
     for n in BEGINNINGS:
         found |= counted(w[:n] for w in words if len(w) >= n)
     return found
@@ -242,7 +286,7 @@ def learn(
     if not totals:
         return ToxicityModel()
     positive, negative = totals.get(1, 0), totals.get(0, 0)
-    model = ToxicityModel(trigrams=_trigrams(taught), intercept=math.log((positive + 0.5) / (negative + 0.5)))
+    model = ToxicityModel(trigrams=_trigrams(docs.select(text_or_empty(text).alias("text"))), intercept=math.log((positive + 0.5) / (negative + 0.5)))
     if not positive or not negative:
         return model
     model.weights = dict.fromkeys(_telling(taught, model, positive, negative, features), 0.0)
@@ -255,22 +299,32 @@ def _batch(**columns: pa.Array) -> pa.RecordBatch:
     return pa.record_batch(list(columns.values()), list(columns))
 
 
-def _trigrams(taught: DataFrame) -> dict[str, int]:
+def _symbol_table() -> np.ndarray:
+    """The number of each code point's symbol: 0 for white space."""
+    places = {c: i for i, c in enumerate(SYMBOLS)}
+    return np.array([0 if chr(i).isspace() else places[symbol(chr(i))] for i in range(0x110000)], np.uint8)
+
+
+def _trigrams(texts: DataFrame) -> dict[str, int]:
+    """How often each run of three symbols is in the words of all texts, each framed as two spaces, word, space."""
+
     def count(batches):
-        found: Counter = Counter()
-        words: Counter = Counter()
+        table, most = _symbol_table(), len(SYMBOLS)
+        found = np.zeros(most**3, np.int64)
         for part in (part for batch in batches for part in slices(batch)):
-            for t in part.column("text").to_pylist():
-                words.update(t.lower().split())
-        for word, n in words.items():
-            framed = "".join(c if c.isalpha() else "#" for c in word)
-            framed = f"  {framed} "
-            for i in range(len(framed) - 2):
-                found[framed[i : i + 3]] += n
-        yield _batch(gram=pa.array(found.keys(), pa.string()), n=pa.array(found.values(), pa.int64()))
+            text = " ".join(["", *part.column("text").to_pylist(), ""]).lower()
+            s = table[np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)].astype(np.int64)
+            s = s[np.concatenate(([True], (s[1:] != 0) | (s[:-1] != 0)))]
+            s = np.repeat(s, np.where(s == 0, 2, 1))
+            found += np.bincount((s[:-2] * most + s[1:-1]) * most + s[2:], minlength=most**3)
+        found = found.reshape(most, most, most)
+        found[:, 0, 0] = 0  # from one word's frame to the next one's
+        seen = np.flatnonzero(found)
+        grams = ["".join(SYMBOLS[k] for k in at) for at in zip(*np.unravel_index(seen, found.shape))]
+        yield _batch(gram=pa.array(grams, pa.string()), n=pa.array(found.ravel()[seen], pa.int64()))
 
-    counts = taught.select("text").mapInArrow(count, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    return {r["gram"]: r["n"] for r in counts.collect()}  # at most as many as the sample has characters
+    counts = texts.mapInArrow(count, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return {r["gram"]: r["n"] for r in counts.collect()}  # at most len(SYMBOLS)**3 rows
 
 
 def _telling(taught: DataFrame, model: ToxicityModel, positive: int, negative: int, most: int) -> list[str]:
@@ -369,13 +423,13 @@ def _weights(x: np.ndarray, y: np.ndarray, n: np.ndarray, start: float, penalty:
     ridge = np.full(len(w), penalty)
     ridge[-1] = 1e-6
     inverse = np.linalg.inv((x * (n / 4)[:, None]).T @ x + np.diag(ridge))
-    for _ in range(1000):
+    for _ in range(100_000):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
         step = inverse @ (x.T @ (n * (p - y)) + ridge * w)
         w -= step
         if np.abs(step).max() < 1e-4:
-            break
-    return w
+            return w
+    raise ArithmeticError("the weights of the classifier do not settle")
 
 
 def score(df: DataFrame, model: ToxicityModel, text: str = "text", out: str = "score") -> DataFrame:
