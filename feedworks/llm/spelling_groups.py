@@ -60,7 +60,7 @@ def count_runs(docs: DataFrame, doc_id: str, text: str, least: int, drop: int |
         seen: Counter = Counter()
 
         def told() -> pa.RecordBatch:
-            out = pa.record_batch([pa.array(list(seen)), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
+            out = pa.record_batch([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
             seen.clear()
             return out
 
@@ -182,7 +182,7 @@ def near_words(words: DataFrame) -> DataFrame:
             block = np.array([numbers.setdefault(b, len(numbers)) for _, _, b in held])
             i, j = near_in_block(names, block)
             a, b = np.concatenate((i, j)), np.concatenate((j, i))
-            name = pa.array(names)
+            name = pa.array(names, pa.string())
             return pa.record_batch([name.take(pa.array(a)), pa.array(n[a]), name.take(pa.array(b)), pa.array(n[b])], ["word", "n", "near", "near_n"])
 
         for batch in batches:

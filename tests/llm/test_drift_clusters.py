@@ -1,0 +1,143 @@
+"""Clustering with bounds against scanning every vector in every round."""
+
+import hashlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from feedworks.llm import drift_clusters
+from feedworks.llm.drift_clusters import assign, cluster_vectors, digest, exact_distances, losses, sphere_loss
+from feedworks.llm.queries import QUERIES
+
+SCHEMA = "vec_id long, embedding array<double>, cluster string"
+
+
+def plain(rows, k, rounds, scale=1024):
+    """(id, cluster, distance, cluster's and whole inertia, centroid) of each (id, vector)."""
+    whole = [(i, [int(np.floor(x * scale)) for x in v]) for i, v in rows]
+    order = sorted(whole, key=lambda r: (hashlib.sha256(f"3:{'null' if r[0] is None else r[0]}".encode()).hexdigest(), r[1]))
+    centroids = [v for _, v in order[:k]]
+
+    def nearest(v):
+        return min((sum((a - b) ** 2 for a, b in zip(v, c)), j) for j, c in enumerate(centroids))
+
+    for _ in range(rounds):
+        own = [nearest(v)[1] for _, v in whole]
+        for j in range(len(centroids)):
+            members = [v for (_, v), c in zip(whole, own) if c == j]
+            if members:
+                centroids[j] = [sum(x) // len(members) for x in zip(*members)]
+    told = [(i, *nearest(v)[::-1]) for i, v in whole]
+    inertia = {j: sum(d for _, c, d in told if c == j) for j in range(len(centroids))}
+    return sorted([(i, c, d, inertia[c], sum(inertia.values()), centroids[c]) for i, c, d in told], key=repr)
+
+
+def found(spark, rows, k, rounds, width, **settings):
+    df = spark.createDataFrame([(i, v, "clash") for i, v in rows], SCHEMA)
+    got = cluster_vectors(df, k, rounds, width=width, **settings)
+    return sorted([(*tuple(r)[:5], list(r["centroid"])) for r in got.collect()], key=repr)
+
+
+def clustered(n, width, seed, spread=0.3):
+    rng = np.random.default_rng(seed)
+    centres = rng.standard_normal((6, width))
+    x = centres[rng.integers(0, 6, n)] + spread * rng.standard_normal((n, width))
+    x[: n // 3] = x[0]  # a third of all equal
+    return [(int(i), v.tolist()) for i, v in zip(rng.permutation(5 * n)[:n], x)]
+
+
+@pytest.mark.parametrize("seed, width, k, rounds, block", [(1, 5, 8, 10, 4096), (2, 3, 4, 6, 7), (3, 2, 9, 12, 16), (4, 64, 8, 3, 64)])
+def test_equals_scanning_everything(spark, monkeypatch, seed, width, k, rounds, block):
+    monkeypatch.setattr(drift_clusters, "BLOCK", block)
+    rows = clustered(240, width, seed)
+    assert found(spark, rows, k, rounds, width) == plain(rows, k, rounds)
+
+
+def test_ties_and_small_numbers(spark):
+    """Points of a small grid: many vectors are as near to one centroid as to another, and floors are negative."""
+    rows = [(i, [(i % 5 - 2) / 4, (i % 7 - 3) / 4]) for i in range(140)]
+    for k in (3, 5):
+        assert found(spark, rows, k, 7, 2, scale=4) == plain(rows, k, 7, scale=4)
+
+
+def test_null_and_repeated_ids_and_unusable_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    good = [(None, [1.0, 2.0]), (None, [1.5, 0.0]), (7, [3.0, 1.0]), (7, [3.0, 1.0]), (7, [0.0, 9.0]), (8, [-1.0, 2.0])]
+    bad = [(1, None), (2, []), (3, [1.0]), (4, [1.0, 2.0, 3.0]), (5, [nan, 1.0]), (6, [1.0, -inf]), (9, [None, 1.0])]
+    assert found(spark, good + bad, 3, 4, 2) == plain(good, 3, 4)
+    assert found(spark, good[:2] + bad, 8, 4, 2) == plain(good[:2], 8, 4)
+    assert found(spark, good[5:], 8, 10, 2) == plain(good[5:], 8, 10)
+    assert found(spark, bad, 3, 4, 2) == [] and found(spark, bad[:0] or bad[:1], 3, 4, 2) == []
+    empty = spark.createDataFrame([], SCHEMA)
+    assert cluster_vectors(empty, 3, 4, width=2).columns == ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid"]
+    assert cluster_vectors(empty, 3, 4, width=2).count() == 0
+
+
+def test_an_empty_cluster_stays(spark):
+    rows = [(i, [1.0, 1.0]) for i in range(10)] + [(20, [5.0, 5.0])]
+    assert found(spark, rows, 4, 3, 2) == plain(rows, 4, 3)
+
+
+def test_large_components(spark):
+    rows = [(i, [float(x), float(-x)]) for i, x in enumerate([131_000, -130_999.5, 120_000.25, 5, 100_000, 0.001])]
+    assert found(spark, rows, 2, 5, 2) == plain(rows, 2, 5)
+    for x in (140_000.0, 1e300):
+        with pytest.raises(Exception, match="too large"):
+            found(spark, [(1, [x, 0.0])], 2, 5, 2)
+
+
+def test_distances_are_exact():
+    rng = np.random.default_rng(5)
+    for most in (10, 1 << 20, (1 << 27) - 1):
+        x, c = rng.integers(-most, most, (20, 64)), rng.integers(-most, most, (4, 64))
+        want = [[sum((int(a) - int(b)) ** 2 for a, b in zip(v, w)) for w in c] for v in x]
+        assert exact_distances(x.astype(np.int32), c).tolist() == want
+
+
+def test_the_planar_bound_holds_and_is_less_than_the_drift():
+    rng = np.random.default_rng(6)
+    less = 0
+    for _ in range(2000):
+        d = rng.integers(2, 6)
+        centre, old = rng.standard_normal((2, d)) * rng.uniform(0.5, 4)
+        new = old + rng.standard_normal(d) * rng.uniform(0.01, 2)
+        radius = rng.uniform(0, 2)
+        loss, drift = sphere_loss(centre, radius, old, new), np.linalg.norm(new - old)
+        points = rng.standard_normal((200, d))
+        points = centre + radius * points / np.linalg.norm(points, axis=1)[:, None] * rng.uniform(0.9, 1, (200, 1))
+        fall = np.linalg.norm(points - old, axis=1) - np.linalg.norm(points - new, axis=1)
+        assert fall.max() <= loss + 1e-9 and loss <= drift
+        less += loss < 0.9 * drift
+    assert less > 1000
+    assert sphere_loss(np.zeros(2), 1.0, np.array([9.0, 0]), np.array([12.0, 0])) < 0  # it moves away
+
+
+def test_most_vectors_are_not_scanned_again():
+    rng = np.random.default_rng(7)
+    centres = rng.standard_normal((8, 16)) * 3000
+    x = np.floor(centres[rng.integers(0, 8, 4000)] + 300 * rng.standard_normal((4000, 16))).astype(np.int64)
+    c = x[rng.permutation(4000)[:8]]
+    cluster, upper, lower = np.zeros(4000, np.int32), np.full(4000, np.inf), np.zeros(4000)
+    scanned = []
+    for _ in range(8):
+        scanned.append(len(assign(x, c, cluster, upper, lower)))
+        assert (cluster == exact_distances(x, c).argmin(axis=1)).all()
+        radius = np.array([upper[cluster == j].max(initial=0) for j in range(8)])
+        moved = np.array([x[cluster == j].sum(axis=0) // max(1, (cluster == j).sum()) if (cluster == j).any() else c[j] for j in range(8)])
+        drift, loss = losses(c.astype(float), moved.astype(float), radius)
+        assert (loss <= drift.max() + 1e-9).all()
+        upper, lower, c = upper + drift[cluster], lower - loss[cluster], moved
+    assert scanned[0] == 4000 and sum(scanned[1:]) < 0.5 * 7 * 4000
+
+
+def test_registered_query(spark, tmp_path):
+    rows = clustered(150, 64, 8)
+    df = spark.createDataFrame([(i, v, "x") for i, v in rows], SCHEMA)
+    df.withColumn("embedding", F.col("embedding").cast("array<float>")).write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = QUERIES["op13_drift_clusters"](spark, str(tmp_path))
+    assert sorted(got.columns) == sorted(["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"])
+    single = [(i, np.array(v, np.float32).astype(float).tolist()) for i, v in rows]
+    want = sorted([(*r[:5], digest(r[5])) for r in plain(single, 8, 10)], key=repr)
+    columns = ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"]
+    assert sorted(map(tuple, got.select(*columns).collect()), key=repr) == want
