@@ -96,13 +96,12 @@ def test_op4(spark, folder):
     assert all(len(v) == 1 for v in texts.values())
     # The documents in the order in which sequences name them make the stream that sequences cut.
     order = [d for r in got for d in r["doc_ids"]]
-    stream, position = [], 0
+    stream: list[int] = []
     ends = np.cumsum([r["n_tokens"] for r in got]).tolist()
     for r, end in zip(got, ends):
-        for doc in r["doc_ids"]:
-            if len(stream) < end and (position == 0 or len(stream) == position):
-                stream += next(iter(texts[doc]))
-                position = len(stream)
+        # What the sequence before cut is named first and continues.
+        for doc in r["doc_ids"][1 if len(stream) > end - r["n_tokens"] else 0 :]:
+            stream += next(iter(texts[doc]))
         cut = stream[end - r["n_tokens"] : end]
         assert r["tokens_sha256"] == sha(np.array(cut, "<u2").tobytes()), r["sequence"]
     assert len(stream) == ends[-1] == sum(len(next(iter(texts[d[0]]))) for d in documents()) and len(order) >= len(documents())
