@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import ctypes
 import functools
 import shutil
@@ -9,6 +10,7 @@ import sys
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -48,8 +50,41 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+#: Folders of steps, by application, that are still there.
+_steps: dict[str, list[str]] = {}
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new folder for a step. It goes with the session, or with ``steps_removed`` around its making."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _steps.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def remove_steps(spark: SparkSession, since: int = 0) -> None:
+    """Delete the folders of steps, all or those made after the first ``since``. Frames that read them end here."""
+    made = _steps.get(spark.sparkContext.applicationId, [])
+    for name in made[since:]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(name)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    del made[since:]
+
+
+@contextmanager
+def steps_removed(spark: SparkSession) -> Iterator[None]:
+    """For the time of a ``with`` in which a result is made and written; its steps are deleted at the end."""
+    before = len(_steps.get(spark.sparkContext.applicationId, []))
+    try:
+        yield
+    finally:
+        remove_steps(spark, before)
+
+
+@atexit.register
+def _remove_what_is_left() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.sparkContext._jsc is not None:
+        remove_steps(spark)
 
 
 def written(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
