@@ -3,6 +3,15 @@
 Toxic documents go, of each group of near-duplicates one document stays, sources are
 mixed to their target weights, and what is left is encoded. Every stage but the last returns
 the columns of documents.
+
+* Null and empty texts score by the model's intercept, are linked to nothing, have size 0 and are encoded as no
+  pieces; they are taken as often as their source's rate says.
+* Null and repeated ids: every row counts by itself. Rows without an id are judged, kept and drawn like others; of a group of
+  near copies the row with the smallest id stays (nulls last, then by text and the other columns).
+* Rows that are equal in every column are copies of each other: one stays.
+* A text of any length is judged, compared and encoded whole; it must fit into a cell.
+* An empty table, or labels that teach nothing, lets everything through; an empty stage leaves empty ones after it.
+* Columns besides those of documents, whatever their names, pass through all stages but are part of what tells rows apart.
 """
 
 from __future__ import annotations
