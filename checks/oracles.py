@@ -576,3 +576,9 @@ ORACLES["customers_with_free_names"] = """
 SELECT o_custkey AS customer_key, o_orderkey AS number, o_orderstatus AS segment, o_orderpriority AS "CUSTOMER_SEGMENT",
   c_name AS name, c_mktsegment AS customer_customer_segment
 FROM orders LEFT JOIN customer ON o_custkey = c_custkey"""
+ORACLES["dedupe_by_aggregate"] = """
+SELECT l_linenumber, l_orderkey, ship_day, l_linestatus AS mode
+FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey
+        ORDER BY ship_day DESC NULLS LAST, l_linestatus DESC, l_linenumber DESC) AS rn
+      FROM (SELECT *, CASE WHEN l_orderkey % 3 > 0 THEN CAST(l_shipdate AS DATE) END AS ship_day FROM lineitem))
+WHERE rn = 1"""

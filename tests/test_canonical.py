@@ -136,3 +136,44 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     exchange = plan.index("Exchange")
     assert min(limits) < exchange < max(limits)
     assert plan.count("Exchange") == 1
+
+
+def odd_rows(spark):
+    """Ties, nulls, repeated rows and values that are equal but for one column."""
+    nan = float("nan")
+    rows = [
+        (k, ts, x, t)
+        for k in ("a", "b", None, "a_long_key_that_begins_alike_1", "a_long_key_that_begins_alike_2")
+        for ts in (JAN, JUN, None)
+        for x in (1.0, nan, None, -1.0)
+        for t in ("", None, "z", "é")
+    ]
+    rows += rows[::7] + [("only nulls", None, None, None)] * 3
+    return spark.createDataFrame(rows, "key string, ts string, x double, t string").repartition(5)
+
+
+@pytest.mark.parametrize("ties", [None, ["t", "x"], ["x", "t"]])
+def test_aggregate_keeps_the_rows_of_the_window(spark, ties):
+    df = odd_rows(spark).select("x", "key", "t", "ts")
+    window, aggregate = (keep_latest(df, "key", "ts", ties, how) for how in ("window", "aggregate"))
+    assert aggregate.dtypes == window.dtypes == df.dtypes
+    assert sorted(map(str, aggregate.collect())) == sorted(map(str, window.collect())) and window.count() == 6
+    assert keep_latest(df.limit(0), "key", "ts", ties, "aggregate").count() == 0
+
+
+def test_columns_beyond_the_tie_break_make_the_aggregate_repeatable(spark):
+    df = odd_rows(spark)
+    first, second = (keep_latest(df.repartition(n), "key", "ts", ["x"], "aggregate").collect() for n in (2, 9))
+    assert sorted(map(str, first)) == sorted(map(str, second))
+    with pytest.raises(ValueError, match="window"):
+        keep_latest(df, "key", "ts", how="sort")
+
+
+def test_aggregate_reduces_a_hot_key_before_the_shuffle(spark):
+    df = spark.range(30_000, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("key"), F.col("id").alias("ts")
+    )
+    latest = keep_latest(df, "key", order="ts", how="aggregate")
+    assert latest.count() == 20_001 and latest.filter("key = 'hot'").first().ts == 29_997
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.index("Exchange") < plan.index("partial_max")
