@@ -44,7 +44,7 @@ from feedworks.llm.common import free_name, give_back, written
 from feedworks.llm.hashing import BACK, BASE, U, mixed, powers, word_hashes
 
 #: Bytes of text in a chunk, passages in a shard, and passages of one mark before it is cut.
-CHUNK, SHARD, HEAVY = 4 << 20, 20_000, 2_000
+CHUNK, SHARD, HEAVY = 8 << 20, 20_000, 2_000
 STEP = 0xD6E8FEB86659FD93
 
 
@@ -180,6 +180,49 @@ class Chunk:
             setattr(self, name, getattr(self, name)[kept])
 
 
+class Verdicts:
+    """What shards say of the passages of a chunk: their smallest documents, and windows that earlier ones have."""
+
+    def __init__(self, rows: pa.Table):
+        keys = rows.column("key").to_numpy().view(U)
+        order = np.argsort(keys)
+        self.keys, self.first = keys[order], rows.column("first").to_numpy()[order]
+        windows = rows.column("windows").to_pylist()
+        self.windows = [windows[i] for i in order.tolist()]
+        #: Marks whose passages were cut into windows.
+        self.cut = np.unique(rows.column("cut").drop_null().to_numpy().view(U))
+
+    def covered(self, doc: int, text: bytes | None, window: int) -> np.ndarray | None:
+        """Which words of a document go, None if none does."""
+        h = word_hashes(np.frombuffer(text or b"", np.uint8))
+        start, count, mark, sums = passages(h, window)
+        if not len(start):
+            return None
+        if len(self.cut):
+            at = np.searchsorted(self.cut, mark)
+            at[at == len(self.cut)] = 0
+            cut = self.cut[at] == mark
+            if cut.any():
+                each = np.where(cut, count, 1)
+                shift = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+                start, count = np.repeat(start, each) + shift, np.repeat(np.where(cut, 1, count), each)
+        own = run_keys(sums, start, count + (window - 1))
+        at = np.searchsorted(self.keys, own)
+        at[at == len(self.keys)] = 0
+        hit = np.flatnonzero(self.keys[at] == own)
+        whole = hit[self.first[at[hit]] < doc]
+        change = np.zeros(len(h) + 1, np.int64)
+        np.add.at(change, start[whole], 1)
+        np.add.at(change, start[whole] + count[whole] + window - 1, -1)
+        some = False
+        for i in hit[self.first[at[hit]] == doc].tolist():
+            for w in self.windows[at[i]]:
+                change[start[i] + w] += 1
+                change[start[i] + w + window] -= 1
+                some = True
+        return np.cumsum(change)[:-1] > 0 if some or len(whole) else None
+
+
 def bytes_of(column: pa.Array | pa.ChunkedArray) -> list:
     return column.cast(pa.binary()).to_pylist()
 
@@ -261,6 +304,7 @@ def remove_earlier_passages(docs: DataFrame, doc_id: str = "doc_id", text: str =
         own.only(np.flatnonzero(wanted[place] == own.mark.view(np.int64)) if len(wanted) else [])
         cut = heavy[np.searchsorted(wanted, own.mark.view(np.int64))] if len(wanted) else np.zeros(0, bool)
         route = own.mark.copy()
+        single = np.zeros(len(route), bool)
         if cut.any():
             # Every window by itself: its key is made as that of a passage of one window.
             reps = np.where(cut, own.count, 1)
@@ -295,17 +339,18 @@ def remove_earlier_passages(docs: DataFrame, doc_id: str = "doc_id", text: str =
             signed(route[one]),
             pa.array(np.full(len(one), key[0].as_py())),
             signed(own.key[one]),
+            pa.array(own.mark[one].view(np.int64), pa.int64(), mask=~single[one]),
             pa.array(doc[first]),
             pa.array(np.maximum.reduceat(doc, first) if len(first) else doc),
             pa.array(words, pa.binary()),
         ]
         give_back()
-        return pa.table(columns, ["route", "chunk", "key", "least", "most", "words"])
+        return pa.table(columns, ["route", "chunk", "key", "cut", "least", "most", "words"])
 
     chunks = dealt.select("chunk", "doc", "text").groupBy("chunk")
     found = written(
         chunks.cogroup(hits.groupBy("chunk")).applyInArrow(
-            passage_rows, "route long, chunk long, key long, least long, most long, words binary"
+            passage_rows, "route long, chunk long, key long, cut long, least long, most long, words binary"
         ),
         "repeat-passages",
     )
@@ -326,24 +371,22 @@ def remove_earlier_passages(docs: DataFrame, doc_id: str = "doc_id", text: str =
         firsts = np.array([first[w] for w in words], np.int64)
         masks = [earlier.get(w, b"") if f == d else b"" for w, f, d in zip(words, firsts.tolist(), least.tolist())]
         told = np.flatnonzero((firsts < most) | np.array([bool(m) for m in masks], bool))
-        columns = [table.column("chunk").take(told), table.column("key").take(told), pa.array(firsts[told])]
+        columns = [*(table.column(c).take(told) for c in ("chunk", "key", "cut")), pa.array(firsts[told])]
         give_back()
-        return pa.table([*columns, pa.array([masks[i] for i in told], pa.binary())], ["chunk", "key", "first", "windows"])
+        return pa.table([*columns, pa.array([masks[i] for i in told], pa.binary())], ["chunk", "key", "cut", "first", "windows"])
 
     sharded = found.withColumn("shard", F.pmod(F.xxhash64("route"), F.lit(shards)))
     verdicts = written(
-        sharded.groupBy("shard").applyInArrow(judge, "chunk long, key long, first long, windows binary"), "repeat-verdicts"
+        sharded.groupBy("shard").applyInArrow(judge, "chunk long, key long, cut long, first long, windows binary"),
+        "repeat-verdicts",
     )
 
     def removed(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        keys = right.column("key").to_numpy().view(U)
-        order = np.argsort(keys)
-        keys, first = keys[order], right.column("first").to_numpy()[order]
-        masks = right.column("windows").to_pylist()
+        found = Verdicts(right)
         out: tuple[list, list, list, list] = ([], [], [], [])
         for doc, text in zip(left.column("doc").to_pylist(), bytes_of(left.column("text"))):
             words = (text or b"").split()
-            gone = _covered(doc, text, keys, first, masks, order, window) if doc is not None and len(keys) else None
+            gone = found.covered(doc, text, window) if doc is not None and len(found.keys) else None
             spans: list = []
             if gone is not None:
                 edges = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False]))))
@@ -366,30 +409,3 @@ def remove_earlier_passages(docs: DataFrame, doc_id: str = "doc_id", text: str =
     )
     columns = [F.col("kept").alias(text) if c == text else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
     return result.select(*columns, *(F.col(c).alias(name) for c, name in names.items()))
-
-
-def _covered(doc, text, keys, first, masks, order, window) -> np.ndarray | None:
-    """Which words of a text go, None if none does."""
-    h = word_hashes(np.frombuffer(text or b"", np.uint8))
-    start, count, _, sums = passages(h, window)
-    if not len(start):
-        return None
-    change = np.zeros(len(h) + 1, np.int64)
-    every = np.arange(len(h) - window + 1)
-    any_gone = False
-    # Passages, and windows by themselves, whose mark had too many passages.
-    for begin, n in ((start, count), (every, np.ones(len(every), np.int64))):
-        own = run_keys(sums, begin, n + (window - 1))
-        at = np.searchsorted(keys, own)
-        at[at == len(keys)] = 0
-        hit = np.flatnonzero(keys[at] == own)
-        whole = hit[first[at[hit]] < doc]
-        np.add.at(change, begin[whole], 1)
-        np.add.at(change, begin[whole] + n[whole] + window - 1, -1)
-        any_gone |= len(whole) > 0
-        for i in hit[first[at[hit]] == doc].tolist():
-            for w in masks[order[at[i]]]:
-                change[begin[i] + w] += 1
-                change[begin[i] + w + window] -= 1
-                any_gone = True
-    return np.cumsum(change)[:-1] > 0 if any_gone else None
