@@ -5,7 +5,8 @@ its next-word distribution diverges from that of its suffix (the context without
 word): the log-likelihood gain of its own counts, each occurrence left out of them in turn,
 must exceed ``GAIN``. A longer context is tried only where its suffix is a state and its own first
 words were tried, whose counts tell how often it occurs: (a, b, c) is passed over where (b) is no state,
-even if (b, c) is one. Distributions are smoothed by absolute discounting, the discounted mass
+even if (b, c) is one. In the gain, the suffix's probability of a word counts in steps of an eighth of a
+bit, up to 31.9 bits, which is how buckets are told of it; scores use exact probabilities. Distributions are smoothed by absolute discounting, the discounted mass
 going to the suffix state; at the root words have (c + 0.1) / (N + 0.1 (V + 1)). A text is scored
 by the longest retained suffix of the words before each word. Probabilities of all next
 words add up to one in every state.
@@ -22,7 +23,7 @@ Chunks and answers are written tables, so a lost executor costs a step, not the
 job. A context with more than a bucket's share of the corpus is split by its next words, and
 its parts are added up on the driver: there are at most ``2 * SPLIT_CONTEXTS`` of those.
 
-Null and empty texts are one end token. A null id is held out. Rows are scored one
+Null and empty texts are one end token; a text of any length is part of one chunk. A null id is held out. Rows are scored one
 by one, whatever ids they repeat; copies count as often as they occur. An empty table
 gives an empty table. Only the id and text columns of the input are used.
 """

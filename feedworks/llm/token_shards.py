@@ -14,7 +14,12 @@ so record ``i`` of shard ``s`` is slot ``s * records + i``, at byte ``i * stride
 slot is one seek. A line break ends the file. Spark writes the files, so they reach
 any store that it writes to, and a lost executor leaves no half of one.
 
-Null and empty texts are one end token. Rows count one by one, repeated ones included; ids may
+Sequences are numbered by the partitions in which ``df`` is read, so the same order of training needs the
+same key and the same partitions: other files or another ``spark.sql.files.maxPartitionBytes`` give another
+order, as another key does. What was written keeps its own.
+
+Null and empty texts are one end token, and a text of any length runs over as many sequences as it needs. Rows
+count one by one, repeated ones included; ids may
 be null. The last sequence of each input partition may be part empty. An empty table writes
 no shard. Other columns are not used.
 """
