@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from feedworks.operators import quality
-from feedworks.operators.canonical import build_gold
+from feedworks.operators.canonical import build_gold, dealing_of, keyed_rows
 from feedworks.operators.refine import (
     REJECTED_COLUMN,
     clean_columns,
@@ -204,6 +204,8 @@ def run_curate(
     """Curate each entity some client has into ``<gold>.<entity>``; {entity: row count}.
 
     ``partition_by``, say ``["client_id"]``, lets a reader of one client open only its files.
+
+    The keys are read once before the rows, to deal those out in proportion and to find keys with very many.
     """
     check_configs(client_configs)
     clients: dict[str, list[str]] = {}
@@ -212,7 +214,8 @@ def run_curate(
 
     def curate(entity: str) -> int:
         frames = {c: read_table(spark, f"{silver_schema}.{c}_{entity}") for c in clients[entity]}
-        gold = build_gold(CANONICAL[entity], frames)
+        known = CANONICAL[entity]
+        gold = build_gold(known, frames, dealing_of(keyed_rows(known, frames), next(iter(known.keys))))
         name, rows = f"{gold_schema}.{entity}", {"rows": F.count(F.lit(1))}
         counted = write_counted(gold, name, rows, partition_by, None, True, retention)
         return counted["rows"]

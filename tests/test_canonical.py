@@ -8,10 +8,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedworks.functions.frames import union_all
+from feedworks.operators import canonical
 from feedworks.operators.canonical import (
+    Dealing,
     build_gold_customers,
     build_gold_transactions,
     conform,
+    dealing_of,
     keep_latest,
     union_clients,
 )
@@ -177,3 +180,33 @@ def test_aggregate_reduces_a_hot_key_before_the_shuffle(spark):
     assert latest.count() == 20_001 and latest.filter("key = 'hot'").first().ts == 29_997
     plan = latest._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and plan.index("Exchange") < plan.index("partial_max")
+
+
+@pytest.mark.parametrize("partitions", [None, 3])
+def test_shuffle_keeps_the_rows_of_the_aggregate(spark, partitions):
+    df = odd_rows(spark)
+    expected = sorted(map(str, keep_latest(df, "key", "ts", ["t"], "aggregate").collect()))
+    hashes = [r[0] for r in df.select(F.xxhash64("key")).distinct().collect()]
+    for hot in ([], hashes[:2], hashes, [1, 2]):
+        latest = keep_latest(df, "key", "ts", ["t"], "shuffle", Dealing(partitions, hot))
+        assert latest.dtypes == df.dtypes
+        assert sorted(map(str, latest.collect())) == expected
+
+
+def test_hot_keys_are_found_and_partitions_follow_the_rows(spark, monkeypatch):
+    df = spark.range(30_000, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3000 != 1, F.col("id").cast("string")).alias("key"),
+        F.col("id").alias("ts"),
+    )
+    hot = df.filter("key = 'hot'").select(F.xxhash64("key")).first()[0]
+    assert dealing_of(df.limit(0), "key") == Dealing(None, [])
+    monkeypatch.setattr(canonical, "ROWS_AT_ONCE", 1000)
+    dealing = dealing_of(df, "key")
+    assert dealing == Dealing(30, [hot])
+    assert dealing_of(df.filter("key != 'hot'"), "key").hot == []
+    latest = keep_latest(df, "key", order="ts", how="shuffle", dealing=dealing)
+    assert latest.count() == 19_992 and latest.filter("key = 'hot'").first().ts == 29_997
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    behind, cold, hot = plan.split("Exchange")
+    assert "partial_max" in behind and "partial_max" in hot
+    assert "Sort" not in cold[: cold.index("Range")]

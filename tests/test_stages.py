@@ -572,3 +572,22 @@ def test_feeds_that_are_not_recut(spark, schemas, tmp_path):
     assert stages.run_ingest(spark, configs, inputs, schemas["bronze"], recut=True)[0]["row_count"] == 1
     stages.run_ingest(spark, configs, inputs, schemas["bronze"], source_path=True, recut=True)
     assert read_table(spark, f"{schemas['bronze']}.folder_1_customers").first()["_source_path"].endswith("folded.csv.gz")
+
+
+def test_curate_sorts_behind_the_shuffle_only(spark, schemas, source, monkeypatch):
+    """A sort before it takes a task's whole split, which spills once splits are larger than a task's memory."""
+    configs, plans, good = loaded(source), {}, stages.write_counted
+    stages.run_ingest(spark, configs, f"{source}/input_files", schemas["bronze"])
+    stages.run_refine(spark, configs, schemas["bronze"], schemas["silver"])
+
+    def write(df, table, *args):
+        plans[table] = df._jdf.queryExecution().executedPlan().toString()
+        return good(df, table, *args)
+
+    monkeypatch.setattr(stages, "write_counted", write)
+    counts = stages.run_curate(spark, configs, schemas["silver"], schemas["gold"])
+    assert len(plans) == len(counts) == 2 and min(counts.values()) > 0
+    for plan in plans.values():
+        assert plan.count("Exchange") == 1
+        behind, before = plan.split("Exchange")
+        assert "Sort" in behind and "Sort" not in before
